@@ -43,3 +43,81 @@ def q_normalized_findings(spark, sf_dir):
     df = nz.normalize_findings(findings(spark, sf_dir))
     return df.select("id", "scanner", "category", "severity", "risk_score", "title", "description",
                      F.col("_data_quality").alias("data_quality"))
+
+
+# --------------------------------------------------------------------------------------
+# Verification scorecard
+# --------------------------------------------------------------------------------------
+from vigil.operators import scorecard as sc  # noqa: E402
+
+def _sc_sql(body: str) -> str:
+    return "WITH " + O.FINDINGS_CTE + "," + O.CORRELATIONS_CTE + O.scorecard_ctes() + body
+
+
+@query("scorecard_metrics", _sc_sql("SELECT stage, metric, round(value, 6) AS value FROM metrics"),
+       ops=("V7", "V8", "V10", "V12", "V13", "V14", "V15", "V16", "V17", "V18", "V19", "V20", "V21", "J16", "J18"))
+def q_scorecard_metrics(spark, sf_dir):
+    m = sc.scorecard_metrics(findings(spark, sf_dir), correlations(spark, sf_dir))
+    return m.select("stage", "metric", F.round("value", 6).alias("value"))
+
+
+@query("scorecard_stages", _sc_sql("SELECT stage, status, passed, round(score, 6) AS score FROM stages"),
+       ops=("V12", "V13", "V15", "V21", "V25"))
+def q_scorecard_stages(spark, sf_dir):
+    m = sc.scorecard_metrics(findings(spark, sf_dir), correlations(spark, sf_dir))
+    return sc.stage_table(m)
+
+
+@query("scorecard_summary", _sc_sql("""
+SELECT CASE WHEN count(*) FILTER (WHERE status = 'failed') > 0 THEN 'failed'
+            WHEN count(*) FILTER (WHERE status = 'warning') > count(*) / 2 THEN 'warning'
+            ELSE 'passed' END AS overall_status,
+       count(*) FILTER (WHERE passed) AS stages_passed,
+       count(*) FILTER (WHERE status = 'failed') AS stages_failed,
+       count(*) FILTER (WHERE status = 'warning') AS stages_warning,
+       (SELECT count(*) FROM findings) AS total_findings,
+       (SELECT count(*) FROM correlations) AS total_correlations,
+       (SELECT count(DISTINCT scanner) FROM findings) AS scanner_coverage
+FROM stages"""), ops=("V22", "V23"))
+def q_scorecard_summary(spark, sf_dir):
+    f, c = findings(spark, sf_dir), correlations(spark, sf_dir)
+    st = sc.stage_table(sc.scorecard_metrics(f, c))
+    counts = (f.agg(F.count(F.lit(1)).alias("total_findings"), F.count_distinct("scanner").alias("scanner_coverage"))
+              .withColumn("k", F.lit(1)))
+    ccount = c.agg(F.count(F.lit(1)).alias("total_correlations")).withColumn("k", F.lit(1))
+    return (sc.overall_status(st).withColumn("k", F.lit(1))
+            .join(counts, "k").join(ccount, "k").drop("k"))
+
+
+@query("scorecard_recommendations", _sc_sql("""
+, recs AS (
+  SELECT stage, CASE
+    WHEN stage = 'schema_validation' AND NOT passed THEN printf('Fix schema validation issues in %d findings', CAST(score AS BIGINT))
+    WHEN stage = 'consistency_check' AND NOT passed THEN 'Address consistency issues'
+    WHEN stage = 'realism_assessment' AND score < 0.8 THEN printf('Improve realism: score %.2f', score)
+    WHEN stage = 'correlation_validation' AND NOT passed AND score < 0.6 THEN printf('Improve correlation quality: score %.2f', score)
+    WHEN stage = 'quality_scoring' AND NOT passed AND score < 0.7 THEN printf('Improve overall quality: score %.2f', score)
+  END AS recommendation FROM stages)
+SELECT stage, recommendation FROM recs WHERE recommendation IS NOT NULL
+UNION ALL
+SELECT 'overall', 'Dataset quality is good - no major issues found'
+FROM (SELECT count(*) FILTER (WHERE recommendation IS NOT NULL) AS n FROM recs) t WHERE n = 0"""),
+       ops=("V24",))
+def q_scorecard_recommendations(spark, sf_dir):
+    m = sc.scorecard_metrics(findings(spark, sf_dir), correlations(spark, sf_dir))
+    return sc.recommendations(sc.stage_table(m))
+
+
+@query("correlation_quality", "WITH " + O.FINDINGS_CTE + "," + O.CORRELATIONS_CTE + O.scorecard_ctes() + """
+SELECT correlation_id, n_refs, found, round(quality, 6) AS quality FROM cq""", ops=("V14", "J18"))
+def q_correlation_quality(spark, sf_dir):
+    q = sc.correlation_quality(correlations(spark, sf_dir), findings(spark, sf_dir))
+    return q.select("correlation_id", "n_refs", "found", F.round("quality", 6).alias("quality"))
+
+
+@query("broken_references", "WITH " + O.FINDINGS_CTE + "," + O.CORRELATIONS_CTE + O.scorecard_ctes() + """
+SELECT r.correlation_id, r.ref
+FROM (SELECT id AS correlation_id, unnest(correlation_refs) AS ref FROM correlations) r
+WHERE NOT EXISTS (SELECT 1 FROM ids WHERE ids.id = r.ref)""", ops=("J16",))
+def q_broken_references(spark, sf_dir):
+    return sc.broken_refs(correlations(spark, sf_dir), findings(spark, sf_dir)).select("correlation_id", "ref")

@@ -56,3 +56,132 @@ correlations AS (
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
+
+
+def _band_ok(bands: dict, risk: str = "risk_score", unknown: str = "TRUE") -> str:
+    whens = " ".join(f"WHEN '{k}' THEN ({risk} BETWEEN {lo} AND {hi} AND NOT isnan({risk}))"
+                     for k, (lo, hi) in bands.items())
+    return f"(CASE severity {whens} ELSE {unknown} END)"
+
+
+def _weight(col: str) -> str:
+    from vigil.functions import fixed
+    whens = " ".join(f"WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in fixed.SEVERITY_WEIGHTS.items())
+    return f"(CASE {col} {whens} ELSE CAST({fixed.SEVERITY_WEIGHT_DEFAULT} AS DOUBLE) END)"
+
+
+def scorecard_ctes() -> str:
+    from vigil.functions import fixed
+    exp = fixed.REALISM_EXPECTED
+    realism_terms = " + ".join(
+        f"(1.0 - least(abs({s} / total - {e}) * 2, 1.0))" for s, e in exp.items())
+    realism_flags = " + ".join(
+        f"(CASE WHEN abs({s} / total - {e}) > 0.15 THEN 1 ELSE 0 END)" for s, e in exp.items())
+    return f""",
+ids AS (SELECT id FROM findings UNION ALL SELECT id FROM correlations),
+m_dup AS (SELECT CAST(coalesce(sum(n - 1), 0) AS DOUBLE) AS duplicate_ids
+          FROM (SELECT id, count(*) AS n FROM ids GROUP BY id) t),
+m_band AS (SELECT CAST(count(*) FILTER (WHERE NOT {_band_ok(fixed.SCORECARD_BANDS)}) AS DOUBLE)
+                  AS severity_inconsistencies FROM findings),
+m_broken AS (SELECT CAST(count(*) AS DOUBLE) AS broken_correlations
+             FROM (SELECT unnest(correlation_refs) AS ref FROM correlations) r
+             WHERE NOT EXISTS (SELECT 1 FROM ids WHERE ids.id = r.ref)),
+sev_counts AS (
+  SELECT CAST(count(*) AS DOUBLE) AS total,
+         {", ".join(f"CAST(count(*) FILTER (WHERE severity = '{s}') AS DOUBLE) AS {s}" for s in fixed.SEVERITIES)}
+  FROM findings),
+m_real AS (
+  SELECT total,
+         CASE WHEN total = 0 THEN 0.0 ELSE
+           ({realism_terms}) / {len(exp)}
+           * (CASE WHEN critical > total * 0.1 THEN 0.8 ELSE 1.0 END)
+           * (CASE WHEN info < total * 0.2 THEN 0.9 ELSE 1.0 END) END AS realism_score,
+         CASE WHEN total = 0 THEN 1 ELSE {realism_flags}
+           + (CASE WHEN critical > total * 0.1 THEN 1 ELSE 0 END)
+           + (CASE WHEN info < total * 0.2 THEN 1 ELSE 0 END) END AS issues
+  FROM sev_counts),
+fbi AS (SELECT id, arg_max(severity, ord) AS ref_severity FROM findings GROUP BY id),
+cq_agg AS (
+  SELECT e.correlation_id, count(*) AS n_refs, count(f.ref_severity) AS found,
+         sum(CASE WHEN f.ref_severity IS NULL THEN 0.0 ELSE {_weight('f.ref_severity')} END) AS wsum
+  FROM (SELECT id AS correlation_id, unnest(correlation_refs) AS ref FROM correlations) e
+  LEFT JOIN fbi f ON f.id = e.ref
+  GROUP BY e.correlation_id),
+cq AS (
+  SELECT c.id AS correlation_id, coalesce(a.n_refs, 0) AS n_refs, coalesce(a.found, 0) AS found,
+         CAST(CASE WHEN coalesce(a.n_refs, 0) = 0 THEN 0.0
+              ELSE least((CASE WHEN a.found < a.n_refs THEN 0.8 ELSE 1.0 END)
+                         * (0.5 + a.wsum / a.n_refs * 0.5), 1.0) END AS DOUBLE) AS quality
+  FROM correlations c LEFT JOIN cq_agg a ON a.correlation_id = c.id),
+m_cq AS (SELECT CAST(count(*) AS DOUBLE) AS correlations, coalesce(avg(quality), 0.0) AS correlation_quality_score FROM cq),
+m_red AS (SELECT CAST(coalesce(sum(n - 1), 0) AS DOUBLE) AS redundant
+          FROM (SELECT list_sort(correlation_refs) AS refs, coalesce(correlation_type, '') AS ctype, count(*) AS n
+                FROM correlations GROUP BY ALL) t),
+per_scanner AS (SELECT scanner, count(*) AS n, count(DISTINCT coalesce(title, '')) AS u FROM findings GROUP BY scanner),
+m_div AS (SELECT CAST(count(*) AS DOUBLE) AS scanner_coverage,
+                 CASE WHEN count(*) = 0 THEN 0.0
+                      ELSE (least(count(*) / {float(fixed.SCANNER_NORMALISER)}, 1.0) + avg(least(u / n, 1.0))) / 2 END
+                   AS diversity_score FROM per_scanner),
+m_stats AS (
+  SELECT CAST(count(*) AS DOUBLE) AS total_findings,
+         CASE WHEN count(*) = 0 THEN 0.0 ELSE 1.0 END AS completeness_score,
+         CASE WHEN count(*) FILTER (WHERE v) = 0 THEN 0.0 ELSE
+           greatest(0.0, 1.0 - (abs(avg(risk_score) FILTER (WHERE v) - 50) / 50
+             + least(abs(coalesce(stddev_samp(risk_score) FILTER (WHERE v), 0.0) - 20) / 20, 1.0)) / 2) END
+           AS consistency_score
+  FROM (SELECT risk_score, (risk_score BETWEEN 0 AND 100 AND NOT isnan(risk_score)) AS v FROM findings) t),
+m_cov AS (SELECT CAST(count(DISTINCT ref) AS DOUBLE) AS distinct_refs
+          FROM (SELECT unnest(correlation_refs) AS ref FROM correlations) t),
+m_schema AS (SELECT (SELECT count(*) FROM findings) + (SELECT count(*) FROM correlations) AS total),
+metrics AS (
+  SELECT 'schema_validation' AS stage, 'total_findings' AS metric, CAST(total AS DOUBLE) AS value FROM m_schema
+  UNION ALL SELECT 'schema_validation', 'valid_findings', CAST(total AS DOUBLE) FROM m_schema
+  UNION ALL SELECT 'schema_validation', 'invalid_findings', 0.0 FROM m_schema
+  UNION ALL SELECT 'consistency_check', 'duplicate_ids', duplicate_ids FROM m_dup
+  UNION ALL SELECT 'consistency_check', 'severity_inconsistencies', severity_inconsistencies FROM m_band
+  UNION ALL SELECT 'consistency_check', 'broken_correlations', broken_correlations FROM m_broken
+  UNION ALL SELECT 'realism_assessment', 'realism_score', realism_score FROM m_real
+  UNION ALL SELECT 'realism_assessment', 'issues', CAST(issues AS DOUBLE) FROM m_real
+  UNION ALL SELECT 'realism_assessment', 'total', total FROM m_real
+  UNION ALL SELECT 'correlation_validation', 'correlation_quality_score', correlation_quality_score FROM m_cq
+  UNION ALL SELECT 'correlation_validation', 'correlations', correlations FROM m_cq
+  UNION ALL SELECT 'correlation_validation', 'redundant', redundant FROM m_red
+  UNION ALL SELECT 'quality_scoring', 'diversity_score', diversity_score FROM m_div
+  UNION ALL SELECT 'quality_scoring', 'scanner_coverage', scanner_coverage FROM m_div
+  UNION ALL SELECT 'quality_scoring', 'completeness_score', completeness_score FROM m_stats
+  UNION ALL SELECT 'quality_scoring', 'consistency_score', consistency_score FROM m_stats
+  UNION ALL SELECT 'quality_scoring', 'total_findings', total_findings FROM m_stats
+  UNION ALL SELECT 'quality_scoring', 'distinct_refs', distinct_refs FROM m_cov
+),
+w AS (
+  SELECT
+    (SELECT value FROM metrics WHERE stage = 'schema_validation' AND metric = 'invalid_findings') AS invalid,
+    ((SELECT CASE WHEN duplicate_ids > 0 THEN 1 ELSE 0 END FROM m_dup)
+     + (SELECT CASE WHEN severity_inconsistencies > 0 THEN 1 ELSE 0 END FROM m_band)
+     + (SELECT CASE WHEN broken_correlations > 0 THEN 1 ELSE 0 END FROM m_broken)) AS issues_c,
+    (SELECT realism_score FROM m_real) AS realism, (SELECT total FROM m_real) AS total,
+    (SELECT correlation_quality_score FROM m_cq) AS cq, (SELECT correlations FROM m_cq) AS n_corr,
+    ((SELECT diversity_score FROM m_div) + (SELECT completeness_score FROM m_stats)
+      + (SELECT consistency_score FROM m_stats)
+      + (SELECT CASE WHEN total_findings = 0 THEN 0.0 ELSE least(distinct_refs / total_findings, 1.0) END
+         FROM m_cov, m_stats)) / 4 AS overall_q
+),
+stages AS (
+  SELECT 'schema_validation' AS stage, CASE WHEN invalid = 0 THEN 'passed' ELSE 'failed' END AS status,
+         invalid = 0 AS passed, CAST(invalid AS DOUBLE) AS score FROM w
+  UNION ALL SELECT 'consistency_check',
+         CASE WHEN issues_c = 0 THEN 'passed' WHEN issues_c <= 2 THEN 'warning' ELSE 'failed' END,
+         issues_c = 0, CAST(issues_c AS DOUBLE) FROM w
+  UNION ALL SELECT 'realism_assessment',
+         CASE WHEN total = 0 THEN 'failed' WHEN realism < 0.5 THEN 'failed' WHEN realism < 0.7 THEN 'warning'
+              ELSE 'passed' END,
+         total > 0 AND realism >= 0.5, CAST(realism AS DOUBLE) FROM w
+  UNION ALL SELECT 'correlation_validation',
+         CASE WHEN n_corr = 0 THEN 'passed' WHEN cq < 0.4 THEN 'failed' WHEN cq < 0.6 THEN 'warning'
+              ELSE 'passed' END,
+         n_corr = 0 OR cq >= 0.4, CAST(CASE WHEN n_corr = 0 THEN 0.0 ELSE cq END AS DOUBLE) FROM w
+  UNION ALL SELECT 'quality_scoring',
+         CASE WHEN overall_q >= 0.7 THEN 'passed' WHEN overall_q >= 0.5 THEN 'warning' ELSE 'failed' END,
+         overall_q >= 0.7, CAST(overall_q AS DOUBLE) FROM w
+)
+"""

@@ -134,5 +134,8 @@ def correlations_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFram
         .withColumn("category", F.lit("correlation"))
         .withColumn("scanner", F.lit("correlation"))
         .withColumn("metadata", F.lit("{}"))
+        .withColumn("tags", F.array(F.lit("correlation"), F.col("correlation_type")))
+        .withColumn("risk_subscores", F.lit(None).cast(
+            "struct<impact:double,exposure:double,anomaly:double,confidence:double>"))
         .withColumn("ord", F.col("orderkey"))
     )
