@@ -46,9 +46,9 @@ correlations AS (
   SELECT 'corr_' || CAST(o_orderkey AS VARCHAR) AS id, o_orderkey AS orderkey, o_orderkey AS ord,
          CASE o_orderstatus WHEN 'O' THEN 'process_network' WHEN 'F' THEN 'filesystem'
               WHEN 'P' THEN 'kernel' ELSE 'unknown' END AS correlation_type,
-         CASE o_orderpriority WHEN '1-URGENT' THEN 95.0 WHEN '2-HIGH' THEN 80.0
+         CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 95.0 WHEN '2-HIGH' THEN 80.0
               WHEN '3-MEDIUM' THEN 55.0 WHEN '4-NOT SPECIFIED' THEN 30.0
-              WHEN '5-LOW' THEN 10.0 ELSE 50.0 END AS risk_score,
+              WHEN '5-LOW' THEN 10.0 ELSE 50.0 END AS DOUBLE) AS risk_score,
          coalesce(r.correlation_refs, []::VARCHAR[]) AS correlation_refs
   FROM orders o LEFT JOIN corr_refs r ON r.orderkey = o.o_orderkey
 )"""
@@ -185,3 +185,31 @@ stages AS (
          overall_q >= 0.7, CAST(overall_q AS DOUBLE) FROM w
 )
 """
+
+
+def py_token(meta: str, key: str) -> str:
+    """SQL for Python str(metadata.get(key, '')) over JSON text."""
+    v = f"json_extract_string({meta}, '$.{key}')"
+    return (f"(CASE WHEN {v} IS NULL THEN (CASE WHEN list_contains(coalesce(json_keys({meta}), []), '{key}') "
+            f"THEN 'None' ELSE '' END) WHEN {v} = 'true' THEN 'True' WHEN {v} = 'false' THEN 'False' ELSE {v} END)")
+
+
+def dedup_pattern_sql() -> str:
+    from vigil.functions import fixed
+    toks = [py_token("metadata", k) for k in fixed.PATTERN_KEYS]
+    base = ("coalesce(category, 'unknown') || ':' || coalesce(severity, 'unknown') || ':' || "
+            + " || '|' || ".join(toks))
+    empty = " AND ".join(f"{t} = ''" for t in toks)
+    digest = "substr(md5(coalesce(title, '') || '|' || coalesce(description, '')), 1, 8)"
+    return f"(CASE WHEN {empty} THEN {base} || ':' || {digest} ELSE {base} END)"
+
+
+def cluster_pattern_sql() -> str:
+    from vigil.functions import fixed
+    parts = []
+    for k in fixed.PATTERN_KEYS:
+        v = f"json_extract_string(metadata, '$.{k}')"
+        parts.append(f"(CASE WHEN {v} IS NOT NULL AND {v} NOT IN ('', 'false', '0', '0.0', '[]', '{{}}') "
+                     f"THEN (CASE WHEN {v} = 'true' THEN 'True' ELSE {v} END) END)")
+    joined = f"concat_ws('|', {', '.join(parts)})"
+    return f"(CASE WHEN {joined} = '' THEN 'generic' ELSE {joined} END)"
