@@ -213,3 +213,180 @@ def cluster_pattern_sql() -> str:
                      f"THEN (CASE WHEN {v} = 'true' THEN 'True' ELSE {v} END) END)")
     joined = f"concat_ws('|', {', '.join(parts)})"
     return f"(CASE WHEN {joined} = '' THEN 'generic' ELSE {joined} END)"
+
+HOST_FINDINGS_CTE = FINDINGS_CTE + """,
+kp AS (
+  SELECT 'kp_' || CAST(p_partkey AS VARCHAR) AS id, p_partkey AS ord, 'kernel_params' AS scanner,
+         'kernel_params' AS category,
+         CASE p_type WHEN 'ECONOMY' THEN 'net.ipv4.tcp' WHEN 'STANDARD' THEN 'vm.mmap'
+              WHEN 'LARGE' THEN 'fs.protected' WHEN 'SMALL' THEN 'kernel.randomize'
+              WHEN 'PROMO' THEN 'kernel.yama.ptrace' WHEN 'MEDIUM' THEN 'security.selinux'
+              ELSE 'kernel' END || '.' || replace(p_name, ' ', '_') AS title,
+         CAST(p_size * 2 AS DOUBLE) AS risk_score, '{}' AS metadata
+  FROM part),
+mods AS (
+  SELECT 'mod_' || CAST(s_suppkey AS VARCHAR) AS id, s_suppkey AS ord, 'modules' AS scanner, 'modules' AS category,
+         'Module ' || coalesce(split_part(p.p_name, ' ', 1), 'unknown') AS title,
+         greatest(0.0, least(100.0, CAST(floor(s_acctbal / 100) AS DOUBLE))) AS risk_score, '{}' AS metadata
+  FROM supplier s LEFT JOIN part p ON p.p_partkey = s.s_suppkey),
+macs AS (
+  SELECT 'mac_' || CAST(c_custkey AS VARCHAR) AS id, c_custkey AS ord, 'mac' AS scanner, 'mac' AS category,
+         'MAC status ' || lower(c_mktsegment) AS title, CAST(c_nationkey * 4 AS DOUBLE) AS risk_score,
+         CASE WHEN c_acctbal < 0 THEN '{"enabled":"false"}' ELSE '{"enabled":"true"}' END AS metadata
+  FROM customer),
+hf AS (
+  SELECT id, ord, scanner, category, title, severity, risk_score, metadata FROM findings
+  UNION ALL
+  SELECT id, ord, scanner, category, title,
+         CASE WHEN risk_score < 20 THEN 'info' WHEN risk_score < 40 THEN 'low'
+              WHEN risk_score < 70 THEN 'medium' WHEN risk_score < 90 THEN 'high' ELSE 'critical' END AS severity,
+         risk_score, metadata
+  FROM (SELECT * FROM kp UNION ALL SELECT * FROM mods UNION ALL SELECT * FROM macs) x
+)"""
+
+
+def _contains_any(col: str, words: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({col}, '{w}')" for w in words) + ")"
+
+
+def rules_ctes() -> str:
+    """DuckDB form of the correlation rules over the pooled ``hf`` table (edges + headers)."""
+    from vigil.operators import correlate as C
+    pname = "regexp_extract(coalesce(json_extract_string(metadata, '$.command'), ''), '[^/]*$')"
+    lt = "lower(coalesce(title, ''))"
+    cls = " ".join(f"WHEN {_contains_any(lt, ws)} THEN '{n}'" for n, ws in C.PARAM_CLASSES)
+    mal = _contains_any(f"lower({pname})", C.MALWARE_PATTERNS)
+    c2 = _contains_any(lt, C.C2_WORDS)
+    macw = _contains_any(lt, C.MAC_PARAM_WORDS)
+    procw = _contains_any(lt, C.PROCESS_PARAM_WORDS)
+    return f""",
+rp AS (SELECT * FROM hf WHERE scanner = 'processes'),
+rn AS (SELECT * FROM hf WHERE scanner = 'network'),
+rww AS (SELECT * FROM hf WHERE scanner = 'world_writable'),
+rsu AS (SELECT * FROM hf WHERE scanner = 'suid'),
+rio AS (SELECT * FROM hf WHERE scanner = 'ioc'),
+rmc AS (SELECT * FROM hf WHERE scanner = 'mac'),
+rkp AS (SELECT * FROM hf WHERE scanner = 'kernel_params'),
+rmd AS (SELECT * FROM hf WHERE scanner = 'modules'),
+mac_off AS (SELECT 1 FROM rmc WHERE json_extract_string(metadata, '$.enabled') = 'false' OR severity = 'medium'),
+net3 AS (SELECT id, row_number() OVER (ORDER BY ord) - 1 AS pos FROM
+           (SELECT * FROM rn WHERE severity IN ('medium', 'high', 'critical') ORDER BY ord LIMIT 3) t),
+j2p AS (SELECT id, {pname} AS pn FROM rp WHERE severity IN ('medium', 'high', 'critical') AND EXISTS (SELECT 1 FROM net3)),
+c2 AS (SELECT id, ord FROM rn WHERE {c2}),
+j3p AS (SELECT id, {pname} AS pn FROM rp WHERE {mal} AND EXISTS (SELECT 1 FROM c2)),
+unus AS (SELECT id, row_number() OVER (ORDER BY ord) - 1 AS pos FROM
+           (SELECT * FROM rn WHERE TRY_CAST(json_extract_string(metadata, '$.port') AS DOUBLE) > 1024
+              AND severity IN ('low', 'medium') ORDER BY ord LIMIT 2) t),
+j4p AS (SELECT id, {pname} AS pn FROM rp WHERE EXISTS (SELECT 1 FROM unus)),
+suid2 AS (SELECT id, row_number() OVER (ORDER BY ord) - 1 AS pos FROM
+           (SELECT * FROM rsu WHERE severity IN ('medium', 'high', 'critical') ORDER BY ord LIMIT 2) t),
+j5w AS (SELECT id FROM rww WHERE severity IN ('high', 'critical') AND EXISTS (SELECT 1 FROM suid2)),
+cap AS (SELECT id, ord FROM rww WHERE contains({lt}, 'capability')
+          OR json_extract_string(metadata, '$.rule') = 'file_capability'),
+j6 AS (SELECT 1 AS f WHERE EXISTS (SELECT 1 FROM cap) AND EXISTS (SELECT 1 FROM mac_off)),
+files3 AS (SELECT id, row_number() OVER (ORDER BY g, ord) - 1 AS pos FROM
+           (SELECT id, ord, CASE WHEN scanner = 'world_writable' THEN 0 ELSE 1 END AS g FROM hf
+            WHERE scanner IN ('world_writable', 'suid') AND severity IN ('medium', 'high', 'critical')
+            ORDER BY g, ord LIMIT 3) t),
+j7i AS (SELECT id, coalesce(title, '') AS t FROM rio WHERE severity IN ('high', 'critical') AND EXISTS (SELECT 1 FROM files3)),
+kpc AS (SELECT *, CASE {cls} END AS cls FROM rkp),
+weak AS (SELECT * FROM kpc WHERE cls IS NOT NULL AND severity IN ('medium', 'high')),
+weak_cls AS (SELECT cls FROM weak GROUP BY cls HAVING count(*) >= 2),
+secmod AS (SELECT id, ord, title, lower(replace(coalesce(title, ''), 'Module ', '')) AS name FROM rmd
+           WHERE severity IN ('medium', 'high')),
+modw AS (SELECT id, name AS w FROM secmod
+         UNION SELECT id, w FROM (SELECT id, unnest(string_split_regex(trim(name), '\\s+')) AS w FROM secmod) t
+         WHERE w <> ''),
+pairs AS (SELECT DISTINCT m.id AS mid, k.id AS pid, k.ord AS pord FROM modw m JOIN rkp k
+          ON contains(lower(coalesce(k.title, '')), m.w)),
+pp AS (SELECT pid, pord, count(*) AS n FROM pairs GROUP BY pid, pord),
+j9 AS (SELECT 1 AS f WHERE EXISTS (SELECT 1 FROM secmod) AND EXISTS (SELECT 1 FROM pp)),
+macp AS (SELECT id, ord FROM rkp WHERE {macw}),
+j10 AS (SELECT 1 AS f WHERE EXISTS (SELECT 1 FROM macp) AND EXISTS (SELECT 1 FROM mac_off)),
+procp AS (SELECT id, ord FROM rkp WHERE {procw}),
+susp AS (SELECT id, ord, {pname} AS pn FROM rp WHERE severity IN ('medium', 'high', 'critical')),
+j11 AS (SELECT 1 AS f WHERE EXISTS (SELECT 1 FROM procp) AND EXISTS (SELECT 1 FROM susp)),
+j12 AS (SELECT 1 AS f WHERE EXISTS (SELECT 1 FROM rp) AND EXISTS (SELECT 1 FROM rn) AND EXISTS (SELECT 1 FROM rww)),
+flat AS (SELECT id, ord, CASE scanner WHEN 'network' THEN 0 WHEN 'processes' THEN 1 ELSE 2 END AS g
+         FROM hf WHERE scanner IN ('network', 'processes', 'kernel_params')),
+j13 AS (SELECT 1 AS f WHERE (SELECT count(*) FROM flat) >= 3),
+first5 AS (SELECT * FROM flat ORDER BY g, ord LIMIT 5),
+j14 AS (SELECT 1 AS f WHERE EXISTS (SELECT 1 FROM rio) AND EXISTS (SELECT 1 FROM rp)),
+edges_all AS (
+  SELECT 'process_network_suspicious:' || id AS correlation_id, id AS finding_id, 0 AS grp, CAST(0 AS BIGINT) AS ord, CAST(1 AS BIGINT) AS n FROM j2p
+  UNION ALL SELECT 'process_network_suspicious:' || p.id, n.id, 1, n.pos, 1 FROM j2p p, net3 n
+  UNION ALL SELECT 'malware_c2:' || id, id, 0, 0, 1 FROM j3p
+  UNION ALL SELECT 'malware_c2:*', id, 1, ord, 1 FROM c2 WHERE EXISTS (SELECT 1 FROM j3p)
+  UNION ALL SELECT 'unusual_port_usage:' || id, id, 0, 0, 1 FROM j4p
+  UNION ALL SELECT 'unusual_port_usage:' || p.id, u.id, 1, u.pos, 1 FROM j4p p, unus u
+  UNION ALL SELECT 'suid_world_writable:' || id, id, 0, 0, 1 FROM j5w
+  UNION ALL SELECT 'suid_world_writable:' || w.id, s.id, 1, s.pos, 1 FROM j5w w, suid2 s
+  UNION ALL SELECT 'capabilities_weak_mac:*', id, 0, ord, 1 FROM cap WHERE EXISTS (SELECT 1 FROM j6)
+  UNION ALL SELECT 'capabilities_weak_mac:*', id, 1, ord, 1 FROM rmc WHERE EXISTS (SELECT 1 FROM j6)
+  UNION ALL SELECT 'ioc_file_permissions:' || id, id, 0, 0, 1 FROM j7i
+  UNION ALL SELECT 'ioc_file_permissions:' || i.id, f.id, 1, f.pos, 1 FROM j7i i, files3 f
+  UNION ALL SELECT 'weak_kernel_security:' || cls, id, 0, ord, 1 FROM weak WHERE cls IN (SELECT cls FROM weak_cls)
+  UNION ALL SELECT 'module_kernel_conflict:*', id, 0, ord, 1 FROM secmod WHERE EXISTS (SELECT 1 FROM j9)
+  UNION ALL SELECT 'module_kernel_conflict:*', pid, 1, pord, n FROM pp WHERE EXISTS (SELECT 1 FROM j9)
+  UNION ALL SELECT 'kernel_mac_disabled:*', id, 0, ord, 1 FROM macp WHERE EXISTS (SELECT 1 FROM j10)
+  UNION ALL SELECT 'kernel_mac_disabled:*', id, 1, ord, 1 FROM rmc WHERE EXISTS (SELECT 1 FROM j10)
+  UNION ALL SELECT 'kernel_process_suspicious:*', id, 0, ord, 1 FROM procp WHERE EXISTS (SELECT 1 FROM j11)
+  UNION ALL SELECT 'kernel_process_suspicious:*', id, 1, ord, 1 FROM susp WHERE EXISTS (SELECT 1 FROM j11)
+  UNION ALL SELECT 'multi_vector_apt:*', id, CASE scanner WHEN 'processes' THEN 0 WHEN 'network' THEN 1 ELSE 2 END,
+                   ord, 1 FROM hf
+            WHERE scanner IN ('processes', 'network', 'world_writable') AND coalesce(id, '') <> ''
+              AND EXISTS (SELECT 1 FROM j12)
+  UNION ALL SELECT 'temporal_sequence:*', id, g, ord, 1 FROM first5 WHERE coalesce(id, '') <> '' AND EXISTS (SELECT 1 FROM j13)
+  UNION ALL SELECT 'causal_ioc_process:*', id, CASE scanner WHEN 'ioc' THEN 0 ELSE 1 END, ord, 1 FROM hf
+            WHERE scanner IN ('ioc', 'processes') AND coalesce(id, '') <> '' AND EXISTS (SELECT 1 FROM j14)
+),
+weak_first3 AS (SELECT cls, string_agg(title, ', ' ORDER BY ord) AS names FROM
+                  (SELECT *, row_number() OVER (PARTITION BY cls ORDER BY ord) AS r FROM weak) t WHERE r <= 3 GROUP BY cls),
+headers AS (
+  SELECT 'process_network_suspicious:' || id AS correlation_id, 'process_network_suspicious' AS correlation_type,
+         'process_network' AS producer, 'Suspicious process with network activity: ' || pn AS title,
+         'Suspicious process ''' || pn || ''' detected alongside unusual network activity' AS description,
+         'high' AS severity, 75.0 AS risk_score FROM j2p
+  UNION ALL SELECT 'malware_c2:' || id, 'malware_c2', 'process_network', 'Potential malware C2 communication: ' || pn,
+         'Process ''' || pn || ''' showing signs of malware with C2 communications', 'critical', 95.0 FROM j3p
+  UNION ALL SELECT 'unusual_port_usage:' || id, 'unusual_port_usage', 'process_network',
+         'Unusual port usage by process: ' || pn, 'Process ''' || pn || ''' using unusual network ports', 'medium', 55.0 FROM j4p
+  UNION ALL SELECT 'suid_world_writable:' || id, 'suid_world_writable', 'filesystem', 'SUID binary in world-writable location',
+         'Privileged SUID binary found in world-writable directory, potential privilege escalation risk', 'critical', 90.0 FROM j5w
+  UNION ALL SELECT 'capabilities_weak_mac:*', 'capabilities_weak_mac', 'filesystem', 'File capabilities with weak MAC protection',
+         'Files with capabilities detected but MAC system shows weak protection', 'high', 80.0 FROM j6
+  UNION ALL SELECT 'ioc_file_permissions:' || id, 'ioc_file_permissions', 'filesystem',
+         'IOC with file permission vulnerabilities: ' || t,
+         'Indicator of compromise ''' || t || ''' detected alongside file permission issues', 'high', 85.0 FROM j7i
+  UNION ALL SELECT 'weak_kernel_security:' || c.cls, 'weak_kernel_security', 'kernel',
+         'Weak ' || replace(c.cls, '_', ' ') || ' configuration',
+         'Multiple kernel parameters in ' || c.cls || ' category show weak security settings: ' || f.names,
+         'high', 75.0 FROM weak_cls c JOIN weak_first3 f USING (cls)
+  UNION ALL SELECT 'module_kernel_conflict:*', 'module_kernel_conflict', 'kernel',
+         'Security modules with kernel parameter conflicts',
+         'Security-related kernel modules detected with potentially conflicting kernel parameters: '
+           || (SELECT string_agg(title, ', ' ORDER BY ord) FROM (SELECT * FROM secmod ORDER BY ord LIMIT 2) t),
+         'medium', 60.0 FROM j9
+  UNION ALL SELECT 'kernel_mac_disabled:*', 'kernel_mac_disabled', 'kernel', 'Kernel MAC parameters with disabled MAC system',
+         'Kernel parameters related to MAC security detected but MAC system is disabled', 'high', 80.0 FROM j10
+  UNION ALL SELECT 'kernel_process_suspicious:*', 'kernel_process_suspicious', 'kernel',
+         'Kernel process controls with suspicious activity',
+         'Kernel parameters controlling process execution detected alongside suspicious processes: '
+           || (SELECT string_agg(pn, ', ' ORDER BY ord) FROM (SELECT * FROM susp ORDER BY ord LIMIT 2) t),
+         'medium', 65.0 FROM j11
+  UNION ALL SELECT 'multi_vector_apt:*', 'multi_vector_apt', 'dense', 'Advanced persistent threat indicators',
+         'Coordinated attack pattern detected: suspicious process with network connectivity, world-writable files, and kernel parameter manipulation',
+         'critical', 95.0 FROM j12
+  UNION ALL SELECT 'temporal_sequence:*', 'temporal_sequence', 'dense', 'Temporal escalation sequence',
+         'Sequential events across network, process, and kernel parameters indicate possible escalation.', 'high', 80.0 FROM j13
+  UNION ALL SELECT 'causal_ioc_process:*', 'causal_ioc_process', 'dense', 'IOC-led process compromise',
+         'Indicator of compromise aligns with process behavior anomalies, suggesting cause-effect chain.', 'high', 85.0 FROM j14
+),
+own AS (SELECT correlation_id, sum(n) AS own FROM edges_all GROUP BY 1),
+shared AS (SELECT replace(correlation_id, ':*', '') AS correlation_type, sum(n) AS shared FROM edges_all
+           WHERE suffix(correlation_id, ':*') GROUP BY 1),
+rules_out AS (
+  SELECT h.*, coalesce(o.own, 0) + CASE WHEN suffix(h.correlation_id, ':*') THEN 0 ELSE coalesce(s.shared, 0) END AS graph_degree
+  FROM headers h LEFT JOIN own o USING (correlation_id) LEFT JOIN shared s USING (correlation_type)
+)
+"""

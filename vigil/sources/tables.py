@@ -139,3 +139,72 @@ def correlations_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFram
             "struct<impact:double,exposure:double,anomaly:double,confidence:double>"))
         .withColumn("ord", F.col("orderkey"))
     )
+
+
+# Part type -> kernel parameter namespace used by the kernel-parameter adapter.
+PART_TYPE_NAMESPACE = {
+    "ECONOMY": "net.ipv4.tcp",
+    "STANDARD": "vm.mmap",
+    "LARGE": "fs.protected",
+    "SMALL": "kernel.randomize",
+    "PROMO": "kernel.yama.ptrace",
+    "MEDIUM": "security.selinux",
+}
+
+
+def _banded(df: DataFrame) -> DataFrame:
+    return df.withColumn("severity", sev.severity_from_risk(F.col("risk_score")))
+
+
+def kernel_params_from_part(part: DataFrame) -> DataFrame:
+    """part -> kernel_params findings: title ``<namespace>.<name_with_underscores>``, risk = 2*size."""
+    ns = _map_expr(F.col("p_type"), PART_TYPE_NAMESPACE, "kernel")
+    return _banded(part.select(
+        F.concat(F.lit("kp_"), F.col("p_partkey").cast("string")).alias("id"),
+        F.col("p_partkey").alias("ord"),
+        F.lit("kernel_params").alias("scanner"),
+        F.lit("kernel_params").alias("category"),
+        F.concat(ns, F.lit("."), F.regexp_replace(F.col("p_name"), " ", "_")).alias("title"),
+        (F.col("p_size") * 2).cast("double").alias("risk_score"),
+        F.lit("{}").alias("metadata"),
+    ))
+
+
+def modules_from_supplier(supplier: DataFrame, part: DataFrame) -> DataFrame:
+    """supplier (+ the part with the same key) -> modules findings titled ``Module <first part word>``."""
+    word = F.split(F.col("p_name"), " ").getItem(0)
+    risk = F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.floor(F.col("s_acctbal") / 100).cast("double")))
+    joined = supplier.join(part.select(F.col("p_partkey").alias("s_suppkey"), "p_name"), "s_suppkey", "left")
+    return _banded(joined.select(
+        F.concat(F.lit("mod_"), F.col("s_suppkey").cast("string")).alias("id"),
+        F.col("s_suppkey").alias("ord"),
+        F.lit("modules").alias("scanner"),
+        F.lit("modules").alias("category"),
+        F.concat(F.lit("Module "), F.coalesce(word, F.lit("unknown"))).alias("title"),
+        risk.alias("risk_score"),
+        F.lit("{}").alias("metadata"),
+    ))
+
+
+def mac_from_customer(customer: DataFrame) -> DataFrame:
+    """customer -> mac findings: enabled = 'false' for a negative balance, risk = 4*nationkey."""
+    enabled = F.when(F.col("c_acctbal") < 0, F.lit("false")).otherwise(F.lit("true"))
+    return _banded(customer.select(
+        F.concat(F.lit("mac_"), F.col("c_custkey").cast("string")).alias("id"),
+        F.col("c_custkey").alias("ord"),
+        F.lit("mac").alias("scanner"),
+        F.lit("mac").alias("category"),
+        F.concat(F.lit("MAC status "), F.lower(F.col("c_mktsegment"))).alias("title"),
+        (F.col("c_nationkey") * 4).cast("double").alias("risk_score"),
+        F.to_json(F.struct(enabled.alias("enabled"))).alias("metadata"),
+    ))
+
+
+def host_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All scanner categories pooled: events-derived plus kernel params, modules and MAC status."""
+    cols = ["id", "ord", "scanner", "category", "title", "severity", "risk_score", "metadata"]
+    ev = findings_from_events(read(spark, sf_dir, "events")).select(*cols)
+    part = read(spark, sf_dir, "part")
+    return (ev.unionByName(kernel_params_from_part(part).select(*cols))
+              .unionByName(modules_from_supplier(read(spark, sf_dir, "supplier"), part).select(*cols))
+              .unionByName(mac_from_customer(read(spark, sf_dir, "customer")).select(*cols)))
