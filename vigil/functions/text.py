@@ -15,6 +15,14 @@ WHITESPACE_CLASS = (
 )
 
 
+PY_WS = WHITESPACE_CLASS[:-1]
+
+
+def py_strip(c: Column) -> Column:
+    """Python ``str.strip()``: remove leading/trailing whitespace of every kind."""
+    return F.regexp_replace(c, f"^{PY_WS}+|{PY_WS}+$", "")
+
+
 def collapse_whitespace(c: Column) -> Column:
     """P5: runs of any whitespace -> one space, trimmed."""
     return F.trim(F.regexp_replace(c, WHITESPACE_CLASS, " "))
@@ -33,19 +41,19 @@ def command_basename(cmd: Column) -> Column:
 
 def generic_rationale(r: Column) -> Column:
     """Empty, shorter than 20 characters, or containing a generic phrase (case-insensitive)."""
-    low = F.lower(F.coalesce(r, F.lit("")))
+    low = F.lower(py_strip(F.coalesce(r, F.lit(""))))
     hit = None
     for p in fixed.GENERIC_RATIONALE_PHRASES:
         h = F.instr(low, p) > 0
         hit = h if hit is None else (hit | h)
-    return (F.length(F.trim(F.coalesce(r, F.lit("")))) == 0) | (F.length(F.trim(F.coalesce(r, F.lit("")))) < 20) | hit
+    return (F.length(py_strip(F.coalesce(r, F.lit("")))) < 20) | hit
 
 
 def strip_think(t: Column) -> Column:
     """Remove one wrapping <think>...</think>."""
-    s = F.trim(t)
+    s = py_strip(t)
     return F.when(s.rlike("(?s)^<think>.*</think>$"),
-                  F.trim(F.regexp_extract(s, "(?s)^<think>(.*)</think>$", 1))).otherwise(s)
+                  py_strip(F.regexp_extract(s, "(?s)^<think>(.*)</think>$", 1))).otherwise(t)
 
 
 PLACEHOLDER_RE = "(?i)^(unknown|none|null|na|n/a)$"

@@ -390,3 +390,66 @@ rules_out AS (
   FROM headers h LEFT JOIN own o USING (correlation_id) LEFT JOIN shared s USING (correlation_type)
 )
 """
+
+
+def _sq(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _meta_py(meta: str, key: str) -> str:
+    v = f"json_extract_string({meta}, '$.{key}')"
+    return f"(CASE WHEN {v} = 'true' THEN 'True' WHEN {v} = 'false' THEN 'False' ELSE {v} END)"
+
+
+def _truthy(v: str) -> str:
+    return f"({v} IS NOT NULL AND {v} NOT IN ('', '0', '0.0', 'False', '[]', '{{}}'))"
+
+
+def rationale_sql(category="category", severity="severity", title="title", meta="metadata") -> str:
+    """SQL twin of vigil.functions.chat.build_rationale."""
+    from vigil.functions import chat as ch
+    cat = f"coalesce({category}, 'generic')"
+    sev = f"lower(coalesce({severity}, 'info'))"
+    t = f"coalesce({title}, 'Unknown Finding')"
+
+    def first_truthy(*vals):
+        return "(CASE " + " ".join(f"WHEN {_truthy(v)} THEN {v}" for v in vals) + " END)"
+
+    def fmt(v):
+        return f"coalesce({v}, 'unknown')"
+
+    because = (
+        f"(CASE WHEN {cat} = 'network' THEN printf({_sq(ch.BECAUSE_NETWORK)}, {fmt(_meta_py(meta, 'port'))}, "
+        f"{fmt(_meta_py(meta, 'protocol'))}) "
+        f"WHEN {cat} = 'suid' THEN printf({_sq(ch.BECAUSE_SUID)}, {fmt('coalesce(' + first_truthy(_meta_py(meta, 'file_path'), _meta_py(meta, 'binary'), _meta_py(meta, 'path')) + ', ' + t + ')')}) "
+        f"WHEN {cat} = 'process' THEN printf({_sq(ch.BECAUSE_PROCESS)}, {fmt(first_truthy(_meta_py(meta, 'process_name'), _meta_py(meta, 'command')))}, {fmt(_meta_py(meta, 'user'))}) "
+        f"WHEN {cat} = 'kernel_params' THEN printf({_sq(ch.BECAUSE_KERNEL)}, {fmt('coalesce(' + first_truthy(_meta_py(meta, 'param')) + ', ' + t + ')')}) "
+        f"ELSE printf({_sq(ch.BECAUSE_OTHER)}, {t}) END)")
+    implies = (f"(CASE WHEN {sev} IN ('high', 'critical') THEN {_sq(ch.IMPLIES_HIGH)} "
+               f"WHEN {sev} = 'medium' THEN {_sq(ch.IMPLIES_MEDIUM)} ELSE {_sq(ch.IMPACT_LOW)} END)")
+    nuance = (f"(CASE WHEN {_truthy(_meta_py(meta, 'container_id'))} THEN {_sq(ch.HOWEVER_CONTAINER)} "
+              f"WHEN {_truthy(_meta_py(meta, 'is_trusted_user'))} OR {_meta_py(meta, 'user')} = 'root' "
+              f"THEN {_sq(ch.HOWEVER_TRUSTED)} ELSE {_sq(ch.HOWEVER_DEFAULT)} END)")
+    return (f"concat_ws(' ', printf({_sq(ch.PREMISE)}, {sev}, {cat}), {because}, {implies}, {nuance}, "
+            f"printf({_sq(ch.THEREFORE)}, {sev}))")
+
+
+def kb_refs_sql(category="category", meta="metadata") -> str:
+    from vigil.functions import chat as ch
+    cat = f"coalesce({category}, 'generic')"
+    return (f"(CASE WHEN len(coalesce(json_keys({meta}), [])) > 0 THEN "
+            f"(CASE WHEN {cat} IN ('network', 'dns') THEN {_sq(ch.KB_NETWORK)} "
+            f"WHEN {cat} IN ('processes', 'ioc') THEN {_sq(ch.KB_EXECUTION)} ELSE {_sq(ch.KB_DEFAULT)} END) END)")
+
+
+def sft_text_sql() -> str:
+    """SQL twin of vigil.operators.chatml.sft_texts for the events adapter (metadata {port, user})."""
+    from vigil.functions import chat as ch
+    user = ("'{\n  \"title\": ' || to_json(title) || ',\n  \"description\": ' || to_json(description) "
+            "|| ',\n  \"metadata\": {\n    \"port\": ' || CAST(port AS VARCHAR) || ',\n    \"user\": ' "
+            "|| CAST(user_id AS VARCHAR) || '\n  }\n}'")
+    answer = ("'{\"risk_score\": ' || CAST(CAST(round_even(risk_score, 0) AS BIGINT) AS VARCHAR) "
+              "|| ', \"severity\": ' || to_json(upper(severity)) || ', \"category\": ' || to_json(category) || '}'")
+    return ("'<|im_start|>system\n' || " + _sq(ch.SYSTEM_PROMPT) + " || '\n<|im_end|>\n<|im_start|>user\n' || "
+            + user + " || '\n<|im_end|>\n<|im_start|>assistant\n<think>\n' || " + rationale_sql()
+            + " || '\n</think>\n<answer>\n' || " + answer + " || '\n</answer><|im_end|>'")
