@@ -193,26 +193,44 @@ def parse_block(text: Column, role: str) -> Column:
     return tx.py_strip(before_first(after_first(text, IM_START + role), IM_END))
 
 
+def tag_section(text: Column, tag: str, case_insensitive: bool = False) -> Column:
+    """Body of the first ``<tag>...</tag>`` pair (the regex ``<tag>(.*?)</tag>`` with DOTALL), null when absent.
+
+    Found with two ``locate`` calls instead of a backtracking regex; with
+    ``case_insensitive`` the tags are located in the lower-cased text.
+    """
+    hay = F.lower(text) if case_insensitive else text
+    open_, close = f"<{tag}>", f"</{tag}>"
+    p = F.instr(hay, open_)
+    start = p + F.lit(len(open_))
+    q = F.instr(F.substring(hay, start, F.lit(2147483647)), close)
+    return F.when((p > 0) & (q > 0), F.substring(text, start, q - F.lit(1)))
+
+
 def think_section(assistant: Column) -> Column:
     """C4: first ``<think>(.*?)</think>`` (case-insensitive), stripped; null when absent."""
-    pat = r"(?is)<think>(.*?)</think>"
-    a = F.coalesce(assistant, F.lit(""))
-    return F.when(a.rlike(pat), tx.py_strip(F.regexp_extract(a, pat, 1)))
+    return tx.py_strip(tag_section(F.coalesce(assistant, F.lit("")), "think", True))
 
 
 def answer_section(assistant: Column, case_insensitive: bool = True) -> Column:
-    pat = r"(?is)<answer>(.*?)</answer>" if case_insensitive else r"(?s)<answer>(.*?)</answer>"
-    a = F.coalesce(assistant, F.lit(""))
-    return F.when(a.rlike(pat), tx.py_strip(F.regexp_extract(a, pat, 1)) if case_insensitive
-                  else F.regexp_extract(a, pat, 1))
+    sec = tag_section(F.coalesce(assistant, F.lit("")), "answer", case_insensitive)
+    return tx.py_strip(sec) if case_insensitive else sec
+
+
+def _may_be_json(s: Column) -> Column:
+    """Cheap pre-test: JSON text starts (after whitespace) with one of {["-0-9tfn."""
+    first = F.substring(tx.py_strip(s), 1, 1)
+    return first.isin("{", "[", '"', "-", "t", "f", "n", "0", "1", "2", "3", "4", "5", "6", "7", "8", "9")
 
 
 def is_json(s: Column) -> Column:
-    return F.coalesce(F.try_parse_json(s).isNotNull(), F.lit(False))
+    """Parses as JSON (the parse is only attempted when the first character allows it)."""
+    return F.coalesce(_may_be_json(s) & F.try_parse_json(s).isNotNull(), F.lit(False))
 
 
 def is_json_object(s: Column) -> Column:
-    v = F.try_parse_json(s)
+    first = F.substring(tx.py_strip(s), 1, 1)
+    v = F.when(first == "{", F.try_parse_json(s))
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
@@ -263,37 +281,40 @@ def _keyword_score(think: Column, words: list[str]) -> Column:
     return F.when(think.isNull(), F.lit(0.0)).otherwise(F.least(F.lit(1.0), s))
 
 
+def keyword_score(think: Column, words: list[str]) -> Column:
+    return _keyword_score(think, words)
+
+
 def reasoning_structure_reward(completion: Column) -> Column:
     """0.2 per anchor present in the (case-sensitive tag) think block, cap 1."""
-    pat = r"(?s)<think>(.*?)</think>"
-    c = F.coalesce(completion, F.lit(""))
-    return _keyword_score(F.when(c.rlike(pat), F.regexp_extract(c, pat, 1)), REASONING_ANCHORS)
+    return _keyword_score(tag_section(F.coalesce(completion, F.lit("")), "think"), REASONING_ANCHORS)
 
 
 def analytical_depth_reward(completion: Column) -> Column:
     """0.2 per keyword in the (case-insensitive tag) think block, cap 1."""
-    pat = r"(?is)<think>(.*?)</think>"
-    c = F.coalesce(completion, F.lit(""))
-    return _keyword_score(F.when(c.rlike(pat), F.regexp_extract(c, pat, 1)), DEPTH_KEYWORDS)
+    return _keyword_score(tag_section(F.coalesce(completion, F.lit("")), "think", True), DEPTH_KEYWORDS)
 
 
 def _answer_risk(completion: Column) -> Column:
-    """risk_score inside the <answer> JSON (0 when the key is absent); null when unparsable."""
-    ans = answer_section(completion, case_insensitive=False)
-    v = F.try_parse_json(ans)
+    return answer_risk(answer_section(completion, case_insensitive=False))
+
+
+def answer_risk(ans: Column) -> Column:
+    """risk_score inside an <answer> body (0 when the key is absent); null when not a JSON object."""
+    v = F.when(F.substring(tx.py_strip(ans), 1, 1) == "{", F.try_parse_json(ans))
     ok = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     r = F.try_variant_get(v, "$.risk_score", "double")
     present = F.try_variant_get(v, "$.risk_score", "string").isNotNull()
     return F.when(ok, F.when(present, r).otherwise(F.lit(0.0)))
 
 
-def risk_banded_reward(completion: Column, gt_risk: Column) -> Column:
+def risk_banded_reward(completion: Column, gt_risk: Column, pred: Column | None = None) -> Column:
     """R8 banded: |diff| <= 5 -> 1, <= 15 -> 0.5, else 0; unparsable -> 0."""
-    d = F.abs(_answer_risk(completion) - F.coalesce(gt_risk, F.lit(0)))
+    d = F.abs((pred if pred is not None else _answer_risk(completion)) - F.coalesce(gt_risk, F.lit(0)))
     return F.when(d.isNull(), F.lit(0.0)).when(d <= 5, F.lit(1.0)).when(d <= 15, F.lit(0.5)).otherwise(F.lit(0.0))
 
 
-def risk_strict_reward(completion: Column, gt_risk: Column) -> Column:
+def risk_strict_reward(completion: Column, gt_risk: Column, pred: Column | None = None) -> Column:
     """R8 strict: diff 0 -> 1, <= 5 -> 0.5, else 0; unparsable -> 0."""
-    d = F.abs(_answer_risk(completion) - F.coalesce(gt_risk, F.lit(0)))
+    d = F.abs((pred if pred is not None else _answer_risk(completion)) - F.coalesce(gt_risk, F.lit(0)))
     return F.when(d.isNull(), F.lit(0.0)).when(d == 0, F.lit(1.0)).when(d <= 5, F.lit(0.5)).otherwise(F.lit(0.0))

@@ -18,9 +18,14 @@ WHITESPACE_CLASS = (
 PY_WS = WHITESPACE_CLASS[:-1]
 
 
+# The same code points as characters, for btrim (which only touches the two ends).
+PY_WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+               + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def py_strip(c: Column) -> Column:
     """Python ``str.strip()``: remove leading/trailing whitespace of every kind."""
-    return F.regexp_replace(c, f"^{PY_WS}+|{PY_WS}+$", "")
+    return F.btrim(c, F.lit(PY_WS_CHARS))
 
 
 def collapse_whitespace(c: Column) -> Column:
@@ -41,12 +46,14 @@ def command_basename(cmd: Column) -> Column:
 
 def generic_rationale(r: Column) -> Column:
     """Empty, shorter than 20 characters, or containing a generic phrase (case-insensitive)."""
-    low = F.lower(py_strip(F.coalesce(r, F.lit(""))))
-    hit = None
-    for p in fixed.GENERIC_RATIONALE_PHRASES:
-        h = F.instr(low, p) > 0
-        hit = h if hit is None else (hit | h)
-    return (F.length(py_strip(F.coalesce(r, F.lit("")))) < 20) | hit
+    stripped = py_strip(F.coalesce(r, F.lit("")))
+    return (F.length(stripped) < 20) | F.lower(stripped).rlike(
+        "|".join(regex_escape(p) for p in fixed.GENERIC_RATIONALE_PHRASES))
+
+
+def regex_escape(s: str) -> str:
+    import re
+    return re.sub(r"([\\^$.|?*+()\[\]{}/])", r"\\\1", s)
 
 
 def strip_think(t: Column) -> Column:

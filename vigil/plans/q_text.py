@@ -185,12 +185,11 @@ r AS (SELECT id,
 FROM s)
 SELECT id, CAST(json_validity AS DOUBLE) AS json_validity, CAST(risk_linear AS DOUBLE) AS risk_linear, CAST(severity_match AS DOUBLE) AS severity_match, CAST(format_strict AS DOUBLE) AS format_strict, CAST(format_loose AS DOUBLE) AS format_loose, CAST(reasoning_structure AS DOUBLE) AS reasoning_structure, CAST(analytical_depth AS DOUBLE) AS analytical_depth, CAST(risk_banded AS DOUBLE) AS risk_banded, CAST(risk_strict AS DOUBLE) AS risk_strict FROM r""", ops=("R1", "R2", "R3", "R4", "R5", "R6", "R7", "R8"))
 def q_completion_scores(spark, sf_dir):
-    sft = cm.sft_texts(findings(spark, sf_dir))
-    ev = tb.read(spark, sf_dir, "events").select(F.col("event_id").alias("ord"), "value")
+    sft = cm.sft_texts(findings(spark, sf_dir), passthrough=("event_value",))
     comp = tx.py_strip(ch.before_first(ch.after_first(F.col("text"), ch.IM_START + "assistant"), ch.IM_END))
-    answer = F.concat(F.lit('{"risk_score": '), F.floor("value").cast("long").cast("string"),
+    answer = F.concat(F.lit('{"risk_score": '), F.floor("event_value").cast("long").cast("string"),
                       F.lit(', "severity": "info"}'))
-    df = sft.join(ev, "ord").select("id", comp.alias("completion"), answer.alias("answer"))
+    df = sft.select("id", comp.alias("completion"), answer.alias("answer"))
     out = cm.score_completions(df)
     return out.drop("completion", "answer")
 

@@ -63,6 +63,7 @@ def findings_from_events(events: DataFrame) -> DataFrame:
             port.cast("int").alias("port"),
             scanner.alias("scanner"),
             risk.alias("risk_score"),
+            F.col("value").alias("event_value"),
         )
         .withColumn("category", F.col("scanner"))
         .withColumn("severity", sev.severity_from_risk(F.col("risk_score")))
