@@ -49,7 +49,8 @@ correlations AS (
          CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 95.0 WHEN '2-HIGH' THEN 80.0
               WHEN '3-MEDIUM' THEN 55.0 WHEN '4-NOT SPECIFIED' THEN 30.0
               WHEN '5-LOW' THEN 10.0 ELSE 50.0 END AS DOUBLE) AS risk_score,
-         coalesce(r.correlation_refs, []::VARCHAR[]) AS correlation_refs
+         coalesce(r.correlation_refs, []::VARCHAR[]) AS correlation_refs,
+         '{}' AS metadata
   FROM orders o LEFT JOIN corr_refs r ON r.orderkey = o.o_orderkey
 )"""
 
