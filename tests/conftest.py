@@ -21,6 +21,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         .config("spark.driver.memory", "8g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)

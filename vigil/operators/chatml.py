@@ -88,25 +88,29 @@ def conversation_texts(conversations: DataFrame) -> DataFrame:
 
 # --- V36 / P27 / P28 / C6 / C7 -------------------------------------------------------------------
 def validate_chatml(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Per row, the list of error codes (only json_parse / missing_text drop a row)."""
+    """Per row, the list of error codes (only json_parse / missing_text drop a row).
+
+    Blocks and sections are staged as columns so each is located once per row.
+    """
     text = F.col(text_col)
-    user = ch.parse_block(text, "user")
-    assistant = ch.parse_block(text, "assistant")
-    user_ok = ch.is_json(user)
-    brace = F.regexp_extract(F.coalesce(user, F.lit("")), r"(?s)\{.*\}", 0)
-    think = ch.think_section(F.coalesce(assistant, F.lit("")))
-    ans = ch.answer_section(F.coalesce(assistant, F.lit("")))
+    staged = (df.withColumn("_u", ch.parse_block(text, "user"))
+                .withColumn("_a", ch.parse_block(text, "assistant"))
+                .withColumn("_u_ok", ch.is_json(F.col("_u")))
+                .withColumn("_brace", F.regexp_extract(F.coalesce(F.col("_u"), F.lit("")), r"(?s)\{.*\}", 0))
+                .withColumn("_think", ch.think_section(F.col("_a")))
+                .withColumn("_ans", ch.answer_section(F.col("_a"))))
+    u, a, ok, brace = F.col("_u"), F.col("_a"), F.col("_u_ok"), F.col("_brace")
+    think, ans = F.col("_think"), F.col("_ans")
     codes = F.array_compact(F.array(
-        F.when(text.isNull(), F.lit("missing_text")),
-        F.when(text.isNotNull() & ((F.coalesce(user, F.lit("")) == "") | (F.coalesce(assistant, F.lit("")) == "")),
-               F.lit("chatml_structure")),
-        F.when(text.isNotNull() & ~user_ok & (brace != "") & ~ch.is_json(brace), F.lit("user_json_parse")),
-        F.when(text.isNotNull() & ~user_ok & (brace == ""), F.lit("user_json_missing")),
-        F.when(text.isNotNull() & think.isNull(), F.lit("missing_think")),
-        F.when(text.isNotNull() & ans.isNull(), F.lit("missing_answer")),
-        F.when(text.isNotNull() & ans.isNotNull() & ~ch.is_json(ans), F.lit("answer_json_parse")),
+        F.when((F.coalesce(u, F.lit("")) == "") | (F.coalesce(a, F.lit("")) == ""), F.lit("chatml_structure")),
+        F.when(~ok & (brace != "") & ~ch.is_json(brace), F.lit("user_json_parse")),
+        F.when(~ok & (brace == ""), F.lit("user_json_missing")),
+        F.when(think.isNull(), F.lit("missing_think")),
+        F.when(ans.isNull(), F.lit("missing_answer")),
+        F.when(ans.isNotNull() & ~ch.is_json(ans), F.lit("answer_json_parse")),
     ))
-    return df.withColumn("error_codes", F.when(text.isNull(), F.array(F.lit("missing_text"))).otherwise(codes))
+    out = staged.withColumn("error_codes", F.when(text.isNull(), F.array(F.lit("missing_text"))).otherwise(codes))
+    return out.drop("_u", "_a", "_u_ok", "_brace", "_think", "_ans")
 
 
 def repair_answer(answer_json: F.Column, fb_risk: F.Column, fb_sev: F.Column, fb_cat: F.Column) -> F.Column:
@@ -131,12 +135,14 @@ def repair_answer(answer_json: F.Column, fb_risk: F.Column, fb_sev: F.Column, fb
 def prompt_pairs(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Prompt ending exactly at <think> + normalised ground truth; rows without user/assistant dropped."""
     text = F.col(text_col)
-    system = ch.block_regex(text, "system")
-    user = ch.block_regex(text, "user")
-    assistant = ch.block_regex(text, "assistant")
-    ans = F.when(assistant.rlike(r"(?s)<answer>(.*?)</answer>"),
-                 F.regexp_extract(assistant, r"(?s)<answer>(.*?)</answer>", 1))
-    v = F.try_parse_json(ans)
+    staged = (df.withColumn("_s", ch.block_regex(text, "system"))
+                .withColumn("_u", ch.block_regex(text, "user"))
+                .withColumn("_a", ch.block_regex(text, "assistant"))
+                .where((F.col("_u") != "") & (F.col("_a") != ""))
+                .withColumn("_ans", ch.tag_section(F.col("_a"), "answer"))
+                .withColumn("_v", F.when(F.substring(tx.py_strip(F.col("_ans")), 1, 1) == "{",
+                                         F.try_parse_json(F.col("_ans")))))
+    v = F.col("_v")
     obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     a_risk = F.when(obj, coerce_double(F.try_variant_get(v, "$.risk_score", "string"), None))
     risk = F.coalesce(F.bround(a_risk, 0), F.lit(0.0)).cast("long")
@@ -144,13 +150,13 @@ def prompt_pairs(df: DataFrame, text_col: str = "text") -> DataFrame:
     sev = F.upper(F.trim(F.coalesce(F.when(a_sev != "", a_sev), F.lit("INFO"))))
     a_cat = F.when(obj, F.try_variant_get(v, "$.category", "string"))
     cat = F.coalesce(F.when(a_cat != "", a_cat), F.lit("unspecified"))
-    prompt = F.concat_ws("\n", F.lit(ch.IM_START + "system"), system, F.lit(ch.IM_END), F.lit(ch.IM_START + "user"),
-                         user, F.lit(ch.IM_END), F.lit(ch.IM_START + "assistant"), F.lit("<think>"))
+    prompt = F.concat_ws("\n", F.lit(ch.IM_START + "system"), F.col("_s"), F.lit(ch.IM_END),
+                         F.lit(ch.IM_START + "user"), F.col("_u"), F.lit(ch.IM_END),
+                         F.lit(ch.IM_START + "assistant"), F.lit("<think>"))
     keep = [c for c in df.columns if c != text_col]
-    return (df.where((user != "") & (assistant != ""))
-              .select(*keep, prompt.alias("prompt"),
-                      F.struct(risk.alias("risk_score"), sev.alias("severity"), cat.alias("category"))
-                      .alias("ground_truth")))
+    return staged.select(*keep, prompt.alias("prompt"),
+                         F.struct(risk.alias("risk_score"), sev.alias("severity"), cat.alias("category"))
+                         .alias("ground_truth"))
 
 
 # --- C9 / C10 -------------------------------------------------------------------------------------

@@ -83,18 +83,27 @@ def band_violation_flag(df: DataFrame, bands=fixed.SCORECARD_BANDS) -> Column:
     return sev.band_violation(F.col("severity"), risk, bands)
 
 
-def broken_refs(correlations: DataFrame, findings: DataFrame) -> DataFrame:
+def ref_rows(correlations: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """(correlation_id, ref, n): from the reference lists, or from an edge table when the lists
+    are kept as edges (n = multiplicity)."""
+    if edges is not None:
+        return edges.select("correlation_id", F.col("finding_id").alias("ref"), F.col("n").cast("long").alias("n"))
+    return correlations.select(F.col("id").alias("correlation_id"), F.explode("correlation_refs").alias("ref"),
+                               F.lit(1).cast("long").alias("n"))
+
+
+def broken_refs(correlations: DataFrame, findings: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """References to ids that are neither findings nor correlations."""
-    refs = correlations.select(F.col("id").alias("correlation_id"),
-                               F.explode("correlation_refs").alias("ref"))
+    refs = ref_rows(correlations, edges)
     known = findings.select(F.col("id").alias("ref")).unionByName(correlations.select(F.col("id").alias("ref")))
     return refs.join(known, "ref", "left_anti")
 
 
-def consistency_metrics(findings: DataFrame, correlations: DataFrame) -> DataFrame:
+def consistency_metrics(findings: DataFrame, correlations: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     dup = duplicate_id_count(findings, correlations)
     bands = findings.agg(F.count_if(band_violation_flag(findings)).alias("severity_inconsistencies"))
-    broken = broken_refs(correlations, findings).agg(F.count(F.lit(1)).alias("broken_correlations"))
+    broken = broken_refs(correlations, findings, edges).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("broken_correlations"))
     parts = [
         _metrics_frame(dup, _long("consistency_check", duplicate_ids=F.col("duplicate_ids"))),
         _metrics_frame(bands, _long("consistency_check", severity_inconsistencies=F.col("severity_inconsistencies"))),
@@ -139,35 +148,53 @@ def findings_by_id(findings: DataFrame) -> DataFrame:
             .agg(F.max_by(F.coalesce(F.col("severity"), F.lit("info")), F.col("ord")).alias("ref_severity")))
 
 
-def correlation_quality(correlations: DataFrame, findings: DataFrame) -> DataFrame:
+def correlation_quality(correlations: DataFrame, findings: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """V14 per correlation: 0 without refs; x0.8 if any ref is missing; x(0.5+0.5*mean weight)."""
-    edges = correlations.select(F.col("id").alias("correlation_id"),
-                                F.posexplode_outer("correlation_refs").alias("pos", "ref"))
-    looked = edges.join(findings_by_id(findings).withColumnRenamed("id", "ref"), "ref", "left")
-    per = looked.groupBy("correlation_id").agg(
-        F.count("ref").alias("n_refs"),
-        F.count("ref_severity").alias("found"),
-        F.sum(F.when(F.col("ref_severity").isNotNull(), sev.severity_weight(F.col("ref_severity")))
+    refs = ref_rows(correlations, edges)
+    looked = refs.join(findings_by_id(findings).withColumnRenamed("id", "ref"), "ref", "left")
+    agg = looked.groupBy("correlation_id").agg(
+        F.sum("n").alias("n_refs"),
+        F.sum(F.when(F.col("ref_severity").isNotNull(), F.col("n")).otherwise(F.lit(0))).alias("found"),
+        F.sum(F.when(F.col("ref_severity").isNotNull(), sev.severity_weight(F.col("ref_severity")) * F.col("n"))
               .otherwise(F.lit(0.0))).alias("wsum"),
     )
+    per = (correlations.select(F.col("id").alias("correlation_id")).distinct()
+           .join(agg, "correlation_id", "left")
+           .select("correlation_id", F.coalesce("n_refs", F.lit(0)).alias("n_refs"),
+                   F.coalesce("found", F.lit(0)).alias("found"), F.coalesce("wsum", F.lit(0.0)).alias("wsum")))
     q = (F.when(F.col("found") < F.col("n_refs"), F.lit(0.8)).otherwise(F.lit(1.0))
          * (F.lit(0.5) + F.col("wsum") / F.nullif(F.col("n_refs"), F.lit(0)) * F.lit(0.5)))
     return per.select("correlation_id", "n_refs", "found",
                       F.when(F.col("n_refs") == 0, F.lit(0.0)).otherwise(F.least(q, F.lit(1.0))).alias("quality"))
 
 
-def redundant_correlations(correlations: DataFrame) -> DataFrame:
-    """Same (sorted refs, type) beyond the first."""
+def redundant_correlations(correlations: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """Same (sorted refs, type) beyond the first.
+
+    With an edge table the sorted list is replaced by an order-free multiset
+    signature (count and two 64-bit hash sums), so no list is ever built.
+    """
+    if edges is not None:
+        r = ref_rows(correlations, edges).groupBy("correlation_id").agg(
+            F.sum("n").alias("c"), F.sum(F.xxhash64("ref").cast("decimal(38,0)") * F.col("n")).alias("h1"),
+            F.sum(F.hash("ref").cast("decimal(38,0)") * F.col("n")).alias("h2"))
+        sig = (correlations.select(F.col("id").alias("correlation_id"),
+                                   F.coalesce(F.col("correlation_type"), F.lit("")).alias("ctype"))
+               .join(r, "correlation_id", "left")
+               .select(F.struct(F.coalesce("c", F.lit(0)), F.coalesce("h1", F.lit(0)), F.coalesce("h2", F.lit(0)))
+                       .alias("refs"), "ctype"))
+        return sig.groupBy("refs", "ctype").count().agg(
+            F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("redundant"))
     sig = correlations.select(F.sort_array(F.coalesce(F.col("correlation_refs"), F.array().cast("array<string>")))
                               .alias("refs"),
                               F.coalesce(F.col("correlation_type"), F.lit("")).alias("ctype"))
     return sig.groupBy("refs", "ctype").count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("redundant"))
 
 
-def correlation_metrics(correlations: DataFrame, findings: DataFrame) -> DataFrame:
-    q = correlation_quality(correlations, findings).agg(
+def correlation_metrics(correlations: DataFrame, findings: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    q = correlation_quality(correlations, findings, edges).agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("quality"), F.lit(0.0)).alias("avg_quality"))
-    r = redundant_correlations(correlations)
+    r = redundant_correlations(correlations, edges)
     return reduce(DataFrame.unionByName, [
         _metrics_frame(q, _long("correlation_validation", correlation_quality_score=F.col("avg_quality"),
                                 correlations=F.col("n"))),
@@ -204,17 +231,15 @@ def finding_stats(findings: DataFrame) -> DataFrame:
     )
 
 
-def coverage(findings: DataFrame, correlations: DataFrame) -> DataFrame:
+def coverage(findings: DataFrame, correlations: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """V20 (T14): distinct refs, broken ones included, over total findings, cap 1."""
-    n_refs = correlations.select(F.explode("correlation_refs").alias("ref")).agg(
-        F.count_distinct("ref").alias("distinct_refs"))
-    return n_refs
+    return ref_rows(correlations, edges).agg(F.count_distinct("ref").alias("distinct_refs"))
 
 
-def quality_metrics(findings: DataFrame, correlations: DataFrame) -> DataFrame:
+def quality_metrics(findings: DataFrame, correlations: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     d = diversity_score(findings)
     s = finding_stats(findings)
-    c = coverage(findings, correlations)
+    c = coverage(findings, correlations, edges)
     total = F.nullif(F.col("total").cast("double"), F.lit(0.0))
     completeness = F.when(F.col("total") == 0, F.lit(0.0)).otherwise(F.col("complete") / total)
     sd = F.coalesce(F.col("sd_risk"), F.lit(0.0))
@@ -233,14 +258,18 @@ def quality_metrics(findings: DataFrame, correlations: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------------------
 # All metrics, stage statuses, V22 roll-up, V23 summary, V24 recommendations
 # --------------------------------------------------------------------------------------
-def scorecard_metrics(findings: DataFrame, correlations: DataFrame) -> DataFrame:
-    """Long table (stage, metric, value) of every raw metric."""
+def scorecard_metrics(findings: DataFrame, correlations: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """Long table (stage, metric, value) of every raw metric.
+
+    ``edges`` (correlation_id, finding_id, n) replaces the reference lists when
+    they are kept as an edge table (the correlation rules' output form).
+    """
     return reduce(DataFrame.unionByName, [
         schema_metrics(findings, correlations),
-        consistency_metrics(findings, correlations),
+        consistency_metrics(findings, correlations, edges),
         realism_metrics(findings),
-        correlation_metrics(correlations, findings),
-        quality_metrics(findings, correlations),
+        correlation_metrics(correlations, findings, edges),
+        quality_metrics(findings, correlations, edges),
     ])
 
 

@@ -203,9 +203,13 @@ def mac_from_customer(customer: DataFrame) -> DataFrame:
 
 def host_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All scanner categories pooled: events-derived plus kernel params, modules and MAC status."""
-    cols = ["id", "ord", "scanner", "category", "title", "severity", "risk_score", "metadata"]
+    cols = ["id", "ord", "scanner", "category", "title", "description", "severity", "risk_score", "metadata"]
     ev = findings_from_events(read(spark, sf_dir, "events")).select(*cols)
     part = read(spark, sf_dir, "part")
-    return (ev.unionByName(kernel_params_from_part(part).select(*cols))
-              .unionByName(modules_from_supplier(read(spark, sf_dir, "supplier"), part).select(*cols))
-              .unionByName(mac_from_customer(read(spark, sf_dir, "customer")).select(*cols)))
+
+    def described(df: DataFrame) -> DataFrame:
+        return df.withColumn("description", F.concat(F.col("category"), F.lit(" finding: "), F.col("title")))
+
+    return (ev.unionByName(described(kernel_params_from_part(part)).select(*cols))
+              .unionByName(described(modules_from_supplier(read(spark, sf_dir, "supplier"), part)).select(*cols))
+              .unionByName(described(mac_from_customer(read(spark, sf_dir, "customer"))).select(*cols)))
