@@ -25,7 +25,7 @@ def coerce_metadata(meta) -> F.Column:
     return F.when(m.isNull(), F.lit("{}")).when(obj, m).otherwise(raw)
 
 
-def flatten_findings(df: DataFrame) -> DataFrame:
+def flatten_findings(df: DataFrame, passthrough: tuple[str, ...] = ()) -> DataFrame:
     """P10: the 7-field training row (falsy text -> defaults; severity lower-cased; rationale fallback)."""
     title = F.coalesce(F.when(F.col("title") != "", F.col("title")), F.lit(fixed.DEFAULT_TITLE))
     desc = F.coalesce(F.when(F.col("description") != "", F.col("description")), F.lit(ch.FLAT_DEFAULT_DESCRIPTION))
@@ -35,7 +35,7 @@ def flatten_findings(df: DataFrame) -> DataFrame:
     rat = F.col("rationale") if "rationale" in df.columns else F.lit(None).cast("string")
     fallback = F.format_string(ch.FLAT_FALLBACK_RATIONALE, F.when(sev != "", sev).otherwise("info"), risk)
     rationale = F.when(F.coalesce(rat, F.lit("")) == "", fallback).otherwise(rat)
-    keep = [c for c in ("id", "ord") if c in df.columns]
+    keep = [c for c in ("id", "ord", *passthrough) if c in df.columns]
     return df.select(*keep, title.alias("title"), desc.alias("description"),
                      coerce_metadata(F.col("metadata")).alias("metadata"), cat.alias("category"),
                      risk.alias("risk_score"), sev.alias("severity"), rationale.alias("rationale"))
