@@ -35,5 +35,5 @@ def query(name: str, sql: str | None, ops: tuple[str, ...] = ()):
 
 def registry() -> dict[str, Query]:
     # Importing the catalog modules fills the registry.
-    from vigil.plans import catalog, q_correlate, q_curation, q_text, q_verify  # noqa: F401
+    from vigil.plans import catalog, q_classify, q_correlate, q_curation, q_text, q_verify  # noqa: F401
     return dict(_REGISTRY)
