@@ -281,3 +281,10 @@ GROUP BY scenario""", ops=("D12",))
 def q_scenario_assignment(spark, sf_dir):
     df = sp.assign_scenario(findings(spark, sf_dir), SCENARIO_WEIGHTS, seed=SEED)
     return df.groupBy("scenario").agg(F.count(F.lit(1)).alias("n"))
+
+
+# D2 near pass (no SQL form: greedy over a similarity graph; tested against the scan itself) ------
+@query("dedup_near", None, ops=("D2", "T15"))
+def q_dedup_near(spark, sf_dir):
+    from vigil.operators import neardup as nd
+    return nd.dedup_near(findings(spark, sf_dir)).select("pattern", "id", "severity", "risk_score")
