@@ -288,3 +288,60 @@ def q_scenario_assignment(spark, sf_dir):
 def q_dedup_near(spark, sf_dir):
     from vigil.operators import neardup as nd
     return nd.dedup_near(findings(spark, sf_dir)).select("pattern", "id", "severity", "risk_score")
+
+
+# P9 normalised correlations ------------------------------------------------------------------------
+@query("normalized_correlations", _FC + """
+SELECT id, correlation_type, risk_score, 'Correlated order ' || CAST(orderkey AS VARCHAR) AS title,
+       CAST(0.5 AS DOUBLE) AS correlation_strength, len(correlation_refs) AS n_refs
+FROM correlations""", ops=("P9", "P3", "P4", "P6"))
+def q_normalized_correlations(spark, sf_dir):
+    from vigil.operators import normalize as nz
+    c = nz.normalize_correlations(correlations(spark, sf_dir))
+    return c.select("id", "correlation_type", "risk_score", "title",
+                    F.col("_correlation_strength").alias("correlation_strength"),
+                    F.size("correlation_refs").alias("n_refs"))
+
+
+# P18-P20 enrichment columns of the adapter --------------------------------------------------------
+@query("finding_enrichment", _F + """
+SELECT id,
+       array_to_string(list_concat([scanner, 'baseline:new'],
+         CASE WHEN severity IN ('high', 'critical') THEN ['high_priority', 'needs_attention']
+              WHEN severity = 'medium' THEN ['moderate_risk'] ELSE ['low_priority'] END), '|') AS tags,
+       round(CASE severity WHEN 'info' THEN 0.2 WHEN 'low' THEN 0.4 WHEN 'medium' THEN 0.6 WHEN 'high' THEN 0.8
+             WHEN 'critical' THEN 1.0 ELSE 0.5 END * 0.55, 2)::DOUBLE AS impact,
+       probability_actionable
+FROM findings""", ops=("P18", "P19", "P20"))
+def q_finding_enrichment(spark, sf_dir):
+    f = findings(spark, sf_dir)
+    return f.select("id", F.array_join("tags", "|").alias("tags"), F.col("risk_subscores.impact").alias("impact"),
+                    "probability_actionable")
+
+
+# P23 title patterns --------------------------------------------------------------------------------
+@query("title_patterns", _F + """
+SELECT CASE WHEN contains(title, ':') THEN trim(split_part(title, ':', 1)) ELSE substr(title, 1, 20) END AS pattern,
+       count(*) AS n
+FROM findings GROUP BY 1""", ops=("P23",))
+def q_title_patterns(spark, sf_dir):
+    from vigil.functions import text as tx
+    return findings(spark, sf_dir).groupBy(tx.title_pattern(F.col("title")).alias("pattern")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+# P26 stringified metadata ------------------------------------------------------------------------
+@query("metadata_strings", _F + """
+SELECT id, CAST(json_object('port', CAST(port AS VARCHAR), 'user', CAST(user_id AS VARCHAR)) AS VARCHAR) AS metadata
+FROM findings""", ops=("P26",))
+def q_metadata_strings(spark, sf_dir):
+    f = findings(spark, sf_dir)
+    return f.select("id", F.to_json(F.from_json("metadata", "map<string,string>")).alias("metadata"))
+
+
+# S9 head slice ------------------------------------------------------------------------------------
+@query("head_slice", "SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 500", ops=("S9",))
+def q_head_slice(spark, sf_dir):
+    from vigil.sources import jsonl as J
+    from vigil.sources import tables as tb
+    return J.head_slice(tb.read(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), 500, "doc_id")
