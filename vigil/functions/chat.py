@@ -267,13 +267,34 @@ def severity_accuracy(completion: Column, gt_sev: Column) -> Column:
 
 
 def format_reward(completion: Column, anchored: bool = True) -> Column:
-    """Think then answer tags (anchored: the whole completion)."""
-    pat = r"(?s)^<think>.*?</think>\s*<answer>.*?</answer>$" if anchored else r"(?s)<think>.*?</think>\s*<answer>.*?</answer>"
-    return F.when(F.coalesce(completion, F.lit("")).rlike(pat), F.lit(1.0)).otherwise(F.lit(0.0))
+    """``<think>.*?</think>\\s*<answer>.*?</answer>`` (anchored: the whole completion, DOTALL).
+
+    Written with locate / a short non-backtracking regex instead of lazy DOTALL
+    loops: the leftmost ``</think>\\s*<answer>`` after the opening tag is the only
+    candidate that matters, and the closing ``</answer>`` must follow it.
+    """
+    c = F.coalesce(completion, F.lit(""))
+    bridge = r"</think>\s*<answer>"
+    if anchored:
+        trimmed = F.when(c.endswith("\n"), F.substring(c, F.lit(1), F.length(c) - 1)).otherwise(c)
+        tail = F.substring(trimmed, F.lit(8), F.lit(2147483647))  # after "<think>"
+        m = F.regexp_instr(tail, F.lit(bridge))
+        m_len = F.length(F.regexp_extract(tail, bridge, 0))
+        close_at = F.length(tail) - F.lit(8)  # start of a trailing "</answer>" in tail
+        ok = (c.startswith("<think>") & trimmed.endswith("</answer>") & (m > 0)
+              & (m + m_len <= close_at))
+    else:
+        p = F.instr(c, "<think>")
+        tail = F.substring(c, p + F.lit(7), F.lit(2147483647))
+        m = F.regexp_instr(tail, F.lit(bridge))
+        m_len = F.length(F.regexp_extract(tail, bridge, 0))
+        after = F.substring(tail, m + m_len, F.lit(2147483647))
+        ok = (p > 0) & (m > 0) & (F.instr(after, "</answer>") > 0)
+    return F.when(F.coalesce(ok, F.lit(False)), F.lit(1.0)).otherwise(F.lit(0.0))
 
 
-def _keyword_score(think: Column, words: list[str]) -> Column:
-    low = F.lower(think)
+def _keyword_score(think: Column, words: list[str], lowered: bool = False) -> Column:
+    low = think if lowered else F.lower(think)
     s = None
     for w in words:
         term = F.when(F.instr(low, w.lower()) > 0, F.lit(0.2)).otherwise(F.lit(0.0))
@@ -281,8 +302,8 @@ def _keyword_score(think: Column, words: list[str]) -> Column:
     return F.when(think.isNull(), F.lit(0.0)).otherwise(F.least(F.lit(1.0), s))
 
 
-def keyword_score(think: Column, words: list[str]) -> Column:
-    return _keyword_score(think, words)
+def keyword_score(think: Column, words: list[str], lowered: bool = False) -> Column:
+    return _keyword_score(think, words, lowered)
 
 
 def reasoning_structure_reward(completion: Column) -> Column:
@@ -301,11 +322,28 @@ def _answer_risk(completion: Column) -> Column:
 
 def answer_risk(ans: Column) -> Column:
     """risk_score inside an <answer> body (0 when the key is absent); null when not a JSON object."""
-    v = F.when(F.substring(tx.py_strip(ans), 1, 1) == "{", F.try_parse_json(ans))
+    return answer_risk_from_variant(F.when(F.substring(tx.py_strip(ans), 1, 1) == "{", F.try_parse_json(ans)))
+
+
+def answer_risk_from_variant(v: Column) -> Column:
+    """Missing key -> 0; a number (or boolean) -> its value; null / string / nested -> null (the
+    arithmetic on it fails, so the reward is 0)."""
     ok = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    r = F.try_variant_get(v, "$.risk_score", "double")
-    present = F.try_variant_get(v, "$.risk_score", "string").isNotNull()
-    return F.when(ok, F.when(present, r).otherwise(F.lit(0.0)))
+    rv = F.try_variant_get(v, "$.risk_score", "variant")
+    t = F.schema_of_variant(rv)
+    numeric = t.startswith("BIGINT") | t.startswith("INT") | t.startswith("DECIMAL") | t.startswith("DOUBLE") \
+        | t.startswith("FLOAT") | t.startswith("SMALLINT") | t.startswith("TINYINT") | (t == "BOOLEAN")
+    return F.when(ok, F.when(rv.isNull(), F.lit(0.0)).when(numeric, F.try_variant_get(v, "$.risk_score", "double")))
+
+
+def banded(d: Column) -> Column:
+    """R8 banded on |pred - gt|: <= 5 -> 1, <= 15 -> 0.5, else 0; null (unparsable) -> 0."""
+    return F.when(d.isNull(), F.lit(0.0)).when(d <= 5, F.lit(1.0)).when(d <= 15, F.lit(0.5)).otherwise(F.lit(0.0))
+
+
+def strict(d: Column) -> Column:
+    """R8 strict on |pred - gt|: 0 -> 1, <= 5 -> 0.5, else 0; null (unparsable) -> 0."""
+    return F.when(d.isNull(), F.lit(0.0)).when(d == 0, F.lit(1.0)).when(d <= 5, F.lit(0.5)).otherwise(F.lit(0.0))
 
 
 def risk_banded_reward(completion: Column, gt_risk: Column, pred: Column | None = None) -> Column:

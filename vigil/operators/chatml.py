@@ -217,19 +217,31 @@ def score_completions(df: DataFrame, completion: str = "completion", answer: str
     a = F.try_parse_json(F.col(answer))
     staged = (df.withColumn("_gt_risk", F.coalesce(F.try_variant_get(a, "$.risk_score", "double"), F.lit(0.0)))
                 .withColumn("_gt_sev", F.coalesce(F.try_variant_get(a, "$.severity", "string"), F.lit("info")))
-                .withColumn("_think", ch.tag_section(F.coalesce(c, F.lit("")), "think"))
-                .withColumn("_think_ci", ch.tag_section(F.coalesce(c, F.lit("")), "think", True))
-                .withColumn("_ans_risk", ch.answer_risk(ch.tag_section(F.coalesce(c, F.lit("")), "answer"))))
+                .withColumn("_c", F.coalesce(c, F.lit("")))
+                .withColumn("_pred_risk", ch.soft_extract(F.col("_c"), "risk_score", True))
+                .withColumn("_pred_sev", ch.soft_extract(F.col("_c"), "severity", False))
+                .withColumn("_think_low", F.lower(ch.tag_section(F.col("_c"), "think")))
+                .withColumn("_think_ci_low", F.lower(ch.tag_section(F.col("_c"), "think", True)))
+                .withColumn("_ans", ch.tag_section(F.col("_c"), "answer"))
+                .withColumn("_ans_v", F.when(F.substring(tx.py_strip(F.col("_ans")), 1, 1) == "{",
+                                             F.try_parse_json(F.col("_ans"))))
+                .withColumn("_ans_risk", ch.answer_risk_from_variant(F.col("_ans_v")))
+                .withColumn("_d", F.abs(F.col("_ans_risk") - F.col("_gt_risk"))))
+    pred, psev = F.col("_pred_risk"), F.col("_pred_sev")
+    gt = F.col("_gt_risk")
+    risk_linear = F.when(pred.isNull(), F.lit(0.0)).otherwise(
+        F.greatest(F.lit(0.0), F.lit(1.0) - F.abs(pred - gt) / F.lit(100.0)))
+    sev_match = F.when(ch.truthy(psev) & (F.lower(psev) == F.lower(F.col("_gt_sev"))), F.lit(1.0)).otherwise(F.lit(0.0))
     out = staged.select(
         *df.columns,
-        ch.json_validity_reward(c).alias("json_validity"),
-        F.round(ch.risk_accuracy_linear(c, F.col("_gt_risk")), 6).alias("risk_linear"),
-        ch.severity_accuracy(c, F.col("_gt_sev")).alias("severity_match"),
-        ch.format_reward(c, anchored=True).alias("format_strict"),
-        ch.format_reward(c, anchored=False).alias("format_loose"),
-        F.round(ch.keyword_score(F.col("_think"), ch.REASONING_ANCHORS), 6).alias("reasoning_structure"),
-        F.round(ch.keyword_score(F.col("_think_ci"), ch.DEPTH_KEYWORDS), 6).alias("analytical_depth"),
-        ch.risk_banded_reward(c, F.col("_gt_risk"), F.col("_ans_risk")).alias("risk_banded"),
-        ch.risk_strict_reward(c, F.col("_gt_risk"), F.col("_ans_risk")).alias("risk_strict"),
+        ch.json_validity_reward(F.col("_c")).alias("json_validity"),
+        F.round(risk_linear, 6).alias("risk_linear"),
+        sev_match.alias("severity_match"),
+        ch.format_reward(F.col("_c"), anchored=True).alias("format_strict"),
+        ch.format_reward(F.col("_c"), anchored=False).alias("format_loose"),
+        F.round(ch.keyword_score(F.col("_think_low"), ch.REASONING_ANCHORS, lowered=True), 6).alias("reasoning_structure"),
+        F.round(ch.keyword_score(F.col("_think_ci_low"), ch.DEPTH_KEYWORDS, lowered=True), 6).alias("analytical_depth"),
+        ch.banded(F.col("_d")).alias("risk_banded"),
+        ch.strict(F.col("_d")).alias("risk_strict"),
     )
     return out

@@ -407,9 +407,10 @@ def correlation_rows(headers: DataFrame, edges: DataFrame) -> DataFrame:
     every correlation of that type.
     """
     own = edges.groupBy("correlation_id").agg(F.sum("n").alias("own"))
-    shared = (edges.where(F.col("correlation_id").endswith(":*"))
-              .groupBy(F.regexp_replace("correlation_id", ":\\*$", "").alias("correlation_type"))
-              .agg(F.sum("n").alias("shared")))
+    # shared member counts come from the same per-correlation aggregate (the edges are scanned once)
+    shared = (own.where(F.col("correlation_id").endswith(":*"))
+              .select(F.regexp_replace("correlation_id", ":\\*$", "").alias("correlation_type"),
+                      F.col("own").alias("shared")))
     rows = (headers.join(own, "correlation_id", "left")
             .join(shared, "correlation_type", "left")
             .withColumn("n_refs", F.coalesce("own", F.lit(0))
