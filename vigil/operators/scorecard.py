@@ -258,18 +258,85 @@ def quality_metrics(findings: DataFrame, correlations: DataFrame, edges: DataFra
 # --------------------------------------------------------------------------------------
 # All metrics, stage statuses, V22 roll-up, V23 summary, V24 recommendations
 # --------------------------------------------------------------------------------------
+def finding_pass(findings: DataFrame) -> DataFrame:
+    """Every finding-level number of the scorecard in ONE aggregate (one scan, one tiny exchange):
+    schema validity, band violations, the severity mix, completeness and the risk moments."""
+    f_bad = F.size(missing_keys(findings, fixed.SCHEMA_REQUIRED)) > 0
+    complete = F.size(missing_keys(findings, fixed.COMPLETENESS_KEYS)) == 0
+    r = F.col("risk_score").cast("double")
+    valid = r.isNotNull() & ~F.isnan(r) & (r >= 0) & (r <= 100)
+    return findings.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(f_bad).alias("invalid"),
+        F.count_if(band_violation_flag(findings)).alias("severity_inconsistencies"),
+        *[F.count_if(F.col("severity") == s).alias(s) for s in fixed.SEVERITIES],
+        F.count_if(complete).alias("complete"),
+        F.count_if(valid).alias("n_valid"),
+        F.avg(F.when(valid, r)).alias("mean_risk"),
+        F.stddev_samp(F.when(valid, r)).alias("sd_risk"),
+    )
+
+
+def _realism_from(counts: DataFrame) -> DataFrame:
+    total = F.nullif(F.col("total").cast("double"), F.lit(0.0))
+    score = None
+    issues = None
+    for s, expected in fixed.REALISM_EXPECTED.items():
+        dev = F.abs(F.col(s) / total - F.lit(expected))
+        term = F.lit(1.0) - F.least(dev * 2, F.lit(1.0))
+        score = term if score is None else score + term
+        flag = F.when(dev > 0.15, 1).otherwise(0)
+        issues = flag if issues is None else issues + flag
+    score = score / F.lit(len(fixed.REALISM_EXPECTED))
+    score = (score * F.when(F.col("critical") > total * 0.1, F.lit(0.8)).otherwise(F.lit(1.0))
+             * F.when(F.col("info") < total * 0.2, F.lit(0.9)).otherwise(F.lit(1.0)))
+    score = F.when(F.col("total") == 0, F.lit(0.0)).otherwise(score)
+    issues = (issues + F.when(F.col("critical") > total * 0.1, 1).otherwise(0)
+              + F.when(F.col("info") < total * 0.2, 1).otherwise(0))
+    issues = F.when(F.col("total") == 0, F.lit(1)).otherwise(issues)
+    return _metrics_frame(counts, _long("realism_assessment", realism_score=score, issues=issues,
+                                        total=F.col("total")))
+
+
 def scorecard_metrics(findings: DataFrame, correlations: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """Long table (stage, metric, value) of every raw metric.
 
-    ``edges`` (correlation_id, finding_id, n) replaces the reference lists when
-    they are kept as an edge table (the correlation rules' output form).
+    Finding-level numbers come from one fused aggregate (``finding_pass``);
+    the keyed work (duplicate ids, reference lookups, per-scanner titles)
+    runs as its own partial aggregates. ``edges`` (correlation_id, finding_id, n)
+    replaces the reference lists when they are kept as an edge table.
     """
+    fp = finding_pass(findings)
+    c_bad = F.size(missing_keys(correlations, fixed.SCHEMA_REQUIRED + fixed.SCHEMA_REQUIRED_CORRELATION_EXTRA)) > 0
+    cp = correlations.agg(F.count(F.lit(1)).alias("total"), F.count_if(c_bad).alias("invalid"))
+    schema = fp.select("total", "invalid").unionByName(cp).agg(
+        F.sum("total").alias("total"), F.sum("invalid").alias("invalid"))
+    dup = duplicate_id_count(findings, correlations)
+    broken = broken_refs(correlations, findings, edges).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("broken_correlations"))
+    total = F.nullif(F.col("total").cast("double"), F.lit(0.0))
+    sd = F.coalesce(F.col("sd_risk"), F.lit(0.0))
+    consistency = F.when(F.col("n_valid") == 0, F.lit(0.0)).otherwise(
+        F.greatest(F.lit(0.0), F.lit(1.0) - (F.abs(F.col("mean_risk") - 50) / 50
+                                             + F.least(F.abs(sd - 20) / 20, F.lit(1.0))) / 2))
+    d = diversity_score(findings)
+    c = coverage(findings, correlations, edges)
     return reduce(DataFrame.unionByName, [
-        schema_metrics(findings, correlations),
-        consistency_metrics(findings, correlations, edges),
-        realism_metrics(findings),
+        _metrics_frame(schema, _long("schema_validation", total_findings=F.col("total"),
+                                     valid_findings=F.col("total") - F.col("invalid"),
+                                     invalid_findings=F.col("invalid"))),
+        _metrics_frame(dup, _long("consistency_check", duplicate_ids=F.col("duplicate_ids"))),
+        _metrics_frame(fp, _long("consistency_check", severity_inconsistencies=F.col("severity_inconsistencies"))),
+        _metrics_frame(broken, _long("consistency_check", broken_correlations=F.col("broken_correlations"))),
+        _realism_from(fp),
         correlation_metrics(correlations, findings, edges),
-        quality_metrics(findings, correlations, edges),
+        _metrics_frame(d, _long("quality_scoring", diversity_score=F.col("diversity_score"),
+                                scanner_coverage=F.col("scanners"))),
+        _metrics_frame(fp, _long("quality_scoring",
+                                 completeness_score=F.when(F.col("total") == 0, F.lit(0.0))
+                                 .otherwise(F.col("complete") / total),
+                                 consistency_score=consistency, total_findings=F.col("total"))),
+        _metrics_frame(c, _long("quality_scoring", distinct_refs=F.col("distinct_refs"))),
     ])
 
 

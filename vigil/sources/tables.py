@@ -34,7 +34,21 @@ PRIORITY_RISK = {"1-URGENT": 95.0, "2-HIGH": 80.0, "3-MEDIUM": 55.0, "4-NOT SPEC
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+
+    A file with a single row group is read by one task however large it is, so
+    every per-row expression on it would run single-threaded. On inputs that
+    already split into enough partitions (the large-table case) this is a no-op:
+    no shuffle is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _map_expr(col: Column, mapping: dict, default=None) -> Column:
