@@ -381,8 +381,18 @@ def register(name: str, rule) -> None:
     RULES[name] = rule
 
 
-def run_rules(findings: DataFrame, rules: dict | None = None, errors: list | None = None):
-    """Run every rule and union the results; a rule that fails to plan is reported and skipped."""
+def run_rules(findings: DataFrame, rules: dict | None = None, errors: list | None = None,
+              materialize: bool = False):
+    """Run every rule and union the results; a rule that fails to plan is reported and skipped.
+
+    Every rule scans the pooled findings several times (buckets, top-k
+    subqueries, existence tests). With ``materialize`` the pooled table is
+    checkpointed once (shared checkpoint folder) and all rules read that.
+    """
+    if materialize:
+        from vigil.sources.sinks import snapshot
+        findings = snapshot(findings.select("id", "ord", "scanner", "category", "title", "severity",
+                                            "risk_score", "metadata"))
     hs, es = [], []
     for name, rule in (rules or RULES).items():
         try:

@@ -13,7 +13,7 @@ _H = "WITH " + O.HOST_FINDINGS_CTE + O.rules_ctes()
 
 
 def _rules(spark, sf_dir):
-    return cr.run_rules(tb.host_findings(spark, sf_dir))
+    return cr.run_rules(tb.host_findings(spark, sf_dir), materialize=True)
 
 
 @query("correlation_rules", _H + """
