@@ -405,7 +405,11 @@ def run_rules(findings: DataFrame, rules: dict | None = None, errors: list | Non
                 errors.append((name, f"{type(exc).__name__}: {exc}"))
     if not hs:
         raise ValueError("no correlation rule produced a plan")
-    return reduce(DataFrame.unionByName, hs), reduce(DataFrame.unionByName, es)
+    # each rule keeps a small subset of the scan's partitions; merge the union back to the input's
+    # partition count (no shuffle) so downstream stages do not schedule 13x as many tiny tasks
+    n = max(1, findings.rdd.getNumPartitions())
+    return (reduce(DataFrame.unionByName, hs).coalesce(n),
+            reduce(DataFrame.unionByName, es).coalesce(n))
 
 
 def correlation_rows(headers: DataFrame, edges: DataFrame) -> DataFrame:
