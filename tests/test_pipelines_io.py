@@ -73,3 +73,11 @@ def test_export_partitions_by_scanner_and_severity(spark, tmpdir_path):
     back = spark.read.parquet(out["findings"]).where("scanner = 'network' AND severity = 'high'")
     assert back.count() == f.where("scanner = 'network' AND severity = 'high'").count()
     assert sinks.written_sizes(spark, out["findings"]) > 0
+
+
+def test_replace_categories(spark):
+    from vigil.operators.correlate import replace_categories
+    cur = spark.createDataFrame([("a", "processes"), ("b", "network"), ("c", "network")], "id string, category string")
+    new = spark.createDataFrame([("n1", "network")], "id string, category string")
+    got = sorted((r["id"], r["category"]) for r in replace_categories(cur, new).collect())
+    assert got == [("a", "processes"), ("n1", "network")]

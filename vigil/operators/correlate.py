@@ -444,3 +444,11 @@ def correlation_rows(headers: DataFrame, edges: DataFrame) -> DataFrame:
         F.lit(False).alias("operational_error"),
         F.concat(F.lit("Correlation analysis by "), F.col("producer"), F.lit(" producer")).alias("rationale"),
     )
+
+
+# --- J20 ------------------------------------------------------------------------------------------
+def replace_categories(current: DataFrame, regenerated: DataFrame, key: str = "category") -> DataFrame:
+    """Buckets present in ``regenerated`` replace the same buckets of ``current`` (anti join + union);
+    a regenerated bucket that is empty is not represented and so leaves the current one in place."""
+    keys = regenerated.select(key).distinct()
+    return current.join(keys, key, "left_anti").unionByName(regenerated, allowMissingColumns=True)
