@@ -31,10 +31,13 @@ def cluster_findings(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.min_by(F.struct("id", "category", "severity", "scanner"), F.col("ord")).alias("first"),
         F.count(F.lit(1)).alias("aggregated_count"),
         F.max(F.coalesce(F.col("risk_score").cast("double"), F.lit(0.0))).alias("risk_score"),
-        F.round(F.avg(prob), 3).alias("probability_actionable"),
+        F.sum(F.round(prob * 1_000_000).cast("long")).alias("_p_micro"),
         F.count_distinct(F.coalesce(F.col("category"), F.lit("unknown"))).alias("n_categories"),
     )
     first_cat = F.coalesce(F.col("first.category"), F.col("first.scanner"))
+    # mean rounded to 3 decimals (half up) from exact integer micro-units: independent of summation order
+    n = F.col("aggregated_count")
+    mean_prob = F.floor((F.col("_p_micro") * 2 + n * 1000) / (n * 2000)).cast("double") / F.lit(1000.0)
     out = clusters.select(
         "cluster_key",
         F.col("first.id").alias("id"),
@@ -45,7 +48,7 @@ def cluster_findings(df: DataFrame) -> tuple[DataFrame, DataFrame]:
                         F.col("aggregated_count"), F.col("n_categories"),
                         F.coalesce(F.col("first.severity"), F.lit("unknown")), F.col("aggregated_count"))
         .alias("description"),
-        "aggregated_count", "risk_score", "probability_actionable",
+        "aggregated_count", "risk_score", mean_prob.alias("probability_actionable"),
     )
     members = keyed.select("cluster_key", "id", "ord")
     return out, members
@@ -92,8 +95,7 @@ def dataset_totals(findings: DataFrame, correlations: DataFrame) -> DataFrame:
     """Totals of findings, correlations and scanners (three partial aggregates, one row)."""
     f = findings.agg(F.count(F.lit(1)).alias("total_findings"), F.count_distinct("scanner").alias("scanner_types"))
     c = correlations.agg(F.count(F.lit(1)).alias("total_correlations"))
-    return f.join(c, how="inner", on=None) if False else f.withColumn("k", F.lit(0)).join(
-        c.withColumn("k", F.lit(0)), "k").drop("k")
+    return f.withColumn("k", F.lit(0)).join(c.withColumn("k", F.lit(0)), "k").drop("k")
 
 
 # A7 / W2 ----------------------------------------------------------------------------------

@@ -50,7 +50,9 @@ SELECT cluster_key, arg_min(id, ord) AS id, count(*) AS aggregated_count,
        printf('Aggregate: %d %s findings', count(*), arg_min(category, ord)) AS title,
        printf('Aggregated %d findings across %d category(ies). Dominant severity: %s (%d findings).',
               count(*), count(DISTINCT category), arg_min(severity, ord), count(*)) AS description,
-       max(risk_score) AS risk_score, round(avg(probability_actionable), 3) AS probability_actionable
+       max(risk_score) AS risk_score,
+       CAST((2 * sum(CAST(round(probability_actionable * 1000000) AS BIGINT)) + 1000 * count(*)) // (2000 * count(*))
+            AS DOUBLE) / 1000.0 AS probability_actionable
 FROM (SELECT *, category || '_' || severity || '_' || {O.cluster_pattern_sql()} AS cluster_key FROM findings) t
 GROUP BY cluster_key""", ops=("A1", "A2", "P22"))
 def q_finding_clusters(spark, sf_dir):
