@@ -7,8 +7,10 @@ conversation itself, ordered by turn).
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.functions import chat as ch
 from vigil.functions import fixed
@@ -245,3 +247,75 @@ def score_completions(df: DataFrame, completion: str = "completion", answer: str
         ch.strict(F.col("_d")).alias("risk_strict"),
     )
     return out
+
+
+# --- P27 / C6 / C7: repair ---------------------------------------------------------------------------
+def _clean_placeholders(obj):
+    """P27: 'unknown' / 'none' / 'null' / 'na' / 'n/a' (whole string, any case) and null -> 'unspecified',
+    recursively through objects and lists."""
+    import re
+    if isinstance(obj, dict):
+        return {k: _clean_placeholders(v) for k, v in obj.items()}
+    if isinstance(obj, list):
+        return [_clean_placeholders(x) for x in obj]
+    if isinstance(obj, str):
+        return "unspecified" if re.match(r"^(unknown|none|null|n/?a)$", obj.strip(), re.I) else obj
+    if obj is None:
+        return "unspecified"
+    return obj
+
+
+def _clean_user_block(users):
+    """Arrow batch helper: parse the user block (C6 fallback to the outer {...}), clean placeholders,
+    re-serialise with indent 2; second field tells whether anything changed."""
+    import json
+    import re
+
+    out_text, changed = [], []
+    for u in users:
+        obj = None
+        if isinstance(u, str):
+            try:
+                obj = json.loads(u)
+            except ValueError:
+                m = re.search(r"\{.*\}", u, re.S)
+                if m:
+                    try:
+                        obj = json.loads(m.group(0))
+                    except ValueError:
+                        obj = None
+        if obj is None:
+            out_text.append("{}")
+            changed.append(False)
+            continue
+        cleaned = _clean_placeholders(obj)
+        out_text.append(json.dumps(cleaned, ensure_ascii=False, indent=2))
+        changed.append(json.dumps(cleaned) != json.dumps(obj))
+    return pd.DataFrame({"user_json": out_text, "placeholder_fixed": changed})
+
+
+@F.pandas_udf(T.StructType([T.StructField("user_json", T.StringType()),
+                            T.StructField("placeholder_fixed", T.BooleanType())]))
+def _clean_udf(users: pd.Series) -> pd.DataFrame:
+    return _clean_user_block(users)
+
+
+def repair_chatml(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rebuild each text from its parts: cleaned user JSON (P27), the think section, and the
+    repaired answer (P28); rows keep their error codes from V36."""
+    text = F.col(text_col)
+    staged = (df.withColumn("_sys", ch.parse_block(text, "system"))
+                .withColumn("_u", ch.parse_block(text, "user"))
+                .withColumn("_a", ch.parse_block(text, "assistant"))
+                .withColumn("_think", ch.think_section(F.col("_a")))
+                .withColumn("_ans", ch.answer_section(F.col("_a")))
+                .withColumn("_clean", _clean_udf(F.col("_u"))))
+    answer = repair_answer(F.col("_ans"), F.lit(None).cast("string"), F.lit(None).cast("string"),
+                           F.lit(None).cast("string"))
+    rebuilt = F.concat_ws("\n", F.lit(ch.IM_START + "system"), F.coalesce(F.col("_sys"), F.lit("")),
+                          F.lit(ch.IM_END), F.lit(ch.IM_START + "user"), F.col("_clean.user_json"),
+                          F.lit(ch.IM_END), F.lit(ch.IM_START + "assistant"), F.lit("<think>"),
+                          F.coalesce(F.col("_think"), F.lit("")), F.lit("</think>"), F.lit("<answer>"), answer,
+                          F.lit("</answer>" + ch.IM_END))
+    keep = [c for c in df.columns if c != text_col]
+    return staged.select(*keep, rebuilt.alias(text_col), F.col("_clean.placeholder_fixed").alias("placeholder_fixed"))

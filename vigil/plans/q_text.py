@@ -217,3 +217,22 @@ SELECT id, 'correlation' FROM correlations""", ops=("C11",))
 def q_batch_requests(spark, sf_dir):
     corr = correlations(spark, sf_dir)
     return cm.batch_requests(findings(spark, sf_dir), corr).select("custom_id", "kind")
+
+
+# C7 / P27 repair over the C1 texts -------------------------------------------------------------------
+@query("repaired_texts", _F + f"""
+, sft AS (SELECT id, {O.sft_text_sql()} AS text FROM findings),
+p AS (SELECT id, {_block('text', 'system')} AS s, {_block('text', 'user')} AS u,
+             {_block('text', 'assistant')} AS a FROM sft),
+q AS (SELECT id, s, u, {_section('a', 'think')} AS think, {_section('a', 'answer')} AS ans FROM p)
+SELECT id, '<|im_start|>system' || chr(10) || s || chr(10) || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10)
+       || u || chr(10) || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || '<think>' || chr(10)
+       || think || chr(10) || '</think>' || chr(10) || '<answer>' || chr(10)
+       || '{{"risk_score": ' || CAST(CAST(round_even(json_extract(ans, '$.risk_score')::DOUBLE, 0) AS BIGINT) AS VARCHAR)
+       || ', "severity": ' || to_json(upper(json_extract_string(ans, '$.severity')))
+       || ', "category": ' || to_json(json_extract_string(ans, '$.category')) || '}}'
+       || chr(10) || '</answer><|im_end|>' AS text,
+       false AS placeholder_fixed
+FROM q""", ops=("C7", "P27", "C6"))
+def q_repaired_texts(spark, sf_dir):
+    return cm.repair_chatml(cm.sft_texts(findings(spark, sf_dir)).drop("ord"))
