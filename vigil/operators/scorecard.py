@@ -419,3 +419,28 @@ def recommendations(stages: DataFrame) -> DataFrame:
             .select(F.lit("overall").alias("stage"),
                     F.lit("Dataset quality is good - no major issues found").alias("recommendation")))
     return recs.unionByName(good)
+
+
+# --- A8: dataset metadata ---------------------------------------------------------------------------
+PROCESSING_STEPS = ["data_normalization", "quality_assessment", "basic_enrichment", "structure_optimization",
+                    "indexing", "metadata_generation"]
+
+
+def dataset_metadata(findings: DataFrame, correlations: DataFrame, stages: DataFrame,
+                     fmt: str = "optimized_json", compression: bool = False) -> DataFrame:
+    """One row of dataset metadata (verification summary + characteristics). The id is the md5
+    of the characteristics instead of the wall clock, so reruns on the same data agree."""
+    roll = overall_status(stages)
+    quality = stages.where(F.col("stage") == "quality_scoring").select(F.col("score").alias("quality_score"))
+    f = findings.agg(F.count(F.lit(1)).alias("total_findings"), F.count_distinct("scanner").alias("scanner_coverage"))
+    c = correlations.agg(F.count(F.lit(1)).alias("total_correlations"))
+    k = F.lit(0)
+    row = (roll.withColumn("_k", k).join(quality.withColumn("_k", k), "_k", "left")
+           .join(f.withColumn("_k", k), "_k").join(c.withColumn("_k", k), "_k").drop("_k"))
+    ident = F.substring(F.md5(F.concat_ws("|", F.col("total_findings"), F.col("total_correlations"),
+                                          F.col("scanner_coverage"), F.col("overall_status"))), 1, 16)
+    return row.select(ident.alias("dataset_id"), F.lit("2.0").alias("version"), F.lit(fmt).alias("format"),
+                      F.lit(compression).alias("compression"), "overall_status", "stages_passed",
+                      F.coalesce(F.col("quality_score"), F.lit(0.0)).alias("quality_score"),
+                      "total_findings", "total_correlations", "scanner_coverage",
+                      F.lit(",".join(PROCESSING_STEPS)).alias("processing_pipeline"))

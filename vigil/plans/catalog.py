@@ -121,3 +121,24 @@ FROM (SELECT id AS correlation_id, unnest(correlation_refs) AS ref FROM correlat
 WHERE NOT EXISTS (SELECT 1 FROM ids WHERE ids.id = r.ref)""", ops=("J16",))
 def q_broken_references(spark, sf_dir):
     return sc.broken_refs(correlations(spark, sf_dir), findings(spark, sf_dir)).select("correlation_id", "ref")
+
+
+@query("dataset_metadata", _sc_sql("""
+, roll AS (SELECT CASE WHEN count(*) FILTER (WHERE status = 'failed') > 0 THEN 'failed'
+                       WHEN count(*) FILTER (WHERE status = 'warning') > count(*) / 2 THEN 'warning'
+                       ELSE 'passed' END AS overall_status,
+                  count(*) FILTER (WHERE passed) AS stages_passed FROM stages),
+ch AS (SELECT (SELECT count(*) FROM findings) AS total_findings,
+              (SELECT count(*) FROM correlations) AS total_correlations,
+              (SELECT count(DISTINCT scanner) FROM findings) AS scanner_coverage)
+SELECT substr(md5(CAST(total_findings AS VARCHAR) || '|' || CAST(total_correlations AS VARCHAR) || '|'
+                  || CAST(scanner_coverage AS VARCHAR) || '|' || overall_status), 1, 16) AS dataset_id,
+       '2.0' AS version, 'optimized_json' AS format, false AS compression, overall_status, stages_passed,
+       (SELECT round(score, 6) FROM stages WHERE stage = 'quality_scoring') AS quality_score,
+       total_findings, total_correlations, scanner_coverage,
+       'data_normalization,quality_assessment,basic_enrichment,structure_optimization,indexing,metadata_generation'
+         AS processing_pipeline
+FROM roll, ch"""), ops=("A8", "A6"))
+def q_dataset_metadata(spark, sf_dir):
+    f, c = findings(spark, sf_dir), correlations(spark, sf_dir)
+    return sc.dataset_metadata(f, c, sc.stage_table(sc.scorecard_metrics(f, c)))
