@@ -21,7 +21,7 @@ SELECT id, port,
        CASE port {" ".join(f"WHEN {p} THEN '{pr}'" for p, _, pr in cl.COMMON_SERVICES)} END AS service_process
 FROM findings WHERE scanner = 'network'""", ops=("T-4",))
 def q_port_classes(spark, sf_dir):
-    net = findings(spark, sf_dir).where("scanner = 'network'").select("id", "port")
+    net = tb.findings_from_events(tb.read(spark, sf_dir, "events"), scanners=["network"]).select("id", "port")
     return cl.classify_ports(net)
 
 
