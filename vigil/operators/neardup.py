@@ -148,6 +148,7 @@ def greedy_keep(reps: DataFrame, edges: DataFrame, max_rounds: int = 10_000) ->
 
 def dedup_near(findings: DataFrame, threshold: float = fixed.DEDUP_THRESHOLD) -> DataFrame:
     """D2 (exact + near): the findings the greedy scan keeps."""
+    ensure_checkpoint_dir(findings.sparkSession)
     firsts = dd.dedup_exact_patterns(findings)
     # rank key of each distinct pattern's representative: (risk desc, input order); ord identifies it
     rank = F.struct((-F.coalesce(F.col("risk_score").cast("double"), F.lit(0.0))).alias("r"), F.col("ord"))
