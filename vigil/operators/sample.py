@@ -4,9 +4,10 @@ Randomness is replaced by md5 ordering of ``seed|id`` (T1), which both Spark
 and DuckDB compute identically.
 
 Exact "first n per stratum" never sorts a whole stratum in one task: rows are
-ranked inside (stratum, hash bucket) and the bucket offsets come from a small
-count table (strata x 4096 rows). A stratum holding a third of the data is
-therefore spread over 4096 window partitions.
+ranked inside (stratum, hash bucket) and the bucket offsets come from a count
+table with one row per non-empty (stratum, bucket), at most 2^20 buckets per
+stratum. A stratum holding a third of the data is spread over that many window
+partitions (about 33 MB each for a 33 TB stratum).
 
 The allocation steps (D6, D8) work on per-stratum counts only: one row per
 distinct severity, computed by Spark and read back as a handful of numbers.
@@ -19,7 +20,7 @@ from decimal import ROUND_HALF_EVEN, Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_HEX_DIGITS = 3  # 4096 buckets per stratum
+BUCKET_HEX_DIGITS = 5  # up to 2^20 buckets per stratum: ~33 MB per bucket even for a 33 TB stratum
 
 
 def hash_key(seed: str, id_col: Column) -> Column:
