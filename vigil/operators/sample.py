@@ -28,13 +28,20 @@ def hash_key(seed: str, id_col: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), id_col.cast("string")))
 
 
+def bucket_digits(max_rows: int, rows_per_bucket: int = 200_000) -> int:
+    """Hex digits of the hash bucket so the largest stratum has about ``rows_per_bucket`` rows per bucket."""
+    import math
+    need = max(1, math.ceil(math.log(max(max_rows, 1) / rows_per_bucket, 16))) if max_rows > rows_per_bucket else 1
+    return min(need, BUCKET_HEX_DIGITS)
+
+
 def exact_rank(df: DataFrame, part_cols: list[str], key: Column, tie: Column, bucket: Column | None = None,
-               name: str = "rank") -> DataFrame:
+               name: str = "rank", digits: int = BUCKET_HEX_DIGITS) -> DataFrame:
     """1-based rank of rows by (key, tie) inside ``part_cols``, computed in two levels.
 
     ``bucket`` must be monotone in ``key`` (default: leading hex digits of a hex key).
     """
-    b = bucket if bucket is not None else F.conv(F.substring(key, 1, BUCKET_HEX_DIGITS), 16, 10).cast("int")
+    b = bucket if bucket is not None else F.conv(F.substring(key, 1, digits), 16, 10).cast("int")
     keyed = df.withColumn("_k", key).withColumn("_t", tie).withColumn("_b", b)
     counts = keyed.groupBy(*part_cols, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -99,7 +106,8 @@ def stratified_sample(df: DataFrame, target: int, seed: str = "0") -> DataFrame:
     alloc = allocate(counts, target)
     amap = F.create_map(*[x for s, a in alloc.items() for x in (F.lit(s), F.lit(a))])
     keyed = df.withColumn("_s", stratum_col(df))
-    ranked = exact_rank(keyed, ["_s"], hash_key(seed, F.col("id")), F.col("ord"), name="_r")
+    ranked = exact_rank(keyed, ["_s"], hash_key(seed, F.col("id")), F.col("ord"), name="_r",
+                        digits=bucket_digits(max(n for _, n, _ in counts)))
     picked = ranked.where(F.col("_r") <= F.element_at(amap, F.col("_s")))
     got = sum(min(alloc[s], n) for s, n, _ in counts)
     if got > target:  # only when every stratum was clamped at 1 (T8)
@@ -115,7 +123,7 @@ def random_split(df: DataFrame, ratios=(0.3, 0.6, 0.1), seed: str = "0") -> Data
     """Global hash order; first round(r0*n) train, next round(r1*n) val, rest test."""
     total = df.count()
     nt, nv = half_even(ratios[0] * total), half_even(ratios[1] * total)
-    ranked = exact_rank(df, [], hash_key(seed, F.col("id")), F.col("ord"), name="_r")
+    ranked = exact_rank(df, [], hash_key(seed, F.col("id")), F.col("ord"), name="_r", digits=bucket_digits(total))
     split = F.when(F.col("_r") <= nt, "train").when(F.col("_r") <= nt + nv, "val").otherwise("test")
     return ranked.withColumn("split", split).drop("_r")
 
@@ -165,7 +173,8 @@ def split_plan(counts: list[tuple[str, int, int]], ratios) -> dict[str, tuple[in
 
 def stratified_split(df: DataFrame, ratios=(0.3, 0.6, 0.1), seed: str = "0") -> DataFrame:
     """Per-severity split by half-even counts, then train/val topped up from the list ends."""
-    plan = split_plan(stratum_counts(df), ratios)
+    counts = stratum_counts(df)
+    plan = split_plan(counts, ratios)
 
     def m(i):
         return F.element_at(F.create_map(*[x for s, p in plan.items() for x in (F.lit(s), F.lit(p[i]))]),
@@ -174,7 +183,8 @@ def stratified_split(df: DataFrame, ratios=(0.3, 0.6, 0.1), seed: str = "0") ->
     nt, nv, vt, tt, tv = (m(i) for i in range(5))
     keyed = df.withColumn("_s", stratum_col(df))
     r = F.col("_r")
-    ranked = exact_rank(keyed, ["_s"], hash_key(seed, F.col("id")), F.col("ord"), name="_r")
+    ranked = exact_rank(keyed, ["_s"], hash_key(seed, F.col("id")), F.col("ord"), name="_r",
+                        digits=bucket_digits(max((n for _, n, _ in counts), default=1)))
     n_s = nt + nv  # end of the val segment
     split = (F.when(r <= nt, "train")
              # val segment: its last `vt` rows moved to train
