@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import packing, simhash, token_files, toxicity
+from vigil.llm import packing, quality, simhash, token_files, toxicity
 from vigil.llm.common import read, shared_path
 
 #: The published tokenizer file that token queries use by default.
@@ -25,6 +25,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_quality_forest")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query("op2_simhash_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
