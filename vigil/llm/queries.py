@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import packing, quality, simhash, token_files, toxicity
+from vigil.llm import langid, licenses, packing, quality, simhash, token_files, toxicity, warc
 from vigil.llm.common import read, shared_path
 
 #: The published tokenizer file that token queries use by default.
@@ -53,6 +53,30 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(token_files.read(spark, path))
 
 
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = langid.fit(read(spark, sf_dir, "documents"))
+    return langid.identify_pages(read(spark, sf_dir, "pages"), model)
+
+
+@query("op7_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     largest AS (SELECT html, max(page_id) AS top FROM p WHERE strlen(html) >= 1000 GROUP BY html)
+SELECT page_id, strlen(p.html) AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN top IS NOT NULL AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM p LEFT JOIN largest ON p.html = largest.html""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write(read(spark, sf_dir, "pages"), path)
+    return warc.digests(warc.parse(warc.records(spark, path)))
+
+
 @query("op8_toxicity")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op10_license_scan", licenses.oracle())
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
