@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import langid, licenses, packing, quality, simhash, token_files, toxicity, warc
+from vigil.llm import decontam, langid, licenses, packing, quality, simhash, token_files, toxicity, warc
 from vigil.llm.common import read, shared_path
 
 #: The published tokenizer file that token queries use by default.
@@ -35,6 +35,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query("op3_benchmark_decontamination", decontam.ORACLE)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
