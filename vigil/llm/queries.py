@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import decontam, langid, licenses, packing, quality, simhash, token_files, toxicity, warc
+from vigil.llm import decontam, langid, licenses, packing, ppm, quality, simhash, token_files, toxicity, warc
 from vigil.llm.common import read, shared_path
 
 #: The published tokenizer file that token queries use by default.
@@ -40,6 +40,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query("op4_ppm_scores")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(read(spark, sf_dir, "documents"), ppm.held_out())
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
