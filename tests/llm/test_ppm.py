@@ -41,10 +41,22 @@ class Trie:
         return out - math.log10(256 - len(excluded))
 
 
+def evidence(model, words):
+    """Of a text's words: log probabilities of the byte trigrams of each, a space at both ends."""
+    out = np.zeros(model.log.shape[1])
+    for w in words:
+        letters = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in b" " + w + b" ")
+        for i in range(len(w)):
+            code = int.from_bytes(letters[i:i + 3], "big") * 2654435761 % 2**32 >> 16
+            out += model.log[code].astype(float)
+    return out
+
+
 def brute(rows, model, held, order=ppm.ORDER):
     classes = model.log.shape[1]
-    prior = np.log(langid._prior(classes))
-    docs = [(d, int((model.evidence((t or "").encode()) + prior).argmax()), (t or "").encode().lower().split() + [b"\n"]) for d, t in rows]
+    prior = np.log(langid.prior(classes))
+    docs = [(d, (t or "").encode().lower().split()) for d, t in rows]
+    docs = [(d, int((evidence(model, w) + prior).argmax()), w + [b"\n"]) for d, w in docs]
     by_class, base = [Counter() for _ in range(classes)], Counter()
     for d, c, words in docs:
         if not held(d):

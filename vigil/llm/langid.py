@@ -36,21 +36,26 @@ MIN_POSTERIOR = 0.6
 #: Hosts up to which the host table is broadcast (about 100 bytes each); beyond, it is joined by a shuffle.
 BROADCAST_HOSTS = 200_000
 
-_LETTERS = bytes(i | 32 if 65 <= i <= 90 else i if 97 <= i <= 122 or i >= 128 else 32 for i in range(256))
+LETTERS = bytes(i | 32 if 65 <= i <= 90 else i if 97 <= i <= 122 or i >= 128 else 32 for i in range(256))
 _SPACES = re.compile(rb" +")
 _MARKUP = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;")
 _STEP = 1 << 20
 
 
+def buckets(code: np.ndarray) -> np.ndarray:
+    """The buckets of trigrams, each the three bytes as one 32-bit number."""
+    return ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
+
+
 def trigrams(text: bytes) -> Iterator[np.ndarray]:
     """The buckets of a text's byte trigrams: lower-case letters, one space between words and at both ends."""
-    letters = b" " + _SPACES.sub(b" ", text.translate(_LETTERS)).strip() + b" "
+    letters = b" " + _SPACES.sub(b" ", text.translate(LETTERS)).strip() + b" "
     if len(letters) < 3:
         return
     for at in range(0, len(letters) - 2, _STEP):
         b = np.frombuffer(letters[at:at + _STEP + 2], np.uint8).astype(np.uint32)
         code = (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
-        yield ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
+        yield buckets(code)
 
 
 @dataclass
@@ -107,7 +112,7 @@ def fit(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, n: int = FIT_RO
     return TextModel(there, log)
 
 
-def _prior(k: int) -> np.ndarray:
+def prior(k: int) -> np.ndarray:
     p = np.full(k, (1 - UNKNOWN_PRIOR) / max(1, k - 1))
     p[-1] = UNKNOWN_PRIOR if k > 1 else 1.0
     return p
@@ -138,7 +143,7 @@ def text_evidence(rows: DataFrame, model: TextModel, markup: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = _texts(shared.value, b.column(b.num_columns - 1), markup)
-            p = _posterior(x + np.log(_prior(x.shape[1])))
+            p = _posterior(x + np.log(prior(x.shape[1])))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], _lists(x), _lists(p)], names=[*keep, "likelihood", "p"])
 
     lists = T.ArrayType(T.DoubleType())
@@ -170,16 +175,16 @@ class Beliefs:
     def judge(self, x: np.ndarray, host: np.ndarray, domain: np.ndarray, known_host: np.ndarray, declared: list,
               suffix: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(posteriors, silent, text posteriors) of rows: log likelihoods, sums of their host and its domain."""
-        text = _posterior(x + np.log(_prior(x.shape[1])))
+        text = _posterior(x + np.log(prior(x.shape[1])))
         domain, host = np.maximum(0, domain - text), np.maximum(0, host - text)  # less the row itself
         towards = (domain + SMOOTH * self.share) / (domain.sum(axis=1, keepdims=True) + SMOOTH)
-        prior = (host + SMOOTH * towards) / (host.sum(axis=1, keepdims=True) + SMOOTH)
-        prior = np.where(known_host[:, None], prior, self.share)
+        believed = (host + SMOOTH * towards) / (host.sum(axis=1, keepdims=True) + SMOOTH)
+        believed = np.where(known_host[:, None], believed, self.share)
         none = np.ones(len(self.names))
         d = np.array([self.declared.get(v, self.declared.get("(other)", none)) for v in declared]).reshape(x.shape)
         s = np.array([none if v is None else self.suffix.get(v, self.suffix.get("(rare)", none))
                       for v in suffix]).reshape(x.shape)
-        return _posterior(x + np.log(prior) + np.log(d) + np.log(s)), (x == 0).all(axis=1), text
+        return _posterior(x + np.log(believed) + np.log(d) + np.log(s)), (x == 0).all(axis=1), text
 
 
 def _declared(names: tuple[str, ...]) -> Column:
@@ -211,7 +216,7 @@ def learn(evidence: DataFrame, names: tuple[str, ...]) -> tuple[Beliefs, DataFra
     pairs = table(rows.groupBy("host", "kind").agg(*sums), "host-sums")
     total = pairs.groupBy().agg(*sums).first()
     n = np.array([total[c] or 0.0 for c in cols])
-    share = (n + _prior(k) * SMOOTH) / (n.sum() + SMOOTH)
+    share = (n + prior(k) * SMOOTH) / (n.sum() + SMOOTH)
 
     def given(found: list, key: str) -> dict[str, np.ndarray]:
         """P(value | language) of each value, smoothed towards its share of all rows."""

@@ -4,12 +4,13 @@ A text is coded as its class and its words (A-Z in lower case), each word byte b
 end. A byte is coded in the longest known context of up to ``ORDER`` bytes of its word (spaces before its start);
 escapes (method D) lead to shorter contexts, where symbols that a longer one knows are excluded. Contexts do not
 reach back over a word's start, so a word costs the same wherever it stands: words are scored once each, not once per
-place. In exchange there is a trie for each class of texts, and a text's class (named by the text model of the
-language identifier, from its bytes alone) is the first symbol of its code.
+place. In exchange there is a trie for each class of texts, and a text's class (that whose byte trigrams, as the
+language identifier learns them, suit its words best) is the first symbol of its code.
 
-The work is spread in two layers. Texts are cut into chunks, in which words become numbers; the table of chunk words
-is counted and scored by joins, and each chunk then meets the scores of its own words. Words are scored alike: chunks
-of words, numbered contexts, and joins with the scores of contexts. Nothing that grows with the corpus is broadcast.
+The work is spread in two layers. Texts are cut into chunks, in which words become numbers; words meet in a shuffle,
+where they are counted and keep note of the chunks that hold them, and their scores go back to those chunks. Words
+are scored in the same way: in chunks of words contexts become numbers, are counted, scored and sent back. Nothing
+that grows with the corpus is broadcast or passes through the driver.
 """
 
 from __future__ import annotations
@@ -18,109 +19,159 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.llm import langid
 from vigil.llm.common import crc32_mod, raw, shared_path, ship, table
+from vigil.llm.tokens import runs
 
 #: Bytes of context; with the symbol and the class they make one 64-bit number.
 ORDER = 6
 #: Bytes of text, and words, in a chunk.
 CHUNK_BYTES = 24 << 20
-CHUNK_WORDS = 1 << 18
+CHUNK_WORDS = 1 << 19
+#: Rows of a slice of an array that is exploded, and tasks whose chunks a word notes in one row.
+SLICE = 1 << 14
+PIECE = 4096
 END = "\n"
 
 
-def _chunk(part: int, n: int) -> int:
-    return (part << 32) | n
+def _slices(n: int) -> list[tuple[int, int]]:
+    return [(lo, min(n, lo + SLICE)) for lo in range(0, n, SLICE)]
+
+
+def _lists(values: pa.Array, cuts: list[tuple[int, int]]) -> pa.Array:
+    """The slices of an array as lists."""
+    return pa.ListArray.from_arrays(pa.array([0, *(hi for _, hi in cuts)], pa.int32()), values)
+
+
+class _Numbers(dict):
+    """Key -> number, in order of arrival."""
+
+    def __missing__(self, key: bytes) -> int:
+        at = self[key] = len(self)
+        return at
 
 
 # -- texts as chunks of numbered words ----------------------------------------------------------------------------
-_TEXT_SCHEMA = ("chunk long, kind int, held_out boolean, cls int, ids binary, counts binary, "
-                "words array<string>, classes binary, train binary")
+def word_evidence(model: langid.TextModel, words: list[bytes]) -> np.ndarray:
+    """(words, classes): summed log probabilities of each word's byte trigrams, a space at both ends."""
+    if not words:
+        return np.zeros((0, model.log.shape[1]))
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    b = np.frombuffer((b" " + b" ".join(words) + b" ").translate(langid.LETTERS), np.uint8).astype(np.uint32)
+    first = np.cumsum(size + 1) - (size + 1)
+    at = np.arange(int(size.sum())) + np.repeat(first - (np.cumsum(size) - size), size)
+    code = langid.buckets((b[at] << 16) | (b[at + 1] << 8) | b[at + 2])
+    out = np.zeros((len(words), model.log.shape[1]))
+    start = np.cumsum(size) - size
+    for lo, hi in _slices(len(words)):
+        codes = code[start[lo]:start[hi] if hi < len(words) else None]
+        out[lo:hi] = np.add.reduceat(model.log[codes], start[lo:hi] - start[lo], axis=0)
+    return out
+
+
+class _Chunk:
+    """A chunk of texts being built: numbers of its words, and its rows."""
+
+    def __init__(self, model: langid.TextModel):
+        self.model, self.prior = model, np.log(langid.prior(model.log.shape[1]))
+        self.number = _Numbers({END.encode(): 0})
+        self.evidence = np.zeros((1, model.log.shape[1]))
+        self.ids: list[pa.Array] = []
+        self.held: list[np.ndarray] = []
+        self.cls: list[np.ndarray] = []
+        self.size: list[np.ndarray] = []
+        self.tokens: list[np.ndarray] = []
+        self.bytes = 0
+
+    def add(self, ids: pa.Array, texts: pa.Array, held: np.ndarray) -> None:
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        at = parts.offsets.to_numpy()
+        coded = parts.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+        known = len(self.number)
+        distinct = list(raw(coded.dictionary))
+        number = np.fromiter((self.number[w] if w else -1 for w in distinct), np.int64, len(distinct))
+        new = list(self.number)[known:] if len(self.number) > known else []
+        self.evidence = np.concatenate([self.evidence, word_evidence(self.model, new)])
+        found = number[coded.indices.to_numpy()]
+        kept = np.concatenate([[0], np.cumsum(found >= 0)])[at - at[0]]  # the empty ones at a text's ends go
+        tokens = np.insert(found[found >= 0], kept[1:], 0)  # an end after each text
+        size = np.diff(kept) + 1
+        sums = np.add.reduceat(self.evidence[tokens], np.cumsum(size) - size, axis=0)
+        self.ids.append(ids), self.held.append(held), self.size.append(size)
+        self.cls.append((sums + self.prior).argmax(axis=1)), self.tokens.append(tokens.astype(np.uint32))
+        self.bytes += int(pc.sum(pc.binary_length(texts)).as_py() or 0)
+
+    def batches(self, chunk: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+        held, cls, size = map(np.concatenate, (self.held, self.cls, self.size))
+        tokens = np.concatenate(self.tokens)
+        ids, k, n = pa.concat_arrays(self.ids), len(size), len(self.number)
+        at = np.concatenate([[0], np.cumsum(size) * 4]).astype(np.int32)
+        rows = pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(tokens.astype("<u4").tobytes())])
+        none = pa.nulls
+        yield pa.RecordBatch.from_arrays([
+            ids, pa.array(np.full(k, chunk)), pa.array(np.zeros(k, np.int32)), pa.array(held), pa.array(cls.astype(np.int32)),
+            rows, none(k, pa.list_(pa.string())), none(k, pa.list_(pa.int32())), none(k, pa.list_(pa.int64()))], names=names)
+        words = pa.array([w.decode("utf-8", "replace") for w in self.number], pa.string())
+        owner, learn = np.repeat(cls, size), np.repeat(~held, size)
+        for c in np.unique(cls).tolist():
+            mine = tokens[owner == c]
+            counts = np.bincount(tokens[(owner == c) & learn], minlength=n)
+            used = np.unique(mine)
+            cuts = _slices(len(used))
+            s = len(cuts)
+            yield pa.RecordBatch.from_arrays([
+                none(s, ids.type), pa.array(np.full(s, chunk)), pa.array(np.ones(s, np.int32)), none(s, pa.bool_()),
+                pa.array(np.full(s, c, np.int32)), none(s, pa.binary()), _lists(words.take(pa.array(used)), cuts),
+                _lists(pa.array(used.astype(np.int32)), cuts), _lists(pa.array(counts[used].astype(np.int64)), cuts)], names=names)
 
 
-def _encode_texts(docs: DataFrame, model: langid.TextModel, id_col: str, text_col: str, held_out) -> str:
-    """Write (kind 0) each row's class, numbers of its distinct words and their counts, and (kind 1) each chunk's
-    words with their classes and training counts. Returns the path."""
+def _encode_texts(docs: DataFrame, model: langid.TextModel, id_col: str, text_col: str, held_out: Column) -> DataFrame:
+    """Written rows of two kinds. 0: each row's class and the numbers of its words in order. 1: a chunk's words of a
+    class with their numbers and training counts."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of bounded size
-    kind = docs.schema[id_col].dataType.simpleString()
-    names = ["doc_id", *(x.split()[0] for x in _TEXT_SCHEMA.split(", "))]
+    schema = (f"doc_id {docs.schema[id_col].dataType.simpleString()}, chunk long, kind int, held_out boolean, cls int, "
+              "tokens binary, words array<string>, ids array<int>, counts array<long>")
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, part, n = shared.value, TaskContext.get().partitionId(), 0
-        prior = np.log(langid._prior(m.log.shape[1]))
-        number: dict[bytes, int] = {}
-        train: list[np.ndarray] = []
-        rows: list[tuple] = []
-        size = 0
-
-        def close() -> Iterator[pa.RecordBatch]:
-            doc_ids = pa.concat_arrays([r[0] for r in rows])
-            k = len(rows)
-            yield pa.RecordBatch.from_arrays([
-                doc_ids, pa.array(np.full(k, _chunk(part, n))), pa.array(np.zeros(k, np.int32)),
-                pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.int32()),
-                pa.array([r[3].astype("<u4").tobytes() for r in rows], pa.binary()),
-                pa.array([r[4].astype("<u4").tobytes() for r in rows], pa.binary()),
-                pa.nulls(k, pa.list_(pa.string())), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names=names)
-            counts = np.zeros(len(number), np.int64)
-            for ids, own in train:
-                counts[ids] += own
-            keys = list(number)
-            for lo in range(0, len(keys), 1 << 14):
-                some = keys[lo:lo + (1 << 14)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.nulls(1, doc_ids.type), pa.array([_chunk(part, n)]), pa.array([1], pa.int32()),
-                    pa.nulls(1, pa.bool_()), pa.array([lo], pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
-                    pa.array([[w[1:].decode("utf-8", "replace") for w in some]], pa.list_(pa.string())),
-                    pa.array([bytes(w[0] for w in some)], pa.binary()),
-                    pa.array([counts[lo:lo + len(some)].astype("<i8").tobytes()], pa.binary())], names=names)
-
+        part, n, chunk = TaskContext.get().partitionId() << 32, 0, _Chunk(shared.value)
         for b in batches:
-            held = b.column(2).to_pylist()
-            for i, t in enumerate(raw(b.column(1))):
-                cls = int((m.evidence(t) + prior).argmax())
-                mark = bytes([cls])
-                # The words of a class are numbered apart: its mark stands before each.
-                words = [mark + w for w in t.lower().split()]
-                words.append(mark + END.encode())
-                found = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
-                ids, counts = np.unique(found, return_counts=True)
-                rows.append((b.column(0).slice(i, 1), bool(held[i]), cls, ids, counts))
-                if not held[i]:
-                    train.append((ids, counts))
-                size += len(t)
-                if size >= CHUNK_BYTES:
-                    yield from close()
-                    number, train, rows, size, n = {}, [], [], 0, n + 1
-        if rows:
-            yield from close()
+            for first, k in runs(b.column(1)):
+                chunk.add(b.column(0).slice(first, k), b.column(1).slice(first, k),
+                          b.column(2).slice(first, k).to_numpy(zero_copy_only=False).astype(bool))
+                if chunk.bytes >= CHUNK_BYTES:
+                    yield from chunk.batches(part + n, names)
+                    n, chunk = n + 1, _Chunk(shared.value)
+        if chunk.ids:
+            yield from chunk.batches(part + n, names)
 
     path = shared_path(docs.sparkSession, "ppm-texts")
-    (docs.select(F.col(id_col), F.col(text_col), held_out).mapInArrow(run, f"doc_id {kind}, {_TEXT_SCHEMA}")
+    (docs.select(F.col(id_col), F.col(text_col), held_out).mapInArrow(run, schema)
      .write.option("compression", "zstd").partitionBy("kind").parquet(path))
-    return path
-
+    return docs.sparkSession.read.schema(schema).parquet(path)
 
-def _chunk_words(texts: DataFrame) -> DataFrame:
-    """(chunk, id, cls, word, n): each chunk's words of each class, with their training counts in it."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                words = b.column(2)[i].values
-                k = len(words)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(k, b.column(0)[i].as_py())), pa.array(np.arange(k, dtype=np.int32) + b.column(1)[i].as_py()),
-                    pa.array(np.frombuffer(b.column(3)[i].as_py(), np.uint8).astype(np.int32)), words,
-                    pa.array(np.frombuffer(b.column(4)[i].as_py(), "<i8"))], names=["chunk", "id", "cls", "word", "n"])
+def _count_words(texts: DataFrame) -> DataFrame:
+    """(word, cls, n, total, first, chunks, ids): training counts of words in each class and in all, and where they are.
 
-    return texts.where("kind = 1").select("chunk", "cls", "words", "classes", "train").mapInArrow(
-        run, "chunk long, id int, cls int, word string, n long")
+    A word has a row for each class and each ``PIECE`` tasks whose chunks hold it, so that lists stay short; ``first``
+    marks one row of each word.
+    """
+    rows = texts.where("kind = 1").select("chunk", "cls", F.explode(F.arrays_zip("words", "ids", "counts")).alias("x"))
+    rows = rows.select("x.words", "cls", "chunk", "x.ids", "x.counts").toDF("word", "cls", "chunk", "id", "n")
+    piece = F.floor(F.shiftright("chunk", 32) / PIECE).cast("int").alias("piece")
+    rows = rows.repartition("word").groupBy("word", "cls", piece).agg(
+        F.sum("n").alias("n"), F.collect_list(F.struct("chunk", "id")).alias("x"))
+    word = Window.partitionBy("word")
+    return rows.select("word", "cls", "n", F.sum("n").over(word).alias("total"),
+                       (F.row_number().over(word.orderBy("cls", "piece")) == 1).alias("first"),
+                       F.col("x.chunk").alias("chunks"), F.col("x.id").alias("ids"))
 
 
 # -- words as chunks of numbered contexts -------------------------------------------------------------------------
@@ -138,35 +189,40 @@ def events(words: list[bytes], classes: np.ndarray, order: int = ORDER) -> tuple
     return code, size
 
 
-def _encode_words(vocabulary: DataFrame) -> str:
-    """Write (kind 0) the words with the numbers of their events, and (kind 1) each chunk's events with their counts."""
-    names = ["word", "cls", "chunk", "kind", "ids", "events", "counts"]
+def _encode_words(vocabulary: DataFrame) -> DataFrame:
+    """Written rows of two kinds. 0: a word's row of ``vocabulary`` and the numbers of its events. 1: a chunk's events
+    with their numbers and counts."""
+    ids, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+    schema = ("group long, kind int, cls int, total long, chunks array<long>, ids array<int>, places array<int>, "
+              "events array<long>, counts array<long>")
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, n = TaskContext.get().partitionId(), 0
+        part, n = TaskContext.get().partitionId() << 32, 0
         held: list[pa.RecordBatch] = []
 
         def close() -> Iterator[pa.RecordBatch]:
-            t = pa.Table.from_batches(held).combine_chunks()
-            words = list(raw(t.column("word")))
-            classes, count = t.column("cls").to_numpy(), t.column("n").to_numpy()
+            words = [w for b in held for w in raw(b.column(0))]
+            classes, count = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in (1, 2))
             code, size = events(words, classes)
+            del words
             distinct, index = np.unique(code, return_inverse=True)
             counts = np.bincount(index, weights=np.repeat(count, size), minlength=len(distinct)).astype(np.int64)
-            k, chunk = len(words), _chunk(part, n)
-            ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-            for lo in range(0, k, 1 << 14):
-                hi = min(k, lo + (1 << 14))
-                at = ends[lo:hi + 1]
-                lists = pa.ListArray.from_arrays(pa.array(at - at[0]), pa.array(index[at[0]:at[-1]].astype(np.int32)))
+            ends, row = np.concatenate([[0], np.cumsum(size)]), 0
+            for b in held:
+                k = b.num_rows
+                at = ends[row:row + k + 1]
+                lists = pa.ListArray.from_arrays(pa.array((at - at[0]).astype(np.int32)), pa.array(index[at[0]:at[-1]].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([
-                    t.column("word").slice(lo, hi - lo).combine_chunks(), t.column("cls").slice(lo, hi - lo).combine_chunks(),
-                    pa.array(np.full(hi - lo, chunk)), pa.array(np.zeros(hi - lo, np.int32)), lists,
-                    pa.nulls(hi - lo, pa.binary()), pa.nulls(hi - lo, pa.binary())], names=names)
+                    pa.array(np.full(k, part + n)), pa.array(np.zeros(k, np.int32)), b.column(1), b.column(3), b.column(4), b.column(5),
+                    lists, pa.nulls(k, longs), pa.nulls(k, longs)], names=names)
+                row += k
+            cuts = _slices(len(distinct))
+            s = len(cuts)
             yield pa.RecordBatch.from_arrays([
-                pa.nulls(1, pa.string()), pa.nulls(1, pa.int32()), pa.array([chunk]), pa.array([1], pa.int32()),
-                pa.nulls(1, pa.list_(pa.int32())), pa.array([distinct.astype("<u8").tobytes()], pa.binary()),
-                pa.array([counts.astype("<i8").tobytes()], pa.binary())], names=names)
+                pa.array(np.full(s, part + n)), pa.array(np.ones(s, np.int32)), pa.nulls(s, pa.int32()), pa.nulls(s, pa.int64()),
+                pa.nulls(s, longs), _lists(pa.array(np.arange(len(distinct), dtype=np.int32)), cuts), pa.nulls(s, ids),
+                _lists(pa.array(distinct.view(np.int64)), cuts), _lists(pa.array(counts), cuts)], names=names)
 
         rows = 0
         for b in batches:
@@ -179,28 +235,9 @@ def _encode_words(vocabulary: DataFrame) -> str:
             yield from close()
 
     path = shared_path(vocabulary.sparkSession, "ppm-words")
-    (vocabulary.select("word", "cls", "n").mapInArrow(
-        run, "word string, cls int, chunk long, kind int, ids array<int>, events binary, counts binary")
+    (vocabulary.select("word", "cls", "n", "total", "chunks", "ids").mapInArrow(run, schema)
      .write.option("compression", "zstd").partitionBy("kind").parquet(path))
-    return path
-
-
-def _chunk_events(words: DataFrame) -> DataFrame:
-    """(chunk, id, event, n)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                e = np.frombuffer(b.column(1)[i].as_py(), "<i8")
-                c = np.frombuffer(b.column(2)[i].as_py(), "<i8")
-                for lo in range(0, len(e), 1 << 16):
-                    k = min(len(e) - lo, 1 << 16)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(k, b.column(0)[i].as_py())), pa.array(np.arange(lo, lo + k, dtype=np.int32)),
-                        pa.array(e[lo:lo + k]), pa.array(c[lo:lo + k])], names=["chunk", "id", "event", "n"])
-
-    return words.where("kind = 1").select("chunk", "events", "counts").mapInArrow(
-        run, "chunk long, id int, event long, n long")
+    return vocabulary.sparkSession.read.schema(schema).parquet(path)
 
 
 # -- the tries ----------------------------------------------------------------------------------------------------
@@ -260,8 +297,8 @@ def log_probabilities(event: np.ndarray, count: np.ndarray, low: np.ndarray, ord
 
 
 def _score_events(counted: DataFrame, classes: int) -> DataFrame:
-    """(event, logp). Events meet by class and the last two bytes of their context; what shorter contexts hold is a
-    table of at most 65,536 counts a class, which every task gets."""
+    """(group, id, logp) from (event, n, x): events meet by class and the last two bytes of their context; what shorter
+    contexts hold is a table of at most 65,536 counts a class, which every task gets."""
     low = np.zeros((classes, 256, 256), np.int64)
     pair = F.col("event").bitwiseAND(F.lit(0xFFFF))
     cls = F.shiftrightunsigned("event", 56)
@@ -270,101 +307,97 @@ def _score_events(counted: DataFrame, classes: int) -> DataFrame:
     shared = counted.sparkSession.sparkContext.broadcast(low)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        event, n = [], []
-        for b in batches:  # distinct contexts that end in a share of the byte pairs
-            event.append(b.column(0).to_numpy()), n.append(b.column(1).to_numpy())
-        if event:
-            event, n = np.concatenate(event), np.concatenate(n)
+        held = list(batches)  # the distinct contexts that end in a share of the byte pairs
+        if held:
+            event, n = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in (0, 1))
             p = log_probabilities(event.view(np.uint64), n, shared.value)
-            for lo in range(0, len(p), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(event[lo:lo + (1 << 16)]), pa.array(p[lo:lo + (1 << 16)])],
-                                                 names=["event", "logp"])
+            row = 0
+            for b in held:
+                yield pa.RecordBatch.from_arrays([b.column(2), pa.array(p[row:row + b.num_rows])], names=["x", "logp"])
+                row += b.num_rows
 
     dealt = counted.repartition(cls, F.shiftright("event", 8).bitwiseAND(F.lit(0xFFFF)))
-    return dealt.mapInArrow(run, "event long, logp double")
+    scored = dealt.select("event", "n", "x").mapInArrow(run, "x array<struct<group:long,id:int>>, logp double")
+    return scored.select(F.explode("x").alias("x"), "logp").select("x.group", "x.id", "logp")
 
 
 def _score_words(vocabulary: DataFrame, classes: int) -> DataFrame:
-    """(word, cls, logp): the summed log10 probabilities of each word's events."""
-    spark = vocabulary.sparkSession
-    words = spark.read.parquet(_encode_words(vocabulary))
-    found = table(_chunk_events(words), "chunk-events")
-    counted = table(found.groupBy("event").agg(F.sum("n").alias("n")), "events")
-    scored = table(_score_events(counted, classes), "event-scores")
-    own = found.select("chunk", "id", "event").join(scored, "event").select("chunk", "id", "logp")
+    """(chunk, id, cls, total, logp): for each place that ``vocabulary`` notes, the summed log10 probabilities of the
+    word's events."""
+    words = _encode_words(vocabulary)
+    rows = words.where("kind = 1").select("group", F.explode(F.arrays_zip("events", "ids", "counts")).alias("x"))
+    counted = rows.groupBy(F.col("x.events").alias("event")).agg(
+        F.sum("x.counts").alias("n"), F.collect_list(F.struct("group", F.col("x.ids").alias("id"))).alias("x"))
+    scored = _score_events(table(counted, "events"), classes)
 
     def run(words: pa.Table, scores: pa.Table) -> pa.Table:
         p = np.zeros(scores.num_rows)
         p[scores.column("id").to_numpy()] = scores.column("logp").to_numpy()
-        lists = words.column("ids").combine_chunks()
-        at = lists.offsets.to_numpy()
-        sums = np.add.reduceat(p[lists.values.to_numpy()], at[:-1] - at[0]) if words.num_rows else np.zeros(0)
-        return pa.table({"word": words.column("word"), "cls": words.column("cls"), "logp": pa.array(sums)})
-
-    rows = words.where("kind = 0").select("chunk", "word", "cls", "ids")
-    return rows.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(run, "word string, cls int, logp double")
+        out = []
+        for b in words.to_batches():
+            places, chunks = b.column("places"), b.column("chunks")
+            at = places.offsets.to_numpy()
+            sums = np.add.reduceat(p[places.values.to_numpy()[at[0]:at[-1]]], at[:-1] - at[0])
+            n = np.diff(chunks.offsets.to_numpy())
+            row = pa.array(np.repeat(np.arange(len(n)), n))
+            out.append(pa.table({"chunk": chunks.flatten(), "id": b.column("ids").flatten(), "cls": b.column("cls").take(row),
+                                 "total": b.column("total").take(row), "logp": pa.array(np.repeat(sums, n))}))
+        return pa.concat_tables(out)
+
+    rows = words.where("kind = 0").select("group", "cls", "total", "chunks", "ids", "places")
+    return rows.groupBy("group").cogroup(scored.groupBy("group")).applyInArrow(
+        run, "chunk long, id int, cls int, total long, logp double")
 
 
 # -- documents ----------------------------------------------------------------------------------------------------
-def score(docs: DataFrame, held_out, id_col: str = "doc_id",
-          text_col: str = "text", lang_col: str = "lang", model: langid.TextModel | None = None) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          model: langid.TextModel | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
 
     ``held_out``: a column that is true for rows not to learn from (null: learn). The classes come from ``model``, by
-    default the language identifier fitted to the rows learned from. n_tokens counts words and the end. base_score is
-    the add-one word model's log10 probability, score that of the tries. Null and empty texts are an end alone.
-    Repeated rows and rows without an id keep a row each. Other columns are ignored. An empty table gives no row.
+    default the language identifier's text model of the rows learned from. n_tokens counts words and the end.
+    base_score is the add-one word model's log10 probability, score that of the tries. Null and empty texts are an end
+    alone. Repeated rows and rows without an id keep a row each. Other columns are ignored. An empty table gives no
+    row.
     """
-    spark = docs.sparkSession
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
     if model is None:
         model = langid.fit(docs.where(~held), id_col=id_col, text_col=text_col, lang_col=lang_col)
     classes = model.log.shape[1]
-    texts = spark.read.schema(_read_schema(docs, id_col)).parquet(_encode_texts(docs, model, id_col, text_col, held))
-    found = table(_chunk_words(texts), "chunk-words")
-    counted = found.repartition("word").groupBy("word", "cls").agg(F.sum("n").alias("n"))
-    vocabulary = table(counted, "vocabulary")
-    scored = table(_score_words(vocabulary, classes), "word-scores")
-    total = table(vocabulary.groupBy("word").agg(F.sum("n").alias("total")), "totals")
-    sums = total.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.count_if(F.col("total") > 0).alias("v")).first()
+    texts = _encode_texts(docs, model, id_col, text_col, held)
+    vocabulary = table(_count_words(texts), "vocabulary")
+    sums = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                          F.count_if(F.col("first") & (F.col("total") > 0)).alias("v")).first()
     # V counts the end, which is one of the words.
     tokens, rest = int(sums["n"]), float(np.log10(sums["n"] + max(1, sums["v"]) + 1))
     ends = np.zeros(classes)
-    for r in vocabulary.where(F.col("word") == END).collect():  # at most one row a class
+    for r in vocabulary.where(F.col("word") == END).groupBy("cls").agg(F.sum("n").alias("n")).collect():
         ends[r["cls"]] = r["n"]
     prior = np.log10((ends + 1) / (ends.sum() + classes))
-    known = scored.join(total, "word")
-    own = found.select("chunk", "id", "word", "cls").join(known, ["word", "cls"]).select("chunk", "id", "total", "logp")
 
     def run(rows: pa.Table, scores: pa.Table) -> pa.Table:
-        at = scores.column("id").to_numpy()
-        c, p = np.zeros(len(at), np.int64), np.zeros(len(at))
-        c[at], p[at] = scores.column("total").to_numpy(), scores.column("logp").to_numpy()
-        base, seen = np.log10(c + 1) - rest, c > 0
-        out = np.zeros((rows.num_rows, 2))
-        n = np.zeros((rows.num_rows, 2), np.int64)
-        cls = rows.column("cls").to_numpy()
-        ids, counts = rows.column("ids").to_pylist(), rows.column("counts").to_pylist()
-        for i, (a, b) in enumerate(zip(ids, counts, strict=True)):
-            a, b = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4").astype(np.int64)
-            n[i] = b.sum(), b[seen[a]].sum()
-            out[i] = b @ base[a], b @ p[a] + prior[cls[i]]
-        return pa.table({"doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"),
-                         "n_tokens": pa.array(n[:, 0]), "n_known": pa.array(n[:, 1]),
-                         "train_tokens": pa.array(np.full(len(n), tokens)), "base_score": pa.array(out[:, 0]),
-                         "score": pa.array(out[:, 1])})
-
-    rows = texts.where("kind = 0").select("chunk", "doc_id", "held_out", "cls", "ids", "counts")
+        k = rows.num_rows
+        n = int(pc.max(scores.column("id")).as_py()) + 1
+        base, p, seen = np.zeros(n), np.zeros((classes, n)), np.zeros(n, bool)
+        at, total = scores.column("id").to_numpy(), scores.column("total").to_numpy()
+        base[at], seen[at] = np.log10(total + 1) - rest, total > 0
+        p[scores.column("cls").to_numpy(), at] = scores.column("logp").to_numpy()
+        cls, held = rows.column("cls").to_numpy(), list(raw(rows.column("tokens")))
+        size = np.fromiter(map(len, held), np.int64, k) // 4
+        found, first = np.frombuffer(b"".join(held), "<u4"), np.cumsum(size) - size
+        return pa.table({
+            "doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), "n_tokens": pa.array(size),
+            "n_known": pa.array(np.add.reduceat(seen[found].astype(np.int64), first)),
+            "train_tokens": pa.array(np.full(k, tokens)), "base_score": pa.array(np.add.reduceat(base[found], first)),
+            "score": pa.array(np.add.reduceat(p[np.repeat(cls, size), found], first) + prior[cls])})
+
+    rows = texts.where("kind = 0").select("chunk", "doc_id", "held_out", "cls", "tokens")
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(
+    return rows.groupBy("chunk").cogroup(_score_words(vocabulary, classes).groupBy("chunk")).applyInArrow(
         run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
              "score double")
 
 
-def _read_schema(docs: DataFrame, id_col: str) -> str:
-    return f"doc_id {docs.schema[id_col].dataType.simpleString()}, " + _TEXT_SCHEMA
-
-
-def held_out(id_col: str = "doc_id"):
+def held_out(id_col: str = "doc_id") -> Column:
     """True for ids whose crc32 as text is 2 modulo 7."""
     return crc32_mod(id_col, 7) == 2

@@ -25,7 +25,7 @@ _MARK = "\x01"
 _REMEMBER = 1 << 19
 _REMEMBER_BYTES = 64 << 20
 #: Bytes of text encoded together.
-_AT_ONCE = 4 << 20
+_AT_ONCE = 2 << 20
 
 
 _LATIN = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
