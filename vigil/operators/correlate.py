@@ -45,8 +45,6 @@ PARAM_CLASSES = [
 MAC_PARAM_WORDS = ["selinux", "apparmor", "security"]
 PROCESS_PARAM_WORDS = ["exec", "ptrace", "randomize", "mmap"]
 
-VOCAB_BROADCAST_LIMIT = 10_000  # J9: distinct module words broadcast only up to this many
-
 
 def _any_contains(col: Column, words: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.instr(col, w) > 0 for w in words])
@@ -237,10 +235,11 @@ def _module_signatures(modules: DataFrame) -> DataFrame:
                           F.array_sort(F.array_distinct(F.concat(F.array(name), words))).alias("sig"))
 
 
-def module_kernel_conflict(findings: DataFrame, vocab_limit: int = VOCAB_BROADCAST_LIMIT):
+def module_kernel_conflict(findings: DataFrame):
     """medium/high modules whose name (or a word of it) occurs in a parameter title -> one medium/60.
 
-    References: every security module once, then each parameter once per matching module.
+    References: every security module once, then each parameter once per matching module. Module words
+    meet titles by an equi-join: a title emits its substrings of the lengths that module words have.
     """
     mods = _bucket(findings, "modules").where(F.col("severity").isin("medium", "high"))
     params = _bucket(findings, "kernel_params").select(
@@ -249,19 +248,14 @@ def module_kernel_conflict(findings: DataFrame, vocab_limit: int = VOCAB_BROADCA
     sig_counts = sig.groupBy("sig").agg(F.count(F.lit(1)).alias("c"))           # pre-aggregate modules
     sig_words = sig_counts.select("sig", "c", F.explode("sig").alias("w"))
     vocab = sig_words.select("w").distinct()
-    n_vocab = vocab.count()
-    if n_vocab <= vocab_limit:
-        # bounded vocabulary: broadcast it and test containment per parameter
-        hits = params.join(F.broadcast(vocab), F.instr(F.col("pt"), F.col("w")) > 0)
-    else:
-        # large vocabulary: equi-join on every substring of the (short) parameter titles
-        lens = sig_words.select(F.length("w").alias("L")).distinct()
-        max_len = lens.agg(F.max("L")).first()[0] or 0
-        subs = params.select("id", "ord", "pt", F.explode(F.sequence(F.lit(0), F.lit(max_len))).alias("L")) \
-            .select("id", "ord", "pt", "L", F.explode(F.sequence(F.lit(1), F.greatest(F.length("pt"), F.lit(1))))
-                    .alias("s")) \
-            .select("id", "ord", F.substring(F.col("pt"), F.col("s"), F.col("L")).alias("w")).distinct()
-        hits = subs.join(vocab, "w")
+    lengths = vocab.agg(F.array_sort(F.collect_set(F.length("w"))).alias("a")).select("a").scalar()
+    # A word of length n starts at 1 .. length - n + 1; the empty word occurs in every title.
+    starts = F.sequence(F.lit(1), F.greatest(F.length("pt") - F.col("n") + 1, F.lit(1)))
+    subs = (params.select("id", "ord", "pt", F.explode(lengths).alias("n"))
+            .where(F.col("n") <= F.length("pt"))
+            .select("id", "ord", "pt", "n", F.explode(starts).alias("s"))
+            .select("id", "ord", F.substring(F.col("pt"), F.col("s"), F.col("n")).alias("w")).distinct())
+    hits = subs.join(vocab, "w")
     pairs = hits.select("id", "ord", "w").join(sig_words.select("sig", "c", "w"), "w") \
         .select("id", "ord", "sig", "c").distinct()
     per_param = pairs.groupBy("id", "ord").agg(F.sum("c").alias("n"))

@@ -122,15 +122,15 @@ def similar_pairs(reps: DataFrame, t: float) -> DataFrame:
     return oriented.mapInPandas(_ratio_batches(t), "u long, v long, ratio double")
 
 
-def greedy_keep(reps: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
-    """Lexicographically-first maximal independent set under ``rk`` (rounds, checkpointed)."""
+def greedy_keep(reps: DataFrame, edges: DataFrame) -> DataFrame:
+    """Lexicographically-first maximal independent set under ``rk``.
+
+    Rounds, each checkpointed, until no pattern is undecided; every round decides at least the best-ranked one.
+    """
     ensure_checkpoint_dir(reps.sparkSession)
     state = reps.select("rid", F.lit("u").alias("st")).checkpoint()
     e = edges.select("u", "v").checkpoint()
-    for _ in range(max_rounds):
-        und = state.where(F.col("st") == "u").select("rid")
-        if und.isEmpty():
-            break
+    while not (und := state.where(F.col("st") == "u").select("rid")).isEmpty():
         # undecided v with an undecided better-ranked neighbour u is not ready
         blocked = (e.join(und.withColumnRenamed("rid", "u"), "u").join(und.withColumnRenamed("rid", "v"), "v")
                    .select(F.col("v").alias("rid")).distinct())

@@ -12,7 +12,7 @@ ev AS (
          CASE event_type WHEN 'click' THEN 'processes' WHEN 'view' THEN 'network'
               WHEN 'error' THEN 'ioc' WHEN 'signup' THEN 'suid'
               WHEN 'purchase' THEN 'world_writable' ELSE 'unknown' END AS scanner,
-         LEAST(100.0, CAST(FLOOR(value) AS DOUBLE)) AS risk_score
+         CAST(FLOOR(value) AS DOUBLE) AS risk_score
   FROM events
 ),
 findings AS (
@@ -228,7 +228,7 @@ kp AS (
 mods AS (
   SELECT 'mod_' || CAST(s_suppkey AS VARCHAR) AS id, s_suppkey AS ord, 'modules' AS scanner, 'modules' AS category,
          'Module ' || coalesce(split_part(p.p_name, ' ', 1), 'unknown') AS title,
-         greatest(0.0, least(100.0, CAST(floor(s_acctbal / 100) AS DOUBLE))) AS risk_score, '{}' AS metadata
+         CAST(floor(s_acctbal / 100) AS DOUBLE) AS risk_score, '{}' AS metadata
   FROM supplier s LEFT JOIN part p ON p.p_partkey = s.s_suppkey),
 macs AS (
   SELECT 'mac_' || CAST(c_custkey AS VARCHAR) AS id, c_custkey AS ord, 'mac' AS scanner, 'mac' AS category,

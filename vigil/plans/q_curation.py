@@ -228,7 +228,7 @@ def q_stratified_split(spark, sf_dir):
 
 
 # D5 intelligent sampling ------------------------------------------------------------------------
-@query("intelligent_sample", _F + f"""
+INTELLIGENT_SQL = _F + f"""
 , base AS (SELECT *, coalesce(category, 'unknown') AS cat,
              CASE WHEN severity IN ('high', 'critical') THEN 0 WHEN severity = 'medium' THEN 1
                   WHEN severity IN ('low', 'info') THEN 2 END AS c FROM findings),
@@ -247,28 +247,58 @@ SELECT id, category, severity FROM (
   SELECT ranked.*, CASE WHEN c = 0 THEN r WHEN c = 1 THEN (CASE WHEN r <= mt THEN h + r END)
                         ELSE (CASE WHEN r <= lt THEN h + mt + r END) END AS pos, ct
   FROM ranked JOIN pc3 USING (cat)) t
-WHERE pos IS NOT NULL AND pos <= ct""", ops=("D5", "T9"))
+WHERE pos IS NOT NULL AND pos <= ct"""
+
+
+@query("intelligent_sample", INTELLIGENT_SQL, ops=("D5", "T9"))
 def q_intelligent_sample(spark, sf_dir):
     return sp.intelligent_sample(findings(spark, sf_dir), SAMPLE_TARGET, seed=SEED).select("id", "category", "severity")
 
 
 # D11 quotas / D12 scenario --------------------------------------------------------------------
-# The three named recipes' per-category quotas (generator script), applied to real rows.
+# FIXED VALUES: the three recipes' per-category quotas; categories a recipe does not list keep all rows.
 QUOTA_RECIPES = {
-    "sft": {"processes": 80, "network": 80, "ioc": 60, "suid": 40, "world_writable": 40},
+    "sft": {"processes": 50, "network": 50, "suid": 50, "kernel_params": 50, "modules": 40, "ioc": 40, "mac": 40,
+            "dns": 40, "endpoint_behavior": 40, "world_writable": 40},
+    "grpo": {"processes": 300, "network": 300, "suid": 200, "kernel_params": 200, "ioc": 200},
+    "eval": {"processes": 30, "network": 30, "suid": 30, "kernel_params": 30, "modules": 30, "ioc": 30, "mac": 30,
+             "dns": 30, "endpoint_behavior": 30, "world_writable": 30},
 }
 
 
-@query("category_quotas", _F + f"""
+def _quota_sql(cases: str) -> str:
+    """The expected numbers are written out here once more, apart from the recipes above."""
+    return _F + f"""
 SELECT id, category FROM (
   SELECT *, row_number() OVER (PARTITION BY category ORDER BY md5('{SEED}|' || id), ord) AS r,
-         CASE category {" ".join(f"WHEN '{k}' THEN {v}" for k, v in QUOTA_RECIPES['sft'].items())} END AS q
+         {cases} AS q
   FROM findings) t
-WHERE q IS NULL OR r <= q""", ops=("D11",))
+WHERE q IS NULL OR r <= q"""
+
+
+@query("category_quotas", _quota_sql("CASE WHEN category IN ('ioc', 'world_writable') THEN 40 ELSE 50 END"), ops=("D11",))
 def q_category_quotas(spark, sf_dir):
     return sp.apply_quotas(findings(spark, sf_dir), QUOTA_RECIPES["sft"], seed=SEED).select("id", "category")
 
 
+@query("category_quotas_grpo", _quota_sql("""CASE category WHEN 'processes' THEN 300 WHEN 'network' THEN 300
+         WHEN 'suid' THEN 200 WHEN 'ioc' THEN 200 END"""), ops=("D11",))
+def q_category_quotas_grpo(spark, sf_dir):
+    return sp.apply_quotas(findings(spark, sf_dir), QUOTA_RECIPES["grpo"], seed=SEED).select("id", "category")
+
+
+@query("category_quotas_eval", _quota_sql("30"), ops=("D11",))
+def q_category_quotas_eval(spark, sf_dir):
+    return sp.apply_quotas(findings(spark, sf_dir), QUOTA_RECIPES["eval"], seed=SEED).select("id", "category")
+
+
+# D5 over input positions beyond 2^51, as files of a large read give them
+@query("intelligent_sample_far", INTELLIGENT_SQL, ops=("D5",))
+def q_intelligent_sample_far(spark, sf_dir):
+    far = findings(spark, sf_dir).withColumn("ord", F.col("ord") + F.lit(1 << 51))
+    return sp.intelligent_sample(far, SAMPLE_TARGET, seed=SEED).select("id", "category", "severity")
+
+
 SCENARIO_WEIGHTS = {"normal": 0.45, "suspicious": 0.35, "malicious": 0.15, "edge_case": 0.05}
 
 

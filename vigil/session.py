@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,18 +40,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) is a
-    fresh scratch folder created and registered.
+    The cluster's setting always wins. Where it is unset, a scratch folder is
+    made for a master that runs in this one process (tests, the bench); on any
+    other master that is an error, since executors would not share the folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    # Unset: only happens in local tests, never on a cluster.
-    local = tempfile.mkdtemp(prefix="vigil-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(local)
-    return local
+    if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="vigil-ckpt-", dir="/tmp")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured

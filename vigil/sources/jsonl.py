@@ -103,7 +103,7 @@ def jsonl_errors(spark: SparkSession, paths: list[str] | str) -> DataFrame:
             .when(v.isNotNull() & ~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)),
                   F.lit("not_object")))
     return (lines.select(F.col("_file").alias("file"), "line", code.alias("code"),
-                         F.substring(F.col("value"), 1, 200).alias("detail"))
+                         F.col("value").alias("detail"))
             .where(F.col("code").isNotNull()))
 
 

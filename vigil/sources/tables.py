@@ -34,21 +34,7 @@ PRIORITY_RISK = {"1-URGENT": 95.0, "2-HIGH": 80.0, "3-MEDIUM": 55.0, "4-NOT SPEC
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
-
-    A file with a single row group is read by one task however large it is, so
-    every per-row expression on it would run single-threaded. On inputs that
-    already split into enough partitions (the large-table case) this is a no-op:
-    no shuffle is added.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _map_expr(col: Column, mapping: dict, default=None) -> Column:
@@ -61,7 +47,7 @@ def _map_expr(col: Column, mapping: dict, default=None) -> Column:
 def findings_from_events(events: DataFrame, scanners: list[str] | None = None) -> DataFrame:
     """events -> findings (one finding per event).
 
-    id ``evt_<event_id>``; scanner from event type; risk = least(100, floor(value));
+    id ``evt_<event_id>``; scanner from event type; risk = floor(value);
     severity from the half-open cuts 20/40/70/90; metadata {port, user}; ord = event_id.
     ``scanners`` restricts the buckets with a predicate on the raw ``event_type`` column, so the
     filter reaches the parquet scan (a predicate on the derived scanner name would not).
@@ -71,7 +57,7 @@ def findings_from_events(events: DataFrame, scanners: list[str] | None = None) -
         events = events.where(F.col("event_type").isin(*types))
     port = F.get_json_object(F.col("props"), "$.k")
     scanner = _map_expr(F.col("event_type"), EVENT_SCANNER, "unknown")
-    risk = F.least(F.lit(100.0), F.floor(F.col("value")).cast("double"))
+    risk = F.floor(F.col("value")).cast("double")
     return (
         events.select(
             F.concat(F.lit("evt_"), F.col("event_id").cast("string")).alias("id"),
@@ -193,7 +179,7 @@ def kernel_params_from_part(part: DataFrame) -> DataFrame:
 def modules_from_supplier(supplier: DataFrame, part: DataFrame) -> DataFrame:
     """supplier (+ the part with the same key) -> modules findings titled ``Module <first part word>``."""
     word = F.split(F.col("p_name"), " ").getItem(0)
-    risk = F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.floor(F.col("s_acctbal") / 100).cast("double")))
+    risk = F.floor(F.col("s_acctbal") / 100).cast("double")
     joined = supplier.join(part.select(F.col("p_partkey").alias("s_suppkey"), "p_name"), "s_suppkey", "left")
     return _banded(joined.select(
         F.concat(F.lit("mod_"), F.col("s_suppkey").cast("string")).alias("id"),
