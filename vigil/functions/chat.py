@@ -3,14 +3,11 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vigil.functions import fixed
+from vigil.functions import jsontext as jt
 from vigil.functions import text as tx
 
 # --- FIXED VALUES: prompts and rationale sentences ----------------------------------------
@@ -115,26 +112,14 @@ def kb_refs(category: Column, meta: Column) -> Column:
 
 
 # --- C1: conversation text -------------------------------------------------------------------------
-def _py_json(v):
-    return json.dumps(v, ensure_ascii=False)
-
-
-@F.pandas_udf(T.StringType())
-def user_block_json(title: pd.Series, description: pd.Series, metadata: pd.Series) -> pd.Series:
-    """``json.dumps({title, description, metadata}, indent=2)`` for byte parity (Arrow batches)."""
-    out = []
-    for t, d, m in zip(title, description, metadata):
-        meta = {}
-        if isinstance(m, str) and m:
-            try:
-                parsed = json.loads(m)
-                meta = parsed if isinstance(parsed, dict) else {"raw": m}
-            except ValueError:
-                meta = {"raw": m}
-        out.append(json.dumps({"title": t if t is not None else fixed.DEFAULT_TITLE,
-                               "description": d if d is not None else "",
-                               "metadata": meta or {}}, ensure_ascii=False, indent=2))
-    return pd.Series(out)
+def user_block_json(title: Column, description: Column, metadata: Column) -> Column:
+    """``{title, description, metadata}`` with two spaces per level; metadata that is no object stands under ``raw``."""
+    raw = F.concat(F.lit('{\n    "raw": '), json_str(metadata), F.lit("\n  }"))
+    meta = (F.when(F.coalesce(metadata, F.lit("")) == "", F.lit("{}"))
+            .when(is_json_object(metadata), jt.indented(jt.tokens(metadata), 1)).otherwise(raw))
+    return F.concat(F.lit('{\n  "title": '), json_str(F.coalesce(title, F.lit(fixed.DEFAULT_TITLE))),
+                    F.lit(',\n  "description": '), json_str(F.coalesce(description, F.lit(""))),
+                    F.lit(',\n  "metadata": '), meta, F.lit("\n}"))
 
 
 def json_str(c: Column) -> Column:

@@ -7,13 +7,12 @@ conversation itself, ordered by turn).
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vigil.functions import chat as ch
 from vigil.functions import fixed
+from vigil.functions import jsontext as jt
 from vigil.functions import text as tx
 from vigil.operators.normalize import coerce_double, coerce_int
 
@@ -115,27 +114,46 @@ def validate_chatml(df: DataFrame, text_col: str = "text") -> DataFrame:
     return out.drop("_u", "_a", "_u_ok", "_brace", "_think", "_ans")
 
 
-def repair_answer(answer_json: F.Column, fb_risk: F.Column, fb_sev: F.Column, fb_cat: F.Column) -> F.Column:
-    """Risk half-even int (else fallback, else 0); severity upper, placeholder -> INFO;
-    category placeholder -> unspecified. Returned as the answer JSON text."""
-    v = F.try_parse_json(answer_json)
+def repair_answers(df: DataFrame, answer: F.Column, fb_risk: F.Column, fb_sev: F.Column, fb_cat: F.Column,
+                   name: str = "answer") -> DataFrame:
+    """``df`` with ``name``, the repaired answer as JSON text.
+
+    risk half-even int (else fallback, else 0); severity upper, placeholder -> INFO; category placeholder ->
+    unspecified. Other keys stay, in their places, and keys that were missing follow them. Steps are columns of
+    their own, so that each is worked out once a row.
+    """
+    staged = df.withColumns({"_answer": answer, "_fr": fb_risk.cast("string"), "_fs": fb_sev, "_fc": fb_cat})
+    staged = staged.withColumn("_object", F.when(ch.is_json_object(F.col("_answer")), F.col("_answer")))
+    staged = staged.withColumn("_variant", F.try_parse_json("_object"))
+    v = F.col("_variant")
     a_risk = coerce_double(F.try_variant_get(v, "$.risk_score", "string"), None)
     a_risk = F.when(~F.isnan(a_risk) & (F.abs(a_risk) < F.lit(float("inf"))), a_risk)
-    f_risk = coerce_double(fb_risk.cast("string"), None)
+    f_risk = coerce_double(F.col("_fr"), None)
     risk = F.coalesce(F.bround(a_risk, 0), F.bround(f_risk, 0), F.lit(0.0)).cast("long")
-    a_sev = F.try_variant_get(v, "$.severity", "string")
-    sev = F.upper(F.coalesce(F.when(a_sev != "", a_sev), F.when(fb_sev != "", fb_sev), F.lit("INFO")))
+    a_sev, fs = F.try_variant_get(v, "$.severity", "string"), F.col("_fs")
+    sev = F.upper(F.coalesce(F.when(a_sev != "", a_sev), F.when(fs != "", fs), F.lit("INFO")))
     sev = F.when(sev.rlike(tx.PLACEHOLDER_RE), F.lit("INFO")).otherwise(sev)
-    a_cat = F.try_variant_get(v, "$.category", "string")
-    cat = F.coalesce(F.when(a_cat != "", a_cat), F.when(fb_cat != "", fb_cat), F.lit("unspecified"))
+    a_cat, fc = F.try_variant_get(v, "$.category", "string"), F.col("_fc")
+    cat = F.coalesce(F.when(a_cat != "", a_cat), F.when(fc != "", fc), F.lit("unspecified"))
     cat = F.when(cat.rlike(tx.PLACEHOLDER_RE), F.lit("unspecified")).otherwise(cat)
-    return F.concat(F.lit('{"risk_score": '), risk.cast("string"), F.lit(', "severity": '), ch.json_str(sev),
-                    F.lit(', "category": '), ch.json_str(cat), F.lit("}"))
+    staged = staged.withColumns({"_risk": risk.cast("string"), "_sev": ch.json_str(sev), "_cat": ch.json_str(cat),
+                                 "_old": jt.entries(jt.tokens(F.col("_object")))})
+    new = [('"risk_score"', F.col("_risk")), ('"severity"', F.col("_sev")), ('"category"', F.col("_cat"))]
+
+    def value(e: F.Column) -> F.Column:
+        return F.coalesce(*[F.when(e["key"] == k, c) for k, c in new], e["value"])
+
+    kept = F.transform("_old", lambda e: F.concat(e["key"], F.lit(": "), value(e)))
+    missing = F.array_compact(F.array(*[F.when(~F.array_contains(F.col("_old.key"), k), F.concat(F.lit(k + ": "), c))
+                                        for k, c in new]))
+    text = F.concat(F.lit("{"), F.array_join(F.concat(kept, missing), ", "), F.lit("}"))
+    return staged.withColumn(name, text).drop("_answer", "_fr", "_fs", "_fc", "_object", "_variant", "_risk", "_sev", "_cat", "_old")
 
 
 # --- C8 / P29 -------------------------------------------------------------------------------------
 def prompt_pairs(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Prompt ending exactly at <think> + normalised ground truth; rows without user/assistant dropped."""
+    """Prompt ending exactly at <think> + normalised ground truth (P29: what the answer lacks comes from the
+    row's own columns); rows without user/assistant dropped."""
     text = F.col(text_col)
     staged = (df.withColumn("_s", ch.block_regex(text, "system"))
                 .withColumn("_u", ch.block_regex(text, "user"))
@@ -147,11 +165,12 @@ def prompt_pairs(df: DataFrame, text_col: str = "text") -> DataFrame:
     v = F.col("_v")
     obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     a_risk = F.when(obj, coerce_double(F.try_variant_get(v, "$.risk_score", "string"), None))
-    risk = F.coalesce(F.bround(a_risk, 0), F.lit(0.0)).cast("long")
+    own_risk = coerce_double(_column(df, "risk_score"), None)
+    risk = F.coalesce(F.bround(a_risk, 0), F.bround(own_risk, 0), F.lit(0.0)).cast("long")
     a_sev = F.when(obj, F.try_variant_get(v, "$.severity", "string"))
-    sev = F.upper(F.trim(F.coalesce(F.when(a_sev != "", a_sev), F.lit("INFO"))))
+    sev = F.upper(F.trim(F.coalesce(_truthy(a_sev), _truthy(_column(df, "severity")), F.lit("INFO"))))
     a_cat = F.when(obj, F.try_variant_get(v, "$.category", "string"))
-    cat = F.coalesce(F.when(a_cat != "", a_cat), F.lit("unspecified"))
+    cat = F.coalesce(_truthy(a_cat), _truthy(_column(df, "category")), F.lit("unspecified"))
     prompt = F.concat_ws("\n", F.lit(ch.IM_START + "system"), F.col("_s"), F.lit(ch.IM_END),
                          F.lit(ch.IM_START + "user"), F.col("_u"), F.lit(ch.IM_END),
                          F.lit(ch.IM_START + "assistant"), F.lit("<think>"))
@@ -175,6 +194,7 @@ def chat_messages(df: DataFrame) -> DataFrame:
 
 
 # --- C11 -------------------------------------------------------------------------------------------
+# FIXED VALUES: the fields an enrichment request asks for.
 ENRICHMENT_FIELDS = ["rationale", "risk_score", "probability_actionable", "mitigation_steps", "attack_vectors",
                      "business_impact", "technical_details"]
 
@@ -250,72 +270,46 @@ def score_completions(df: DataFrame, completion: str = "completion", answer: str
 
 
 # --- P27 / C6 / C7: repair ---------------------------------------------------------------------------
-def _clean_placeholders(obj):
-    """P27: 'unknown' / 'none' / 'null' / 'na' / 'n/a' (whole string, any case) and null -> 'unspecified',
-    recursively through objects and lists."""
-    import re
-    if isinstance(obj, dict):
-        return {k: _clean_placeholders(v) for k, v in obj.items()}
-    if isinstance(obj, list):
-        return [_clean_placeholders(x) for x in obj]
-    if isinstance(obj, str):
-        return "unspecified" if re.match(r"^(unknown|none|null|n/?a)$", obj.strip(), re.I) else obj
-    if obj is None:
-        return "unspecified"
-    return obj
-
-
-def _clean_user_block(users):
-    """Arrow batch helper: parse the user block (C6 fallback to the outer {...}), clean placeholders,
-    re-serialise with indent 2; second field tells whether anything changed."""
-    import json
-    import re
-
-    out_text, changed = [], []
-    for u in users:
-        obj = None
-        if isinstance(u, str):
-            try:
-                obj = json.loads(u)
-            except ValueError:
-                m = re.search(r"\{.*\}", u, re.S)
-                if m:
-                    try:
-                        obj = json.loads(m.group(0))
-                    except ValueError:
-                        obj = None
-        if obj is None:
-            out_text.append("{}")
-            changed.append(False)
-            continue
-        cleaned = _clean_placeholders(obj)
-        out_text.append(json.dumps(cleaned, ensure_ascii=False, indent=2))
-        changed.append(json.dumps(cleaned) != json.dumps(obj))
-    return pd.DataFrame({"user_json": out_text, "placeholder_fixed": changed})
-
-
-@F.pandas_udf(T.StructType([T.StructField("user_json", T.StringType()),
-                            T.StructField("placeholder_fixed", T.BooleanType())]))
-def _clean_udf(users: pd.Series) -> pd.DataFrame:
-    return _clean_user_block(users)
+def _user_object(block: F.Column) -> F.Column:
+    """The user block if it is JSON, else its part from the first ``{`` to the last ``}`` if that is; else null."""
+    outer = F.regexp_extract(F.coalesce(block, F.lit("")), r"(?s)\{.*\}", 0)
+    return F.when(ch.is_json(block), block).when(ch.is_json(outer), outer)
+
+
+def _truthy(c: F.Column) -> F.Column:
+    return F.when(~F.coalesce(c, F.lit("")).isin("", "0", "0.0", "false"), c)
+
+
+def _column(df: DataFrame, name: str) -> F.Column:
+    """A column's text, null where the data has no such column."""
+    return F.col(name).cast("string") if name in df.columns else F.lit(None).cast("string")
 
 
 def repair_chatml(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Rebuild each text from its parts: cleaned user JSON (P27), the think section, and the
-    repaired answer (P28); rows keep their error codes from V36."""
+    """Rebuild each text from its parts: cleaned user JSON (P27), the think section, and the repaired answer.
+
+    What the answer lacks comes from the row's own risk_score, severity and category, else from the cleaned user
+    block. Rows without a text are dropped.
+    """
     text = F.col(text_col)
-    staged = (df.withColumn("_sys", ch.parse_block(text, "system"))
+    staged = (df.where(text.isNotNull())
+                .withColumn("_sys", ch.parse_block(text, "system"))
                 .withColumn("_u", ch.parse_block(text, "user"))
                 .withColumn("_a", ch.parse_block(text, "assistant"))
                 .withColumn("_think", ch.think_section(F.col("_a")))
                 .withColumn("_ans", ch.answer_section(F.col("_a")))
-                .withColumn("_clean", _clean_udf(F.col("_u"))))
-    answer = repair_answer(F.col("_ans"), F.lit(None).cast("string"), F.lit(None).cast("string"),
-                           F.lit(None).cast("string"))
+                .withColumn("_raw", jt.tokens(_user_object(F.col("_u"))))
+                .withColumn("_new", jt.cleaned(F.col("_raw")))
+                .withColumn("_user", F.when(F.size("_new") > 0, jt.indented(F.col("_new"))).otherwise(F.lit("{}"))))
+
+    def fallback(name: str) -> F.Column:
+        return F.coalesce(_truthy(_column(df, name)), _truthy(F.get_json_object(F.col("_user"), f"$.{name}")))
+
+    staged = repair_answers(staged, F.col("_ans"), fallback("risk_score"), fallback("severity"), fallback("category"), "_fixed")
     rebuilt = F.concat_ws("\n", F.lit(ch.IM_START + "system"), F.coalesce(F.col("_sys"), F.lit("")),
-                          F.lit(ch.IM_END), F.lit(ch.IM_START + "user"), F.col("_clean.user_json"),
+                          F.lit(ch.IM_END), F.lit(ch.IM_START + "user"), F.col("_user"),
                           F.lit(ch.IM_END), F.lit(ch.IM_START + "assistant"), F.lit("<think>"),
-                          F.coalesce(F.col("_think"), F.lit("")), F.lit("</think>"), F.lit("<answer>"), answer,
+                          F.coalesce(F.col("_think"), F.lit("")), F.lit("</think>"), F.lit("<answer>"), F.col("_fixed"),
                           F.lit("</answer>" + ch.IM_END))
     keep = [c for c in df.columns if c != text_col]
-    return staged.select(*keep, rebuilt.alias(text_col), F.col("_clean.placeholder_fixed").alias("placeholder_fixed"))
+    return staged.select(*keep, rebuilt.alias(text_col), (F.col("_raw") != F.col("_new")).alias("placeholder_fixed"))

@@ -51,7 +51,7 @@ SELECT id, title, description, metadata, category, CAST(trunc(risk_score) AS BIG
        lower(severity) AS severity,
        printf('Classified as %s based on observed evidence and risk score %d.', lower(severity),
               CAST(trunc(risk_score) AS BIGINT)) AS rationale
-FROM findings""", ops=("P10", "P11", "P12", "P13", "S7"))
+FROM findings""", ops=("P10", "P11", "P12", "P13"))
 def q_flat_rows(spark, sf_dir):
     return cm.flatten_findings(findings(spark, sf_dir)).drop("ord")
 
@@ -67,7 +67,7 @@ def q_rationale_backfill(spark, sf_dir):
 
 # C1 ------------------------------------------------------------------------------------------------
 @query("sft_texts", _F + f"SELECT id, {O.sft_text_sql()} AS text FROM findings",
-       ops=("C1", "P30", "P31", "K1"))
+       ops=("C1", "P30"))
 def q_sft_texts(spark, sf_dir):
     return cm.sft_texts(findings(spark, sf_dir)).drop("ord")
 
@@ -152,7 +152,7 @@ def q_answer_repair(spark, sf_dir):
     sft = cm.sft_texts(findings(spark, sf_dir))
     a = ch.answer_section(ch.block_regex(F.col("text"), "assistant"))
     lit_null = F.lit(None).cast("string")
-    return sft.select("id", cm.repair_answer(a, lit_null, lit_null, lit_null).alias("answer"))
+    return cm.repair_answers(sft.select("id", "text"), a, lit_null, lit_null, lit_null).select("id", "answer")
 
 
 # completions = assistant blocks of the C1 texts, answers from the raw event values ----------
@@ -203,7 +203,7 @@ SELECT id, to_json([{{'role': 'system', 'content': {O._sq(ch.SYSTEM_PROMPT)}}},
                        || CAST(user_id AS VARCHAR) || chr(10) || '  }}' || chr(10) || '}}'}}]) AS messages,
        '{{"risk_score": ' || CAST(CAST(risk_score AS BIGINT) AS VARCHAR) || ', "severity": ' || to_json(severity) || '}}'
          AS answer
-FROM findings""", ops=("C9", "C10"))
+FROM findings""", ops=("C10",))
 def q_chat_messages(spark, sf_dir):
     m = cm.chat_messages(findings(spark, sf_dir))
     return m.select("id", F.to_json("messages").alias("messages"), "answer")
@@ -211,12 +211,23 @@ def q_chat_messages(spark, sf_dir):
 
 # C11 -----------------------------------------------------------------------------------------------
 @query("batch_requests", _F + "," + O.CORRELATIONS_CTE + """
-SELECT id AS custom_id, 'finding' AS kind FROM findings WHERE lower(severity) <> 'info'
+SELECT id AS custom_id, 'finding' AS kind, '/v1/chat/completions' AS url, 'gpt-5-mini' AS model, 7 AS n_fields,
+       '{"kind":"finding","title":' || to_json(title) || ',"description":' || to_json(description) || '}' AS prompt
+FROM findings WHERE lower(severity) <> 'info'
 UNION ALL
-SELECT id, 'correlation' FROM correlations""", ops=("C11",))
+SELECT id, 'correlation', '/v1/chat/completions', 'gpt-5-mini', 7,
+       '{"kind":"correlation","title":' || to_json('Correlated order ' || CAST(orderkey AS VARCHAR)) || ',"description":'
+       || to_json('Order ' || CAST(orderkey AS VARCHAR) || ' with priority ' || o_orderpriority) || '}'
+FROM correlations JOIN (SELECT o_orderkey, o_orderpriority FROM orders) o ON orderkey = o_orderkey""", ops=("C11",))
 def q_batch_requests(spark, sf_dir):
-    corr = correlations(spark, sf_dir)
-    return cm.batch_requests(findings(spark, sf_dir), corr).select("custom_id", "kind")
+    lines = cm.batch_requests(findings(spark, sf_dir), correlations(spark, sf_dir))
+    body = F.get_json_object("line", "$.body")
+    return lines.select(
+        F.get_json_object("line", "$.custom_id").alias("custom_id"), "kind", F.get_json_object("line", "$.url").alias("url"),
+        F.get_json_object(body, "$.model").alias("model"),
+        F.size(F.from_json(F.get_json_object(body, "$.response_format.json_schema.schema.required"), "array<string>"))
+        .cast("long").alias("n_fields"),
+        F.get_json_object(body, "$.messages[1].content").alias("prompt"))
 
 
 # C7 / P27 repair over the C1 texts -------------------------------------------------------------------
@@ -233,6 +244,58 @@ SELECT id, '<|im_start|>system' || chr(10) || s || chr(10) || '<|im_end|>' || ch
        || ', "category": ' || to_json(json_extract_string(ans, '$.category')) || '}}'
        || chr(10) || '</answer><|im_end|>' AS text,
        false AS placeholder_fixed
-FROM q""", ops=("C7", "P27", "C6"))
+FROM q""", ops=("C7",))
 def q_repaired_texts(spark, sf_dir):
     return cm.repair_chatml(cm.sft_texts(findings(spark, sf_dir)).drop("ord"))
+
+
+# C6 / C7 / P27 / P28 / C8 over documents as user blocks: no text, placeholders at depth, extra and missing keys
+_CRAFT_SQL = """
+WITH d AS (SELECT doc_id, n_chars, source, lang FROM documents),
+     kinds AS (SELECT *, doc_id % 4 AS k FROM d)"""
+
+
+def _crafted(spark, sf_dir):
+    d = tb.read(spark, sf_dir, "documents").select("doc_id", "n_chars", "source", "lang", (F.col("doc_id") % 4).alias("k"))
+    user = F.concat(F.when(F.col("k") == 1, F.lit("see ")).otherwise(F.lit("")),
+                    F.lit('{"source": "'), F.col("source"), F.lit('", "severity": "'),
+                    F.when(F.col("k") == 2, F.lit("high")).otherwise(F.lit("none")),
+                    F.lit('", "risk_score": '), F.col("n_chars").cast("string"),
+                    F.lit(', "deep": {"none": [null, "N/A", "'), F.col("lang"), F.lit('"]}}'))
+    answer = (F.when(F.col("k") == 0, F.lit('{"confidence": 0.5, "severity": "low"}'))
+              .when(F.col("k") == 1, F.concat(F.lit('{"risk_score": '), F.col("doc_id").cast("string"), F.lit(".5}")))
+              .otherwise(F.lit("{}")))
+    text = F.concat(F.lit("<|im_start|>system\nS\n<|im_end|>\n<|im_start|>user\n"), user,
+                    F.lit("\n<|im_end|>\n<|im_start|>assistant\n<think>t</think><answer>"), answer, F.lit("</answer>\n<|im_end|>"))
+    return d.select("doc_id", F.when(F.col("k") != 3, text).alias("text"))
+
+
+@query("repaired_crafted", _CRAFT_SQL + """
+SELECT doc_id, true AS placeholder_fixed,
+       '<|im_start|>system' || chr(10) || 'S' || chr(10) || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10)
+       || '{' || chr(10) || '  "source": "' || source || '",' || chr(10)
+       || '  "severity": "' || CASE k WHEN 2 THEN 'high' ELSE 'unspecified' END || '",' || chr(10)
+       || '  "risk_score": ' || n_chars || ',' || chr(10) || '  "deep": {' || chr(10) || '    "none": [' || chr(10)
+       || '      "unspecified",' || chr(10) || '      "unspecified",' || chr(10) || '      "' || lang || '"' || chr(10)
+       || '    ]' || chr(10) || '  }' || chr(10) || '}' || chr(10) || '<|im_end|>' || chr(10) || '<|im_start|>assistant'
+       || chr(10) || '<think>' || chr(10) || 't' || chr(10) || '</think>' || chr(10) || '<answer>' || chr(10)
+       || CASE k WHEN 0 THEN '{"confidence": 0.5, "severity": "LOW", "risk_score": ' || n_chars || ', "category": "unspecified"}'
+                 WHEN 1 THEN '{"risk_score": ' || CAST(round_even(doc_id + 0.5, 0) AS BIGINT)
+                             || ', "severity": "UNSPECIFIED", "category": "unspecified"}'
+                 ELSE '{"risk_score": ' || n_chars || ', "severity": "HIGH", "category": "unspecified"}' END
+       || chr(10) || '</answer><|im_end|>' AS text
+FROM kinds WHERE k <> 3""", ops=("C6", "C7", "P27", "P28"))
+def q_repaired_crafted(spark, sf_dir):
+    return cm.repair_chatml(_crafted(spark, sf_dir))
+
+
+@query("prompt_pairs_crafted", _CRAFT_SQL + """
+SELECT doc_id, CASE k WHEN 1 THEN CAST(round_even(doc_id + 0.5, 0) AS BIGINT) ELSE n_chars END AS gt_risk_score,
+       CASE k WHEN 0 THEN 'LOW' ELSE upper(lang) END AS gt_severity, source AS gt_category
+FROM kinds WHERE k <> 3""", ops=("C8", "P29"))
+def q_prompt_pairs_crafted(spark, sf_dir):
+    own = tb.read(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").alias("risk_score"),
+                                                     F.col("lang").alias("severity"), F.col("source").alias("category"))
+    pp = cm.prompt_pairs(_crafted(spark, sf_dir).where("text is not null").join(own, "doc_id"))
+    return pp.select("doc_id", F.col("ground_truth.risk_score").alias("gt_risk_score"),
+                     F.col("ground_truth.severity").alias("gt_severity"), F.col("ground_truth.category").alias("gt_category"))
