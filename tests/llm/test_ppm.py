@@ -86,7 +86,7 @@ def same(found, expected):
     assert len(got) == len(expected)
     for a, b in zip(got, expected, strict=True):
         assert a[:5] == b[:5]
-        assert np.allclose(a[5:], b[5:], rtol=1e-9)
+        assert np.allclose(a[5:6], b[5:6], rtol=1e-9) and np.allclose(a[6:], b[6:], rtol=1e-6)  # scores travel as floats
 
 
 @pytest.fixture(scope="module")
@@ -107,7 +107,7 @@ def test_small_chunks(docs, model, monkeypatch):
     monkeypatch.setattr(ppm, "CHUNK_BYTES", 2000)
     monkeypatch.setattr(ppm, "CHUNK_WORDS", 50)
     b = {r.doc_id: r.score for r in ppm.score(some, ppm.held_out(), model=model).collect()}
-    assert a.keys() == b.keys() and np.allclose([a[k] for k in a], [b[k] for k in a], rtol=1e-9)
+    assert a.keys() == b.keys() and np.allclose([a[k] for k in a], [b[k] for k in a], rtol=1e-6)
 
 
 def test_odd_rows(make, model):
