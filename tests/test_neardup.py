@@ -1,7 +1,6 @@
-"""D2 near-duplicate pass against the greedy scan itself (stdlib matcher) on a fixture with planted near copies."""
+"""D2 near-duplicate pass: expected results written out for planted near copies."""
 
 import difflib
-import hashlib
 import json
 import random
 
@@ -9,54 +8,64 @@ import pytest
 
 from vigil.operators import neardup as nd
 
+# The pattern of such a finding is "processes:low:|||" + command + "|": 38 characters for a command of 20.
+BASE = "abcdefghijklmnopqrst"
 
-def py_pattern(f):
-    meta = f.get("metadata") or {}
-    toks = [str(meta.get(k, "")) for k in ["type", "pattern", "indicator", "command", "file_path"]]
-    base = f"{f.get('category', 'unknown')}:{f.get('severity', 'unknown')}:{'|'.join(toks)}"
-    if all(not t for t in toks):
-        base += ":" + hashlib.md5(f"{f.get('title', '')}|{f.get('description', '')}".encode()).hexdigest()[:8]
-    return base
-
-
-def py_greedy(findings, t):
-    kept, seen = [], []
-    for f in sorted(findings, key=lambda f: f.get("risk_score", 0), reverse=True):
-        p = py_pattern(f)
-        if not any(difflib.SequenceMatcher(None, p, s).ratio() >= t for s in seen):
-            kept.append(f["id"])
-            seen.append(p)
-    return set(kept)
-
-
-def fixture(n=300, seed=7):
-    rnd = random.Random(seed)
-    rows = []
-    for i in range(n):
-        cat = rnd.choice(["processes", "ioc"])
-        sev = rnd.choice(["low", "high"])
-        kind = rnd.random()
-        if kind < 0.5:
-            meta = {"command": f"/usr/bin/tool{rnd.randint(0, 40)}"}
-        elif kind < 0.8:
-            meta = {"indicator": "x" * rnd.randint(1, 6)}
-        else:
-            meta = {}
-        rows.append({"id": f"f{i}", "ord": i, "category": cat, "severity": sev, "title": f"T{rnd.randint(0, 9)}",
-                     "description": "d", "risk_score": float(rnd.randint(0, 100)), "metadata": meta})
-    return rows
-
-
-@pytest.mark.parametrize("t", [0.95, 0.85])
-def test_near_dedup_matches_greedy_scan(spark, t):
-    rows = fixture()
-    df = spark.createDataFrame(
-        [(r["id"], r["ord"], r["category"], r["severity"], r["title"], r["description"], r["risk_score"],
-          json.dumps(r["metadata"])) for r in rows],
-        "id string, ord long, category string, severity string, title string, description string, "
-        "risk_score double, metadata string")
-    got = {r["id"] for r in nd.dedup_near(df, t).collect()}
-    assert got == py_greedy(rows, t)
+
+def frame(spark, commands):
+    """commands: (id, risk, command), in input order; no command: told apart by title."""
+    rows = [(i, n, "processes", "low", f"title {i}", "d", risk, json.dumps({"command": c} if c else {}))
+            for n, (i, risk, c) in enumerate(commands)]
+    return spark.createDataFrame(rows, "id string, ord long, category string, severity string, title string, "
+                                       "description string, risk_score double, metadata string")
+
+
+def kept(spark, commands, t):
+    return {r["id"] for r in nd.dedup_near(frame(spark, commands), t).collect()}
+
+
+def changed(*places):
+    """BASE with other letters at some places; each costs 1/38 of the ratio."""
+    return "".join("XYZUVW"[places.index(i)] if i in places else c for i, c in enumerate(BASE))
+
+
+def test_one_changed_letter_is_a_copy_two_are_not(spark):
+    rows = [("a", 10.0, BASE), ("b", 90.0, changed(3)), ("c", 50.0, changed(3, 12)), ("d", 40.0, BASE)]
+    # b comes first; c and a are one letter from b; d equals a
+    assert kept(spark, rows, 0.95) == {"b"}
+    # two letters are 36/38 = 0.947
+    assert kept(spark, [("a", 10.0, BASE), ("c", 50.0, changed(3, 12))], 0.95) == {"a", "c"}
+    assert kept(spark, [("a", 10.0, BASE), ("c", 50.0, changed(3, 12))], 0.94) == {"c"}
+
+
+def test_a_dropped_finding_drops_nothing(spark):
+    """A chain by falling risk: each is one letter from the one before. Every second one stays."""
+    rows = [(f"n{i}", 90.0 - i, changed(*range(0, 3 * i, 3))) for i in range(6)]
+    assert kept(spark, rows, 0.95) == {"n0", "n2", "n4"}
+
+
+def test_input_order_decides_between_equal_risks(spark):
+    assert kept(spark, [("x", 5.0, changed(1)), ("y", 5.0, BASE), ("z", 5.0, changed(9))], 0.95) == {"x", "z"}
+
+
+def test_short_and_missing_commands(spark):
+    rows = [("a", 9.0, "ls"), ("b", 8.0, "lt"), ("c", 7.0, "find"), ("d", 6.0, None), ("e", 5.0, "ls")]
+    # "processes:low:|||ls|" has 20 characters: one letter is 0.95
+    assert kept(spark, rows, 0.95) == {"a", "c", "d"}
+    assert kept(spark, rows, 0.96) == {"a", "b", "c", "d"}
+
+
+@pytest.mark.parametrize("copies", [40])
+def test_many_copies_of_many_sources(spark, copies):
+    rnd, rows = random.Random(5), []
+    for s in range(6):
+        source = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(60))
+        rows.append((f"s{s}", 100.0, source))
+        for k in range(copies):
+            at = rnd.randrange(60)
+            rows.append((f"s{s}c{k}", 50.0, source[:at] + "#" + source[at + 1:]))
+    rnd.shuffle(rows)
+    assert kept(spark, rows, 0.95) == {f"s{s}" for s in range(6)}
 
 
 def test_min_overlap_is_a_lower_bound():

@@ -83,6 +83,14 @@ def band_violation_flag(df: DataFrame, bands=fixed.SCORECARD_BANDS) -> Column:
     return sev.band_violation(F.col("severity"), risk, bands)
 
 
+#: End of the id under which members that all correlations of a type share are kept as edges.
+SHARED = ":*"
+
+
+def _type_of(correlations: DataFrame) -> Column:
+    return F.coalesce(F.col("correlation_type"), F.lit("")) if "correlation_type" in correlations.columns else F.lit("")
+
+
 def ref_rows(correlations: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """(correlation_id, ref, n): from the reference lists, or from an edge table when the lists
     are kept as edges (n = multiplicity)."""
@@ -158,10 +166,20 @@ def correlation_quality(correlations: DataFrame, findings: DataFrame, edges: Dat
         F.sum(F.when(F.col("ref_severity").isNotNull(), sev.severity_weight(F.col("ref_severity")) * F.col("n"))
               .otherwise(F.lit(0.0))).alias("wsum"),
     )
-    per = (correlations.select(F.col("id").alias("correlation_id")).distinct()
-           .join(agg, "correlation_id", "left")
-           .select("correlation_id", F.coalesce("n_refs", F.lit(0)).alias("n_refs"),
-                   F.coalesce("found", F.lit(0)).alias("found"), F.coalesce("wsum", F.lit(0.0)).alias("wsum")))
+    heads = correlations.select(F.col("id").alias("correlation_id"), _type_of(correlations).alias("_type")).distinct()
+    per = heads.join(agg, "correlation_id", "left")
+    if edges is not None:
+        # members that all correlations of a type share are added to each: one row of sums per type
+        shared = agg.where(F.col("correlation_id").endswith(SHARED)).select(
+            F.regexp_replace("correlation_id", ":\\*$", "").alias("_type"), F.col("n_refs").alias("_n"),
+            F.col("found").alias("_f"), F.col("wsum").alias("_w"))
+        per = per.join(shared, (heads["_type"] == shared["_type"]) & ~F.col("correlation_id").endswith(SHARED), "left")
+        extra = {"n_refs": "_n", "found": "_f", "wsum": "_w"}
+    else:
+        extra = {}
+    per = per.select("correlation_id", *[
+        (F.coalesce(F.col(c), F.lit(0)) + (F.coalesce(F.col(extra[c]), F.lit(0)) if c in extra else F.lit(0))).alias(c)
+        for c in ("n_refs", "found", "wsum")])
     q = (F.when(F.col("found") < F.col("n_refs"), F.lit(0.8)).otherwise(F.lit(1.0))
          * (F.lit(0.5) + F.col("wsum") / F.nullif(F.col("n_refs"), F.lit(0)) * F.lit(0.5)))
     return per.select("correlation_id", "n_refs", "found",

@@ -48,16 +48,8 @@ def findings_pipeline(findings: DataFrame, target: int = 2500, snapshot_dir: str
     headers, edges = cr.run_rules(f)
     edges = sinks.snapshot(edges, f"{snapshot_dir}/edges" if snapshot_dir else None)
     rows = cr.correlation_rows(headers, edges)
-    # members shared by every correlation of a rule stay under the rule's ``<type>:*`` id
-    shared_ids = (edges.select("correlation_id").where(F.col("correlation_id").endswith(":*")).distinct()
-                  .join(rows.select("correlation_id"), "correlation_id", "left_anti"))
-    shared_rows = cr.correlation_rows(
-        shared_ids.select("correlation_id",
-                          F.regexp_replace("correlation_id", ":\\*$", "").alias("correlation_type"),
-                          F.lit("shared").alias("producer"), F.lit("Shared references").alias("title"),
-                          F.lit("Members shared by every correlation of this type").alias("description"),
-                          F.lit("info").alias("severity"), F.lit(0.0).alias("risk_score")), edges)
-    corr = (rows.unionByName(shared_rows)
+    # members shared by all correlations of a rule stay edges under ``<type>:*``; the scorecard adds them to each
+    corr = (rows
             .withColumnRenamed("correlation_id", "id")
             .withColumn("metadata", F.to_json(F.struct(F.col("kb_refs").alias("kb_refs"))))
             .withColumn("risk_subscores", F.lit(None).cast(
