@@ -82,3 +82,33 @@ def entries(parts: Column) -> Column:
             .otherwise(s["out"]).alias("out"))
 
     return F.aggregate(parts, state, step, lambda s: s["out"])
+
+
+def without_nulls(parts: Column, preserve: tuple[str, ...] = ()) -> Column:
+    """P6 on an object's tokens: members that are null go, in objects inside objects too, but not inside lists; keys in
+    ``preserve`` stay. The result is the object on one line."""
+    kind = "array<string>"
+    state = F.struct(F.lit(0).alias("lists"), F.array().cast(kind).alias("out"))
+    keys = F.array(*[F.lit(f'"{k}"') for k in preserve]) if preserve else F.array().cast(kind)
+    around = F.transform(parts, lambda t, i: F.struct(
+        t.alias("t"), F.coalesce(F.get(parts, i - 2), F.lit("")).alias("b2"), F.coalesce(F.get(parts, i - 1), F.lit("")).alias("b1"),
+        F.coalesce(F.get(parts, i + 1), F.lit("")).alias("a1"), F.coalesce(F.get(parts, i + 2), F.lit("")).alias("a2")))
+
+    def step(s: Column, x: Column) -> Column:
+        t, out = x["t"], s["out"]
+        last = F.coalesce(F.element_at(F.concat(F.array(F.lit("")), out), -1), F.lit(""))
+        gone = (s["lists"] == 0) & (
+            ((x["a1"] == ":") & (x["a2"] == "null") & ~F.array_contains(keys, t))
+            | ((t == ":") & (x["a1"] == "null") & ~F.array_contains(keys, x["b1"]))
+            | ((t == "null") & (x["b1"] == ":") & ~F.array_contains(keys, x["b2"])))
+        # A comma with nothing before it goes; one with nothing after it is taken back.
+        idle = (t == ",") & last.isin("{", "[", ",")
+        back = t.isin("}", "]") & (last == ",")
+        return F.struct(
+            (s["lists"] + F.when(t == "[", 1).when(t == "]", -1).otherwise(0)).alias("lists"),
+            F.when(gone | idle, out).when(back, F.concat(F.slice(out, 1, F.size(out) - 1), F.array(t)))
+            .otherwise(F.concat(out, F.array(t))).alias("out"))
+
+    shown = F.transform(F.aggregate(around, state, step, lambda s: s["out"]),
+                        lambda t: F.when(t == ",", F.lit(", ")).when(t == ":", F.lit(": ")).otherwise(_normal(t)))
+    return F.array_join(shown, "")

@@ -1,4 +1,4 @@
-"""Telemetry classification rules (T-2, T-4, T-5, T-6) applied to real rows.
+"""Telemetry classification rules (T-1 to T-6) applied to real rows.
 
 The lookup lists are small fixed literals, compiled into ``isin`` / map
 lookups inside the projection (no join, no shuffle, whole-stage codegen).
@@ -95,3 +95,43 @@ def apparmor_posture(df: DataFrame) -> DataFrame:
     bad = (F.coalesce(enabled, F.lit("")) != "true") | (unconf > 0)
     return (df.withColumn("posture_severity", F.when(bad, "medium").otherwise("low"))
             .withColumn("posture_risk", F.when(bad, F.lit(50.0)).otherwise(F.lit(30.0))))
+
+
+# --- FIXED VALUES: (severity, risk) of a security module that is absent, present but off, and on -----------------
+MAC_POSTURES = {
+    "selinux": (("low", 30.0), ("medium", 50.0), ("info", 10.0)),
+    "grsecurity": (("info", 10.0), ("high", 80.0), ("low", 25.0)),
+    "tomoyo": (("info", 10.0), ("medium", 45.0), ("low", 25.0)),
+}
+# --- FIXED VALUES: kernel parameters that should be 0; all others should be 1 --------------------------------------
+ZERO_PARAMETERS = ["ip_forward", "accept_source_route", "accept_redirects", "secure_redirects"]
+
+
+def mac_posture(df: DataFrame, module: str = "module", present: str = "present", enabled: str = "enabled") -> DataFrame:
+    """T-2 (the other three tables): severity and risk by whether the module is present and enabled."""
+    state = F.when(~F.col(present), 0).when(~F.col(enabled), 1).otherwise(2)
+    sv = rk = None
+    for name, levels in MAC_POSTURES.items():
+        for i, (s, r) in enumerate(levels):
+            hit = (F.col(module) == name) & (state == i)
+            sv = F.when(hit, s) if sv is None else sv.when(hit, s)
+            rk = F.when(hit, r) if rk is None else rk.when(hit, r)
+    return df.withColumn("posture_severity", sv).withColumn("posture_risk", rk)
+
+
+def parameter_drift(df: DataFrame, name: str = "name", current: str = "current") -> DataFrame:
+    """T-1: a parameter's desired value, whether the current one is it (as text), and its severity (as numbers)."""
+    desired = F.when(F.col(name).isin(*ZERO_PARAMETERS), "0").otherwise("1")
+    number = F.when(F.col(current).rlike("^[0-9]+$"), F.col(current).cast("long")).otherwise(0)
+    same = number == desired.cast("long")
+    return (df.withColumn("desired", desired)
+            .withColumn("status", F.when(F.col(current) == desired, "ok").otherwise("mismatch"))
+            .withColumn("drift_severity", F.when(same, "low").otherwise("medium"))
+            .withColumn("drift_risk", F.when(same, F.lit(30.0)).otherwise(F.lit(50.0))))
+
+
+def suid_flag(df: DataFrame, expected: str = "expected") -> DataFrame:
+    """T-3: an expected SUID binary is low/30, any other medium/50."""
+    ok = F.coalesce(F.col(expected), F.lit(False))
+    return (df.withColumn("suid_severity", F.when(ok, "low").otherwise("medium"))
+            .withColumn("suid_risk", F.when(ok, F.lit(30.0)).otherwise(F.lit(50.0))))

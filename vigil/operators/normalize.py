@@ -6,10 +6,14 @@ run unchanged on a streaming DataFrame.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigil.functions import chat as ch
+from vigil.functions import jsontext as jt
 from vigil.functions import fixed
 from vigil.functions import text as tx
 
@@ -113,3 +117,46 @@ def normalize_correlations(df: DataFrame) -> DataFrame:
     strength = F.col("correlation_strength") if _has(out, "correlation_strength") else F.lit(None)
     return (out.withColumn("_correlation_strength", F.coalesce(strength.cast("double"), F.lit(fixed.DEFAULT_STRENGTH)))
                .withColumn("_processed_at", F.current_timestamp()))
+
+
+def drop_null_fields(df: DataFrame, columns: tuple[str, ...] = ("metadata",), preserve: tuple[str, ...] = ()) -> DataFrame:
+    """JSON object columns without their null members (recursively, but not inside lists); a column that is null or
+    no object stays as it is."""
+    for c in columns:
+        clean = jt.without_nulls(jt.tokens(F.col(c)), preserve)
+        df = df.withColumn(c, F.when(ch.is_json_object(F.col(c)), clean).otherwise(F.col(c)))
+    return df
+
+
+def matches(criteria: dict, column: Column | None = None) -> Column:
+    """whether a JSON object meets nested criteria: a dict recurses, a list is "one of", anything else is equality;
+    a missing key, or a list where a value is asked for, is no match.
+
+    ``column``: a VARIANT (see ``find_related``).
+    """
+    out = F.lit(True)
+    for key, wanted in criteria.items():
+        value = F.try_variant_get(column, f"$['{key}']", "variant")
+        kind = F.schema_of_variant(value)
+        if isinstance(wanted, dict):
+            hit = kind.startswith("OBJECT") & matches(wanted, value)
+        else:
+            options = wanted if isinstance(wanted, list) else [wanted]
+            texts = [F.to_json(value) == F.lit(json.dumps(w, ensure_ascii=False)) for w in options]
+            hit = F.lit(False)
+            for t in texts:
+                hit = hit | t
+        out = out & F.coalesce(hit, F.lit(False))
+    return out
+
+
+def find_related(findings: DataFrame, criteria: dict) -> DataFrame:
+    """ids of the findings that meet the criteria on their columns and their metadata."""
+    row = F.try_parse_json(F.to_json(F.struct(*[c for c in findings.columns if c != "metadata"])))
+    meta = F.try_parse_json("metadata") if "metadata" in findings.columns else None
+    plain = {k: v for k, v in criteria.items() if k != "metadata"}
+    hit = matches(plain, row)
+    if "metadata" in criteria:
+        hit = hit & (matches(criteria["metadata"], meta) if meta is not None and isinstance(criteria["metadata"], dict)
+                     else F.lit(False))
+    return findings.where(hit).select("id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from vigil.operators import classify as cl
 from vigil.plans import oracle as O
 from vigil.plans.catalog import findings
@@ -74,3 +76,50 @@ FROM hf WHERE scanner = 'mac'""", ops=("T-2",))
 def q_mac_posture(spark, sf_dir):
     mac = tb.host_findings(spark, sf_dir).where("scanner = 'mac'").select("id", "metadata")
     return cl.apparmor_posture(mac).select("id", "posture_severity", "posture_risk")
+
+
+# T-2 (SELinux, grsecurity, TOMOYO), T-1, T-3 over real columns; expected values are written out in the SQL -------
+@query("mac_postures", """
+WITH m AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'selinux' WHEN 1 THEN 'grsecurity' ELSE 'tomoyo' END AS module,
+                  c_acctbal >= 0 AS present, c_acctbal >= 4000 AS enabled FROM customer)
+SELECT c_custkey, module,
+       CASE WHEN module = 'selinux' THEN CASE WHEN NOT present THEN 'low' WHEN NOT enabled THEN 'medium' ELSE 'info' END
+            WHEN NOT present THEN 'info' WHEN enabled THEN 'low'
+            WHEN module = 'grsecurity' THEN 'high' ELSE 'medium' END AS posture_severity,
+       CAST(CASE WHEN module = 'selinux' THEN CASE WHEN NOT present THEN 30 WHEN NOT enabled THEN 50 ELSE 10 END
+            WHEN NOT present THEN 10 WHEN enabled THEN 25
+            WHEN module = 'grsecurity' THEN 80 ELSE 45 END AS DOUBLE) AS posture_risk
+FROM m""", ops=("T-2",))
+def q_mac_postures(spark, sf_dir):
+    rows = tb.read(spark, sf_dir, "customer").select(
+        "c_custkey", F.element_at(F.array(F.lit("selinux"), F.lit("grsecurity"), F.lit("tomoyo")),
+                                  (F.col("c_custkey") % 3 + 1).cast("int")).alias("module"),
+        (F.col("c_acctbal") >= 0).alias("present"), (F.col("c_acctbal") >= 4000).alias("enabled"))
+    return cl.mac_posture(rows).drop("present", "enabled")
+
+
+@query("parameter_drift", """
+WITH p AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'ip_forward' WHEN 1 THEN 'rp_filter' WHEN 2 THEN 'accept_redirects'
+                  WHEN 3 THEN 'tcp_syncookies' ELSE 'secure_redirects' END AS name,
+                  CASE WHEN p_size % 7 = 0 THEN 'unset' ELSE CAST(p_size % 4 AS VARCHAR) END AS current FROM part),
+     d AS (SELECT *, CASE WHEN name IN ('rp_filter', 'tcp_syncookies') THEN '1' ELSE '0' END AS desired,
+                  CASE WHEN current = 'unset' THEN '0' ELSE current END AS shown FROM p)
+SELECT p_partkey, name, current, desired, CASE WHEN current = desired THEN 'ok' ELSE 'mismatch' END AS status,
+       CASE WHEN shown = desired THEN 'low' ELSE 'medium' END AS drift_severity,
+       CAST(CASE WHEN shown = desired THEN 30 ELSE 50 END AS DOUBLE) AS drift_risk
+FROM d""", ops=("T-1",))
+def q_parameter_drift(spark, sf_dir):
+    names = ["ip_forward", "rp_filter", "accept_redirects", "tcp_syncookies", "secure_redirects"]
+    rows = tb.read(spark, sf_dir, "part").select(
+        "p_partkey", F.element_at(F.array(*map(F.lit, names)), (F.col("p_partkey") % 5 + 1).cast("int")).alias("name"),
+        F.when(F.col("p_size") % 7 == 0, "unset").otherwise((F.col("p_size") % 4).cast("string")).alias("current"))
+    return cl.parameter_drift(rows)
+
+
+@query("suid_flags", """
+SELECT s_suppkey, CASE WHEN s_acctbal > 0 THEN 'low' ELSE 'medium' END AS suid_severity,
+       CAST(CASE WHEN s_acctbal > 0 THEN 30 ELSE 50 END AS DOUBLE) AS suid_risk
+FROM supplier""", ops=("T-3",))
+def q_suid_flags(spark, sf_dir):
+    rows = tb.read(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_acctbal") > 0).alias("expected"))
+    return cl.suid_flag(rows).drop("expected")

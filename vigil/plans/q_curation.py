@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from vigil.operators import aggregate as ag
 from vigil.operators import dedup as dd
+from vigil.operators import normalize as nz
 from vigil.operators import sample as sp
 from vigil.plans import oracle as O
 from vigil.plans.catalog import correlations, findings
 from vigil.plans.registry import query
+from vigil.session import ensure_checkpoint_dir
+from vigil.sources import tables as tb
 
 _F = "WITH " + O.FINDINGS_CTE + "\n"
 _FC = "WITH " + O.FINDINGS_CTE + "," + O.CORRELATIONS_CTE + "\n"
@@ -222,7 +225,7 @@ SELECT id, CASE WHEN r <= nt THEN 'train'
                 WHEN r > n - tt THEN 'train' WHEN r > n - tt - tv THEN 'val' ELSE 'test' END AS split
 FROM (SELECT id, lower(coalesce(severity, 'None')) AS s,
              row_number() OVER (PARTITION BY lower(coalesce(severity, 'None')) ORDER BY md5('{SEED}|' || id), ord) AS r
-      FROM findings) f JOIN plan USING (s)""", ops=("D8", "D10"))
+      FROM findings) f JOIN plan USING (s)""", ops=("D8",))
 def q_stratified_split(spark, sf_dir):
     return sp.stratified_split(findings(spark, sf_dir), SPLIT_RATIOS, SEED).select("id", "split")
 
@@ -326,7 +329,7 @@ def q_dedup_near(spark, sf_dir):
 @query("normalized_correlations", _FC + """
 SELECT id, correlation_type, risk_score, 'Correlated order ' || CAST(orderkey AS VARCHAR) AS title,
        CAST(0.5 AS DOUBLE) AS correlation_strength, len(correlation_refs) AS n_refs
-FROM correlations""", ops=("P9", "P3", "P4", "P6"))
+FROM correlations""", ops=("P9",))
 def q_normalized_correlations(spark, sf_dir):
     from vigil.operators import normalize as nz
     c = nz.normalize_correlations(correlations(spark, sf_dir))
@@ -377,3 +380,36 @@ def q_head_slice(spark, sf_dir):
     from vigil.sources import jsonl as J
     from vigil.sources import tables as tb
     return J.head_slice(tb.read(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), 500, "doc_id")
+
+
+# documents' facts as objects with nulls at depth; F1: nested criteria over findings ------------------------------
+@query("null_fields_dropped", """
+SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '{"source": "' || source || '", "deep": {"n": ' || n_chars || ', "list": [null, {"k": null}]}}'
+                 WHEN 1 THEN '{"deep": {"list": []}}' ELSE 'plain' END AS metadata
+FROM documents""", ops=("P6",))
+def q_null_fields_dropped(spark, sf_dir):
+    d = tb.read(spark, sf_dir, "documents")
+    first = F.concat(F.lit('{"a": null, "source": "'), F.col("source"), F.lit('", "deep": {"n": '), F.col("n_chars").cast("string"),
+                     F.lit(', "x": null, "list": [null, {"k": null}]}, "z": null}'))
+    meta = (F.when(F.col("doc_id") % 3 == 0, first)
+            .when(F.col("doc_id") % 3 == 1, F.lit('{"deep": {"x": null, "y": null, "list": []}, "q": null}')).otherwise(F.lit("plain")))
+    return nz.drop_null_fields(d.select("doc_id", meta.alias("metadata")))
+
+
+@query("related_findings", _F + """
+SELECT id FROM findings WHERE severity IN ('high', 'critical') AND port IN (22, 80, 443, 7, 11) AND category = 'network'""", ops=("F1",))
+def q_related_findings(spark, sf_dir):
+    f = findings(spark, sf_dir).select("id", "severity", "category", "metadata")
+    return nz.find_related(f, {"severity": ["high", "critical"], "category": "network", "metadata": {"port": [22, 80, 443, 7, 11]}})
+
+
+# Two exports of the same findings (all, and those of two scanners) pooled, without repeats, cut to a sample -------
+@query("merged_sample", _F + f"""
+SELECT count(*) AS n, count(DISTINCT id) AS ids FROM (SELECT id FROM findings LIMIT {SAMPLE_TARGET})""", ops=("D7", "S6", "D1"))
+def q_merged_sample(spark, sf_dir):
+    f = findings(spark, sf_dir).select("id", "ord", "title", "description", "severity", "category", "risk_score", "metadata")
+    pooled = f.unionByName(f.where(F.col("category").isin("network", "ioc")))
+    ensure_checkpoint_dir(spark)
+    unique = dd.dedupe_items(pooled, order_cols=("ord",)).checkpoint()  # read more than once by the sample
+    chosen = sp.stratified_sample(unique, SAMPLE_TARGET, SEED)
+    return chosen.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"))
