@@ -40,9 +40,9 @@ def test_query_matches_oracle(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_query_without_oracle_runs(spark, name):
-    assert QUERIES[name](spark, SF).count() >= 0
+    assert QUERIES[name](spark, SF).count() > 0
 
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() >= 0 and df.columns
+    assert df.count() == 5 and "status" in df.columns

@@ -1,6 +1,6 @@
 """Aggregations (A1-A7) and lookup indexes.
 
-All are hash aggregates with partial (map-side) combine. Where the model
+All are aggregates with partial (map-side) combine (sorted where the kept value holds strings). Where the model
 keeps an unbounded id list (cluster members, ids per severity, correlations
 per finding) the list is emitted as a long (key, id) table instead, so no
 single row or task has to hold a group that may be a third of the data.
@@ -8,7 +8,7 @@ single row or task has to hold a group that may be a third of the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions import fixed
@@ -68,18 +68,44 @@ def histograms(df: DataFrame) -> DataFrame:
 
 
 # A4-A6 -------------------------------------------------------------------------------------
+def _median(df: DataFrame, by: str) -> DataFrame:
+    """(by, median) of the column ``r``: exact, from counts alone.
+
+    Counts by whole numbers locate the one or two buckets that hold the middle ranks of each group (at most two rows
+    a group, which are broadcast); counts by value are then made inside those buckets only.
+    """
+    part = Window.partitionBy(by)
+
+    def earlier(window, order: str) -> Column:
+        return F.coalesce(F.sum("n").over(window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    def holds(rank: str) -> Column:
+        return (F.col("off") < F.col(rank)) & (F.col(rank) <= F.col("off") + F.col("n"))
+
+    buckets = (df.groupBy(by, F.floor("r").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+               .withColumn("off", earlier(part, "b")).withColumn("total", F.sum("n").over(part))
+               .withColumn("low", F.floor((F.col("total") + 1) / 2)).withColumn("high", F.floor(F.col("total") / 2) + 1))
+    middle = buckets.where(holds("low") | holds("high")).select(F.col(by).alias("_by"), F.col("b").alias("_b"),
+                                                                F.col("off").alias("start"), "low", "high")
+    inside = df.join(F.broadcast(middle), F.col(by).eqNullSafe(F.col("_by")) & (F.floor("r") == F.col("_b")))
+    values = inside.groupBy(by, "_b", "start", "low", "high", "r").agg(F.count(F.lit(1)).alias("n"))
+    values = values.withColumn("off", F.col("start") + earlier(Window.partitionBy(by, "_b"), "r"))
+    return values.groupBy(by).agg(((F.max(F.when(holds("low"), F.col("r"))) + F.max(F.when(holds("high"), F.col("r")))) / 2)
+                                  .alias("median"))
+
+
 def risk_stats(df: DataFrame, by: str | None = None) -> DataFrame:
     """A4: mean, median, min, max, sample sd (0 for n=1), rounded 2. Missing risk counts as 0."""
-    r = F.coalesce(F.col("risk_score").cast("double"), F.lit(0.0))
-    aggs = [
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.avg(r), 2).alias("mean"),
-        F.round(F.median(r), 2).alias("median"),
-        F.min(r).alias("min"),
-        F.max(r).alias("max"),
-        F.round(F.coalesce(F.stddev_samp(r), F.lit(0.0)), 2).alias("std_dev"),
-    ]
-    return df.groupBy(by).agg(*aggs) if by else df.agg(*aggs)
+    r = F.coalesce(F.col("risk_score").cast("double"), F.lit(0.0)).alias("r")
+    key = by or "_all"
+    rows = df.select(F.col(by) if by else F.lit(0).alias("_all"), r)
+    plain = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("r"), 2).alias("mean"), F.min("r").alias("min"), F.max("r").alias("max"),
+        F.round(F.coalesce(F.stddev_samp("r"), F.lit(0.0)), 2).alias("std_dev"))
+    middle = _median(rows, key).withColumnRenamed(key, "_key")
+    out = plain.join(middle, F.col(key).eqNullSafe(F.col("_key")), "left").select(
+        key, "n", "mean", F.round("median", 2).alias("median"), "min", "max", "std_dev")
+    return out if by else out.drop(key)
 
 
 def correlation_stats(corr: DataFrame) -> DataFrame:
@@ -135,7 +161,7 @@ def index_by_id(findings: DataFrame) -> DataFrame:
 def index_long(findings: DataFrame, column: str) -> DataFrame:
     """Severity -> ids or category -> ids, as a clustered (key, id) table."""
     return (findings.select(F.coalesce(F.col(column), F.lit("unknown")).alias("key"), F.col("id"))
-            .repartition(F.col("key")).sortWithinPartitions("key", "id"))
+            .repartitionByRange("key", "id").sortWithinPartitions("key", "id"))
 
 
 def correlations_by_type(corr: DataFrame) -> DataFrame:

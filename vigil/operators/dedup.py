@@ -1,7 +1,7 @@
 """Exact and pattern dedup (D1, D2 exact pass, P21, P22).
 
-Both keep one row per key. They are written as hash aggregates with
-``min_by`` so Spark combines map-side: a key holding a third of all rows is
+Both keep one row per key. They are written as aggregates with
+``min_by`` (sorted ones, as the kept row holds strings), which combine map-side: a key holding a third of all rows is
 reduced to one row per input partition before the shuffle, never sorted or
 buffered whole in one task (a ``row_number`` window would be).
 """

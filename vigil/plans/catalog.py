@@ -25,7 +25,8 @@ def correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tb.correlation_edges(tb.read(spark, sf_dir, "lineitem"))
+    """References straight from the lines: no list is built only to be taken apart again."""
+    return tb.correlation_edges(tb.read(spark, sf_dir, "lineitem")).withColumn("n", F.lit(1))
 
 
 # --------------------------------------------------------------------------------------
@@ -57,14 +58,14 @@ def _sc_sql(body: str) -> str:
 @query("scorecard_metrics", _sc_sql("SELECT stage, metric, round(value, 6) AS value FROM metrics"),
        ops=("V7", "V8", "V10", "V12", "V13", "V14", "V15", "V16", "V17", "V18", "V19", "V20", "V21", "J16", "J18"))
 def q_scorecard_metrics(spark, sf_dir):
-    m = sc.scorecard_metrics(findings(spark, sf_dir), correlations(spark, sf_dir))
+    m = sc.scorecard_metrics(findings(spark, sf_dir), correlations(spark, sf_dir), edges(spark, sf_dir))
     return m.select("stage", "metric", F.round("value", 6).alias("value"))
 
 
 @query("scorecard_stages", _sc_sql("SELECT stage, status, passed, round(score, 6) AS score FROM stages"),
        ops=("V12", "V13", "V15", "V21", "V25"))
 def q_scorecard_stages(spark, sf_dir):
-    m = sc.scorecard_metrics(findings(spark, sf_dir), correlations(spark, sf_dir))
+    m = sc.scorecard_metrics(findings(spark, sf_dir), correlations(spark, sf_dir), edges(spark, sf_dir))
     return sc.stage_table(m)
 
 
@@ -81,7 +82,7 @@ SELECT CASE WHEN count(*) FILTER (WHERE status = 'failed') > 0 THEN 'failed'
 FROM stages"""), ops=("V22", "V23"))
 def q_scorecard_summary(spark, sf_dir):
     f, c = findings(spark, sf_dir), correlations(spark, sf_dir)
-    st = sc.stage_table(sc.scorecard_metrics(f, c))
+    st = sc.stage_table(sc.scorecard_metrics(f, c, edges(spark, sf_dir)))
     counts = (f.agg(F.count(F.lit(1)).alias("total_findings"), F.count_distinct("scanner").alias("scanner_coverage"))
               .withColumn("k", F.lit(1)))
     ccount = c.agg(F.count(F.lit(1)).alias("total_correlations")).withColumn("k", F.lit(1))
@@ -104,14 +105,14 @@ SELECT 'overall', 'Dataset quality is good - no major issues found'
 FROM (SELECT count(*) FILTER (WHERE recommendation IS NOT NULL) AS n FROM recs) t WHERE n = 0"""),
        ops=("V24",))
 def q_scorecard_recommendations(spark, sf_dir):
-    m = sc.scorecard_metrics(findings(spark, sf_dir), correlations(spark, sf_dir))
+    m = sc.scorecard_metrics(findings(spark, sf_dir), correlations(spark, sf_dir), edges(spark, sf_dir))
     return sc.recommendations(sc.stage_table(m))
 
 
 @query("correlation_quality", "WITH " + O.FINDINGS_CTE + "," + O.CORRELATIONS_CTE + O.scorecard_ctes() + """
 SELECT correlation_id, n_refs, found, round(quality, 6) AS quality FROM cq""", ops=("V14", "J18"))
 def q_correlation_quality(spark, sf_dir):
-    q = sc.correlation_quality(correlations(spark, sf_dir), findings(spark, sf_dir))
+    q = sc.correlation_quality(correlations(spark, sf_dir), findings(spark, sf_dir), edges(spark, sf_dir))
     return q.select("correlation_id", "n_refs", "found", F.round("quality", 6).alias("quality"))
 
 
@@ -120,7 +121,7 @@ SELECT r.correlation_id, r.ref
 FROM (SELECT id AS correlation_id, unnest(correlation_refs) AS ref FROM correlations) r
 WHERE NOT EXISTS (SELECT 1 FROM ids WHERE ids.id = r.ref)""", ops=("J16",))
 def q_broken_references(spark, sf_dir):
-    return sc.broken_refs(correlations(spark, sf_dir), findings(spark, sf_dir)).select("correlation_id", "ref")
+    return sc.broken_refs(correlations(spark, sf_dir), findings(spark, sf_dir), edges(spark, sf_dir)).select("correlation_id", "ref")
 
 
 @query("dataset_metadata", _sc_sql("""
@@ -141,4 +142,4 @@ SELECT substr(md5(CAST(total_findings AS VARCHAR) || '|' || CAST(total_correlati
 FROM roll, ch"""), ops=("A8", "A6"))
 def q_dataset_metadata(spark, sf_dir):
     f, c = findings(spark, sf_dir), correlations(spark, sf_dir)
-    return sc.dataset_metadata(f, c, sc.stage_table(sc.scorecard_metrics(f, c)))
+    return sc.dataset_metadata(f, c, sc.stage_table(sc.scorecard_metrics(f, c, edges(spark, sf_dir))))
