@@ -56,6 +56,15 @@ class _Numbers(dict):
         return at
 
 
+def pack_numbers(x: np.ndarray) -> bytes:
+    """32-bit numbers by bytes: all lowest ones first. Shuffles compress the high ones, mostly zeros, to nothing."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpack_numbers(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 # -- texts as chunks of numbered words ----------------------------------------------------------------------------
 def word_evidence(model: langid.TextModel, words: list[bytes]) -> np.ndarray:
     """(words, classes): summed log probabilities of each word's byte trigrams, a space at both ends."""
@@ -110,8 +119,8 @@ class _Chunk:
         held, cls, size = map(np.concatenate, (self.held, self.cls, self.size))
         tokens = np.concatenate(self.tokens)
         ids, k, n = pa.concat_arrays(self.ids), len(size), len(self.number)
-        at = np.concatenate([[0], np.cumsum(size) * 4]).astype(np.int32)
-        rows = pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(tokens.astype("<u4").tobytes())])
+        ends = np.cumsum(size)
+        rows = pa.array([pack_numbers(tokens[a:b]) for a, b in zip((ends - size).tolist(), ends.tolist(), strict=True)], pa.binary())
         none = pa.nulls
         yield pa.RecordBatch.from_arrays([
             ids, pa.array(np.full(k, chunk)), pa.array(np.zeros(k, np.int32)), pa.array(held), pa.array(cls.astype(np.int32)),
@@ -235,7 +244,9 @@ def _encode_words(vocabulary: DataFrame) -> DataFrame:
             yield from close()
 
     path = shared_path(vocabulary.sparkSession, "ppm-words")
-    (vocabulary.select("word", "cls", "n", "total", "chunks", "ids").mapInArrow(run, schema)
+    # Read in no more parts than it has chunks of words: each chunk repeats the contexts that words share.
+    parts = max(1, -(-vocabulary.count() // CHUNK_WORDS))
+    (vocabulary.select("word", "cls", "n", "total", "chunks", "ids").coalesce(parts).mapInArrow(run, schema)
      .write.option("compression", "zstd").partitionBy("kind").parquet(path))
     return vocabulary.sparkSession.read.schema(schema).parquet(path)
 
@@ -313,11 +324,11 @@ def _score_events(counted: DataFrame, classes: int) -> DataFrame:
             p = log_probabilities(event.view(np.uint64), n, shared.value)
             row = 0
             for b in held:
-                yield pa.RecordBatch.from_arrays([b.column(2), pa.array(p[row:row + b.num_rows])], names=["x", "logp"])
+                yield pa.RecordBatch.from_arrays([b.column(2), pa.array(p[row:row + b.num_rows].astype(np.float32))], names=["x", "logp"])
                 row += b.num_rows
 
     dealt = counted.repartition(cls, F.shiftright("event", 8).bitwiseAND(F.lit(0xFFFF)))
-    scored = dealt.select("event", "n", "x").mapInArrow(run, "x array<struct<group:long,id:int>>, logp double")
+    scored = dealt.select("event", "n", "x").mapInArrow(run, "x array<struct<group:long,id:int>>, logp float")
     return scored.select(F.explode("x").alias("x"), "logp").select("x.group", "x.id", "logp")
 
 
@@ -341,12 +352,12 @@ def _score_words(vocabulary: DataFrame, classes: int) -> DataFrame:
             n = np.diff(chunks.offsets.to_numpy())
             row = pa.array(np.repeat(np.arange(len(n)), n))
             out.append(pa.table({"chunk": chunks.flatten(), "id": b.column("ids").flatten(), "cls": b.column("cls").take(row),
-                                 "total": b.column("total").take(row), "logp": pa.array(np.repeat(sums, n))}))
+                                 "total": b.column("total").take(row), "logp": pa.array(np.repeat(sums, n).astype(np.float32))}))
         return pa.concat_tables(out)
 
     rows = words.where("kind = 0").select("group", "cls", "total", "chunks", "ids", "places")
     return rows.groupBy("group").cogroup(scored.groupBy("group")).applyInArrow(
-        run, "chunk long, id int, cls int, total long, logp double")
+        run, "chunk long, id int, cls int, total long, logp float")
 
 
 # -- documents ----------------------------------------------------------------------------------------------------
@@ -384,7 +395,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         p[scores.column("cls").to_numpy(), at] = scores.column("logp").to_numpy()
         cls, held = rows.column("cls").to_numpy(), list(raw(rows.column("tokens")))
         size = np.fromiter(map(len, held), np.int64, k) // 4
-        found, first = np.frombuffer(b"".join(held), "<u4"), np.cumsum(size) - size
+        found, first = np.concatenate([unpack_numbers(b) for b in held]), np.cumsum(size) - size
         return pa.table({
             "doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), "n_tokens": pa.array(size),
             "n_known": pa.array(np.add.reduceat(seen[found].astype(np.int64), first)),
