@@ -34,6 +34,9 @@ HEADLINE = [
     "completion_scores",
     "rationale_backfill",
     "histograms",
+    "dataset_metadata",
+    "correlation_edges",
+    "verifier_issue_totals",
 ]
 
 

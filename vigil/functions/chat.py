@@ -112,14 +112,17 @@ def kb_refs(category: Column, meta: Column) -> Column:
 
 
 # --- C1: conversation text -------------------------------------------------------------------------
-def user_block_json(title: Column, description: Column, metadata: Column) -> Column:
-    """``{title, description, metadata}`` with two spaces per level; metadata that is no object stands under ``raw``."""
+def user_block_json(title: Column, description: Column, metadata: Column, category: Column | None = None) -> Column:
+    """``{title, description, metadata[, category]}`` with two spaces per level; metadata that is no object stands under
+    ``raw``."""
     raw = F.concat(F.lit('{\n    "raw": '), json_str(metadata), F.lit("\n  }"))
     meta = (F.when(F.coalesce(metadata, F.lit("")) == "", F.lit("{}"))
             .when(is_json_object(metadata), jt.indented(jt.tokens(metadata), 1)).otherwise(raw))
     return F.concat(F.lit('{\n  "title": '), json_str(F.coalesce(title, F.lit(fixed.DEFAULT_TITLE))),
                     F.lit(',\n  "description": '), json_str(F.coalesce(description, F.lit(""))),
-                    F.lit(',\n  "metadata": '), meta, F.lit("\n}"))
+                    F.lit(',\n  "metadata": '), meta,
+                    *([F.lit(',\n  "category": '), json_str(F.coalesce(category, F.lit("unknown")))] if category is not None else []),
+                    F.lit("\n}"))
 
 
 def json_str(c: Column) -> Column:

@@ -209,6 +209,52 @@ def q_chat_messages(spark, sf_dir):
     return m.select("id", F.to_json("messages").alias("messages"), "answer")
 
 
+# C9 and the second form of C10: expected texts written out ---------------------------------------------------------
+_USER_SQL = """'{' || chr(10) || '  "title": ' || to_json(title) || ',' || chr(10) || '  "description": ' || to_json(description)
+       || ',' || chr(10) || '  "metadata": {' || chr(10) || '    "port": ' || CAST(port AS VARCHAR) || ',' || chr(10) || '    "user": '
+       || CAST(user_id AS VARCHAR) || chr(10) || '  }'"""
+_RISK_SQL = """'{"risk_score": ' || CAST(CAST(risk_score AS BIGINT) AS VARCHAR) || ', "severity": ' || to_json(severity)"""
+
+
+@query("chat_messages_category", _F + f"""
+SELECT id, {_USER_SQL} || ',' || chr(10) || '  "category": ' || to_json(category) || chr(10) || '}}' AS user_content,
+       {_RISK_SQL} || '}}' AS answer FROM findings""", ops=("C10",))
+def q_chat_messages_category(spark, sf_dir):
+    m = cm.chat_messages(findings(spark, sf_dir), category=True)
+    return m.select("id", F.col("messages")[1]["content"].alias("user_content"), "answer")
+
+
+def _explained(spark, sf_dir):
+    return findings(spark, sf_dir).withColumn("rationale", F.concat(F.lit('Seen as "'), F.col("severity"), F.lit('".')))
+
+
+@query("training_messages_json", _F + f"""
+SELECT id, {_USER_SQL} || chr(10) || '}}' AS user_content,
+       {_RISK_SQL} || ', "rationale": "Seen as \\"' || severity || '\\".", "mitigation_steps": []}}' AS assistant FROM findings""", ops=("C9",))
+def q_training_messages_json(spark, sf_dir):
+    m = cm.training_messages(_explained(spark, sf_dir), "json")
+    return m.select("id", F.col("messages")[1]["content"].alias("user_content"), F.col("messages")[2]["content"].alias("assistant"))
+
+
+@query("training_messages_think", _F + f"""
+SELECT id, '<think>' || chr(10) || 'Seen as "' || severity || '".' || chr(10) || '</think>' || chr(10) || '<answer>' || chr(10)
+       || {_RISK_SQL} || '}}' || chr(10) || '</answer>' AS assistant FROM findings""", ops=("C9",))
+def q_training_messages_think(spark, sf_dir):
+    m = cm.training_messages(_explained(spark, sf_dir), "think")
+    return m.select("id", F.col("messages")[2]["content"].alias("assistant"))
+
+
+@query("protocol_texts", _F + f"""
+SELECT id, '<|im_start|>system' || chr(10) || 'P' || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10)
+       || {_USER_SQL} || chr(10) || '}}' || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)
+       || CASE WHEN severity = 'low' THEN 'R' || id ELSE 'O' || id END || '<|im_end|>' AS text FROM findings""", ops=("C9",))
+def q_protocol_texts(spark, sf_dir):
+    f = findings(spark, sf_dir)
+    f = f.withColumn("output", F.when(F.col("severity") != "low", F.concat(F.lit("O"), F.col("id"))).otherwise("")) \
+         .withColumn("response", F.concat(F.lit("R"), F.col("id")))
+    return cm.protocol_texts(f, "P").drop("ord")
+
+
 # C11 -----------------------------------------------------------------------------------------------
 @query("batch_requests", _F + "," + O.CORRELATIONS_CTE + """
 SELECT id AS custom_id, 'finding' AS kind, '/v1/chat/completions' AS url, 'gpt-5-mini' AS model, 7 AS n_fields,
