@@ -182,22 +182,28 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train(model: Model, windows: list[bytes], doc: np.ndarray, label: np.ndarray, length: int, seed: int = 7,
-          rounds: int = 10, batch: int = 128, rate: float = 0.01, decay: float = 0.01, hidden: float = 0.3) -> None:
-    """Fit to documents' labels, of which only some windows show why.
-
-    windows: each one's words, space-joined; doc: its document (0 ..); label: of each document. In each round every document
-    is stood for by its highest-scoring window, at first by that with the strongest word evidence.
-    """
-    rng = np.random.default_rng(seed)
+def number_windows(windows: list[bytes], length: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of windows (space-joined), each window's words as numbers, and 1 where it has one."""
     row: dict[bytes, int] = {}
-    index = np.zeros((len(windows), length), np.int64)
+    index = np.zeros((len(windows), length), np.int32)
     mask = np.zeros((len(windows), length), np.float32)
     for i, w in enumerate(windows):
-        w = w.split() or [b""]
-        index[i, :len(w)] = [row.setdefault(c, len(row)) for c in w]
-        mask[i, :len(w)] = 1
-    chunks = list(row)
+        words = w.split() or [b""]
+        index[i, :len(words)] = [row.setdefault(c, len(row)) for c in words]
+        mask[i, :len(words)] = 1
+    return list(row), index, mask
+
+
+def train(model: Model, chunks: list[bytes], index: np.ndarray, mask: np.ndarray, doc: np.ndarray, label: np.ndarray,
+          seed: int = 7, rounds: int = 10, batch: int = 128, rate: float = 0.01, decay: float = 0.01,
+          hidden: float = 0.3) -> None:
+    """Fit to documents' labels, of which only some windows show why.
+
+    chunks, index, mask: from :func:`number_windows`; doc: each window's document (0 ..); label: of each document. In
+    each round every document is stood for by its highest-scoring window, at first by that with the strongest word
+    evidence.
+    """
+    rng, length = np.random.default_rng(seed), index.shape[1]
     looked = model.look_up(chunks)
     order = np.argsort(doc, kind="stable")
     firsts = np.flatnonzero(np.diff(doc[order], prepend=-1))
@@ -208,13 +214,15 @@ def train(model: Model, windows: list[bytes], doc: np.ndarray, label: np.ndarray
         return by[firsts]  # the same documents in the same order, each one's highest first
 
     # Smoothed log odds of known words by document; they start one dimension of the embeddings.
-    seen = np.unique(np.stack([np.repeat(doc, length), looked[0][index].ravel()]), axis=1)
-    n = [np.bincount(seen[1][label[seen[0]] == y], minlength=len(model.vocabulary) + 1) for y in (0, 1)]
+    words = len(model.vocabulary) + 1
+    seen = np.unique(np.repeat(doc, length) * words + looked[0][index].ravel())
+    n = [np.bincount((seen % words)[label[seen // words] == y], minlength=words) for y in (0, 1)]
     share = [(n[y] + 2) / (max(1, (label[docs] == y).sum()) + 4) for y in (0, 1)]
     odds = np.clip(np.log(share[1] / share[0]), -3, 3).astype(np.float32)
     odds[0] = 0
     model.p["word"][:, 0] = odds / 2
-    score = np.where(mask > 0, odds[looked[0][index]], -9).max(axis=1)
+    del seen
+    score = np.where(mask > 0, odds[looked[0][index]], np.float32(-9)).max(axis=1)
     opt = Adam(model.p, rate, decay)
     for _ in range(rounds):
         chosen = best(score)
@@ -232,8 +240,8 @@ def train(model: Model, windows: list[bytes], doc: np.ndarray, label: np.ndarray
             dx[..., :model.word] *= ~hide
             opt.step(g | model.input_gradients(looked, at, dx))
         every = model.inputs(chunks)
-        score = np.concatenate([model.logits(every[index[i:i + 2048].T], mask[i:i + 2048].T)
-                                for i in range(0, len(index), 2048)])
+        score = np.concatenate([model.logits(every[index[i:i + 1024].T], mask[i:i + 1024].T)
+                                for i in range(0, len(index), 1024)])
 
 
 def _inputs(model: Model, looked: tuple[np.ndarray, np.ndarray, np.ndarray], at: np.ndarray) -> np.ndarray:

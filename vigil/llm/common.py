@@ -17,8 +17,8 @@ from vigil.session import ensure_checkpoint_dir
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
-#: Bytes of text a kernel works on at a time, so that memory does not follow the batch size.
-ARROW_BYTES = 16 << 20
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 1000
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -39,8 +39,8 @@ def ship(spark: SparkSession) -> SparkSession:
                         z.write(path, os.path.relpath(path, os.path.dirname(PACKAGE)))
         sc.addPyFile(target)
         sc.setLocalProperty("vigil.shipped", sc.applicationId)
-    for key in ("spark.sql.execution.arrow.maxRecordsPerBatch", ):
-        spark.conf.set(key, "2000")
+    # Texts are long: batches of the default row count would take too much of a worker's memory.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
 
@@ -82,3 +82,16 @@ def raw(array: pa.Array) -> Iterator[bytes]:
     nulls = array.is_null().to_pylist() if array.null_count else None
     for i in range(n):
         yield b"" if nulls and nulls[i] else bytes(view[at[i]:at[i + 1]])
+
+
+def hash_sample(df: DataFrame, n: int, *cols: str, seed: int = 7) -> DataFrame:
+    """About the ``n`` rows with the smallest hash of ``cols``: ``n``, or somewhat fewer of many equal rows.
+
+    Rows are counted first and those with a larger hash left out before the top-k, so that no task sends more than
+    its share however many tasks there are.
+    """
+    total = df.count()
+    h = F.xxhash64(*cols, F.lit(seed))
+    if total > 2 * n + 64:
+        df = df.where(F.pmod(h, F.lit(1 << 30)) < int((2 * n + 64) / total * (1 << 30)))
+    return df.orderBy(F.pmod(h, F.lit(1 << 30)), *cols).limit(n)

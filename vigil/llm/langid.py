@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.llm.common import raw, ship, table
+from vigil.llm.common import hash_sample, raw, ship, table
 
 LANGUAGES = ("de", "en", "es", "fr")
 #: What none of the languages explains better than even odds over all trigrams.
@@ -39,7 +39,7 @@ BROADCAST_HOSTS = 200_000
 LETTERS = bytes(i | 32 if 65 <= i <= 90 else i if 97 <= i <= 122 or i >= 128 else 32 for i in range(256))
 _SPACES = re.compile(rb" +")
 _MARKUP = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;")
-_STEP = 1 << 20
+_STEP = 1 << 16
 
 
 def buckets(code: np.ndarray) -> np.ndarray:
@@ -84,7 +84,7 @@ def fit(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, n: int = FIT_RO
     known = rows.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
     chosen = None
     for lang in languages:  # ids first, so that the choice moves no text
-        some = (known.where(F.col("l") == lang).select("i", "l").orderBy(F.xxhash64("i", F.lit(seed)), "i").limit(n))
+        some = hash_sample(known.where(F.col("l") == lang).select("i", "l"), n, "i", seed=seed)
         chosen = some if chosen is None else chosen.unionByName(some)
     sample = known.select("i", "t").join(F.broadcast(chosen), "i").select("l", "t")
 

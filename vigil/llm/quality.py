@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import raw, ship, table
+from vigil.llm.common import hash_sample, raw, ship, table
 
 SYMBOLS = b"#*$%&|<>"
 #: Rows that the forest is grown from, trees, rows of each tree, and the cells scores are counted in.
@@ -153,8 +153,8 @@ def _arrays(b: pa.RecordBatch) -> dict[str, np.ndarray]:
 def fit(rows: DataFrame, n: int = FIT_ROWS, trees: int = TREES, tree_rows: int = TREE_ROWS,
         seed: int = 7) -> Forest | None:
     """A forest over ``n`` distinct rows of counts with a word, chosen by their hash. None if there is no such row."""
-    sample = (rows.where("n_words > 0").select(*COUNTS).distinct()
-              .orderBy(F.xxhash64(*COUNTS, F.lit(seed)), *COUNTS).limit(n).toPandas())
+    sample = hash_sample(table(rows.where("n_words > 0").select(*COUNTS).distinct(), "distinct"), n, *COUNTS,
+                         seed=seed).toPandas()
     if not len(sample):
         return None
     return grow(features({c: sample[c].to_numpy() for c in COUNTS}), trees, tree_rows, seed)

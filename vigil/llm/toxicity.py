@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm import bigru
-from vigil.llm.common import crc32_mod, raw, ship
+from vigil.llm.common import crc32_mod, hash_sample, raw, ship
 from vigil.llm.tokens import groups
 
 WINDOW = 32
@@ -27,8 +27,8 @@ FIT_WINDOWS = 24
 #: A word of the sample is known to the network if so many sampled documents hold it.
 MIN_DOCUMENTS = 3
 THRESHOLD = 0.3
-_REMEMBER = 1 << 18
-_BLOCK = 2048
+_REMEMBER = 3 << 16
+_BLOCK = 1024
 
 
 def starts(n: int, window: int = WINDOW, stride: int = STRIDE) -> list[int]:
@@ -51,10 +51,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = FIT_ROWS, pe
     share = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
     if len(share) < 2:
         return None
-    h = F.xxhash64("_id", F.lit(seed))
     chosen = None
-    for y in (0, 1):  # each a distributed top-k
-        some = known.where(F.col("_label") == y).orderBy(h, "_id").limit(rows[y])
+    for y in (0, 1):
+        some = hash_sample(known.where(F.col("_label") == y), rows[y], "_id", seed=seed)
         chosen = some if chosen is None else chosen.unionByName(some)
     # At most sum(rows) pairs of an id and a label.
     sample = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
@@ -85,10 +84,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = FIT_ROWS, pe
     for r in found:
         held.update({c.strip(bigru.PUNCTUATION) for w in r["windows"] for c in bytes(w).split()})
     known_words = sorted(w for w, n in held.items() if w and n >= MIN_DOCUMENTS)
-    del found, held
+    chunks, index, mask = bigru.number_windows(windows, WINDOW)
+    del found, held, windows
     model = bigru.Model({w: i + 1 for i, w in enumerate(known_words)})
     model.start(seed)
-    bigru.train(model, windows, doc, label, WINDOW, seed)
+    bigru.train(model, chunks, index, mask, doc, label, seed)
     model.shift = float(np.log(share[1] / share[0]) - np.log(label.sum() / (1 - label).sum()))
     return model
 
