@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 
+SOME = "/root/testdata/sf0.01"
 ROOT = os.path.dirname(os.path.abspath(entry.__file__))
 
 
@@ -30,9 +31,10 @@ def test_the_rest_works_without_the_subpackage(tmp_path):
 
 
 @pytest.fixture(scope="module")
-def steps(spark, docs):
-    """What each stage returns, the smallest documents with some planted ones going in."""
-    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+def steps(spark):
+    """What each stage returns, documents (enough of them labelled to learn from) with some planted ones going in."""
+    docs = spark.read.parquet(f"{SOME}/documents.parquet")
+    item = spark.read.parquet(f"{SOME}/benchmark.parquet").first().text
     toxic = "idiot scum worthless trash moron clown pathetic loser stupid disgusting "
     base = docs.where("lang = 'en' and n_chars > 800").orderBy("doc_id").first()
     rows = [(9001, toxic + base.text[:200] + toxic), (9002, base.text), (9003, base.text + " tail"), (9004, "Before. " + item + " After."),
@@ -42,7 +44,7 @@ def steps(spark, docs):
     frame, out = docs.unionByName(extra), {}
     for name, stage in corpus_pipeline.STAGES:
         before = frame
-        frame = stage(spark, frame, SF).cache()
+        frame = stage(spark, frame, SOME).cache()
         out[name] = (before, frame)
     return out, base.doc_id
 
@@ -59,7 +61,7 @@ def test_stages(steps):
     assert base in ids["simhash_near_dedup"] and not {9002, 9003} & ids["simhash_near_dedup"]
     assert 9004 in ids["simhash_near_dedup"] and 9004 not in ids["benchmark_decontamination"]
     assert ids["best_fit_packing"] == ids["benchmark_decontamination"]
-    assert len(ids["language_id"]) >= 199 and len(ids["benchmark_decontamination"]) >= 140
+    assert len(ids["language_id"]) >= 999 and len(ids["benchmark_decontamination"]) >= 700
 
 
 def test_run(spark):

@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
+#: Steps of training at least.
+STEPS = 400
 PUNCTUATION = b".,;:!?\"'()[]{}<>|*#$%&-_/\\`~+=^@"
 
 
@@ -224,7 +226,9 @@ def train(model: Model, chunks: list[bytes], index: np.ndarray, mask: np.ndarray
     del seen
     score = np.where(mask > 0, odds[looked[0][index]], np.float32(-9)).max(axis=1)
     opt = Adam(model.p, rate, decay)
-    for _ in range(rounds):
+    # Few documents: smaller batches and more rounds, so that there are some hundred steps in any case.
+    batch = max(16, min(batch, len(firsts) // 40))
+    for _ in range(max(rounds, -(-STEPS // max(1, len(firsts) // batch)))):
         chosen = best(score)
         for part in np.array_split(rng.permutation(len(chosen)), max(1, len(chosen) // batch)):
             rows = chosen[part]
