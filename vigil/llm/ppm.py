@@ -307,8 +307,25 @@ def log_probabilities(event: np.ndarray, count: np.ndarray, low: np.ndarray, ord
     return out
 
 
+def _packed(key: np.ndarray, name: str, columns: dict[str, np.ndarray]) -> list[pa.RecordBatch]:
+    """Rows as one row per key, each column's values as bytes: few rows to shuffle, and small ones."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=key[0] - 1)) if len(key) else np.zeros(0, np.int64)
+    ends = np.append(first[1:], len(key))
+    arrays = [pa.array(key[first])]
+    for c in columns.values():
+        c = c[order]
+        arrays.append(pa.array([c[a:b].tobytes() for a, b in zip(first.tolist(), ends.tolist(), strict=True)], pa.binary()))
+    return [pa.RecordBatch.from_arrays(arrays, names=[name, *columns])] if len(first) else []
+
+
+def _unpacked(rows: pa.Table, name: str, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(raw(rows.column(name))), kind)
+
+
 def _score_events(counted: DataFrame, classes: int) -> DataFrame:
-    """(group, id, logp) from (event, n, x): events meet by class and the last two bytes of their context; what shorter
+    """(group, ids, logp) from (event, n, x), packed: events meet by class and the last two bytes of their context; what shorter
     contexts hold is a table of at most 65,536 counts a class, which every task gets."""
     low = np.zeros((classes, 256, 256), np.int64)
     pair = F.col("event").bitwiseAND(F.lit(0xFFFF))
@@ -324,17 +341,20 @@ def _score_events(counted: DataFrame, classes: int) -> DataFrame:
             p = log_probabilities(event.view(np.uint64), n, shared.value)
             row = 0
             for b in held:
-                yield pa.RecordBatch.from_arrays([b.column(2), pa.array(p[row:row + b.num_rows].astype(np.float32))], names=["x", "logp"])
+                size = np.diff(b.column(2).offsets.to_numpy())
+                logp = np.repeat(p[row:row + b.num_rows], size).astype("<f4")
                 row += b.num_rows
+                places = b.column(2).flatten()
+                yield from _packed(places.field("group").to_numpy(), "group", {
+                    "ids": places.field("id").to_numpy(), "logp": logp})
 
     dealt = counted.repartition(cls, F.shiftright("event", 8).bitwiseAND(F.lit(0xFFFF)))
-    scored = dealt.select("event", "n", "x").mapInArrow(run, "x array<struct<group:long,id:int>>, logp float")
-    return scored.select(F.explode("x").alias("x"), "logp").select("x.group", "x.id", "logp")
+    return dealt.select("event", "n", "x").mapInArrow(run, "group long, ids binary, logp binary")
 
 
 def _score_words(vocabulary: DataFrame, classes: int) -> DataFrame:
-    """(chunk, id, cls, total, logp): for each place that ``vocabulary`` notes, the summed log10 probabilities of the
-    word's events."""
+    """(chunk, ids, cls, total, logp), packed: for each place that ``vocabulary`` notes, the summed log10 probabilities
+    of the word's events."""
     words = _encode_words(vocabulary)
     rows = words.where("kind = 1").select("group", F.explode(F.arrays_zip("events", "ids", "counts")).alias("x"))
     counted = rows.groupBy(F.col("x.events").alias("event")).agg(
@@ -342,22 +362,23 @@ def _score_words(vocabulary: DataFrame, classes: int) -> DataFrame:
     scored = _score_events(table(counted, "events"), classes)
 
     def run(words: pa.Table, scores: pa.Table) -> pa.Table:
-        p = np.zeros(scores.num_rows)
-        p[scores.column("id").to_numpy()] = scores.column("logp").to_numpy()
+        at = _unpacked(scores, "ids", "<i4")
+        p = np.zeros(len(at))
+        p[at] = _unpacked(scores, "logp", "<f4")
         out = []
         for b in words.to_batches():
             places, chunks = b.column("places"), b.column("chunks")
             at = places.offsets.to_numpy()
             sums = np.add.reduceat(p[places.values.to_numpy()[at[0]:at[-1]]], at[:-1] - at[0])
             n = np.diff(chunks.offsets.to_numpy())
-            row = pa.array(np.repeat(np.arange(len(n)), n))
-            out.append(pa.table({"chunk": chunks.flatten(), "id": b.column("ids").flatten(), "cls": b.column("cls").take(row),
-                                 "total": b.column("total").take(row), "logp": pa.array(np.repeat(sums, n).astype(np.float32))}))
-        return pa.concat_tables(out)
+            each = {"ids": b.column("ids").flatten().to_numpy(), "cls": np.repeat(b.column("cls").to_numpy().astype(np.int8), n),
+                    "total": np.repeat(b.column("total").to_numpy(), n), "logp": np.repeat(sums, n).astype("<f4")}
+            out += _packed(chunks.flatten().to_numpy(), "chunk", each)
+        return pa.Table.from_batches(out)
 
     rows = words.where("kind = 0").select("group", "cls", "total", "chunks", "ids", "places")
     return rows.groupBy("group").cogroup(scored.groupBy("group")).applyInArrow(
-        run, "chunk long, id int, cls int, total long, logp float")
+        run, "chunk long, ids binary, cls binary, total binary, logp binary")
 
 
 # -- documents ----------------------------------------------------------------------------------------------------
@@ -388,11 +409,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
 
     def run(rows: pa.Table, scores: pa.Table) -> pa.Table:
         k = rows.num_rows
-        n = int(pc.max(scores.column("id")).as_py()) + 1
+        at, total = _unpacked(scores, "ids", "<i4"), _unpacked(scores, "total", "<i8")
+        n = int(at.max()) + 1
         base, p, seen = np.zeros(n), np.zeros((classes, n)), np.zeros(n, bool)
-        at, total = scores.column("id").to_numpy(), scores.column("total").to_numpy()
         base[at], seen[at] = np.log10(total + 1) - rest, total > 0
-        p[scores.column("cls").to_numpy(), at] = scores.column("logp").to_numpy()
+        p[_unpacked(scores, "cls", "i1"), at] = _unpacked(scores, "logp", "<f4")
         cls, held = rows.column("cls").to_numpy(), list(raw(rows.column("tokens")))
         size = np.fromiter(map(len, held), np.int64, k) // 4
         found, first = np.concatenate([unpack_numbers(b) for b in held]), np.cumsum(size) - size
