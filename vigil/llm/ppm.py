@@ -32,7 +32,7 @@ from vigil.llm.tokens import runs
 ORDER = 6
 #: Bytes of text, and words, in a chunk.
 CHUNK_BYTES = 24 << 20
-CHUNK_WORDS = 1 << 19
+CHUNK_WORDS = 3 << 17
 #: Rows of a slice of an array that is exploded, and tasks whose chunks a word notes in one row.
 SLICE = 1 << 14
 PIECE = 4096
@@ -189,12 +189,12 @@ def events(words: list[bytes], classes: np.ndarray, order: int = ORDER) -> tuple
     end = END.encode()
     tails = [w if w == end else w + b" " for w in words]
     size = np.fromiter(map(len, tails), np.int64, len(tails))
-    text = np.frombuffer(b"".join([b" " * order + w for w in tails]), np.uint8).astype(np.uint64)
+    text = np.frombuffer(b"".join([b" " * order + w for w in tails]), np.uint8)
     first = np.cumsum(size + order) - size
     at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
     code = np.repeat(classes.astype(np.uint64) << np.uint64(56), size)
     for j in range(order + 1):
-        code |= text[at - j] << np.uint64(8 * j)
+        code |= text[at - j].astype(np.uint64) << np.uint64(8 * j)
     return code, size
 
 
@@ -217,11 +217,13 @@ def _encode_words(vocabulary: DataFrame) -> DataFrame:
             del words
             distinct, index = np.unique(code, return_inverse=True)
             counts = np.bincount(index, weights=np.repeat(count, size), minlength=len(distinct)).astype(np.int64)
+            index = index.astype(np.int32)
+            del code
             ends, row = np.concatenate([[0], np.cumsum(size)]), 0
             for b in held:
                 k = b.num_rows
                 at = ends[row:row + k + 1]
-                lists = pa.ListArray.from_arrays(pa.array((at - at[0]).astype(np.int32)), pa.array(index[at[0]:at[-1]].astype(np.int32)))
+                lists = pa.ListArray.from_arrays(pa.array((at - at[0]).astype(np.int32)), pa.array(index[at[0]:at[-1]]))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(k, part + n)), pa.array(np.zeros(k, np.int32)), b.column(1), b.column(3), b.column(4), b.column(5),
                     lists, pa.nulls(k, longs), pa.nulls(k, longs)], names=names)
