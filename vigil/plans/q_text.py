@@ -149,10 +149,9 @@ SELECT id, '{{"risk_score": ' || CAST(CAST(round_even(json_extract(a, '$.risk_sc
        || ', "category": ' || to_json(json_extract_string(a, '$.category')) || '}}' AS answer
 FROM ans""", ops=("P28", "C7"))
 def q_answer_repair(spark, sf_dir):
-    sft = cm.sft_texts(findings(spark, sf_dir))
-    a = ch.answer_section(ch.block_regex(F.col("text"), "assistant"))
+    sft = cm.sft_completions(findings(spark, sf_dir)).select("id", "completion")
     lit_null = F.lit(None).cast("string")
-    return cm.repair_answers(sft.select("id", "text"), a, lit_null, lit_null, lit_null).select("id", "answer")
+    return cm.repair_answers(sft, ch.answer_section(F.col("completion")), lit_null, lit_null, lit_null).select("id", "answer")
 
 
 # completions = assistant blocks of the C1 texts, answers from the raw event values ----------
@@ -185,11 +184,10 @@ r AS (SELECT id,
 FROM s)
 SELECT id, CAST(json_validity AS DOUBLE) AS json_validity, CAST(risk_linear AS DOUBLE) AS risk_linear, CAST(severity_match AS DOUBLE) AS severity_match, CAST(format_strict AS DOUBLE) AS format_strict, CAST(format_loose AS DOUBLE) AS format_loose, CAST(reasoning_structure AS DOUBLE) AS reasoning_structure, CAST(analytical_depth AS DOUBLE) AS analytical_depth, CAST(risk_banded AS DOUBLE) AS risk_banded, CAST(risk_strict AS DOUBLE) AS risk_strict FROM r""", ops=("R1", "R2", "R3", "R4", "R5", "R6", "R7", "R8"))
 def q_completion_scores(spark, sf_dir):
-    sft = cm.sft_texts(findings(spark, sf_dir), passthrough=("event_value",))
-    comp = tx.py_strip(ch.before_first(ch.after_first(F.col("text"), ch.IM_START + "assistant"), ch.IM_END))
+    sft = cm.sft_completions(findings(spark, sf_dir), passthrough=("event_value",))
     answer = F.concat(F.lit('{"risk_score": '), F.floor("event_value").cast("long").cast("string"),
                       F.lit(', "severity": "info"}'))
-    df = sft.select("id", comp.alias("completion"), answer.alias("answer"))
+    df = sft.select("id", "completion", answer.alias("answer"))
     out = cm.score_completions(df)
     return out.drop("completion", "answer")
 
