@@ -135,3 +135,47 @@ def test_probabilities_sum_to_one():
             low[0, e >> 8 & 255, e & 255] += c
         p = ppm.log_probabilities(event, n, low, order)
         assert math.isclose((10 ** p[np.searchsorted(event, every)]).sum(), 1, rel_tol=1e-9)
+
+
+def test_contexts_over_the_text(make, model):
+    """With ``across``: the same dictionaries over whole texts, word order counts, and blocks do not matter."""
+    import random
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "nus", "terra") for b in ("n", "ra", "x", "vel", "")]
+    rng = random.Random(5)
+    phrase = " ".join(words[:12])
+    rows = [(i, f"{phrase} {' '.join(rng.choices(words, k=6))}") for i in range(1, 60) if not held(i)]
+    other = sorted(words[:12], key=lambda w: w[::-1])
+    rows += [(i, t) for i, t in zip([i for i in range(100, 200) if held(i)], [phrase, " ".join(other)], strict=False)] + ODD
+    found = {(str(r.doc_id), r.n_tokens): r for r in ppm.score(make(rows), ppm.held_out(), model=model, across=True).collect()}
+    classes = model.log.shape[1]
+    prior = np.log(langid.prior(classes))
+    texts, tries, ends = [], [Trie(ppm.ORDER) for _ in range(classes)], np.zeros(classes)
+
+    def places(self, text):
+        text = b" " * self.order + text
+        return [(text[i - self.order:i], text[i]) for i in range(self.order, len(text))]
+
+    for t in tries:
+        t.places = places.__get__(t)
+    for d, t in rows:
+        w = (t or "").encode().lower().split()
+        c = int((evidence(model, w) + prior).argmax())
+        texts.append((str(d), len(w) + 1, c, b"".join(x + b" " for x in w) + b"\n"))
+        if not held(d):
+            tries[c].learn(texts[-1][3], 1)
+            ends[c] += 1
+    for d, n, c, text in texts:
+        if n < 10_000:
+            assert math.isclose(found[d, n].score, tries[c].cost(text) + math.log10((ends[c] + 1) / (ends.sum() + classes)), rel_tol=1e-5)
+    ordered, shuffled = (r for r in found.values() if r.held_out and r.n_tokens == 13)
+    assert ordered.base_score == pytest.approx(shuffled.base_score)
+    assert abs(ordered.score - shuffled.score) > 5
+
+
+def test_small_blocks_over_the_text(docs, model, monkeypatch):
+    some = docs.where("n_chars < 700").cache()
+    a = {r.doc_id: r.score for r in ppm.score(some, ppm.held_out(), model=model, across=True).collect()}
+    for name, n in (("CHUNK_BYTES", 2000), ("CHUNK_WORDS", 50), ("BLOCK", 300)):
+        monkeypatch.setattr(ppm, name, n)
+    b = {r.doc_id: r.score for r in ppm.score(some, ppm.held_out(), model=model, across=True).collect()}
+    assert a.keys() == b.keys() and np.allclose([a[k] for k in a], [b[k] for k in a], rtol=1e-6)

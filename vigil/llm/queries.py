@@ -42,7 +42,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_ppm_scores")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ppm.score(read(spark, sf_dir, "documents"), ppm.held_out())
+    return ppm.score(read(spark, sf_dir, "documents"), ppm.held_out(), across=True)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
