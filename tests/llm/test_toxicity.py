@@ -115,3 +115,10 @@ def test_no_labels(make, planted):
     got = toxicity.toxicity(make(ODD), labels.limit(0)).collect()
     assert all(r.score == 0 and r.predicted == 0 for r in got)
     assert toxicity.keep_clean(make(ODD), labels.where("toxic = 1")).count() == len(ODD)
+
+
+def test_each_span_of_half_a_window_is_whole_in_one():
+    span = toxicity.WINDOW // 2
+    for n in (33, 48, 49, 100, 1001):
+        at = toxicity.starts(n)
+        assert all(any(s <= a and a + span <= s + toxicity.WINDOW for s in at) for a in range(n - span + 1))

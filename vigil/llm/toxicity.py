@@ -20,10 +20,12 @@ from vigil.llm.common import crc32_mod, hash_sample, raw, ship
 from vigil.llm.tokens import groups
 
 WINDOW = 32
-STRIDE = 24
-#: Documents of label 0 and of label 1 that the network is fitted to, and windows of each, spread evenly.
+#: Half the window: each span of up to WINDOW - STRIDE + 1 words is whole in some window.
+STRIDE = 16
+#: Documents of label 0 and of label 1 that the network is fitted to, and windows of each, spread evenly, and their stride.
 FIT_ROWS = (4500, 1500)
 FIT_WINDOWS = 24
+FIT_STRIDE = 24
 #: A word of the sample is known to the network if so many sampled documents hold it.
 MIN_DOCUMENTS = 3
 THRESHOLD = 0.3
@@ -64,7 +66,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = FIT_ROWS, pe
             out = []
             for i, t in enumerate(raw(b.column(1))):
                 words = t.lower().split()
-                at = starts(len(words))
+                at = starts(len(words), stride=FIT_STRIDE)
                 if len(at) > per_doc:
                     at = [at[j] for j in np.linspace(0, len(at) - 1, per_doc).astype(int)]
                 out.append(pa.array([b" ".join(words[a:a + WINDOW]) for a in at], pa.binary()))
