@@ -1,4 +1,3 @@
-import json
 import os
 import sys
 import tempfile
@@ -31,16 +30,3 @@ def spark():
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="vigil-test-", dir="/tmp")
-
-
-def write_json(path, obj):
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(obj, f)
-    return path
-
-
-def write_jsonl(path, rows):
-    with open(path, "w", encoding="utf-8") as f:
-        for r in rows:
-            f.write((r if isinstance(r, str) else json.dumps(r)) + "\n")
-    return path

@@ -3,7 +3,7 @@
 import json
 import os
 
-from conftest import write_jsonl
+from helpers import write_jsonl
 from pyspark.sql import functions as F
 
 from vigil.plans import pipelines as pl

@@ -259,7 +259,9 @@ def q_intelligent_sample(spark, sf_dir):
 
 
 # D11 quotas / D12 scenario --------------------------------------------------------------------
-# FIXED VALUES: the three recipes' per-category quotas; categories a recipe does not list keep all rows.
+# FIXED VALUES: the three recipes' per-category quotas, and the count of a category that a recipe does not list (the
+# recipes ask for the parallel path, whose count is 10; the sequential one takes 100).
+DEFAULT_QUOTA = 10
 QUOTA_RECIPES = {
     "sft": {"processes": 50, "network": 50, "suid": 50, "kernel_params": 50, "modules": 40, "ioc": 40, "mac": 40,
             "dns": 40, "endpoint_behavior": 40, "world_writable": 40},
@@ -276,23 +278,23 @@ SELECT id, category FROM (
   SELECT *, row_number() OVER (PARTITION BY category ORDER BY md5('{SEED}|' || id), ord) AS r,
          {cases} AS q
   FROM findings) t
-WHERE q IS NULL OR r <= q"""
+WHERE r <= q"""
 
 
 @query("category_quotas", _quota_sql("CASE WHEN category IN ('ioc', 'world_writable') THEN 40 ELSE 50 END"), ops=("D11",))
 def q_category_quotas(spark, sf_dir):
-    return sp.apply_quotas(findings(spark, sf_dir), QUOTA_RECIPES["sft"], seed=SEED).select("id", "category")
+    return sp.apply_quotas(findings(spark, sf_dir), QUOTA_RECIPES["sft"], DEFAULT_QUOTA, seed=SEED).select("id", "category")
 
 
 @query("category_quotas_grpo", _quota_sql("""CASE category WHEN 'processes' THEN 300 WHEN 'network' THEN 300
-         WHEN 'suid' THEN 200 WHEN 'ioc' THEN 200 END"""), ops=("D11",))
+         WHEN 'suid' THEN 200 WHEN 'ioc' THEN 200 ELSE 10 END"""), ops=("D11",))
 def q_category_quotas_grpo(spark, sf_dir):
-    return sp.apply_quotas(findings(spark, sf_dir), QUOTA_RECIPES["grpo"], seed=SEED).select("id", "category")
+    return sp.apply_quotas(findings(spark, sf_dir), QUOTA_RECIPES["grpo"], DEFAULT_QUOTA, seed=SEED).select("id", "category")
 
 
 @query("category_quotas_eval", _quota_sql("30"), ops=("D11",))
 def q_category_quotas_eval(spark, sf_dir):
-    return sp.apply_quotas(findings(spark, sf_dir), QUOTA_RECIPES["eval"], seed=SEED).select("id", "category")
+    return sp.apply_quotas(findings(spark, sf_dir), QUOTA_RECIPES["eval"], DEFAULT_QUOTA, seed=SEED).select("id", "category")
 
 
 # D5 over input positions beyond 2^51, as files of a large read give them
