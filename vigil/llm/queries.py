@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import decontam, langid, licenses, packing, ppm, quality, simhash, token_files, toxicity, warc
+from vigil.llm import (
+    decontam,
+    langid,
+    licenses,
+    merkle,
+    packing,
+    ppm,
+    quality,
+    simhash,
+    token_files,
+    toxicity,
+    warc,
+    whitening,
+)
 from vigil.llm.common import read, shared_path
 
 #: The published tokenizer file that token queries use by default.
@@ -90,3 +103,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scan", licenses.oracle())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+@query("op12_merkle_manifest", merkle.oracle())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read(spark, sf_dir, "embeddings"))
