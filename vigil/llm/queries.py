@@ -12,6 +12,7 @@ from vigil.llm import (
     licenses,
     merkle,
     packing,
+    pii,
     ppm,
     quality,
     simhash,
@@ -113,3 +114,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_embedding_whitening")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(read(spark, sf_dir, "embeddings"))
+
+
+@query("op13_semi_markov_pii")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read(spark, sf_dir, "documents"))
