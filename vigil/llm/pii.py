@@ -84,7 +84,8 @@ def _digits(s: str) -> str:
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of the patterns' matches, by kind, then start. Time grows with the text alone."""
     out = [(0, a, b) for a, b in _emails(text)]
-    out += [(1, *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups())]
+    out += [(1, *m.span()) for m in _IP.finditer(text)
+            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups())]
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:
             d = _digits(m.group())
@@ -326,7 +327,7 @@ def gradient(model: Model, text: str, a: int, b: int,
 
 
 def _made(rng: random.Random, kind: int | None) -> str:
-    """A span of a kind in one of its known or other forms; None: a number of no kind."""
+    """A span of a kind in one of its known or other forms; None: a number, or a place or time after "at", of no kind."""
     d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
     if kind == 0:
@@ -360,7 +361,9 @@ def _made(rng: random.Random, kind: int | None) -> str:
         bad, d(rng.randint(4, 14)), f"20{d(2)}-{d(2)}-{d(2)}", f"{d(2)}.{d(2)}.20{d(2)}", f"{d(1)}.{d(1)}.{d(2)}", f"{d(3)}.{d(2)}",
         f"{rng.randint(300, 999)}.{d(3)}.{d(2)}.{d(1)}", f"{d(4)}-{d(4)}", f"{d(3)}-{d(4)}", " ".join(many), f"{d(2)}/{d(2)}/20{d(2)}",
         f"20{d(2)} {d(4)}", f"{d(5)}-{d(4)}", f"{d(8)} {d(6)}", d(16) if not luhn("1" + d(15)) else bad, f"{d(3)} {d(3)} {d(3)}",
-        f"20{d(2)}-{d(2)}-{d(2)} {d(2)}", f"{bad} {d(5)}", f"{d(4)} {d(4)} {d(4)}", f"{d(2)}-{d(3)}-{d(2)}", f"1.{d(1)}.{d(1)}.{d(4)}"])
+        f"20{d(2)}-{d(2)}-{d(2)} {d(2)}", f"{bad} {d(5)}", f"{d(4)} {d(4)} {d(4)}", f"{d(2)}-{d(3)}-{d(2)}", f"1.{d(1)}.{d(1)}.{d(4)}",
+        *[f"20{d(2)}-{d(2)}-{d(2)} at {d(2)}.{d(2)}", f"{word(5)} at {d(2)}.{d(2)}", f"{word(6)} at {word(6)}.{word(3)}",
+          f"{word(4)} at {word(5)}.{word(4)}.{word(2)}", f"{d(4)} @ {d(1)}.{d(2)}"] * 2])
 
 
 Example = tuple[str, int, int, list[tuple[int, int, int]]]
@@ -372,9 +375,8 @@ def generated(n: int = GENERATED, seed: int = 7) -> list[Example]:
     for kind in [*range(len(KINDS)), None, None, None]:
         for _ in range(n):
             span = _made(rng, kind)
-            before, after = rng.choice(["", "a ", "word ", "12 ", "x: ", "(", "# "]), rng.choice(["", " a", ". A", ", b", " 7", ")"])
-            if kind == 0:
-                before, after = rng.choice(["", "see ", "x "]), rng.choice(["", " and", ". A"])
+            before = rng.choice(["", "see ", "x "] if kind == 0 else ["", "a ", "word ", "12 ", "x: ", "(", "# "])
+            after = rng.choice(["", " and", ". A"] if kind == 0 else ["", " a", ". A", ", b", " 7", ")"])
             text, at = f"w {before}{span}{after} w", 2 + len(before)
             for a, b in regions(text):
                 inside = [(kind, at, at + len(span))] if kind is not None and a <= at and at + len(span) <= b else []
