@@ -38,7 +38,9 @@ BROADCAST_HOSTS = 200_000
 
 LETTERS = bytes(i | 32 if 65 <= i <= 90 else i if 97 <= i <= 122 or i >= 128 else 32 for i in range(256))
 _SPACES = re.compile(rb" +")
-_MARKUP = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;")
+_RAW = re.compile(rb"(?i)<(script|style)\b")
+_RAW_END = {name: re.compile(rb"(?i)</" + name + rb"\s*>") for name in (b"script", b"style")}
+_ENTITY = re.compile(rb"&#?\w+;")
 _STEP = 1 << 16
 
 
@@ -58,6 +60,30 @@ def trigrams(text: bytes) -> Iterator[np.ndarray]:
         yield buckets(code)
 
 
+def without_markup(html: bytes) -> bytes:
+    """A space for each script, style, comment, tag and entity, in one pass: what has no end is sought once."""
+    out, at, i, endless = [], 0, html.find(b"<"), set()
+    while i >= 0:
+        end, raw_part = -1, _RAW.match(html, i)
+        kind = raw_part[1].lower() if raw_part else b"--" if html.startswith(b"<!--", i) else b""
+        if kind and kind not in endless:
+            if raw_part:
+                m = _RAW_END[kind].search(html, i)
+                end = m.end() if m else -1
+            else:
+                end = html.find(b"-->", i + 4) + 3 if html.find(b"-->", i + 4) >= 0 else -1
+            if end < 0:
+                endless.add(kind)
+        if end < 0:
+            end = html.find(b">", i) + 1
+            if not end:  # nor has anything after it
+                break
+        out.append(html[at:i])
+        at, i = end, html.find(b"<", end)
+    out.append(html[at:])
+    return _ENTITY.sub(b" ", b" ".join(out))
+
+
 @dataclass
 class TextModel:
     """Log probabilities (buckets, languages); the last column is that of ``UNKNOWN``."""
@@ -76,17 +102,17 @@ class TextModel:
 
 def fit(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, n: int = FIT_ROWS, id_col: str = "doc_id",
         text_col: str = "text", lang_col: str = "lang", seed: int = 7) -> TextModel:
-    """A text model from ``n`` rows of each language, chosen by a hash of the id. A language without rows is left out.
-
-    Counts of at most ``BUCKETS`` trigram buckets a language reach the driver.
+    """A text model from ``n`` ids of each language, chosen by a hash, and one text of each (that with the smallest hash).
+    A language without rows is left out. Counts of at most ``BUCKETS`` trigram buckets a language reach the driver.
     """
     ship(rows.sparkSession)
     known = rows.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
     chosen = None
     for lang in languages:  # ids first, so that the choice moves no text
-        some = hash_sample(known.where(F.col("l") == lang).select("i", "l"), n, "i", seed=seed)
+        some = hash_sample(known.where(F.col("l") == lang).select("i", "l").distinct(), n, "i", seed=seed)
         chosen = some if chosen is None else chosen.unionByName(some)
-    sample = known.select("i", "t").join(F.broadcast(chosen), "i").select("l", "t")
+    sample = known.join(F.broadcast(chosen), ["i", "l"]).groupBy("i", "l").agg(
+        F.min_by("t", F.xxhash64("t")).alias("t")).select("l", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -130,7 +156,7 @@ def _lists(x: np.ndarray) -> pa.Array:
 
 def _texts(model: TextModel, column: pa.Array, markup: bool) -> np.ndarray:
     """(rows, languages) log likelihoods."""
-    found = [model.evidence(_MARKUP.sub(b" ", t) if markup else t) for t in raw(column)]
+    found = [model.evidence(without_markup(t) if markup else t) for t in raw(column)]
     return np.stack(found) if found else np.zeros((0, model.log.shape[1]))
 
 
@@ -159,7 +185,7 @@ def host_of(url: Column) -> Column:
 
 def declared_of(html: Column) -> Column:
     """The primary language tag that the html element declares, lower case; null without one."""
-    tag = F.lower(F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
+    tag = F.lower(F.regexp_extract(html, r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
     return F.when(tag != "", tag)
 
 

@@ -186,7 +186,7 @@ KNOWN = SENTENCES + STANDARD_SENTENCES
 ALL_RULES = RULES + STANDARD_RULES
 
 #: Where a sentence ends, lines joined: marks before white space or the end of the text, or a line without letters and digits.
-APART = "[.!?]+([ \t\r\f\n]|$)|\n[^0-9a-z\u0080-\U0010ffff]*\n"
+APART = "[.!?](?=[ \t\r\f\n]|$)|\n[^0-9a-z\u0080-\U0010ffff]*\n"
 #: What stands between words of a normalised sentence.
 BETWEEN = "[^0-9a-z\u0080-\U0010ffff]+"
 

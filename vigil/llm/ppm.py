@@ -143,8 +143,19 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     order = np.argsort(key)
     key = key[order]
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-    n = np.concatenate([n for _, n in parts])[order]
-    return key[first], np.add.reduceat(n, first) if len(first) else n
+    key = key[first]
+    n = np.concatenate([n for _, n in parts])
+    parts.clear()
+    n = n[order]
+    del order
+    return key, np.add.reduceat(n, first) if len(first) else n
+
+
+def _union(a: np.ndarray, b: list[np.ndarray]) -> np.ndarray:
+    """The distinct numbers of sorted arrays, in order; sorted in place, so that there is one copy at a time."""
+    every = np.concatenate([a, *b])
+    every.sort(kind="stable")  # runs that are in order are merged
+    return every[np.append(True, every[1:] != every[:-1])] if len(every) else every
 
 
 # -- texts as chunks of numbered words and events -----------------------------------------------------------------
@@ -457,30 +468,42 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     prior = np.log10((ends + 1) / (ends.sum() + classes))
 
     def run(rows: pa.Table, scores: pa.Table) -> pa.Table:
+        # A chunk's events are millions: each array goes as soon as the next one is made.
         kind = rows.column("kind").to_numpy()
         words = next(raw(rows.filter(pa.array(kind == 2)).column("tokens"))).split(b" ")
         rows = rows.filter(pa.array(kind == 0))
         k, n = rows.num_rows, len(words)
+        ids, is_held, cls = rows.column("doc_id"), rows.column("held_out"), rows.column("cls").to_numpy()
+        size = pc.binary_length(rows.column("tokens")).to_numpy().astype(np.int64) // 4
+        first = np.cumsum(size) - size
+        found = np.empty(int(size.sum()), np.uint32)
+        for a, m, b in zip(first.tolist(), size.tolist(), raw(rows.column("tokens")), strict=True):
+            found[a:a + m] = unpack_numbers(b)
+        del rows
         kind = scores.column("first").is_null()
         totals = scores.filter(kind)
         at, total = _unpacked(totals, "ids", "<i4"), _unpacked(totals, "total", "<i8")
         base, seen = np.zeros(n), np.zeros(n, bool)
         base[at], seen[at] = np.log10(total + 1) - rest, total > 0
-        scored = scores.filter(pc.invert(kind)).sort_by("first")  # in the order of the chunk's events
-        logp = _unpacked(scored, "logp", "<f4").astype(float)
-        cls, held = rows.column("cls").to_numpy(), list(raw(rows.column("tokens")))
-        size = np.fromiter(map(len, held), np.int64, k) // 4
-        found, first = np.concatenate([unpack_numbers(b) for b in held]), np.cumsum(size) - size
-        blocks = []
+        del totals, at, total
+        scored = scores.select(["first", "logp"]).filter(pc.invert(kind))
+        del scores
+        logp = _unpacked(scored.sort_by("first"), "logp", "<f4")  # in the order of the chunk's events
+        del scored
+        blocks, every, more = [], np.zeros(0, np.uint64), []
         for key, of in _blocks(_tails(words), found, size, cls, across):
             cuts = np.flatnonzero(np.diff(of, prepend=-1))
             key, at = np.unique(key, return_inverse=True)
             blocks.append((key, at.astype(np.int32), cuts, of[cuts]))
-        every, p = np.unique(np.concatenate([x[0] for x in blocks])), np.zeros(k)
-        for key, at, cuts, of in blocks:
-            p[of] += np.add.reduceat(logp[np.searchsorted(every, key)][at], cuts)
+            more.append(key)
+            if len(more) == 4:
+                every, more = _union(every, more), []
+        every, p = _union(every, more), np.zeros(k)
+        while blocks:
+            key, at, cuts, of = blocks.pop(0)
+            p[of] += np.add.reduceat(logp[np.searchsorted(every, key)].astype(float)[at], cuts)
         return pa.table({
-            "doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), "n_tokens": pa.array(size),
+            "doc_id": ids, "held_out": is_held, "n_tokens": pa.array(size),
             "n_known": pa.array(np.add.reduceat(seen[found].astype(np.int64), first)),
             "train_tokens": pa.array(np.full(k, tokens)), "base_score": pa.array(np.add.reduceat(base[found], first)),
             "score": pa.array(p + prior[cls])})

@@ -53,16 +53,18 @@ def simhash(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """(id, fingerprint): one row per row of ``docs``, the 64 bits as a signed long. A null text has no words."""
+    """(id, fingerprint, text_hash): one row per row of ``docs``, the 64 bits as a signed long. A null text has no words."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([simhash(t, shingle) for t in raw(b.column(1))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=[id_col, "fingerprint"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), b.column(2)],
+                                             names=[id_col, "fingerprint", "text_hash"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, fingerprint long")
+    return docs.select(id_col, text_col, F.xxhash64(text_col)).mapInArrow(
+        run, f"{id_col} {kind}, fingerprint long, text_hash long")
 
 
 def fields(radius: int) -> list[int]:
@@ -176,24 +178,32 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     Rows with a null id are kept, with the component of their fingerprint (null if no row of it has an id). Other
     columns of ``docs`` are ignored. An empty table gives no row. Ids must be integers.
     """
+    return _groups(docs, shingle, radius, tile, id_col, text_col).select(
+        id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _groups(docs: DataFrame, shingle: int, radius: int, tile: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, fingerprint, text_hash, component_id) per row of ``docs``."""
     fps = table(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     distinct = table(fps.groupBy("fingerprint").agg(F.min(id_col).cast("long").alias("rep")), "distinct")
     # A fingerprint that only rows without an id have cannot name a component; it takes part in no link.
     found = components(links(distinct.where("rep is not null"), radius, tile))
     labels = distinct.join(found, F.col("rep") == F.col("node"), "left").select(
         "fingerprint", F.coalesce("component", "rep").alias("component_id"))
-    return fps.join(labels, "fingerprint", "left").select(
-        F.col(id_col), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    return fps.join(labels, "fingerprint", "left").select(id_col, "fingerprint", "text_hash", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group: that with the smallest id. All columns stay.
 
-    Rows without an id are kept: nothing identifies them as copies. Of repeated rows with one id, one stays.
+    Rows without an id are kept: nothing identifies them as copies. Where rows share the smallest id of a group, one
+    of each fingerprint stays: texts that are no copies of each other all do.
     """
-    groups = near_duplicates(docs, shingle, radius, id_col=id_col, text_col=text_col)
-    kept = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return (named.join(kept, F.col(id_col) == F.col("_kept"), "left_semi")
+    groups = _groups(docs, shingle, radius, TILE, id_col, text_col)
+    kept = groups.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("_kept"), "fingerprint").agg(
+        F.min("text_hash").alias("_as")).drop("fingerprint")
+    hashed = docs.where(F.col(id_col).isNotNull()).withColumn("_hash", F.xxhash64(text_col))
+    return (hashed.dropDuplicates([id_col, "_hash"])
+            .join(kept, (F.col(id_col) == F.col("_kept")) & (F.col("_hash") == F.col("_as")), "left_semi").drop("_hash")
             .unionByName(docs.where(F.col(id_col).isNull())))

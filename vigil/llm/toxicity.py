@@ -1,7 +1,7 @@
 """Toxicity scores: a bidirectional gated recurrent network with attention over all overlapping windows of a text.
 
-The network is fitted on the driver to a bounded sample of labelled rows (``FIT_ROWS`` documents of each label, and
-at most ``FIT_WINDOWS`` windows of each). Scoring is a map over all documents: every word of a text is in a window, and
+The network is fitted on the driver to a bounded sample of labelled rows (``FIT_ROWS`` documents of each label, with all
+their windows). Scoring is a map over all documents: every word of a text is in a window, and
 the text's score is that of its highest window. Labels, language, source and id are never inputs of a score.
 """
 
@@ -22,9 +22,8 @@ from vigil.llm.tokens import groups
 WINDOW = 32
 #: Half the window: each span of up to WINDOW - STRIDE + 1 words is whole in some window.
 STRIDE = 16
-#: Documents of label 0 and of label 1 that the network is fitted to, and windows of each, spread evenly, and their stride.
-FIT_ROWS = (4500, 1500)
-FIT_WINDOWS = 24
+#: Documents of label 0 and of label 1 that the network is fitted to, and the stride of their windows.
+FIT_ROWS = (2700, 900)
 FIT_STRIDE = 24
 #: A word of the sample is known to the network if so many sampled documents hold it.
 MIN_DOCUMENTS = 3
@@ -40,7 +39,7 @@ def starts(n: int, window: int = WINDOW, stride: int = STRIDE) -> list[int]:
     return [*range(0, n - window, stride), n - window]
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = FIT_ROWS, per_doc: int = FIT_WINDOWS, seed: int = 7,
+def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = FIT_ROWS, seed: int = 7,
         id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> bigru.Model | None:
     """A network fitted to ``rows`` documents of label 0 and 1, chosen by a hash of the id. None without both labels.
 
@@ -55,11 +54,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = FIT_ROWS, pe
         return None
     chosen = None
     for y in (0, 1):
-        some = hash_sample(known.where(F.col("_label") == y), rows[y], "_id", seed=seed)
+        some = hash_sample(known.where(F.col("_label") == y).distinct(), rows[y], "_id", seed=seed)
         chosen = some if chosen is None else chosen.unionByName(some)
-    # At most sum(rows) pairs of an id and a label.
+    # At most sum(rows) pairs of an id and a label, and one text of each, whatever number of rows has the id.
     sample = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
-        F.broadcast(chosen), "_id").select("_id", "_text", "_label")
+        F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(
+        F.min_by("_text", F.xxhash64("_text")).alias("_text")).select("_id", "_text", "_label")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -67,8 +67,6 @@ def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = FIT_ROWS, pe
             for i, t in enumerate(raw(b.column(1))):
                 words = t.lower().split()
                 at = starts(len(words), stride=FIT_STRIDE)
-                if len(at) > per_doc:
-                    at = [at[j] for j in np.linspace(0, len(at) - 1, per_doc).astype(int)]
                 out.append(pa.array([b" ".join(words[a:a + WINDOW]) for a in at], pa.binary()))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, 1), b.column(2).slice(i, 1), pa.array([out[-1].to_pylist()])],
