@@ -1,34 +1,36 @@
-"""Cross-scanner correlation rules.
+"""Cross-scanner correlation rules (J1-J15, J20), compiled together.
 
-Each rule reads one pooled findings table (``scanner`` names the bucket,
-``ord`` is input order) and returns two frames:
+A rule is data (:class:`Rule`): which rows each give a correlation, which rows are members of the one correlation of
+a rule, which short lists of first findings are referenced, and when it fires. All rules read one pooled findings
+table (``scanner`` names the bucket, ``ord`` is input order) and give two frames:
 
   headers  correlation_id, correlation_type, producer, title, description, severity, risk_score
   edges    correlation_id, finding_id, grp, ord, n   (n = multiplicity of the reference)
 
-Plan shapes, chosen so nothing grows quadratically or lands in one task:
-
-* "first k of a scan" lists (k <= 3) are a distributed top-k
-  (``orderBy(...).limit(k)``, TakeOrderedAndProject) folded into a scalar
-  subquery: computed once, inlined as a literal array, no join at all.
-* Existence tests ("MAC disabled", "both categories present") are scalar
-  ``exists`` subqueries.
-* Reference lists that can be unbounded (all C2 ids, all ids of three
-  categories, ...) are never collected: they stay an edge table. Members shared
-  by every correlation of one rule are listed once under ``<type>:*``.
-* The module x parameter substring match (J9) pre-aggregates modules by
-  word-signature, broadcasts the word vocabulary only behind a size check and
-  otherwise falls back to an equi-join on parameter substrings.
+:func:`run_rules` compiles any number of rules into three scans of the findings, whatever their number:
+
+1. bounds: one conditional aggregate. Of each list that a rule needs ("the first k rows with ...", also every test of
+   existence and of a number of rows) the minimal ``ord`` in each of 64 hash classes; the k-th of these minima is at
+   least the k-th smallest of all, so it bounds the list.
+2. facts: the few rows up to the bounds, folded to lists of at most k. They reach the driver: k rows a list.
+3. rows: one projection, the facts in it as literals, emits all headers, edges and the inputs of the one rule that joins
+   (J9); it is written once, by kind, and read from there.
+
+Reference lists that can be unbounded (all C2 ids, all ids of three categories, ...) are never collected: they stay
+edges. Members shared by every correlation of one rule are listed once under ``<type>:*``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions import text as tx
+from vigil.sources.sinks import written
 
 MEDIUM_PLUS = ["medium", "high", "critical"]
 HIGH_PLUS = ["high", "critical"]
@@ -50,181 +52,409 @@ def _any_contains(col: Column, words: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.instr(col, w) > 0 for w in words])
 
 
-def _meta(key: str) -> Column:
-    return F.get_json_object(F.col("metadata"), f"$.{key}")
+#: What rules look at besides id, ord, scanner, severity and title; worked out once a row.
+NAME, TITLE, LOWER, CLASS = "_name", "_title", "_lower", "_class"
+PORT, ENABLED, RULE = "_port", "_enabled", "_rule"
 
 
-def _process_name() -> Column:
-    return tx.command_basename(F.coalesce(_meta("command"), F.lit("")))
+def staged(findings: DataFrame) -> DataFrame:
+    """The columns of findings that rules read. Metadata is parsed only for the scanners whose rules need it."""
+    def meta(key: str, *scanners: str) -> Column:
+        return F.when(_in(*scanners), F.get_json_object(F.col("metadata"), f"$.{key}"))
 
+    title = F.coalesce(F.col("title"), F.lit(""))
+    return findings.select(
+        F.col("id").cast("string").alias("id"), F.col("ord").cast("long").alias("ord"), "scanner", "severity", "title",
+        title.alias(TITLE), F.lower(title).alias(LOWER),
+        F.when(_in("processes"), tx.command_basename(F.coalesce(meta("command", "processes"), F.lit("")))).alias(NAME),
+        meta("port", "network").try_cast("double").alias(PORT), meta("enabled", "mac").alias(ENABLED),
+        meta("rule", "world_writable").alias(RULE),
+        F.when(_in("kernel_params"), param_class(F.col("title"))).alias(CLASS))
 
-def _bucket(findings: DataFrame, name: str) -> DataFrame:
-    return findings.where(F.col("scanner") == name)
 
+def _in(*scanners: str) -> Column:
+    return F.col("scanner").isin(*scanners)
 
-def _first_ids(df: DataFrame, k: int, order: list) -> Column:
-    """Scalar subquery: ids of the first k rows by ``order`` (array, possibly empty)."""
-    top = df.orderBy(*order).limit(k)
-    return top.agg(F.sort_array(F.collect_list(F.struct(*[o if isinstance(o, Column) else F.col(o) for o in order],
-                                                        F.col("id").alias("_id")))).alias("a")) \
-              .select(F.coalesce(F.col("a._id"), F.array().cast("array<string>"))).scalar()
 
+def _severe(levels: list[str]) -> Column:
+    return F.col("severity").isin(levels)
 
-def _header(df: DataFrame, corr_id: Column, ctype: str, producer: str, title: Column, desc: Column,
-            severity: str, risk: int) -> DataFrame:
-    return df.select(corr_id.alias("correlation_id"), F.lit(ctype).alias("correlation_type"),
-                     F.lit(producer).alias("producer"), title.alias("title"), desc.alias("description"),
-                     F.lit(severity).alias("severity"), F.lit(float(risk)).alias("risk_score"))
 
+def _said() -> Column:
+    return F.col("id").isNotNull() & (F.col("id") != "")
 
-def _edges(df: DataFrame, corr_id: Column, grp: int, order: Column | None = None, n: Column | None = None) -> DataFrame:
-    return df.select(corr_id.alias("correlation_id"), F.col("id").alias("finding_id"), F.lit(grp).alias("grp"),
-                     (order if order is not None else F.col("ord")).cast("long").alias("ord"),
-                     (n if n is not None else F.lit(1)).cast("long").alias("n"))
 
-
-def _list_edges(df: DataFrame, corr_id: Column, ids: Column, grp: int) -> DataFrame:
-    """Edges for a small literal id list attached to every row of ``df`` (no join)."""
-    return df.select(corr_id.alias("correlation_id"), F.posexplode(ids).alias("ord", "finding_id")) \
-             .select("correlation_id", "finding_id", F.lit(grp).alias("grp"), F.col("ord").cast("long"),
-                     F.lit(1).cast("long").alias("n"))
+def param_class(title: Column) -> Column:
+    """first matching keyword class wins."""
+    t = F.lower(F.coalesce(title, F.lit("")))
+    expr = None
+    for name, words in PARAM_CLASSES:
+        expr = F.when(_any_contains(t, words), name) if expr is None else expr.when(_any_contains(t, words), name)
+    return expr
 
 
-def _one_row(findings: DataFrame) -> DataFrame:
-    """A single-row driving frame for rules that emit at most one correlation."""
-    return findings.sparkSession.range(1)
 
+# --- what rules are made of -----------------------------------------------------------------------
+@dataclass(frozen=True)
+class First:
+    """The first ``k`` rows, by ``ord``, that meet a condition; ``text`` is what is kept of them besides the id."""
 
-# --- process_network ----------------------------------------------------------------------------
-def suspicious_process_network(findings: DataFrame):
-    """Each medium+ process with the first 3 medium+ network ids -> high/75."""
-    proc, net = _bucket(findings, "processes"), _bucket(findings, "network")
-    net3 = _first_ids(net.where(F.col("severity").isin(MEDIUM_PLUS)), 3, ["ord"])
-    p = proc.where(F.col("severity").isin(MEDIUM_PLUS) & (F.size(net3) > 0))
-    cid = F.concat(F.lit("process_network_suspicious:"), F.col("id"))
-    name = _process_name()
-    h = _header(p, cid, "process_network_suspicious", "process_network",
-                F.concat(F.lit("Suspicious process with network activity: "), name),
-                F.format_string("Suspicious process '%s' detected alongside unusual network activity", name),
-                "high", 75)
-    e = _edges(p, cid, 0, F.lit(0)).unionByName(_list_edges(p, cid, net3, 1))
-    return h, e
+    when: Callable[[], Column]
+    k: int = 1
+    text: Callable[[], Column] | None = None
 
 
-def malware_c2(findings: DataFrame):
-    """Malware-named process with every C2-titled network finding -> critical/95.
+Facts = dict[str, list[tuple[int, str | None, str | None]]]
 
-    The C2 ids are the same for every process: listed once under ``malware_c2:*``.
-    """
-    proc, net = _bucket(findings, "processes"), _bucket(findings, "network")
-    c2 = net.where(_any_contains(F.lower(F.coalesce(F.col("title"), F.lit(""))), C2_WORDS))
-    name = _process_name()
-    p = proc.where(_any_contains(F.lower(name), MALWARE_PATTERNS) & c2.exists())
-    cid = F.concat(F.lit("malware_c2:"), F.col("id"))
-    h = _header(p, cid, "malware_c2", "process_network",
-                F.concat(F.lit("Potential malware C2 communication: "), name),
-                F.format_string("Process '%s' showing signs of malware with C2 communications", name),
-                "critical", 95)
-    shared = c2.where(p.exists())
-    e = _edges(p, cid, 0, F.lit(0)).unionByName(_edges(shared, F.lit("malware_c2:*"), 1))
-    return h, e
 
+@dataclass(frozen=True)
+class Members:
+    """Rows that are references, in group ``grp``, of the correlation that ``to`` names (by default ``<type>:*``)."""
 
-def unusual_port_usage(findings: DataFrame):
-    """J4 (T11): every process with the first 2 low/medium network ids on a port above 1024 -> medium/55."""
-    proc, net = _bucket(findings, "processes"), _bucket(findings, "network")
-    port = _meta("port").try_cast("double")
-    unusual = net.where(port.isNotNull() & (port != 0) & (port > 1024) & F.col("severity").isin("low", "medium"))
-    ids = _first_ids(unusual, 2, ["ord"])
-    p = proc.where(F.size(ids) > 0)
-    cid = F.concat(F.lit("unusual_port_usage:"), F.col("id"))
-    name = _process_name()
-    h = _header(p, cid, "unusual_port_usage", "process_network",
-                F.concat(F.lit("Unusual port usage by process: "), name),
-                F.format_string("Process '%s' using unusual network ports", name), "medium", 55)
-    e = _edges(p, cid, 0, F.lit(0)).unionByName(_list_edges(p, cid, ids, 1))
-    return h, e
+    grp: int
+    when: Callable[[Facts], Column]
+    to: Callable[[], Column] | None = None
 
 
-# --- filesystem ---------------------------------------------------------------------------------
-def suid_world_writable(findings: DataFrame):
-    """Each high/critical world-writable finding with the first 2 medium+ SUID ids -> critical/90."""
-    ww, suid = _bucket(findings, "world_writable"), _bucket(findings, "suid")
-    ids = _first_ids(suid.where(F.col("severity").isin(MEDIUM_PLUS)), 2, ["ord"])
-    w = ww.where(F.col("severity").isin(HIGH_PLUS) & (F.size(ids) > 0))
-    cid = F.concat(F.lit("suid_world_writable:"), F.col("id"))
-    h = _header(w, cid, "suid_world_writable", "filesystem", F.lit("SUID binary in world-writable location"),
-                F.lit("Privileged SUID binary found in world-writable directory, potential privilege escalation risk"),
-                "critical", 90)
-    e = _edges(w, cid, 0, F.lit(0)).unionByName(_list_edges(w, cid, ids, 1))
-    return h, e
+@dataclass(frozen=True)
+class Rule:
+    """A correlation rule. ``fires`` says, by the facts, whether it gives anything.
 
+    each: the rows that give a correlation of their own, ``<type>:<id>``, with the row as reference 0 and ``refs``
+    (group 1) after it; ``{}`` in its title and description stands for the row's ``subject``. once: (correlation id's end, title, description) of correlations of the whole input.
+    members and given: references found in the rows, and (id, grp, ord) that the facts hold already.
+    """
 
-def _mac_disabled(mac: DataFrame) -> DataFrame:
-    return mac.where((_meta("enabled") == "false") | (F.col("severity") == "medium"))
+    name: str
+    producer: str
+    severity: str
+    risk: int
+    fires: Callable[[Facts], bool]
+    each: Callable[[], Column] | None = None
+    title: str = ""
+    description: str = ""
+    subject: str = TITLE
+    refs: Callable[[Facts], list[str | None]] = lambda f: []
+    once: Callable[[Facts], list[tuple[str, str, str]]] = lambda f: []
+    members: tuple[Members, ...] = ()
+    given: Callable[[Facts], list[tuple[str | None, int, int]]] = lambda f: []
+
+    def __call__(self, findings: DataFrame):
+        return run_rules(findings, {self.name: self})
+
+
+def _ids(*lists: list, k: int) -> list[str | None]:
+    return [row[1] for some in lists for row in some][:k]
+
+
+def _texts(rows: list, k: int) -> str:
+    """The first texts, joined; nulls are left out as by array_join."""
+    return ", ".join(t for _, _, t in rows[:k] if t is not None)
+
+
+#: FACTS: the lists that rules refer to, by name.
+FACTS: dict[str, First] = {
+    "network_severe": First(lambda: _in("network") & _severe(MEDIUM_PLUS), 3),
+    "network_unusual": First(lambda: _in("network") & _unusual_port(), 2),
+    "network_c2": First(lambda: _in("network") & _any_contains(F.col(LOWER), C2_WORDS)),
+    "process_malware": First(lambda: _in("processes") & _any_contains(F.lower(F.col(NAME)), MALWARE_PATTERNS)),
+    "process_severe": First(lambda: _in("processes") & _severe(MEDIUM_PLUS), 2, lambda: F.col(NAME)),
+    "suid_severe": First(lambda: _in("suid") & _severe(MEDIUM_PLUS), 3),
+    "writable_severe": First(lambda: _in("world_writable") & _severe(MEDIUM_PLUS), 3),
+    "capability": First(lambda: _in("world_writable") & _capability()),
+    "mac_disabled": First(lambda: _in("mac") & _mac_disabled()),
+    "param_mac": First(lambda: _in("kernel_params") & _any_contains(F.col(LOWER), MAC_PARAM_WORDS)),
+    "param_process": First(lambda: _in("kernel_params") & _any_contains(F.col(LOWER), PROCESS_PARAM_WORDS)),
+    "module_security": First(lambda: _in("modules") & F.col("severity").isin("medium", "high"), 2, lambda: F.col("title")),
+    **{f"param_weak:{name}": First(lambda name=name: _weak_param() & (F.col(CLASS) == name), 3,
+                                   lambda: F.col("title")) for name, _ in PARAM_CLASSES},
+    **{f"any:{name}": First(lambda name=name: _in(name), 5)
+       for name in ("network", "processes", "kernel_params")},
+    **{f"any:{name}": First(lambda name=name: _in(name)) for name in ("world_writable", "ioc")},
+}
 
 
-def capabilities_weak_mac(findings: DataFrame):
-    """Capability files + MAC disabled -> one high/80 correlation over all capability and MAC ids."""
-    ww, mac = _bucket(findings, "world_writable"), _bucket(findings, "mac")
-    cap = ww.where((F.instr(F.lower(F.coalesce(F.col("title"), F.lit(""))), "capability") > 0)
-                   | (_meta("rule") == "file_capability"))
-    fire = cap.exists() & _mac_disabled(mac).exists()
-    one = _one_row(findings).where(fire)
-    cid = F.lit("capabilities_weak_mac:*")
-    h = _header(one, cid, "capabilities_weak_mac", "filesystem", F.lit("File capabilities with weak MAC protection"),
-                F.lit("Files with capabilities detected but MAC system shows weak protection"), "high", 80)
-    e = _edges(cap.where(fire), cid, 0).unionByName(_edges(mac.where(fire), cid, 1))
-    return h, e
+def _unusual_port() -> Column:
+    return (F.col(PORT) > 1024) & F.col("severity").isin("low", "medium")
+
+
+def _capability() -> Column:
+    return (F.instr(F.col(LOWER), "capability") > 0) | (F.col(RULE) == "file_capability")
+
+
+def _mac_disabled() -> Column:
+    return (F.col(ENABLED) == "false") | (F.col("severity") == "medium")
+
+
+def _weak_param() -> Column:
+    return _in("kernel_params") & F.col(CLASS).isNotNull() & F.col("severity").isin("medium", "high")
+
+
+def _weak_classes(f: Facts) -> list[str]:
+    return [name for name, _ in PARAM_CLASSES if len(f[f"param_weak:{name}"]) >= 2]
+
+
+def _sequence(f: Facts) -> list[tuple[str | None, int, int]]:
+    """Network, then processes, then kernel parameters: (id, grp, ord) of the first five."""
+    every = [(i, g, o) for g, name in enumerate(("network", "processes", "kernel_params")) for o, i, _ in f[f"any:{name}"]]
+    return every[:5]
+
+
+def _all_of(*names: str) -> Callable[[Facts], bool]:
+    return lambda f: all(f[n] for n in names)
+
+
+# --- registry (J2-J14) ----------------------------------------------------------------------------
+def _rules() -> list[Rule]:
+    return [
+        # Each medium+ process with the first 3 medium+ network ids
+        Rule("process_network_suspicious", "process_network", "high", 75, _all_of("network_severe"),
+             lambda: _in("processes") & _severe(MEDIUM_PLUS),
+             "Suspicious process with network activity: {}",
+             "Suspicious process '{}' detected alongside unusual network activity", NAME,
+             lambda f: _ids(f["network_severe"], k=3)),
+        # Each malware-named process; the C2-titled network findings are the same for all of them
+        Rule("malware_c2", "process_network", "critical", 95, _all_of("network_c2", "process_malware"),
+             lambda: _in("processes") & _any_contains(F.lower(F.col(NAME)), MALWARE_PATTERNS),
+             "Potential malware C2 communication: {}",
+             "Process '{}' showing signs of malware with C2 communications", NAME,
+             members=(Members(1, lambda f: FACTS["network_c2"].when()),)),
+        # J4 (T11): every process with the first 2 low/medium network ids on a port above 1024
+        Rule("unusual_port_usage", "process_network", "medium", 55, _all_of("network_unusual"),
+             lambda: _in("processes"),
+             "Unusual port usage by process: {}",
+             "Process '{}' using unusual network ports", NAME,
+             lambda f: _ids(f["network_unusual"], k=2)),
+        # Each high/critical world-writable finding with the first 2 medium+ SUID ids
+        Rule("suid_world_writable", "filesystem", "critical", 90, _all_of("suid_severe"),
+             lambda: _in("world_writable") & _severe(HIGH_PLUS),
+             "SUID binary in world-writable location",
+             "Privileged SUID binary found in world-writable directory, potential privilege escalation risk", TITLE,
+             lambda f: _ids(f["suid_severe"], k=2)),
+        # Capability files and a disabled MAC system: one correlation over all capability and MAC ids
+        Rule("capabilities_weak_mac", "filesystem", "high", 80, _all_of("capability", "mac_disabled"),
+             once=lambda f: [("*", "File capabilities with weak MAC protection",
+                              "Files with capabilities detected but MAC system shows weak protection")],
+             members=(Members(0, lambda f: FACTS["capability"].when()), Members(1, lambda f: _in("mac")))),
+        # Each high/critical IOC with the first 3 medium+ file findings, world-writable ones first
+        Rule("ioc_file_permissions", "filesystem", "high", 85,
+             lambda f: bool(f["writable_severe"] or f["suid_severe"]),
+             lambda: _in("ioc") & _severe(HIGH_PLUS),
+             "IOC with file permission vulnerabilities: {}",
+             "Indicator of compromise '{}' detected alongside file permission issues", TITLE,
+             lambda f: _ids(f["writable_severe"], f["suid_severe"], k=3)),
+        # Per keyword class, at least 2 medium/high parameters; the first 3 names in the text
+        Rule("weak_kernel_security", "kernel", "high", 75, lambda f: bool(_weak_classes(f)),
+             once=lambda f: [(c, f"Weak {c.replace('_', ' ')} configuration",
+                              f"Multiple kernel parameters in {c} category show weak security settings: "
+                              + _texts(f[f"param_weak:{c}"], 3)) for c in _weak_classes(f)],
+             members=(Members(0, lambda f: _weak_param() & F.col(CLASS).isin(_weak_classes(f)),
+                              lambda: F.concat(F.lit("weak_kernel_security:"), F.col(CLASS))),)),
+        # MAC-related parameters and a disabled MAC system: those parameters and every MAC finding
+        Rule("kernel_mac_disabled", "kernel", "high", 80, _all_of("param_mac", "mac_disabled"),
+             once=lambda f: [("*", "Kernel MAC parameters with disabled MAC system",
+                              "Kernel parameters related to MAC security detected but MAC system is disabled")],
+             members=(Members(0, lambda f: FACTS["param_mac"].when()), Members(1, lambda f: _in("mac")))),
+        # Process-related parameters and medium+ processes
+        Rule("kernel_process_suspicious", "kernel", "medium", 65, _all_of("param_process", "process_severe"),
+             once=lambda f: [("*", "Kernel process controls with suspicious activity",
+                              "Kernel parameters controlling process execution detected alongside suspicious "
+                              "processes: " + _texts(f["process_severe"], 2))],
+             members=(Members(0, lambda f: FACTS["param_process"].when()),
+                      Members(1, lambda f: _in("processes") & _severe(MEDIUM_PLUS)))),
+        # Processes, network and world-writable all present: all their ids
+        Rule("multi_vector_apt", "dense", "critical", 95, _all_of("any:processes", "any:network", "any:world_writable"),
+             once=lambda f: [("*", "Advanced persistent threat indicators",
+                              "Coordinated attack pattern detected: suspicious process with network connectivity, "
+                              "world-writable files, and kernel parameter manipulation")],
+             members=tuple(Members(g, lambda f, c=c: _in(c) & _said())
+                           for g, c in enumerate(("processes", "network", "world_writable")))),
+        # J13 (T10): with at least 3 rows in the sequence, its first 5
+        Rule("temporal_sequence", "dense", "high", 80, lambda f: len(_sequence(f)) >= 3,
+             once=lambda f: [("*", "Temporal escalation sequence", "Sequential events across network, process, and "
+                              "kernel parameters indicate possible escalation.")],
+             given=lambda f: [row for row in _sequence(f) if row[0]]),
+        # IOC and processes both present: all their ids
+        Rule("causal_ioc_process", "dense", "high", 85, _all_of("any:ioc", "any:processes"),
+             once=lambda f: [("*", "IOC-led process compromise", "Indicator of compromise aligns with process behavior "
+                              "anomalies, suggesting cause-effect chain.")],
+             members=tuple(Members(g, lambda f, c=c: _in(c) & _said()) for g, c in enumerate(("ioc", "processes")))),
+    ]
+
+
+#: J9 joins modules with parameters; its headers and edges are worked out from the rows that the projection sets aside.
+MODULE_RULE = "module_kernel_conflict"
+RULES: dict[str, Rule | Callable] = {r.name: r for r in _rules()}
+RULES[MODULE_RULE] = Rule(MODULE_RULE, "kernel", "medium", 60, _all_of("module_security"),
+                          members=(Members(0, lambda f: FACTS["module_security"].when()),))
 
 
-def ioc_file_permissions(findings: DataFrame):
-    """Each high/critical IOC with the first 3 medium+ file findings (world-writable, then SUID) -> high/85."""
-    ioc = _bucket(findings, "ioc")
-    files = (findings.where(F.col("scanner").isin("world_writable", "suid") & F.col("severity").isin(MEDIUM_PLUS))
-             .withColumn("_g", F.when(F.col("scanner") == "world_writable", 0).otherwise(1)))
-    ids = _first_ids(files, 3, ["_g", "ord"])
-    i = ioc.where(F.col("severity").isin(HIGH_PLUS) & (F.size(ids) > 0))
-    cid = F.concat(F.lit("ioc_file_permissions:"), F.col("id"))
-    t = F.coalesce(F.col("title"), F.lit(""))
-    h = _header(i, cid, "ioc_file_permissions", "filesystem",
-                F.concat(F.lit("IOC with file permission vulnerabilities: "), t),
-                F.format_string("Indicator of compromise '%s' detected alongside file permission issues", t),
-                "high", 85)
-    e = _edges(i, cid, 0, F.lit(0)).unionByName(_list_edges(i, cid, ids, 1))
-    return h, e
+def register(name: str, rule) -> None:
+    """Extension point: a :class:`Rule`, compiled with the others, or any ``findings -> (headers, edges)``, run apart."""
+    RULES[name] = rule
 
 
-# --- kernel ---------------------------------------------------------------------------------------
-def param_class(title: Column) -> Column:
-    """first matching keyword class wins."""
-    t = F.lower(F.coalesce(title, F.lit("")))
-    expr = None
-    for name, words in PARAM_CLASSES:
-        expr = F.when(_any_contains(t, words), name) if expr is None else expr.when(_any_contains(t, words), name)
-    return expr
+# --- compilation (J15) ----------------------------------------------------------------------------
+_CLASSES = 64
+
+
+def gather_facts(rows: DataFrame, facts: dict[str, First]) -> Facts:
+    """The lists of ``facts``: (ord, id, text) of each row of :func:`staged` findings, in order. Two scans; k rows a
+    list reach the driver."""
+    names = list(facts)
+    tests = [F.coalesce(facts[n].when(), F.lit(False)).alias(f"_t{i}") for i, n in enumerate(names)]
+    rows = rows.select("*", *tests)
+    minima = rows.groupBy(F.pmod(F.xxhash64("ord"), F.lit(_CLASSES)).alias("_c")).agg(
+        *[F.min(F.when(F.col(f"_t{i}"), F.col("ord"))).alias(f"_m{i}") for i in range(len(names))])
+    bounds = minima.agg(*[F.try_element_at(F.sort_array(F.collect_list(f"_m{i}")), F.lit(facts[n].k)).alias(f"_b{i}")
+                          for i, n in enumerate(names)],
+                        *[F.count(f"_m{i}").alias(f"_n{i}") for i in range(len(names))]).first()
+    # Fewer classes than k have a row: all rows of the list count. No class has: the list is empty.
+    limit = [bounds[f"_b{i}"] if bounds[f"_b{i}"] is not None else 2**63 - 1 for i in range(len(names))]
+    used = [i for i in range(len(names)) if bounds[f"_n{i}"]]
+    out: Facts = {n: [] for n in names}
+    if not used:
+        return out
+    near = F.array_compact(F.array(*[F.when(F.col(f"_t{i}") & (F.col("ord") <= limit[i]), F.lit(i)) for i in used]))
+    lists = rows.withColumn("_near", near).where(F.size("_near") > 0).select(
+        "id", "ord", "title", NAME, F.explode("_near").alias("i"))
+    texts = {n: facts[n].text() for n in names if facts[n].text}
+    text = F.coalesce(*[F.when(F.col("i") == names.index(n), c) for n, c in texts.items()]).alias("text")
+    for r in lists.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("ord", "id", text))).alias("rows")).collect():
+        out[names[r["i"]]] = [tuple(x) for x in r["rows"][:facts[names[r["i"]]].k]]
+    return out
+
+
+_HEADER = ("correlation_id string, correlation_type string, producer string, title string, description string, "
+           "severity string, risk_score double")
+_EDGE = "correlation_id string, finding_id string, grp int, ord long, n long"
+
+
+@dataclass(frozen=True)
+class _Emission:
+    """One thing that a row gives: a header (h), an edge (e), an input of J9 (m: its modules, p: its parameters).
+
+    ``to``: the correlation's id, by default ``<type>:<id of the row>``. ref, ord: of an edge to another row than this.
+    """
 
+    kind: str
+    rule: Rule
+    to: Column | None = None
+    grp: int = 0
+    ref: str | None = None
+    ord: int | None = None
+
+
+def _emissions(rules: list[Rule], facts: Facts) -> list[tuple[Column, list[_Emission]]]:
+    """Conditions on a row, and what the row gives where they hold."""
+    out = []
+    for r in rules:
+        if r.each is not None:
+            refs = [_Emission("e", r, grp=1, ref=i, ord=k) for k, i in enumerate(r.refs(facts))]
+            out.append((r.each(), [_Emission("h", r), _Emission("e", r, ord=0), *refs]))
+        out += [(m.when(facts), [_Emission("e", r, m.to() if m.to else F.lit(f"{r.name}:*"), m.grp)]) for m in r.members]
+        if r.name == MODULE_RULE:
+            out += [(FACTS["module_security"].when(), [_Emission("m", r)]), (_in("kernel_params"), [_Emission("p", r)])]
+    return out
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _emitted(rows: DataFrame, rules: list[Rule], facts: Facts) -> DataFrame:
+    """All that the rows of :func:`staged` findings give: one projection; a row names its emissions by number, which
+    stand for literals."""
+    groups = _emissions(rules, facts)
+    every = [e for _, some in groups for e in some]
+    number = {id(e): i for i, e in enumerate(every)}
+    codes = F.flatten(F.array_compact(F.array(*[
+        F.when(hit, F.array(*[F.lit(number[id(e)]) for e in some])) for hit, some in groups])))
+    rows = rows.select("id", F.col("ord").alias("_ord"), F.col("title").alias("_own"), NAME, TITLE, CLASS, F.explode(codes).alias("c"))
+
+    def of(pick: Callable, kind: str = "string") -> Column:
+        """What the emission of a row has there: one literal array, an element of it."""
+        values = ", ".join("null" if v is None else _quoted(v) if isinstance(v, str) else str(v) for v in map(pick, every))
+        return F.expr(f"element_at(cast(array({values}) as array<{kind}>), c + 1)")
+
+    def worded(pattern: Callable) -> Column:
+        subject = F.coalesce(F.when(of(lambda e: e.rule.subject) == NAME, F.col(NAME)).otherwise(F.col(TITLE)), F.lit(""))
+        return F.when(F.col("kind") == "h", F.replace(of(pattern), F.lit("{}"), subject))
+
+    named = [F.when(F.col("c") == number[id(e)], e.to) for e in every if e.to is not None]
+    cid = F.coalesce(*named, F.concat(of(lambda e: e.rule.name), F.lit(":"), F.col("id")))
+    header = F.col("kind") == "h"
+    return rows.withColumn("kind", of(lambda e: e.kind)).select(
+        "kind", cid.alias("correlation_id"), F.when(header, of(lambda e: e.rule.name)).alias("correlation_type"),
+        F.when(header, of(lambda e: e.rule.producer)).alias("producer"),
+        F.when(F.col("kind").isin("m", "p"), F.col("_own")).otherwise(worded(lambda e: e.rule.title)).alias("title"),
+        worded(lambda e: e.rule.description).alias("description"),
+        F.when(header, of(lambda e: e.rule.severity)).alias("severity"),
+        F.when(header, of(lambda e: float(e.rule.risk), "double")).alias("risk_score"),
+        F.coalesce(of(lambda e: e.ref), F.col("id")).alias("finding_id"), of(lambda e: e.grp, "int").alias("grp"),
+        F.coalesce(of(lambda e: e.ord, "long"), F.col("_ord")).alias("ord"), F.lit(1).cast("long").alias("n"))
+
+
+def run_rules(findings: DataFrame, rules: dict | None = None, errors: list | None = None):
+    """Run the rules and return all their (headers, edges).
+
+    Compiled rules share three scans of ``findings`` and one written table; other callables run apart. A rule whose
+    expressions fail is noted in ``errors`` as (name, message) and left out; without such a list the error is raised.
+    """
+    spark, headers, edges = findings.sparkSession, [], []
+    compiled: dict[str, Rule] = {}
 
-def weak_kernel_security(findings: DataFrame):
-    """Per keyword class, >= 2 medium/high params -> one high/75 correlation; first 3 names in the text."""
-    params = _bucket(findings, "kernel_params").withColumn("_cls", param_class(F.col("title")))
-    weak = params.where(F.col("_cls").isNotNull() & F.col("severity").isin("medium", "high"))
-    cid = F.concat(F.lit("weak_kernel_security:"), F.col("_cls"))
-    per = weak.groupBy("_cls").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= 2)
-    # first three names per class: row_number <= 3 plans a WindowGroupLimit (partial top-k)
-    from pyspark.sql import Window
-    r = F.row_number().over(Window.partitionBy("_cls").orderBy("ord"))
-    first3 = (weak.withColumn("_r", r).where(F.col("_r") <= 3).groupBy("_cls")
-              .agg(F.sort_array(F.collect_list(F.struct("_r", "title"))).alias("_t")))
-    hdr = per.join(first3, "_cls")
-    label = F.regexp_replace(F.col("_cls"), "_", " ")
-    h = _header(hdr, cid, "weak_kernel_security", "kernel", F.concat(F.lit("Weak "), label, F.lit(" configuration")),
-                F.concat(F.lit("Multiple kernel parameters in "), F.col("_cls"),
-                         F.lit(" category show weak security settings: "),
-                         F.array_join(F.col("_t.title"), ", ")),
-                "high", 75)
-    e = _edges(weak.join(per.select("_cls"), "_cls", "left_semi"), cid, 0)
-    return h, e
+    def isolated(name: str, work: Callable):
+        try:
+            return work()
+        except Exception as e:  # noqa: BLE001 - isolation per rule is the contract
+            if errors is None:
+                raise
+            errors.append((name, f"{type(e).__name__}: {e}"))
+            return None
+
+    for name, rule in (RULES if rules is None else rules).items():
+        if isinstance(rule, Rule):
+            compiled[name] = rule
+        else:
+            both = isolated(name, lambda rule=rule: [d for d in rule(findings) if d.schema is not None])
+            if both:
+                headers.append(both[0]), edges.append(both[1])
+    rows = staged(findings)
+    facts = gather_facts(rows, FACTS) if compiled else {}
+    firing = [r for n, r in compiled.items() if isolated(n, lambda r=r: r.fires(facts))]
+    sound, emitted = firing, None
+    try:
+        emitted = _emitted(rows, sound, facts) if _emissions(sound, facts) else None
+    except Exception:  # noqa: BLE001 - a rule is at fault: each must give a plan of its own before it joins the others
+        sound = [r for r in firing if not _emissions([r], facts)
+                 or isolated(r.name, lambda r=r: _emitted(rows, [r], facts)) is not None]
+        emitted = _emitted(rows, sound, facts) if _emissions(sound, facts) else None
+    if sound:
+        given = [(f"{r.name}:*", i, g, o, 1) for r in sound for i, g, o in r.given(facts)]
+        fixed = [(f"{r.name}:{end}", r.name, r.producer, title, text, r.severity, float(r.risk))
+                 for r in sound for end, title, text in r.once(facts)]
+        headers.append(spark.createDataFrame(fixed, _HEADER))
+        edges.append(spark.createDataFrame(given, _EDGE))
+    if emitted is not None:
+        found = written(emitted, "rules", by="kind")
+        headers.append(found.where("kind = 'h'").select(*[c.split()[0] for c in _HEADER.split(", ")]))
+        own = [c.split()[0] for c in _EDGE.split(", ")]
+        most, conflict = found.where("kind = 'e'").select(*own), F.lit(f"{MODULE_RULE}:*")
+        if any(r.name == MODULE_RULE for r in sound):
+            h, e = _module_conflict(found, facts)
+            headers.append(h)
+            edges += [e.select(*own), most.where(F.col("correlation_id") == conflict).join(
+                h.select("correlation_id"), "correlation_id", "left_semi").select(*own)]
+            most = most.where(F.col("correlation_id") != conflict)
+        edges.append(most)
+    if not headers:
+        headers, edges = [spark.createDataFrame([], _HEADER)], [spark.createDataFrame([], _EDGE)]
+    return reduce(DataFrame.unionByName, headers), reduce(DataFrame.unionByName, edges)
+
+
+# --- J9 -------------------------------------------------------------------------------------------
+_GRAM = 3
 
 
 def _module_signatures(modules: DataFrame) -> DataFrame:
@@ -235,175 +465,49 @@ def _module_signatures(modules: DataFrame) -> DataFrame:
                           F.array_sort(F.array_distinct(F.concat(F.array(name), words))).alias("sig"))
 
 
-def module_kernel_conflict(findings: DataFrame):
-    """medium/high modules whose name (or a word of it) occurs in a parameter title -> one medium/60.
-
-    References: every security module once, then each parameter once per matching module. Module words
-    meet titles by an equi-join: a title emits its substrings of the lengths that module words have.
-    """
-    mods = _bucket(findings, "modules").where(F.col("severity").isin("medium", "high"))
-    params = _bucket(findings, "kernel_params").select(
-        "id", "ord", F.lower(F.coalesce(F.col("title"), F.lit(""))).alias("pt"))
-    sig = _module_signatures(mods)
-    sig_counts = sig.groupBy("sig").agg(F.count(F.lit(1)).alias("c"))           # pre-aggregate modules
-    sig_words = sig_counts.select("sig", "c", F.explode("sig").alias("w"))
-    vocab = sig_words.select("w").distinct()
-    lengths = vocab.agg(F.array_sort(F.collect_set(F.length("w"))).alias("a")).select("a").scalar()
-    # A word of length n starts at 1 .. length - n + 1; the empty word occurs in every title.
-    starts = F.sequence(F.lit(1), F.greatest(F.length("pt") - F.col("n") + 1, F.lit(1)))
-    subs = (params.select("id", "ord", "pt", F.explode(lengths).alias("n"))
-            .where(F.col("n") <= F.length("pt"))
-            .select("id", "ord", "pt", "n", F.explode(starts).alias("s"))
-            .select("id", "ord", F.substring(F.col("pt"), F.col("s"), F.col("n")).alias("w")).distinct())
-    hits = subs.join(vocab, "w")
-    pairs = hits.select("id", "ord", "w").join(sig_words.select("sig", "c", "w"), "w") \
-        .select("id", "ord", "sig", "c").distinct()
-    per_param = pairs.groupBy("id", "ord").agg(F.sum("c").alias("n"))
-    fire = mods.exists() & per_param.exists()
-    one = _one_row(findings).where(fire)
-    first2 = mods.orderBy("ord").limit(2).agg(
-        F.sort_array(F.collect_list(F.struct("ord", "title"))).alias("t")).select(
-        F.array_join(F.col("t.title"), ", ")).scalar()
-    cid = F.lit("module_kernel_conflict:*")
-    h = _header(one, cid, "module_kernel_conflict", "kernel", F.lit("Security modules with kernel parameter conflicts"),
-                F.concat(F.lit("Security-related kernel modules detected with potentially conflicting kernel "
-                               "parameters: "), first2), "medium", 60)
-    e = _edges(mods.where(fire), cid, 0).unionByName(_edges(per_param.where(fire), cid, 1, n=F.col("n")))
-    return h, e
 
+def _grams(text: Column, n: int) -> Column:
+    """The distinct n-character pieces of a text; a shorter text has none."""
+    starts = F.sequence(F.lit(1), F.length(text) - n + 1)
+    return F.when(F.length(text) >= n, F.array_distinct(F.transform(starts, lambda s: F.substr(text, s, F.lit(n))))) \
+        .otherwise(F.array().cast("array<string>"))
 
-def kernel_mac_disabled(findings: DataFrame):
-    """MAC-related params + MAC disabled -> one high/80 over those params and every MAC finding."""
-    params, mac = _bucket(findings, "kernel_params"), _bucket(findings, "mac")
-    mp = params.where(_any_contains(F.lower(F.coalesce(F.col("title"), F.lit(""))), MAC_PARAM_WORDS))
-    fire = mp.exists() & _mac_disabled(mac).exists()
-    one = _one_row(findings).where(fire)
-    cid = F.lit("kernel_mac_disabled:*")
-    h = _header(one, cid, "kernel_mac_disabled", "kernel", F.lit("Kernel MAC parameters with disabled MAC system"),
-                F.lit("Kernel parameters related to MAC security detected but MAC system is disabled"), "high", 80)
-    e = _edges(mp.where(fire), cid, 0).unionByName(_edges(mac.where(fire), cid, 1))
-    return h, e
 
+def title_hits(titles: DataFrame, words: DataFrame) -> DataFrame:
+    """(id, ord, w): the words (w, distinct) that occur in the titles (id, ord, pt).
 
-def kernel_process_suspicious(findings: DataFrame):
-    """Process-related params + medium+ processes -> one medium/65 over both sets."""
-    params, proc = _bucket(findings, "kernel_params"), _bucket(findings, "processes")
-    pp = params.where(_any_contains(F.lower(F.coalesce(F.col("title"), F.lit(""))), PROCESS_PARAM_WORDS))
-    sp = proc.where(F.col("severity").isin(MEDIUM_PLUS))
-    fire = pp.exists() & sp.exists()
-    one = _one_row(findings).where(fire)
-    first2 = sp.orderBy("ord").limit(2).select("ord", _process_name().alias("n")).agg(
-        F.sort_array(F.collect_list(F.struct("ord", "n"))).alias("t")).select(F.array_join(F.col("t.n"), ", ")).scalar()
-    cid = F.lit("kernel_process_suspicious:*")
-    h = _header(one, cid, "kernel_process_suspicious", "kernel", F.lit("Kernel process controls with suspicious activity"),
-                F.concat(F.lit("Kernel parameters controlling process execution detected alongside suspicious "
-                               "processes: "), first2), "medium", 65)
-    e = _edges(pp.where(fire), cid, 0).unionByName(_edges(sp.where(fire), cid, 1))
-    return h, e
-
-
-# --- dense ------------------------------------------------------------------------------------------
-def multi_vector_apt(findings: DataFrame):
-    """Processes, network and world-writable all present -> one critical/95 over all their ids."""
-    cats = ["processes", "network", "world_writable"]
-    fire = reduce(lambda a, b: a & b, [_bucket(findings, c).exists() for c in cats])
-    members = findings.where(F.col("scanner").isin(cats) & F.col("id").isNotNull() & (F.col("id") != "") & fire)
-    grp = F.when(F.col("scanner") == "processes", 0).when(F.col("scanner") == "network", 1).otherwise(2)
-    cid = F.lit("multi_vector_apt:*")
-    h = _header(_one_row(findings).where(fire), cid, "multi_vector_apt", "dense",
-                F.lit("Advanced persistent threat indicators"),
-                F.lit("Coordinated attack pattern detected: suspicious process with network connectivity, "
-                      "world-writable files, and kernel parameter manipulation"), "critical", 95)
-    e = members.select(cid.alias("correlation_id"), F.col("id").alias("finding_id"), grp.alias("grp"),
-                       F.col("ord").cast("long"), F.lit(1).cast("long").alias("n"))
-    return h, e
-
-
-def temporal_sequence(findings: DataFrame):
-    """J13 (T10): network ++ processes ++ kernel_params; with >= 3 rows, the first 5 (truthy ids) -> high/80."""
-    cats = ["network", "processes", "kernel_params"]
-    flat = findings.where(F.col("scanner").isin(cats)).withColumn(
-        "_g", F.when(F.col("scanner") == "network", 0).when(F.col("scanner") == "processes", 1).otherwise(2))
-    first5 = flat.orderBy("_g", "ord").limit(5)
-    enough = flat.select("id").limit(3).agg(F.count(F.lit(1)).alias("n")).select(F.col("n") >= 3).scalar()
-    cid = F.lit("temporal_sequence:*")
-    h = _header(_one_row(findings).where(enough), cid, "temporal_sequence", "dense",
-                F.lit("Temporal escalation sequence"),
-                F.lit("Sequential events across network, process, and kernel parameters indicate possible escalation."),
-                "high", 80)
-    e = first5.where(enough & F.col("id").isNotNull() & (F.col("id") != "")).select(
-        cid.alias("correlation_id"), F.col("id").alias("finding_id"), F.col("_g").alias("grp"),
-        F.col("ord").cast("long"), F.lit(1).cast("long").alias("n"))
-    return h, e
-
-
-def causal_ioc_process(findings: DataFrame):
-    """IOC and processes both present -> one high/85 over all their ids."""
-    fire = _bucket(findings, "ioc").exists() & _bucket(findings, "processes").exists()
-    members = findings.where(F.col("scanner").isin("ioc", "processes") & F.col("id").isNotNull()
-                             & (F.col("id") != "") & fire)
-    cid = F.lit("causal_ioc_process:*")
-    h = _header(_one_row(findings).where(fire), cid, "causal_ioc_process", "dense", F.lit("IOC-led process compromise"),
-                F.lit("Indicator of compromise aligns with process behavior anomalies, suggesting cause-effect chain."),
-                "high", 85)
-    e = members.select(cid.alias("correlation_id"), F.col("id").alias("finding_id"),
-                       F.when(F.col("scanner") == "ioc", 0).otherwise(1).alias("grp"), F.col("ord").cast("long"),
-                       F.lit(1).cast("long").alias("n"))
-    return h, e
-
-
-# --- registry (J15) -------------------------------------------------------------------------------
-RULES = {
-    "process_network_suspicious": suspicious_process_network,
-    "malware_c2": malware_c2,
-    "unusual_port_usage": unusual_port_usage,
-    "suid_world_writable": suid_world_writable,
-    "capabilities_weak_mac": capabilities_weak_mac,
-    "ioc_file_permissions": ioc_file_permissions,
-    "weak_kernel_security": weak_kernel_security,
-    "module_kernel_conflict": module_kernel_conflict,
-    "kernel_mac_disabled": kernel_mac_disabled,
-    "kernel_process_suspicious": kernel_process_suspicious,
-    "multi_vector_apt": multi_vector_apt,
-    "temporal_sequence": temporal_sequence,
-    "causal_ioc_process": causal_ioc_process,
-}
-
-
-def register(name: str, rule) -> None:
-    """Extension point: a rule is ``findings -> (headers, edges)``."""
-    RULES[name] = rule
+    Each word is filed under the rarest, in the vocabulary, of its pieces of ``_GRAM`` characters, or under itself if it
+    is shorter. A title looks up its pieces of up to that length once each, so what is shuffled grows with its length,
+    and what it finds is confirmed by a search.
+    """
+    pieces = words.select("w", F.explode(F.when(F.length("w") >= _GRAM, _grams(F.col("w"), _GRAM))
+                                         .otherwise(F.array("w"))).alias("g"))
+    common = pieces.groupBy("g").agg(F.count(F.lit(1)).alias("c"))
+    filed = pieces.join(common, "g").groupBy("w").agg(F.min_by("g", F.struct("c", "g")).alias("g"))
+    probes = titles.select("id", "ord", "pt", F.explode(F.concat(
+        F.array(F.lit("")), *[_grams(F.col("pt"), n) for n in range(1, _GRAM + 1)])).alias("g"))
+    return probes.join(filed, "g").where(F.contains("pt", F.col("w"))).select("id", "ord", "w")
 
 
-def run_rules(findings: DataFrame, rules: dict | None = None, errors: list | None = None,
-              materialize: bool = False):
-    """Run every rule and union the results; a rule that fails to plan is reported and skipped.
+def _module_conflict(rows: DataFrame, facts: Facts):
+    """medium/high modules whose name (or a word of it) occurs in a parameter title -> one medium/60.
 
-    Every rule scans the pooled findings several times (buckets, top-k
-    subqueries, existence tests). With ``materialize`` the pooled table is
-    checkpointed once (shared checkpoint folder) and all rules read that.
+    References: every security module once (from the projection), then each parameter once per matching module.
     """
-    if materialize:
-        from vigil.sources.sinks import snapshot
-        findings = snapshot(findings.select("id", "ord", "scanner", "category", "title", "severity",
-                                            "risk_score", "metadata"))
-    hs, es = [], []
-    for name, rule in (rules or RULES).items():
-        try:
-            h, e = rule(findings)
-            h.schema, e.schema  # force analysis so a broken rule fails here, not in the union
-            hs.append(h)
-            es.append(e)
-        except Exception as exc:  # noqa: BLE001 - isolation per rule is the contract
-            if errors is not None:
-                errors.append((name, f"{type(exc).__name__}: {exc}"))
-    if not hs:
-        raise ValueError("no correlation rule produced a plan")
-    # each rule keeps a small subset of the scan's partitions; merge the union back to the input's
-    # partition count (no shuffle) so downstream stages do not schedule 13x as many tiny tasks
-    n = max(1, findings.rdd.getNumPartitions())
-    return (reduce(DataFrame.unionByName, hs).coalesce(n),
-            reduce(DataFrame.unionByName, es).coalesce(n))
+    modules = rows.where("kind = 'm'").select(F.col("finding_id").alias("id"), "ord", "title")
+    titles = rows.where("kind = 'p'").select(F.col("finding_id").alias("id"), "ord", F.lower(F.coalesce("title", F.lit(""))).alias("pt"))
+    counts = _module_signatures(modules).groupBy("sig").agg(F.count(F.lit(1)).alias("c"))  # modules of equal words
+    words = counts.select("sig", "c", F.explode("sig").alias("w"))
+    pairs = title_hits(titles, words.select("w").distinct()).join(words, "w").select("id", "ord", "sig", "c").distinct()
+    cid = F.lit(f"{MODULE_RULE}:*")
+    params = pairs.groupBy(F.col("id").alias("finding_id"), "ord").agg(F.sum("c").alias("n"))
+    e = params.select(cid.alias("correlation_id"), "finding_id", F.lit(1).alias("grp"), "ord", "n")
+    text = ("Security-related kernel modules detected with potentially conflicting kernel parameters: "
+            + _texts(facts["module_security"], 2))
+    h = e.limit(1).select("correlation_id", F.lit(MODULE_RULE).alias("correlation_type"), F.lit("kernel").alias("producer"),
+                          F.lit("Security modules with kernel parameter conflicts").alias("title"),
+                          F.lit(text).alias("description"), F.lit("medium").alias("severity"), F.lit(60.0).alias("risk_score"))
+    return h, e
 
 
 def correlation_rows(headers: DataFrame, edges: DataFrame) -> DataFrame:

@@ -250,8 +250,33 @@ def _contains_any(col: str, words: list[str]) -> str:
     return "(" + " OR ".join(f"contains({col}, '{w}')" for w in words) + ")"
 
 
-def rules_ctes() -> str:
-    """DuckDB form of the correlation rules over the pooled ``hf`` table (edges + headers)."""
+#: ``hx``: ``hf`` and the rows of ``exposed_findings``.
+EXPOSED_FINDINGS_CTE = HOST_FINDINGS_CTE + """,
+exposed AS (
+  SELECT 'proc_' || s_suppkey AS id, s_suppkey + 1000000000 AS ord, 'processes' AS scanner, 'Process of ' || s_name AS title,
+         CAST(s_suppkey % 100 AS DOUBLE) AS risk_score,
+         '{"command":"/usr/bin/' || CASE s_suppkey % 10 WHEN 0 THEN 'netcat' WHEN 1 THEN 'xcryptominer' ELSE 'worker' END
+           || ' --listen"}' AS metadata FROM supplier
+  UNION ALL
+  SELECT 'net_' || c_custkey, c_custkey + 1000000000, 'network',
+         CASE WHEN c_nationkey < 5 THEN 'Connection to command server' ELSE 'Connection to host' END,
+         CAST(c_nationkey * 4 AS DOUBLE), '{"port":' || (c_custkey * 37 % 4096) || '}' FROM customer
+  UNION ALL
+  SELECT 'cap_' || s_suppkey, s_suppkey + 1000000000, 'world_writable',
+         CASE WHEN s_suppkey % 8 = 0 THEN 'File capability found' ELSE 'Extended file attribute' END,
+         CAST(s_suppkey % 100 AS DOUBLE),
+         '{"rule":"' || CASE WHEN s_suppkey % 12 = 0 THEN 'file_capability' ELSE 'attribute' END || '"}'
+  FROM supplier WHERE s_suppkey % 4 = 0),
+hx AS (
+  SELECT * FROM hf UNION ALL
+  SELECT id, ord, scanner, scanner AS category, title,
+         CASE WHEN risk_score < 20 THEN 'info' WHEN risk_score < 40 THEN 'low'
+              WHEN risk_score < 70 THEN 'medium' WHEN risk_score < 90 THEN 'high' ELSE 'critical' END AS severity,
+         risk_score, metadata FROM exposed)"""
+
+
+def rules_ctes(pool: str = "hf") -> str:
+    """DuckDB form of the correlation rules over the pooled table (edges + headers)."""
     from vigil.operators import correlate as C
     pname = "regexp_extract(coalesce(json_extract_string(metadata, '$.command'), ''), '[^/]*$')"
     lt = "lower(coalesce(title, ''))"
@@ -261,14 +286,14 @@ def rules_ctes() -> str:
     macw = _contains_any(lt, C.MAC_PARAM_WORDS)
     procw = _contains_any(lt, C.PROCESS_PARAM_WORDS)
     return f""",
-rp AS (SELECT * FROM hf WHERE scanner = 'processes'),
-rn AS (SELECT * FROM hf WHERE scanner = 'network'),
-rww AS (SELECT * FROM hf WHERE scanner = 'world_writable'),
-rsu AS (SELECT * FROM hf WHERE scanner = 'suid'),
-rio AS (SELECT * FROM hf WHERE scanner = 'ioc'),
-rmc AS (SELECT * FROM hf WHERE scanner = 'mac'),
-rkp AS (SELECT * FROM hf WHERE scanner = 'kernel_params'),
-rmd AS (SELECT * FROM hf WHERE scanner = 'modules'),
+rp AS (SELECT * FROM {pool} WHERE scanner = 'processes'),
+rn AS (SELECT * FROM {pool} WHERE scanner = 'network'),
+rww AS (SELECT * FROM {pool} WHERE scanner = 'world_writable'),
+rsu AS (SELECT * FROM {pool} WHERE scanner = 'suid'),
+rio AS (SELECT * FROM {pool} WHERE scanner = 'ioc'),
+rmc AS (SELECT * FROM {pool} WHERE scanner = 'mac'),
+rkp AS (SELECT * FROM {pool} WHERE scanner = 'kernel_params'),
+rmd AS (SELECT * FROM {pool} WHERE scanner = 'modules'),
 mac_off AS (SELECT 1 FROM rmc WHERE json_extract_string(metadata, '$.enabled') = 'false' OR severity = 'medium'),
 net3 AS (SELECT id, row_number() OVER (ORDER BY ord) - 1 AS pos FROM
            (SELECT * FROM rn WHERE severity IN ('medium', 'high', 'critical') ORDER BY ord LIMIT 3) t),
@@ -286,7 +311,7 @@ cap AS (SELECT id, ord FROM rww WHERE contains({lt}, 'capability')
           OR json_extract_string(metadata, '$.rule') = 'file_capability'),
 j6 AS (SELECT 1 AS f WHERE EXISTS (SELECT 1 FROM cap) AND EXISTS (SELECT 1 FROM mac_off)),
 files3 AS (SELECT id, row_number() OVER (ORDER BY g, ord) - 1 AS pos FROM
-           (SELECT id, ord, CASE WHEN scanner = 'world_writable' THEN 0 ELSE 1 END AS g FROM hf
+           (SELECT id, ord, CASE WHEN scanner = 'world_writable' THEN 0 ELSE 1 END AS g FROM {pool}
             WHERE scanner IN ('world_writable', 'suid') AND severity IN ('medium', 'high', 'critical')
             ORDER BY g, ord LIMIT 3) t),
 j7i AS (SELECT id, coalesce(title, '') AS t FROM rio WHERE severity IN ('high', 'critical') AND EXISTS (SELECT 1 FROM files3)),
@@ -309,7 +334,7 @@ susp AS (SELECT id, ord, {pname} AS pn FROM rp WHERE severity IN ('medium', 'hig
 j11 AS (SELECT 1 AS f WHERE EXISTS (SELECT 1 FROM procp) AND EXISTS (SELECT 1 FROM susp)),
 j12 AS (SELECT 1 AS f WHERE EXISTS (SELECT 1 FROM rp) AND EXISTS (SELECT 1 FROM rn) AND EXISTS (SELECT 1 FROM rww)),
 flat AS (SELECT id, ord, CASE scanner WHEN 'network' THEN 0 WHEN 'processes' THEN 1 ELSE 2 END AS g
-         FROM hf WHERE scanner IN ('network', 'processes', 'kernel_params')),
+         FROM {pool} WHERE scanner IN ('network', 'processes', 'kernel_params')),
 j13 AS (SELECT 1 AS f WHERE (SELECT count(*) FROM flat) >= 3),
 first5 AS (SELECT * FROM flat ORDER BY g, ord LIMIT 5),
 j14 AS (SELECT 1 AS f WHERE EXISTS (SELECT 1 FROM rio) AND EXISTS (SELECT 1 FROM rp)),
@@ -334,11 +359,11 @@ edges_all AS (
   UNION ALL SELECT 'kernel_process_suspicious:*', id, 0, ord, 1 FROM procp WHERE EXISTS (SELECT 1 FROM j11)
   UNION ALL SELECT 'kernel_process_suspicious:*', id, 1, ord, 1 FROM susp WHERE EXISTS (SELECT 1 FROM j11)
   UNION ALL SELECT 'multi_vector_apt:*', id, CASE scanner WHEN 'processes' THEN 0 WHEN 'network' THEN 1 ELSE 2 END,
-                   ord, 1 FROM hf
+                   ord, 1 FROM {pool}
             WHERE scanner IN ('processes', 'network', 'world_writable') AND coalesce(id, '') <> ''
               AND EXISTS (SELECT 1 FROM j12)
   UNION ALL SELECT 'temporal_sequence:*', id, g, ord, 1 FROM first5 WHERE coalesce(id, '') <> '' AND EXISTS (SELECT 1 FROM j13)
-  UNION ALL SELECT 'causal_ioc_process:*', id, CASE scanner WHEN 'ioc' THEN 0 ELSE 1 END, ord, 1 FROM hf
+  UNION ALL SELECT 'causal_ioc_process:*', id, CASE scanner WHEN 'ioc' THEN 0 ELSE 1 END, ord, 1 FROM {pool}
             WHERE scanner IN ('ioc', 'processes') AND coalesce(id, '') <> '' AND EXISTS (SELECT 1 FROM j14)
 ),
 weak_first3 AS (SELECT cls, string_agg(title, ', ' ORDER BY ord) AS names FROM

@@ -9,11 +9,11 @@ from vigil.plans import oracle as O
 from vigil.plans.registry import query
 from vigil.sources import tables as tb
 
-_H = "WITH " + O.HOST_FINDINGS_CTE + O.rules_ctes()
+_H = "WITH " + O.EXPOSED_FINDINGS_CTE + O.rules_ctes("hx")
 
 
 def _rules(spark, sf_dir):
-    return cr.run_rules(tb.host_findings(spark, sf_dir), materialize=True)
+    return cr.run_rules(tb.exposed_findings(spark, sf_dir))
 
 
 @query("correlation_rules", _H + """

@@ -9,6 +9,8 @@ never a machine-local folder and never ``localCheckpoint``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +83,14 @@ def snapshot(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """K4: ``df`` written once below the session's shared checkpoint directory and read back from there."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    out = df.write.partitionBy(by) if by else df.write
+    out.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_validated(df: DataFrame, good_path: str, error_path: str, codes_col: str = "error_codes") -> None:
     """K5: rows without a dropping error to ``good_path``; (row, code) pairs to ``error_path``."""
     dropping = F.arrays_overlap(F.col(codes_col), F.array(F.lit("json_parse"), F.lit("missing_text")))

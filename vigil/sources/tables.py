@@ -218,3 +218,35 @@ def host_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (ev.unionByName(described(kernel_params_from_part(part)).select(*cols))
               .unionByName(described(modules_from_supplier(read(spark, sf_dir, "supplier"), part)).select(*cols))
               .unionByName(described(mac_from_customer(read(spark, sf_dir, "customer"))).select(*cols)))
+
+
+#: Input positions of the rows that ``exposed_findings`` adds: after all events.
+EXPOSED_FROM = 1_000_000_000
+
+
+def exposed_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``host_findings`` and rows as scanners of processes, sockets and files give them.
+
+    supplier -> processes with a command (some of malware tools) and files with capabilities; customer -> connections to
+    ports around 1024, some of them to command servers. They follow the events in input order.
+    """
+    cols = ["id", "ord", "scanner", "category", "title", "description", "severity", "risk_score", "metadata"]
+    supplier, customer = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "customer")
+    k, c = F.col("s_suppkey"), F.col("c_custkey")
+    tool = _map_expr(k % 10, {0: "netcat", 1: "xcryptominer"}, "worker")
+
+    def rows(df: DataFrame, key: Column, prefix: str, scanner: str, title: Column, risk: Column, meta: Column) -> DataFrame:
+        return _banded(df.select(
+            F.concat(F.lit(prefix), key.cast("string")).alias("id"), (key + EXPOSED_FROM).alias("ord"),
+            F.lit(scanner).alias("scanner"), F.lit(scanner).alias("category"), title.alias("title"),
+            F.concat(F.lit("Seen: "), title).alias("description"), risk.cast("double").alias("risk_score"),
+            F.to_json(meta).alias("metadata"))).select(*cols)
+
+    processes = rows(supplier, k, "proc_", "processes", F.concat(F.lit("Process of "), F.col("s_name")), k % 100,
+                     F.struct(F.concat(F.lit("/usr/bin/"), tool, F.lit(" --listen")).alias("command")))
+    sockets = rows(customer, c, "net_", "network", F.when(F.col("c_nationkey") < 5, "Connection to command server")
+                   .otherwise("Connection to host"), F.col("c_nationkey") * 4, F.struct((c * 37 % 4096).alias("port")))
+    files = rows(supplier.where(k % 4 == 0), k, "cap_", "world_writable",
+                 F.when(k % 8 == 0, "File capability found").otherwise("Extended file attribute"), k % 100,
+                 F.struct(F.when(k % 12 == 0, "file_capability").otherwise("attribute").alias("rule")))
+    return host_findings(spark, sf_dir).select(*cols).unionByName(processes).unionByName(sockets).unionByName(files)
