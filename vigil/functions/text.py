@@ -69,3 +69,8 @@ PLACEHOLDER_RE = "(?i)^(unknown|none|null|na|n/a)$"
 def is_placeholder(c: Column) -> Column:
     """P27 leaf test: null or a whole-string placeholder word (case-insensitive)."""
     return c.isNull() | F.trim(c).rlike(PLACEHOLDER_RE)
+
+
+def sql_text(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -358,10 +358,6 @@ def _emissions(rules: list[Rule], facts: Facts) -> list[tuple[Column, list[_Emis
     return out
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _emitted(rows: DataFrame, rules: list[Rule], facts: Facts) -> DataFrame:
     """All that the rows of :func:`staged` findings give: one projection; a row names its emissions by number, which
     stand for literals."""
@@ -374,7 +370,7 @@ def _emitted(rows: DataFrame, rules: list[Rule], facts: Facts) -> DataFrame:
 
     def of(pick: Callable, kind: str = "string") -> Column:
         """What the emission of a row has there: one literal array, an element of it."""
-        values = ", ".join("null" if v is None else _quoted(v) if isinstance(v, str) else str(v) for v in map(pick, every))
+        values = ", ".join("null" if v is None else tx.sql_text(v) if isinstance(v, str) else str(v) for v in map(pick, every))
         return F.expr(f"element_at(cast(array({values}) as array<{kind}>), c + 1)")
 
     def worded(pattern: Callable) -> Column:

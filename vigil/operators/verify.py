@@ -14,6 +14,7 @@ list form named its position.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 from vigil.functions import fixed
 from vigil.functions import severity as sev
 from vigil.functions import text as tx
+from vigil.functions.text import sql_text
+from vigil.sources.sinks import written
 
 FINDING_REQUIRED = ["id", "title", "severity", "risk_score", "base_severity_score", "description", "metadata",
                     "risk_subscores", "probability_actionable", "baseline_status", "tags", "rationale",
@@ -91,78 +94,90 @@ def _has(df: DataFrame, key: str) -> Column:
     return F.array_contains(_keys(df), key)
 
 
-def _issues(df: DataFrame, verifier: str, entity: str, checks: list[tuple[str, Column, Column]]) -> DataFrame:
-    """One issue row per (row, failing check); checks are (rule, condition, message)."""
-    arr = F.array_compact(F.array(*[
-        F.when(cond, F.struct(F.lit(rule).alias("rule"), msg.alias("message"))) for rule, cond, msg in checks
-    ]))
+@dataclass(frozen=True)
+class Check:
+    """A rule on one row. ``{}`` in the text stands for ``arg``, a text that only failing rows need."""
+
+    rule: str
+    fails: Column
+    text: str
+    arg: Column | None = None
+
+
+def _fused(df: DataFrame, entity: str, checks: list[tuple[tuple[str, ...], Check]]) -> DataFrame:
+    """One issue row per row, failing check and verifier that has the check.
+
+    A row's issues are one array of (number, arg), exploded once; rule, message and verifier are looked up by number
+    after it, so what no reader asks for is never worked out.
+    """
+    every = [(v, c) for verifiers, c in checks for v in verifiers]
+    arrays, at = [], 0
+    for verifiers, c in checks:
+        arg = (c.arg if c.arg is not None else F.lit(None)).cast("string")
+        entries = [F.struct(F.lit(at + k).alias("c"), arg.alias("arg")) for k in range(len(verifiers))]
+        arrays.append(F.when(c.fails, F.array(*entries)))
+        at += len(verifiers)
     rid = F.coalesce(F.col("id").cast("string"), F.lit("unknown")) if "id" in df.columns else F.lit("unknown")
-    return (df.select(rid.alias("row_id"), F.explode(arr).alias("i"))
-            .select(F.lit(verifier).alias("verifier"), F.lit(entity).alias("entity"), "row_id",
-                    F.col("i.rule").alias("rule"),
-                    F.concat(F.lit(f"[{verifier}] "), F.col("i.message")).alias("message")))
+    rows = df.select(rid.alias("row_id"), F.explode(F.flatten(F.array_compact(F.array(*arrays)))).alias("i"))
 
+    def of(pick) -> Column:
+        values = ", ".join(sql_text(pick(v, c)) for v, c in every)
+        return F.expr(f"element_at(array({values}), i.c + 1)")
 
-def _prefix(entity: str) -> Column:
-    return F.concat(F.lit(f"{entity} "), F.coalesce(F.col("id").cast("string"), F.lit("unknown")), F.lit(": "))
+    body = F.replace(of(lambda v, c: c.text), F.lit("{}"), F.coalesce("i.arg", F.lit("")))
+    name = entity.capitalize()
+    return rows.select(of(lambda v, c: v).alias("verifier"), F.lit(entity).alias("entity"), "row_id",
+                       of(lambda v, c: c.rule).alias("rule"),
+                       F.concat(of(lambda v, c: f"[{v}] {name} "), F.col("row_id"), F.lit(": "), body).alias("message"))
 
 
 # --- V1-V5 row rules ------------------------------------------------------------------------------
-def required_field_checks(df: DataFrame, fields: list[str], entity: str) -> list:
-    return [(f"missing:{f}", ~_has(df, f), F.concat(_prefix(entity), F.lit(f"Missing required field '{f}'")))
-            for f in fields]
+def required_field_checks(df: DataFrame, fields: list[str]) -> list[Check]:
+    return [Check(f"missing:{f}", ~_has(df, f), f"Missing required field '{f}'") for f in fields]
 
 
-def severity_score_checks(df: DataFrame, entity: str, score_fields=("risk_score", "base_severity_score")) -> list:
+def severity_score_checks(df: DataFrame, score_fields=("risk_score", "base_severity_score")) -> list[Check]:
     v = _v(df)
     sev_txt = _text(v, "$.severity")
-    out = [("invalid_severity", _has(df, "severity") & ~F.coalesce(sev_txt.isin(*fixed.SEVERITIES), F.lit(False)),
-            F.concat(_prefix(entity), F.lit("Invalid severity '"), F.coalesce(sev_txt, F.lit("None")), F.lit("'")))]
+    out = [Check("invalid_severity", _has(df, "severity") & ~F.coalesce(sev_txt.isin(*fixed.SEVERITIES), F.lit(False)),
+                 "Invalid severity '{}'", F.coalesce(sev_txt, F.lit("None")))]
     for f in score_fields:
         num = _is_numeric(v, f"$.{f}")
         x = _num(v, f"$.{f}")
-        out.append((f"{f}:not_numeric", _has(df, f) & ~num, F.concat(_prefix(entity), F.lit(f"{f} must be numeric"))))
-        out.append((f"{f}:range", _has(df, f) & num & ((x < 0) | (x > 100)) & ~F.isnan(x),
-                    F.concat(_prefix(entity), F.lit(f"{f} out of range 0-100 (got "), _text(v, f"$.{f}"), F.lit(")"))))
+        out += [Check(f"{f}:not_numeric", _has(df, f) & ~num, f"{f} must be numeric"),
+                Check(f"{f}:range", _has(df, f) & num & ((x < 0) | (x > 100)) & ~F.isnan(x),
+                      f"{f} out of range 0-100 (got {{}})", _text(v, f"$.{f}"))]
     return out
 
 
-def probability_checks(df: DataFrame, entity: str, field: str = "probability_actionable") -> list:
+def probability_checks(df: DataFrame, field: str = "probability_actionable") -> list[Check]:
     v = _v(df)
     num = _is_numeric(v, f"$.{field}")
     x = _num(v, f"$.{field}")
-    return [(f"{field}:not_numeric", _has(df, field) & ~num, F.concat(_prefix(entity), F.lit(f"{field} must be numeric"))),
-            (f"{field}:range", _has(df, field) & num & ((x < 0) | (x > 1)) & ~F.isnan(x),
-             F.concat(_prefix(entity), F.lit(f"{field} must be between 0 and 1 (got "), _text(v, f"$.{field}"),
-                      F.lit(")")))]
+    return [Check(f"{field}:not_numeric", _has(df, field) & ~num, f"{field} must be numeric"),
+            Check(f"{field}:range", _has(df, field) & num & ((x < 0) | (x > 1)) & ~F.isnan(x),
+                  f"{field} must be between 0 and 1 (got {{}})", _text(v, f"$.{field}"))]
 
 
-def subscore_checks(df: DataFrame, entity: str) -> list:
+def subscore_checks(df: DataFrame) -> list[Check]:
     v = _v(df)
     present = _has(df, "risk_subscores")
-    is_obj = _type(v, "$.risk_subscores").startswith("OBJECT")
+    is_obj = F.coalesce(_type(v, "$.risk_subscores").startswith("OBJECT"), F.lit(False))
     sub_keys = _keys(df, "$.risk_subscores")
-    out = [("risk_subscores:not_dict", present & ~F.coalesce(is_obj, F.lit(False)),
-            F.concat(_prefix(entity), F.lit("risk_subscores must be a dict")))]
+    out = [Check("risk_subscores:not_dict", present & ~is_obj, "risk_subscores must be a dict")]
     for k in SUBSCORE_KEYS:
         path = f"$.risk_subscores.{k}"
         has_k = F.array_contains(sub_keys, k)
         num = _is_numeric(v, path)
         x = _num(v, path)
-        ok_obj = present & F.coalesce(is_obj, F.lit(False))
-        out += [
-            (f"risk_subscores.{k}:missing", ok_obj & ~has_k,
-             F.concat(_prefix(entity), F.lit(f"Missing risk_subscore '{k}'"))),
-            (f"risk_subscores.{k}:not_numeric", ok_obj & has_k & ~num,
-             F.concat(_prefix(entity), F.lit(f"risk_subscore '{k}' must be numeric"))),
-            (f"risk_subscores.{k}:range", ok_obj & has_k & num & ((x < 0) | (x > 1)) & ~F.isnan(x),
-             F.concat(_prefix(entity), F.lit(f"risk_subscore '{k}' out of range 0-1 (got "), _text(v, path),
-                      F.lit(")"))),
-        ]
+        out += [Check(f"risk_subscores.{k}:missing", present & is_obj & ~has_k, f"Missing risk_subscore '{k}'"),
+                Check(f"risk_subscores.{k}:not_numeric", present & is_obj & has_k & ~num, f"risk_subscore '{k}' must be numeric"),
+                Check(f"risk_subscores.{k}:range", present & is_obj & has_k & num & ((x < 0) | (x > 1)) & ~F.isnan(x),
+                      f"risk_subscore '{k}' out of range 0-1 (got {{}})", _text(v, path))]
     return out
 
 
-def host_metadata_checks(df: DataFrame, entity: str) -> list:
+def host_metadata_checks(df: DataFrame) -> list[Check]:
     """V5: metadata must be an object with non-empty host keys and a non-empty kb_refs list.
 
     A missing ``metadata`` key reads as {} (so every host key is reported); a
@@ -172,48 +187,114 @@ def host_metadata_checks(df: DataFrame, entity: str) -> list:
     t = _type(v, "$.metadata")
     missing_key = ~_has(df, "metadata")
     is_obj = missing_key | F.coalesce(t.startswith("OBJECT"), F.lit(False))
-    out = [("metadata:not_dict", ~is_obj, F.concat(_prefix(entity), F.lit("metadata must be a dict")))]
+    out = [Check("metadata:not_dict", ~is_obj, "metadata must be a dict")]
     for k in fixed.HOST_KEYS:
         val = F.try_variant_get(v, f"$.metadata.{k}", "string")
         vt = _type(v, f"$.metadata.{k}")
         empty = val.isNull() | (vt == "NULL") | ((vt == "STRING") & (val == ""))
-        out.append((f"metadata.{k}:missing", is_obj & empty,
-                    F.concat(_prefix(entity), F.lit(f"metadata missing '{k}'"))))
+        out.append(Check(f"metadata.{k}:missing", is_obj & empty, f"metadata missing '{k}'"))
     kb_t = _type(v, "$.metadata.kb_refs")
     kb_n = F.size(F.coalesce(F.try_variant_get(v, "$.metadata.kb_refs", "array<variant>"),
                              F.array().cast("array<variant>")))
     bad_kb = ~F.coalesce(kb_t.startswith("ARRAY"), F.lit(False)) | (kb_n == 0)
-    out.append(("metadata.kb_refs:empty", is_obj & bad_kb,
-                F.concat(_prefix(entity), F.lit("metadata.kb_refs must be a non-empty list"))))
+    out.append(Check("metadata.kb_refs:empty", is_obj & bad_kb, "metadata.kb_refs must be a non-empty list"))
     return out
 
 
+def reference_checks(df: DataFrame) -> list[Check]:
+    v = _v(df)
+    t = _type(v, "$.correlation_refs")
+    n = F.size(F.coalesce(F.try_variant_get(v, "$.correlation_refs", "array<variant>"), F.array().cast("array<variant>")))
+    has, is_list = _has(df, "correlation_refs"), F.coalesce(t.startswith("ARRAY"), F.lit(False))
+    null = F.coalesce(t == "NULL", F.lit(False))
+    return [Check("correlation_refs:not_list", has & ~is_list & ~null, "correlation_refs must be a list"),
+            Check("correlation_refs:empty", has & (is_list | null) & (n == 0), "correlation_refs must not be empty")]
+
+
+def band_checks() -> list[Check]:
+    """Risk against the severity's coherence band (unknown severity: 0..100; null severity or risk skipped)."""
+    risk = F.col("risk_score").cast("double")
+    fails = (F.col("severity").isNotNull() & (F.col("severity") != "") & risk.isNotNull()
+             & sev.band_violation(F.col("severity"), risk, fixed.COHERENCE_BANDS, unknown=(0, 100)))
+    lo = sev.lookup({k: v[0] for k, v in fixed.COHERENCE_BANDS.items()}, F.col("severity"), 0)
+    hi = sev.lookup({k: v[1] for k, v in fixed.COHERENCE_BANDS.items()}, F.col("severity"), 100)
+    return [Check("severity_risk", fails, "{}", F.format_string(
+        "Risk score %s doesn't match severity '%s' (expected %d-%d)", _py_num(risk), F.col("severity"), lo, hi))]
+
+
+def realism_checks(df: DataFrame) -> list[Check]:
+    """Values that no real finding of the category has."""
+    v = _v(df)
+    desc = F.coalesce(F.try_variant_get(v, "$.description", "string"), F.lit(""))
+    title = F.coalesce(F.try_variant_get(v, "$.title", "string"), F.lit(""))
+    cat = F.col("category")
+    pid_t, pid = _type(v, "$.metadata.pid"), _num(v, "$.metadata.pid")
+    pid_present = pid_t.isNotNull() & (pid_t != "NULL")
+    pid_int = pid_t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "BOOLEAN") | pid_t.startswith("DECIMAL(") & \
+        (pid == F.floor(pid))
+    cmd = F.coalesce(F.try_variant_get(v, "$.metadata.command", "string"), F.lit(""))
+    port_t, port = _type(v, "$.metadata.port"), _num(v, "$.metadata.port")
+    port_present = port_t.isNotNull() & (port_t != "NULL")
+    port_int = port_t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "BOOLEAN")
+    state = F.coalesce(F.try_variant_get(v, "$.metadata.state", "string"), F.lit(""))
+    return [
+        Check("pid", (cat == "processes") & pid_present & (~pid_int | (pid < 1) | (pid > 99999)), "Unrealistic PID {}",
+              _text(v, "$.metadata.pid")),
+        *[Check(f"fake_command:{m}", (cat == "processes") & (cmd != "") & (F.instr(cmd, m) > 0),
+                "Obviously fake command '{}'", cmd) for m in fixed.FAKE_COMMAND_MARKERS],
+        Check("port", (cat == "network") & port_present & (~port_int | (port < 1) | (port > 65535)), "Invalid port {}",
+              _text(v, "$.metadata.port")),
+        Check("socket_state", (cat == "network") & (state != "") & ~state.isin(*fixed.VALID_SOCKET_STATES),
+              "Invalid socket state '{}'", state),
+        Check("description_short", F.length(desc) < 10, "Description too short"),
+        Check("description_long", F.length(desc) > 500, "Description too long"),
+        Check("title_short", F.length(title) < 5, "Title too short or empty"),
+    ]
+
+
+def _py_num(x: Column) -> Column:
+    """Python repr of a float that holds an integer value (80.0) or not (80.5)."""
+    return F.when(F.isnan(x), F.lit("nan")).otherwise(x.cast("string"))
+
+
+# --- row rules of several verifiers in one pass -----------------------------------------------------
+SCHEMA, COHERENCE, REALISM, ABUNDANCE = "SchemaVerifier", "CoherenceVerifier", "RealismVerifier", "AbundanceVerifier"
+
+
+def finding_row_issues(findings: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    f = ensure_raw(findings)
+    checks = []
+    if SCHEMA in names:
+        own = (required_field_checks(f, FINDING_REQUIRED) + severity_score_checks(f) + probability_checks(f) + subscore_checks(f))
+        checks += [((SCHEMA,), c) for c in own]
+    if COHERENCE in names:
+        checks += [((COHERENCE,), c) for c in band_checks()]
+    if REALISM in names:
+        checks += [((REALISM,), c) for c in realism_checks(f)]
+    host = tuple(n for n in (SCHEMA, REALISM, ABUNDANCE) if n in names)
+    if host:
+        checks += [(host, c) for c in host_metadata_checks(f)]
+    return _fused(f, "finding", checks)
+
+
+def correlation_row_issues(correlations: DataFrame, names: tuple[str, ...]) -> DataFrame | None:
+    c = ensure_raw(correlations)
+    checks = []
+    if SCHEMA in names:
+        own = (required_field_checks(c, CORRELATION_REQUIRED) + severity_score_checks(c) + probability_checks(c)
+               + subscore_checks(c) + reference_checks(c))
+        checks += [((SCHEMA,), x) for x in own]
+    host = tuple(n for n in (SCHEMA, COHERENCE) if n in names)
+    if host:
+        checks += [(host, x) for x in host_metadata_checks(c)]
+    return _fused(c, "correlation", checks) if checks else None
+
+
 # --- V6 schema verifier -----------------------------------------------------------------------------
 def schema_issues(findings: DataFrame, correlations: DataFrame, sections: dict | None = None) -> DataFrame:
     """V6: document sections + version, then V1-V5 on every finding and correlation."""
-    f = ensure_raw(findings)
-    c = ensure_raw(correlations)
-    name = "SchemaVerifier"
-    fi = _issues(f, name, "finding", required_field_checks(f, FINDING_REQUIRED, "Finding")
-                 + severity_score_checks(f, "Finding") + probability_checks(f, "Finding")
-                 + subscore_checks(f, "Finding") + host_metadata_checks(f, "Finding"))
-    cv = _v(c)
-    refs_t = _type(cv, "$.correlation_refs")
-    refs_n = F.size(F.coalesce(F.try_variant_get(cv, "$.correlation_refs", "array<variant>"),
-                               F.array().cast("array<variant>")))
-    has_refs = _has(c, "correlation_refs")
-    ref_checks = [
-        ("correlation_refs:not_list", has_refs & ~F.coalesce(refs_t.startswith("ARRAY"), F.lit(False))
-         & ~F.coalesce(refs_t == "NULL", F.lit(False)),
-         F.concat(_prefix("Correlation"), F.lit("correlation_refs must be a list"))),
-        ("correlation_refs:empty", has_refs & (F.coalesce(refs_t.startswith("ARRAY"), F.lit(False))
-                                               | F.coalesce(refs_t == "NULL", F.lit(False))) & (refs_n == 0),
-         F.concat(_prefix("Correlation"), F.lit("correlation_refs must not be empty"))),
-    ]
-    ci = _issues(c, name, "correlation", required_field_checks(c, CORRELATION_REQUIRED, "Correlation")
-                 + severity_score_checks(c, "Correlation") + probability_checks(c, "Correlation")
-                 + subscore_checks(c, "Correlation") + host_metadata_checks(c, "Correlation") + ref_checks)
-    out = fi.unionByName(ci)
+    name = SCHEMA
+    out = finding_row_issues(findings, (name,)).unionByName(correlation_row_issues(correlations, (name,)))
     if sections is not None:
         spark = findings.sparkSession
         doc_rows = [(name, "document", "document", f"missing:{s}", f"[{name}] Missing required field: {s}")
@@ -228,7 +309,14 @@ def schema_issues(findings: DataFrame, correlations: DataFrame, sections: dict |
 
 # --- V9, V11, J17, J19: coherence verifier --------------------------------------------------------------
 def coherence_issues(findings: DataFrame, correlations: DataFrame) -> DataFrame:
-    name = "CoherenceVerifier"
+    names = (COHERENCE,)
+    return reduce(DataFrame.unionByName, [finding_row_issues(findings, names), correlation_row_issues(correlations, names),
+                                          coherence_set_issues(findings, correlations)])
+
+
+def coherence_set_issues(findings: DataFrame, correlations: DataFrame) -> DataFrame:
+    """What takes more than one row to see."""
+    name = COHERENCE
     # V9 duplicate ids (falsy ids skipped) across findings and correlations
     ids = (findings.select("id").unionByName(correlations.select("id"))
            .where(F.col("id").isNotNull() & (F.col("id") != "")))
@@ -256,17 +344,6 @@ def coherence_issues(findings: DataFrame, correlations: DataFrame) -> DataFrame:
     ))).alias("i")).select(F.lit(name).alias("verifier"), F.lit("dataset").alias("entity"),
                            F.lit("dataset").alias("row_id"), F.col("i.rule").alias("rule"),
                            F.concat(F.lit(f"[{name}] "), F.col("i.m")).alias("message"))
-    # V11 severity/risk coherence (coherence bands, unknown severity 0..100; null severity/risk skipped)
-    risk = F.col("risk_score").cast("double")
-    viol = (F.col("severity").isNotNull() & (F.col("severity") != "") & risk.isNotNull()
-            & sev.band_violation(F.col("severity"), risk, fixed.COHERENCE_BANDS, unknown=(0, 100)))
-    lo = sev.lookup({k: v[0] for k, v in fixed.COHERENCE_BANDS.items()}, F.col("severity"), 0)
-    hi = sev.lookup({k: v[1] for k, v in fixed.COHERENCE_BANDS.items()}, F.col("severity"), 100)
-    band = f.where(viol).select(
-        F.lit(name).alias("verifier"), F.lit("finding").alias("entity"), F.col("id").alias("row_id"),
-        F.lit("severity_risk").alias("rule"),
-        F.format_string(f"[{name}] Finding %s: Risk score %s doesn't match severity '%s' (expected %d-%d)",
-                        F.col("id"), _py_num(risk), F.col("severity"), lo, hi).alias("message"))
     # J17 broken references (correlation refs with the legacy fallback; finding refs to correlations)
     refs = F.coalesce(F.when(F.size(F.col("correlation_refs")) > 0, F.col("correlation_refs")),
                       F.col("related_finding_ids") if "related_finding_ids" in correlations.columns
@@ -278,7 +355,7 @@ def coherence_issues(findings: DataFrame, correlations: DataFrame) -> DataFrame:
         F.lit("broken_ref").alias("rule"),
         F.format_string(f"[{name}] Correlation %s references non-existent finding '%s'", F.col("cid"),
                         F.col("ref")).alias("message"))
-    out = dup_issues.unionByName(pn).unionByName(band).unionByName(broken_c)
+    out = dup_issues.unionByName(pn).unionByName(broken_c)
     if "correlation_refs" in findings.columns:
         f_refs = findings.select(F.col("id").alias("fid"), F.explode("correlation_refs").alias("ref"))
         cids = correlations.select(F.col("id").alias("ref")).where(F.col("ref").isNotNull() & (F.col("ref") != ""))
@@ -287,190 +364,144 @@ def coherence_issues(findings: DataFrame, correlations: DataFrame) -> DataFrame:
             F.lit("broken_ref").alias("rule"),
             F.format_string(f"[{name}] Finding %s references non-existent correlation '%s'", F.col("fid"),
                             F.col("ref")).alias("message")))
-    c = ensure_raw(correlations)
-    host = _issues(c, name, "correlation", host_metadata_checks(c, "Correlation"))
-    return out.unionByName(host)
+    return out
 
 
-def _py_num(x: Column) -> Column:
-    """Python repr of a float that holds an integer value (80.0) or not (80.5)."""
-    return F.when(F.isnan(x), F.lit("nan")).otherwise(x.cast("string"))
+# --- V26, V28-V33: rules on groups, from one table of counts ------------------------------------------
+REPETITION, DIVERSITY = "repetition:", "diversity:"
 
 
-# --- V26-V28: realism verifier -------------------------------------------------------------------------
-def realism_issues(findings: DataFrame) -> DataFrame:
-    name = "RealismVerifier"
+def group_counts(findings: DataFrame) -> DataFrame:
+    """(dim, value, n): how many findings have each value of each thing that a group rule looks at. One scan, combined
+    before the shuffle; null values are left out."""
     f = ensure_raw(findings)
     v = _v(f)
-    # V26 severity mix in ranges
-    total = f.agg(F.count(F.lit(1)).alias("t"), *[F.count_if(F.col("severity") == s).alias(s)
-                                                  for s in fixed.SEVERITIES])
-    dist = total.select(F.explode(F.array(*[
-        F.struct(F.lit(s).alias("s"), F.col(s).alias("n"), F.col("t").alias("t"), F.lit(lo).alias("lo"),
-                 F.lit(hi).alias("hi")) for s, (lo, hi) in fixed.REALISM_RANGES.items()])).alias("d")).select("d.*")
-    pct = F.when(F.col("t") > 0, F.col("n") / F.col("t")).otherwise(F.lit(0.0))
-    dist_issues = dist.where(~((pct >= F.col("lo")) & (pct <= F.col("hi")))).select(
-        F.lit(name).alias("verifier"), F.lit("dataset").alias("entity"), F.lit("dataset").alias("row_id"),
-        F.concat(F.lit("distribution:"), F.col("s")).alias("rule"),
-        F.format_string(f"[{name}] Severity '%s' distribution unrealistic: %.1f%% (expected %.0f%%-%.0f%%)",
-                        F.col("s"), pct * 100, F.col("lo") * 100, F.col("hi") * 100).alias("message"))
-    # V27 row realism
-    desc = F.coalesce(F.try_variant_get(v, "$.description", "string"), F.lit(""))
-    title = F.coalesce(F.try_variant_get(v, "$.title", "string"), F.lit(""))
-    cat = F.col("category")
-    pid_t, pid = _type(v, "$.metadata.pid"), _num(v, "$.metadata.pid")
-    pid_present = pid_t.isNotNull() & (pid_t != "NULL")
-    pid_int = pid_t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "BOOLEAN") | pid_t.startswith("DECIMAL(") & \
-        (pid == F.floor(pid))
-    cmd = F.coalesce(F.try_variant_get(v, "$.metadata.command", "string"), F.lit(""))
-    port_t, port = _type(v, "$.metadata.port"), _num(v, "$.metadata.port")
-    port_present = port_t.isNotNull() & (port_t != "NULL")
-    port_int = port_t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "BOOLEAN")
-    state = F.coalesce(F.try_variant_get(v, "$.metadata.state", "string"), F.lit(""))
-    p = _prefix("Finding")
-    checks = [
-        ("pid", (cat == "processes") & pid_present & (~pid_int | (pid < 1) | (pid > 99999)),
-         F.concat(p, F.lit("Unrealistic PID "), _text(v, "$.metadata.pid"))),
-    ] + [
-        (f"fake_command:{m}", (cat == "processes") & (cmd != "") & (F.instr(cmd, m) > 0),
-         F.concat(p, F.lit("Obviously fake command '"), cmd, F.lit("'"))) for m in fixed.FAKE_COMMAND_MARKERS
-    ] + [
-        ("port", (cat == "network") & port_present & (~port_int | (port < 1) | (port > 65535)),
-         F.concat(p, F.lit("Invalid port "), _text(v, "$.metadata.port"))),
-        ("socket_state", (cat == "network") & (state != "") & ~state.isin(*fixed.VALID_SOCKET_STATES),
-         F.concat(p, F.lit("Invalid socket state '"), state, F.lit("'"))),
-        ("description_short", F.length(desc) < 10, F.concat(p, F.lit("Description too short"))),
-        ("description_long", F.length(desc) > 500, F.concat(p, F.lit("Description too long"))),
-        ("title_short", F.length(title) < 5, F.concat(p, F.lit("Title too short or empty"))),
-    ]
-    rows = _issues(f, name, "finding", checks)
-    host = _issues(f, name, "finding", host_metadata_checks(f, "Finding"))
-    return dist_issues.unionByName(rows).unionByName(host).unionByName(repetition_issues(f, name))
+    distro = F.try_variant_get(v, "$.metadata.distro", "string")
+    host = F.coalesce(distro, F.lit("")) != ""
+
+    def stated(path: str) -> Column:
+        return F.nullif(_text(v, path), F.lit("None"))
+
+    meta_keys = _keys(f, "$.metadata")
+    dims = {
+        "category": F.coalesce(F.col("category"), F.lit("unknown")),
+        "severity": F.coalesce(F.col("severity"), F.lit("")),
+        "title_pattern": tx.title_pattern(F.col("title")),
+        # VARIANT objects sort their keys
+        "metadata": F.md5(F.coalesce(F.to_json(F.try_variant_get(v, "$.metadata", "variant")), F.lit("{}"))),
+        "host": F.when(host, F.to_json(F.struct(distro.alias("d"), F.try_variant_get(
+            v, "$.metadata.distro_version", "string").alias("v")))),
+        **{REPETITION + k: stated(f"$.metadata.{k}") for k in fixed.REPETITION_FIELDS},
+        REPETITION + "distro": F.when(host, stated("$.metadata.distro")),
+        DIVERSITY + "title": F.coalesce(F.try_variant_get(v, "$.title", "string"), F.lit("")),
+        DIVERSITY + "rationale": F.when(_has(f, "rationale"), _text(v, "$.rationale")).otherwise(F.lit("")),
+        **{DIVERSITY + k: F.when(F.array_contains(meta_keys, k), _text(v, f"$.metadata.{k}")).otherwise(F.lit(""))
+           for k in ("port", "command")},
+    }
+    long = f.select(F.explode(F.array(*[F.struct(F.lit(k).alias("dim"), c.cast("string").alias("value"))
+                                        for k, c in dims.items()])).alias("u")).select("u.*")
+    return long.where(F.col("value").isNotNull()).groupBy("dim", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def group_issues(counts: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """V26 and V28 (realism), V29-V33 (abundance) from :func:`group_counts`, which is read a few times: write it first."""
+    per_dim = counts.groupBy("dim").agg(F.sum("n").alias("total"), F.max("n").alias("top_n"), F.count(F.lit(1)).alias("kinds"),
+                                        F.max_by("value", F.struct("n", "value")).alias("top"))
+
+    def severe(s: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("value") == s, F.col("n"))), F.lit(0)).alias(s)
+
+    mix = counts.where("dim = 'severity'").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t"), *map(severe, fixed.SEVERITIES))
+    t, found = F.col("t"), []
+
+    def issue(name: str, rows: DataFrame, rule: Column, text: Column) -> None:
+        found.append(rows.select(F.lit(name).alias("verifier"), F.lit("dataset").alias("entity"), F.lit("dataset").alias("row_id"),
+                                 rule.alias("rule"), F.concat(F.lit(f"[{name}] "), text).alias("message")))
+
+    def first(*checks: tuple[Column, str | Column, Column]) -> Column:
+        return F.explode(F.array_compact(F.array(*[F.when(fails, F.struct(
+            (F.lit(rule) if isinstance(rule, str) else rule).alias("rule"), text.alias("text"))) for fails, rule, text in checks])))
+
+    if REALISM in names:
+        # V26 severity mix in ranges
+        def share(s: str) -> Column:
+            return F.when(t > 0, F.col(s) / t).otherwise(F.lit(0.0))
+
+        issue(REALISM, mix.select(first(*[
+            (~share(s).between(lo, hi), f"distribution:{s}", F.format_string(
+                f"Severity '{s}' distribution unrealistic: %.1f%% (expected {lo:.0%}-{hi:.0%})".replace("%-", "%%-").replace("%)", "%%)"),
+                share(s) * 100)) for s, (lo, hi) in fixed.REALISM_RANGES.items()])).select("col.*"), F.col("rule"), F.col("text"))
+        # One value above 80% of a field's non-null values (distro above 85%)
+        part = F.col("top_n") / F.col("total")
+        name = F.substring_index("dim", ":", -1)
+        over = per_dim.where(F.col("dim").startswith(REPETITION) & (part > F.when(name == "distro", 0.85).otherwise(0.8)))
+        issue(REALISM, over, F.col("dim"), F.when(
+            name == "distro", F.format_string("Host distro diversity low: %s appears %.1f%% of findings", F.col("top"), part * 100))
+            .otherwise(F.format_string("Over-repetition of %s='%s' (%.1f%%)", name, F.col("top"), part * 100)))
+    if ABUNDANCE in names:
+        limit, most = F.lit(fixed.MAX_CATEGORY_SHARE * 100), F.lit(fixed.MAX_SIMILAR_FINDINGS)
+        # V30 title patterns and identical metadata
+        many = counts.where(F.col("dim").isin("title_pattern", "metadata") & (F.col("n") > fixed.MAX_SIMILAR_FINDINGS))
+        titles = F.col("dim") == "title_pattern"
+        issue(ABUNDANCE, many, F.concat(F.when(titles, "title_pattern:").otherwise("identical_metadata:"), F.col("value")),
+              F.when(titles, F.format_string("Over-abundance of similar findings: '%s' appears %d times (max %d)", F.col("value"),
+                                             F.col("n"), most))
+              .otherwise(F.format_string("Over-abundance of identical metadata: %d findings with same metadata (max %d)",
+                                         F.col("n"), most)))
+        # V29 category share (at most one value can have more than half), V32 host profile, V33 diversity
+        part, kinds = F.col("top_n") / F.col("total"), F.col("kinds") / F.col("total")
+        host = F.from_json("top", "d string, v string")
+        name = F.substring_index("dim", ":", -1)
+        issue(ABUNDANCE, per_dim.select(first(
+            ((F.col("dim") == "category") & (part > fixed.MAX_CATEGORY_SHARE), F.concat(F.lit("category:"), F.col("top")),
+             F.format_string("Category '%s' dominates: %.1f%% of findings (max %.1f%%)", F.col("top"), part * 100, limit)),
+            ((F.col("dim") == "host") & (part > fixed.MAX_CATEGORY_SHARE), "host_profile",
+             F.format_string("Host profile ('%s', '%s') dominates: %.1f%% of findings (max %.1f%%)", host["d"], host["v"],
+                             part * 100, limit)),
+            (F.col("dim").startswith(DIVERSITY) & (kinds < 0.4), F.col("dim"),
+             F.format_string("Low diversity for field '%s': %d/%d unique (%.1f%%)", name, F.col("kinds"), F.col("total"),
+                             kinds * 100)))).select("col.*"), F.col("rule"), F.col("text"))
+        # V31 severity balance
+        c, h, i = F.col("critical"), F.col("high"), F.col("info")
+        issue(ABUNDANCE, mix.where(t > 0).select(first(
+            (c > t * 0.1, "too_many_critical", F.format_string("Too many critical findings: %d (%.1f%%)", c, c / t * 100)),
+            (h > t * 0.2, "too_many_high", F.format_string("Too many high findings: %d (%.1f%%)", h, h / t * 100)),
+            (i < t * 0.3, "too_few_info", F.format_string("Too few info findings: %d (%.1f%%) - should be at least 30%%", i,
+                                                         i / t * 100)))).select("col.*"), F.col("rule"), F.col("text"))
+    return reduce(DataFrame.unionByName, found)
 
 
-def top_share(df: DataFrame, field_cols: dict[str, Column]) -> DataFrame:
-    """Share of the most common non-null value per field: unpivot, count per value, max/sum."""
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("field"), c.cast("string").alias("value"))
-                                         for k, c in field_cols.items()])).alias("u")).select("u.*")
-    counts = long.where(F.col("value").isNotNull()).groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy("field").agg(F.max_by(F.col("value"), F.struct(F.col("n"), F.col("value"))).alias("top"),
-                                       F.max("n").alias("top_n"), F.sum("n").alias("total"))
+def realism_issues(findings: DataFrame) -> DataFrame:
+    return run_verifiers(findings, None, ("realism",))
 
 
-def repetition_issues(f: DataFrame, name: str) -> DataFrame:
-    """One value above 80% of a field's non-null values (distro above 85%)."""
-    v = _v(f)
-    fields = {k: _text(v, f"$.metadata.{k}") for k in fixed.REPETITION_FIELDS}
-    distro = F.try_variant_get(v, "$.metadata.distro", "string")
-    fields["distro"] = F.when(F.coalesce(distro, F.lit("")) != "", _text(v, "$.metadata.distro"))
-    shares = top_share(f.withColumn("_m", F.lit(1)), {k: F.when(c != "None", c) for k, c in fields.items()})
-    limit = F.when(F.col("field") == "distro", F.lit(0.85)).otherwise(F.lit(0.8))
-    share = F.col("top_n") / F.col("total")
-    return shares.where(share > limit).select(
-        F.lit(name).alias("verifier"), F.lit("dataset").alias("entity"), F.lit("dataset").alias("row_id"),
-        F.concat(F.lit("repetition:"), F.col("field")).alias("rule"),
-        F.when(F.col("field") == "distro",
-               F.format_string(f"[{name}] Host distro diversity low: %s appears %.1f%% of findings", F.col("top"),
-                               share * 100))
-        .otherwise(F.format_string(f"[{name}] Over-repetition of %s='%s' (%.1f%%)", F.col("field"), F.col("top"),
-                                   share * 100)).alias("message"))
-
-
-# --- V29-V33: abundance verifier -------------------------------------------------------------------------
 def abundance_issues(findings: DataFrame) -> DataFrame:
-    name = "AbundanceVerifier"
-    f = ensure_raw(findings)
-    v = _v(f)
-    tot = F.col("t")
-    # V29 category share (the per-category count table is tiny: one row per category)
-    cats = f.groupBy(F.coalesce(F.col("category"), F.lit("unknown")).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    shares = cats.withColumn("t", F.sum("n").over(_all()))
-    cat_issues = shares.where(F.col("n") / tot > fixed.MAX_CATEGORY_SHARE).select(
-        F.lit(name).alias("verifier"), F.lit("dataset").alias("entity"), F.lit("dataset").alias("row_id"),
-        F.concat(F.lit("category:"), F.col("k")).alias("rule"),
-        F.format_string(f"[{name}] Category '%s' dominates: %.1f%% of findings (max %.1f%%)", F.col("k"),
-                        F.col("n") / tot * 100, F.lit(fixed.MAX_CATEGORY_SHARE * 100)).alias("message"))
-    # V30 title patterns and identical metadata
-    pats = f.groupBy(tx.title_pattern(F.col("title")).alias("k")).agg(F.count(F.lit(1)).alias("n")) \
-        .where(F.col("n") > fixed.MAX_SIMILAR_FINDINGS)
-    pat_issues = pats.select(
-        F.lit(name).alias("verifier"), F.lit("dataset").alias("entity"), F.lit("dataset").alias("row_id"),
-        F.concat(F.lit("title_pattern:"), F.col("k")).alias("rule"),
-        F.format_string(f"[{name}] Over-abundance of similar findings: '%s' appears %d times (max %d)",
-                        F.col("k"), F.col("n"), F.lit(fixed.MAX_SIMILAR_FINDINGS)).alias("message"))
-    meta_key = F.to_json(F.try_variant_get(v, "$.metadata", "variant"))  # VARIANT objects sort their keys
-    metas = f.groupBy(F.coalesce(meta_key, F.lit("{}")).alias("k")).agg(F.count(F.lit(1)).alias("n")) \
-        .where(F.col("n") > fixed.MAX_SIMILAR_FINDINGS)
-    meta_issues = metas.select(
-        F.lit(name).alias("verifier"), F.lit("dataset").alias("entity"), F.lit("dataset").alias("row_id"),
-        F.concat(F.lit("identical_metadata:"), F.md5(F.col("k"))).alias("rule"),
-        F.format_string(f"[{name}] Over-abundance of identical metadata: %d findings with same metadata (max %d)",
-                        F.col("n"), F.lit(fixed.MAX_SIMILAR_FINDINGS)).alias("message"))
-    # V31 severity balance
-    bal = f.agg(F.count(F.lit(1)).alias("t"), F.count_if(F.col("severity") == "critical").alias("c"),
-                F.count_if(F.col("severity") == "high").alias("h"), F.count_if(F.col("severity") == "info").alias("i"))
-    bal_issues = bal.where(F.col("t") > 0).select(F.explode(F.array_compact(F.array(
-        F.when(F.col("c") > tot * 0.1, F.struct(F.lit("too_many_critical").alias("r"), F.format_string(
-            "Too many critical findings: %d (%.1f%%)", F.col("c"), F.col("c") / tot * 100).alias("m"))),
-        F.when(F.col("h") > tot * 0.2, F.struct(F.lit("too_many_high").alias("r"), F.format_string(
-            "Too many high findings: %d (%.1f%%)", F.col("h"), F.col("h") / tot * 100).alias("m"))),
-        F.when(F.col("i") < tot * 0.3, F.struct(F.lit("too_few_info").alias("r"), F.format_string(
-            "Too few info findings: %d (%.1f%%) - should be at least 30%%", F.col("i"),
-            F.col("i") / tot * 100).alias("m"))),
-    ))).alias("x")).select(F.lit(name).alias("verifier"), F.lit("dataset").alias("entity"),
-                           F.lit("dataset").alias("row_id"), F.col("x.r").alias("rule"),
-                           F.concat(F.lit(f"[{name}] "), F.col("x.m")).alias("message"))
-    # V32 host profile dominance (+ V5 per row)
-    distro = F.try_variant_get(v, "$.metadata.distro", "string")
-    hosts = (f.where(F.coalesce(distro, F.lit("")) != "")
-             .groupBy(distro.alias("d"), F.try_variant_get(v, "$.metadata.distro_version", "string").alias("ver"))
-             .agg(F.count(F.lit(1)).alias("n")))
-    host_top = hosts.agg(F.max_by(F.struct("d", "ver"), F.col("n")).alias("top"), F.max("n").alias("n"),
-                         F.sum("n").alias("t")).where(F.col("t") > 0)
-    host_issues = host_top.where(F.col("n") / F.col("t") > fixed.MAX_CATEGORY_SHARE).select(
-        F.lit(name).alias("verifier"), F.lit("dataset").alias("entity"), F.lit("dataset").alias("row_id"),
-        F.lit("host_profile").alias("rule"),
-        F.format_string(f"[{name}] Host profile ('%s', '%s') dominates: %.1f%% of findings (max %.1f%%)",
-                        F.col("top.d"), F.col("top.ver"), F.col("n") / F.col("t") * 100,
-                        F.lit(fixed.MAX_CATEGORY_SHARE * 100)).alias("message"))
-    host_rows = _issues(f, name, "finding", host_metadata_checks(f, "Finding"))
-    # V33 diversity health: distinct / total < 0.4 for title, rationale, port, command
-    div_vals = {
-        "title": F.coalesce(F.try_variant_get(v, "$.title", "string"), F.lit("")),
-        "rationale": F.when(_has(f, "rationale"), _text(v, "$.rationale")).otherwise(F.lit("")),
-        "port": F.when(F.array_contains(_keys(f, "$.metadata"), "port"), _text(v, "$.metadata.port"))
-        .otherwise(F.lit("")),
-        "command": F.when(F.array_contains(_keys(f, "$.metadata"), "command"), _text(v, "$.metadata.command"))
-        .otherwise(F.lit("")),
-    }
-    div = f.agg(F.count(F.lit(1)).alias("t"), *[F.count_distinct(c).alias(k) for k, c in div_vals.items()])
-    div_issues = div.where(F.col("t") > 0).select(F.explode(F.array_compact(F.array(*[
-        F.when(F.col(k) / tot < 0.4, F.struct(F.lit(f"diversity:{k}").alias("r"), F.format_string(
-            f"Low diversity for field '{k}': %d/%d unique (%.1f%%)", F.col(k), tot, F.col(k) / tot * 100).alias("m")))
-        for k in div_vals]))).alias("x")).select(
-        F.lit(name).alias("verifier"), F.lit("dataset").alias("entity"), F.lit("dataset").alias("row_id"),
-        F.col("x.r").alias("rule"), F.concat(F.lit(f"[{name}] "), F.col("x.m")).alias("message"))
-    return reduce(DataFrame.unionByName, [cat_issues, pat_issues, meta_issues, bal_issues, host_rows,
-                                          host_issues, div_issues])
-
-
-def _all():
-    from pyspark.sql import Window
-    return Window.partitionBy()
+    return run_verifiers(findings, None, ("abundance",))
 
 
 # --- V34 / V35 -------------------------------------------------------------------------------------------
-VERIFIERS = {
-    "schema": lambda f, c: schema_issues(f, c),
-    "coherence": coherence_issues,
-    "realism": lambda f, c: realism_issues(f),
-    "abundance": lambda f, c: abundance_issues(f),
-}
+VERIFIERS = {"schema": SCHEMA, "coherence": COHERENCE, "realism": REALISM, "abundance": ABUNDANCE}
 
 
-def run_verifiers(findings: DataFrame, correlations: DataFrame, names=None) -> DataFrame:
-    """The union of the verifiers' issue tables."""
-    return reduce(DataFrame.unionByName, [VERIFIERS[n](findings, correlations) for n in (names or VERIFIERS)])
+def run_verifiers(findings: DataFrame, correlations: DataFrame | None, names=None) -> DataFrame:
+    """The issues of the named verifiers (by default all), without a scan more for each.
+
+    With several verifiers both inputs are written once with the columns that rules read. Then one scan of the findings
+    and one of the correlations give all row issues, one the table of counts that all group rules read, and the
+    coherence of sets reads ids and references.
+    """
+    names = tuple(VERIFIERS[n] for n in (names or VERIFIERS))
+    if len(names) > 1:
+        findings = written(findings, "verified-findings")
+        correlations = written(correlations, "verified-correlations") if correlations is not None else None
+    out = [finding_row_issues(findings, names)]
+    if correlations is not None and (SCHEMA in names or COHERENCE in names):
+        out.append(correlation_row_issues(correlations, names))
+    if COHERENCE in names:
+        out.append(coherence_set_issues(findings, correlations))
+    if REALISM in names or ABUNDANCE in names:
+        out.append(group_issues(written(group_counts(findings), "group-counts"), names))
+    return reduce(DataFrame.unionByName, out)
 
 
 def problem_categories(invalid_details: DataFrame, findings: DataFrame | None = None,

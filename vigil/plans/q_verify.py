@@ -135,7 +135,64 @@ def q_abundance_issue_counts(spark, sf_dir):
     return _counts(V.abundance_issues(findings(spark, sf_dir)))
 
 
-@query("verifier_issue_totals", None, ops=("V34", "V35"))
+HOST_KEYS_PRESENT = ["id", "title", "severity", "risk_score", "description", "metadata"]
+_events = "(SELECT * FROM hfd WHERE id LIKE 'evt_%')"
+
+
+def _of(verifier: str, *selects: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{verifier}' AS verifier, rule FROM ({x}) q" for x in selects)
+
+
+@query("verifier_issue_totals", "WITH " + O.HOST_FINDINGS_CTE + "," + O.CORRELATIONS_CTE + f""",
+hfd AS (SELECT hf.*, CASE WHEN hf.id LIKE 'evt_%' THEN f.description ELSE hf.category || ' finding: ' || hf.title END AS description,
+               f.port, f.user_id
+        FROM hf LEFT JOIN findings f USING (id)),
+tot AS (SELECT count(*) AS t, {", ".join(f"count(*) FILTER (WHERE severity = '{x}') AS {x}" for x in fixed.SEVERITIES)} FROM hfd),
+shares AS (SELECT field, max(n) * 1.0 / sum(n) AS share FROM (
+    SELECT 'port' AS field, CAST(port AS VARCHAR) AS value, count(*) AS n FROM {_events} e GROUP BY 2
+    UNION ALL SELECT 'user', CAST(user_id AS VARCHAR), count(*) FROM {_events} e GROUP BY 2) u GROUP BY field),
+iss AS (
+  {_of("SchemaVerifier", _missing_sql("hfd", V.FINDING_REQUIRED, HOST_KEYS_PRESENT),
+       _missing_sql("correlations", V.CORRELATION_REQUIRED, CORRELATION_KEYS),
+       "SELECT 'risk_score:range' AS rule FROM hfd WHERE risk_score < 0 OR risk_score > 100",
+       "SELECT 'risk_score:range' AS rule FROM correlations WHERE risk_score < 0 OR risk_score > 100",
+       "SELECT 'risk_subscores:not_dict' AS rule FROM correlations",
+       "SELECT 'correlation_refs:empty' AS rule FROM correlations WHERE len(correlation_refs) = 0",
+       _host_sql("hfd"), _host_sql("correlations"))}
+  UNION ALL {_of("CoherenceVerifier",
+       "SELECT 'duplicate_id' AS rule FROM (SELECT id FROM (SELECT id FROM hfd UNION ALL SELECT id FROM correlations) i "
+       "WHERE coalesce(id, '') <> '' GROUP BY id HAVING count(*) > 1) d",
+       "SELECT 'process_network' AS rule FROM (SELECT 1) x WHERE EXISTS (SELECT 1 FROM hfd WHERE category = 'processes' AND "
+       "severity IN ('high', 'critical')) AND NOT EXISTS (SELECT 1 FROM hfd WHERE category = 'network' AND severity IN ('high', 'critical'))",
+       "SELECT 'severity_risk' AS rule FROM hfd WHERE NOT (CASE severity "
+       + " ".join(f"WHEN '{k}' THEN risk_score BETWEEN {lo} AND {hi}" for k, (lo, hi) in fixed.COHERENCE_BANDS.items())
+       + " ELSE risk_score BETWEEN 0 AND 100 END)",
+       "SELECT 'broken_ref' AS rule FROM (SELECT unnest(correlation_refs) AS ref FROM correlations) r "
+       "WHERE ref NOT IN (SELECT id FROM hfd WHERE coalesce(id, '') <> '')",
+       _host_sql("correlations"))}
+  UNION ALL {_of("RealismVerifier", *[f"SELECT 'distribution:{x}' AS rule FROM tot WHERE NOT ({x} / t BETWEEN {lo} AND {hi})"
+                                      for x, (lo, hi) in fixed.REALISM_RANGES.items()],
+       f"SELECT 'port' AS rule FROM {_events} e WHERE category = 'network' AND (port < 1 OR port > 65535)",
+       "SELECT 'description_short' AS rule FROM hfd WHERE length(coalesce(description, '')) < 10",
+       "SELECT 'description_long' AS rule FROM hfd WHERE length(coalesce(description, '')) > 500",
+       "SELECT 'title_short' AS rule FROM hfd WHERE length(coalesce(title, '')) < 5",
+       _host_sql("hfd"), "SELECT 'repetition:' || field AS rule FROM shares WHERE share > 0.8")}
+  UNION ALL {_of("AbundanceVerifier",
+       f"SELECT 'category:' || k AS rule FROM (SELECT coalesce(category, 'unknown') AS k, count(*) AS n FROM hfd GROUP BY 1) c, tot "
+       f"WHERE n / t > {fixed.MAX_CATEGORY_SHARE}",
+       f"SELECT 'title_pattern:' || k AS rule FROM (SELECT CASE WHEN contains(title, ':') THEN trim(split_part(title, ':', 1)) "
+       f"ELSE substr(title, 1, 20) END AS k, count(*) AS n FROM hfd GROUP BY 1) p WHERE n > {fixed.MAX_SIMILAR_FINDINGS}",
+       f"SELECT 'identical_metadata:' || md5(k) AS rule FROM (SELECT metadata AS k, count(*) AS n FROM hfd GROUP BY 1) m "
+       f"WHERE n > {fixed.MAX_SIMILAR_FINDINGS}",
+       "SELECT 'too_many_critical' AS rule FROM tot WHERE t > 0 AND critical > t * 0.1",
+       "SELECT 'too_many_high' AS rule FROM tot WHERE t > 0 AND high > t * 0.2",
+       "SELECT 'too_few_info' AS rule FROM tot WHERE t > 0 AND info < t * 0.3", _host_sql("hfd"),
+       "SELECT 'diversity:title' AS rule FROM tot WHERE (SELECT count(DISTINCT coalesce(title, '')) FROM hfd) / t < 0.4",
+       "SELECT 'diversity:rationale' AS rule FROM tot WHERE 1 / t < 0.4",
+       "SELECT 'diversity:port' AS rule FROM tot WHERE (SELECT count(DISTINCT coalesce(CAST(port AS VARCHAR), '')) FROM hfd) / t < 0.4",
+       "SELECT 'diversity:command' AS rule FROM tot WHERE 1 / t < 0.4")}
+)
+SELECT verifier, rule, count(*) AS n FROM iss GROUP BY verifier, rule""", ops=("V34",))
 def q_verifier_issue_totals(spark, sf_dir):
     """Every verifier's issues pooled over all scanner categories (counts per verifier and rule)."""
     host = tb.host_findings(spark, sf_dir)
