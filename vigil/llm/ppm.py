@@ -115,7 +115,7 @@ def _blocks(words: tuple[np.ndarray, np.ndarray], tokens: np.ndarray, size: np.n
     """Of texts (``size`` tokens each, numbers of ``words``) the turned events, in blocks, and the text of each."""
     data, long = words
     begin = np.cumsum(long) - long
-    owner = np.repeat(np.arange(len(size)), size)
+    owner = np.repeat(np.arange(len(size), dtype=np.int32), size)
     starts = np.zeros(len(tokens), bool)  # tokens that contexts do not go back from
     starts[np.cumsum(size) - size] = True
     if not across:
@@ -152,9 +152,9 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def _union(a: np.ndarray, b: list[np.ndarray]) -> np.ndarray:
-    """The distinct numbers of sorted arrays, in order; sorted in place, so that there is one copy at a time."""
+    """The distinct numbers of arrays, in order; sorted in place, so that there is one copy at a time."""
     every = np.concatenate([a, *b])
-    every.sort(kind="stable")  # runs that are in order are merged
+    every.sort()
     return every[np.append(True, every[1:] != every[:-1])] if len(every) else every
 
 
@@ -421,7 +421,7 @@ def _score_events(texts: DataFrame, classes: int) -> DataFrame:
         logp, ends = log_probabilities(_turned_back(key), n, shared.value).astype("<f4")[at], np.cumsum(size)
         return pa.RecordBatch.from_arrays([
             pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int32()),
-            pa.array([logp[b - k:b].tobytes() for k, b in zip(size, ends.tolist(), strict=True)], pa.binary())],
+            pa.array([pack_numbers(logp[b - k:b].view("<u4")) for k, b in zip(size, ends.tolist(), strict=True)], pa.binary())],
             names=["chunk", "first", "logp"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -488,20 +488,24 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         del totals, at, total
         scored = scores.select(["first", "logp"]).filter(pc.invert(kind))
         del scores
-        logp = _unpacked(scored.sort_by("first"), "logp", "<f4")  # in the order of the chunk's events
+        scored = scored.sort_by("first")  # in the order of the chunk's events
+        logp = np.empty(int(pc.sum(pc.binary_length(scored.column("logp"))).as_py() or 0) // 4, "<f4")
+        a = 0
+        for b in raw(scored.column("logp")):
+            logp[a:a + len(b) // 4] = unpack_numbers(b).view("<f4")
+            a += len(b) // 4
         del scored
-        blocks, every, more = [], np.zeros(0, np.uint64), []
-        for key, of in _blocks(_tails(words), found, size, cls, across):
-            cuts = np.flatnonzero(np.diff(of, prepend=-1))
-            key, at = np.unique(key, return_inverse=True)
-            blocks.append((key, at.astype(np.int32), cuts, of[cuts]))
-            more.append(key)
+        # Events are made twice, once to number them and once to look them up: kept, they would be most of the memory.
+        tails, every, more = _tails(words), np.zeros(0, np.uint64), []
+        for key, _ in _blocks(tails, found, size, cls, across):
+            more.append(_union(key, []))
             if len(more) == 4:
                 every, more = _union(every, more), []
         every, p = _union(every, more), np.zeros(k)
-        while blocks:
-            key, at, cuts, of = blocks.pop(0)
-            p[of] += np.add.reduceat(logp[np.searchsorted(every, key)].astype(float)[at], cuts)
+        for key, of in _blocks(tails, found, size, cls, across):
+            cuts = np.flatnonzero(np.diff(of, prepend=-1))
+            key, at = np.unique(key, return_inverse=True)
+            p[of[cuts]] += np.add.reduceat(logp[np.searchsorted(every, key)].astype(float)[at], cuts)
         return pa.table({
             "doc_id": ids, "held_out": is_held, "n_tokens": pa.array(size),
             "n_known": pa.array(np.add.reduceat(seen[found].astype(np.int64), first)),
