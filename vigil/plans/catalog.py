@@ -63,7 +63,7 @@ def q_scorecard_metrics(spark, sf_dir):
 
 
 @query("scorecard_stages", _sc_sql("SELECT stage, status, passed, round(score, 6) AS score FROM stages"),
-       ops=("V12", "V13", "V15", "V21", "V25"))
+       ops=("V12", "V13", "V15", "V21"))
 def q_scorecard_stages(spark, sf_dir):
     m = sc.scorecard_metrics(findings(spark, sf_dir), correlations(spark, sf_dir), edges(spark, sf_dir))
     return sc.stage_table(m)

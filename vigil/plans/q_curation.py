@@ -175,13 +175,16 @@ alloc AS (
 """
 
 
-@query("stratified_sample", _F + _alloc_sql(SAMPLE_TARGET) + f"""
+_STRATIFIED_SQL = _F + _alloc_sql(SAMPLE_TARGET) + f"""
 SELECT id, severity, risk_score FROM (
   SELECT f.*, row_number() OVER (PARTITION BY lower(coalesce(severity, 'None'))
                                  ORDER BY md5('{SEED}|' || id), ord) AS r
   FROM findings f) t
 JOIN alloc ON alloc.s = lower(coalesce(t.severity, 'None'))
-WHERE r <= alloc.alloc""", ops=("D6", "D7", "W1"))
+WHERE r <= alloc.alloc"""
+
+
+@query("stratified_sample", _STRATIFIED_SQL, ops=("D6", "W1"))
 def q_stratified_sample(spark, sf_dir):
     return sp.stratified_sample(findings(spark, sf_dir), SAMPLE_TARGET, SEED).select("id", "severity", "risk_score")
 
@@ -192,7 +195,7 @@ SELECT id, CASE WHEN r <= nt THEN 'train' WHEN r <= nt + nv THEN 'val' ELSE 'tes
 FROM (SELECT id, row_number() OVER (ORDER BY md5('{SEED}|' || id), ord) AS r FROM findings) t,
      (SELECT CAST(round_even({SPLIT_RATIOS[0]} * count(*), 0) AS BIGINT) AS nt,
              CAST(round_even({SPLIT_RATIOS[1]} * count(*), 0) AS BIGINT) AS nv FROM findings) c""",
-       ops=("D9", "K6"))
+       ops=("D9",))
 def q_random_split(spark, sf_dir):
     return sp.random_split(findings(spark, sf_dir), SPLIT_RATIOS, SEED).select("id", "split")
 
@@ -377,11 +380,11 @@ def q_metadata_strings(spark, sf_dir):
 
 
 # S9 head slice ------------------------------------------------------------------------------------
-@query("head_slice", "SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 500", ops=("S9",))
+@query("head_slice", "SELECT * FROM documents ORDER BY doc_id LIMIT 500", ops=("S9",))
 def q_head_slice(spark, sf_dir):
     from vigil.sources import jsonl as J
     from vigil.sources import tables as tb
-    return J.head_slice(tb.read(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), 500, "doc_id")
+    return J.head_slice(tb.read(spark, sf_dir, "documents"), 500, "doc_id")
 
 
 # documents' facts as objects with nulls at depth; F1: nested criteria over findings ------------------------------
@@ -406,12 +409,11 @@ def q_related_findings(spark, sf_dir):
 
 
 # Two exports of the same findings (all, and those of two scanners) pooled, without repeats, cut to a sample -------
-@query("merged_sample", _F + f"""
-SELECT count(*) AS n, count(DISTINCT id) AS ids FROM (SELECT id FROM findings LIMIT {SAMPLE_TARGET})""", ops=("D7", "S6", "D1"))
+# The repeats go, so the sample is that of the findings themselves, none of which share title and description.
+@query("merged_sample", f"SELECT id FROM ({_STRATIFIED_SQL}) s", ops=("D7", "S6", "D1"))
 def q_merged_sample(spark, sf_dir):
     f = findings(spark, sf_dir).select("id", "ord", "title", "description", "severity", "category", "risk_score", "metadata")
     pooled = f.unionByName(f.where(F.col("category").isin("network", "ioc")))
     ensure_checkpoint_dir(spark)
     unique = dd.dedupe_items(pooled, order_cols=("ord",)).checkpoint()  # read more than once by the sample
-    chosen = sp.stratified_sample(unique, SAMPLE_TARGET, SEED)
-    return chosen.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"))
+    return sp.stratified_sample(unique, SAMPLE_TARGET, SEED).select("id")
