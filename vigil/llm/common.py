@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -44,6 +45,18 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def lean() -> None:
+    """In a worker: have freed arrays go back to the system at once. A worker serves many tasks, and by default its
+    allocators keep what the largest of them needed."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: arrays of a MB and more are mapped by themselves
+        libc.malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it has its own ways
+        pass
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder that ``spark.checkpoint.dir`` names (shared by driver and executors)."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

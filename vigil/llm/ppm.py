@@ -24,13 +24,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.llm import langid
-from vigil.llm.common import crc32_mod, raw, shared_path, ship, table
+from vigil.llm.common import crc32_mod, lean, raw, shared_path, ship, table
 from vigil.llm.tokens import runs
 
 #: Bytes of context; with the symbol and the class they make one 64-bit number.
 ORDER = 6
 #: Bytes of text in a chunk, and words whose totals are sent back together.
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 20 << 20
 CHUNK_WORDS = 3 << 17
 #: Places whose events are numbered together, and events that are scored together (or those of one node, if more).
 BLOCK = 1 << 20
@@ -268,6 +268,7 @@ def _encode_texts(docs: DataFrame, model: langid.TextModel, id_col: str, text_co
             "node": pa.int32(), "first": pa.int32(), "n": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         part, n, chunk, form = TaskContext.get().partitionId() << 32, 0, _Chunk(shared.value, across), None
         for b in batches:
             form = pa.schema([("doc_id", b.schema.field(0).type), *kind.items()])
@@ -425,6 +426,7 @@ def _score_events(texts: DataFrame, classes: int) -> DataFrame:
             names=["chunk", "first", "logp"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         rows, some = [], 0  # whole nodes
         for b in batches:
             for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), raw(b.column(3)),
@@ -469,6 +471,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
 
     def run(rows: pa.Table, scores: pa.Table) -> pa.Table:
         # A chunk's events are millions: each array goes as soon as the next one is made.
+        lean()
         kind = rows.column("kind").to_numpy()
         words = next(raw(rows.filter(pa.array(kind == 2)).column("tokens"))).split(b" ")
         rows = rows.filter(pa.array(kind == 0))
@@ -495,17 +498,18 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             logp[a:a + len(b) // 4] = unpack_numbers(b).view("<f4")
             a += len(b) // 4
         del scored
-        # Events are made twice, once to number them and once to look them up: kept, they would be most of the memory.
-        tails, every, more = _tails(words), np.zeros(0, np.uint64), []
-        for key, _ in _blocks(tails, found, size, cls, across):
-            more.append(_union(key, []))
+        blocks, every, more = [], np.zeros(0, np.uint64), []
+        for key, of in _blocks(_tails(words), found, size, cls, across):
+            cuts = np.flatnonzero(np.diff(of, prepend=-1))
+            key, at = np.unique(key, return_inverse=True)
+            blocks.append((key, at.astype(np.int32), cuts, of[cuts]))
+            more.append(key)
             if len(more) == 4:
                 every, more = _union(every, more), []
         every, p = _union(every, more), np.zeros(k)
-        for key, of in _blocks(tails, found, size, cls, across):
-            cuts = np.flatnonzero(np.diff(of, prepend=-1))
-            key, at = np.unique(key, return_inverse=True)
-            p[of[cuts]] += np.add.reduceat(logp[np.searchsorted(every, key)].astype(float)[at], cuts)
+        while blocks:
+            key, at, cuts, of = blocks.pop()
+            p[of] += np.add.reduceat(logp[np.searchsorted(every, key)].astype(float)[at], cuts)
         return pa.table({
             "doc_id": ids, "held_out": is_held, "n_tokens": pa.array(size),
             "n_known": pa.array(np.add.reduceat(seen[found].astype(np.int64), first)),
