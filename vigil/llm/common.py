@@ -46,12 +46,13 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def lean() -> None:
-    """In a worker: have freed arrays go back to the system at once. A worker serves many tasks, and by default its
+    """In a worker: have large freed arrays go back to the system at once. A worker serves many tasks, and by default its
     allocators keep what the largest of them needed."""
     pa.set_memory_pool(pa.system_memory_pool())
     try:
         libc = ctypes.CDLL(None)
-        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: arrays of a MB and more are mapped by themselves
+        libc.mallopt(-3, 16 << 20)  # M_MMAP_THRESHOLD: larger arrays are mapped by themselves
+        libc.mallopt(-1, 128 << 20)  # M_TRIM_THRESHOLD: blocks of the others are used again
         libc.malloc_trim(0)
     except (OSError, AttributeError):  # another C library: it has its own ways
         pass
