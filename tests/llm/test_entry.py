@@ -16,7 +16,7 @@ ROOT = os.path.dirname(os.path.abspath(entry.__file__))
 
 def test_one_query_for_each_operator():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
     assert len(corpus_pipeline.STAGES) == 5
 
 
