@@ -22,6 +22,18 @@ def test_indented_text_is_that_of_the_standard_library(spark, text):
     assert got.replace("-1e5", "-100000.0") == expected
 
 
+OBJECTS = [d for d in DOCUMENTS if d.strip().startswith("{")] + [
+    '{"port": 22 , "user":"a, b: c", "x" : null,"e":""}', "{ }", '{"b": "{}"}', '{"t": "1", "u": true\n}']
+
+
+@pytest.mark.parametrize("text", OBJECTS)
+def test_indented_object_is_the_fold(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    for depth in (0, 2):
+        fast, fold = df.select(jt.indented_object(F.col("t"), depth), jt.indented(jt.tokens(F.col("t")), depth)).first()
+        assert fast == fold
+
+
 def test_placeholders_by_hand(spark):
     texts = {
         '{"none": "None", "null": null, "l": ["unknown", "N/A", "na ", "nap", " NULL"]}':

@@ -38,9 +38,17 @@ def test_rationale_branches(spark):
             ("kernel_params", "medium", "vm.x", '{"param": "kernel.kptr"}'), ("ioc", "info", "T", '{"user": "root"}')]
     df = spark.createDataFrame(rows, "category string, severity string, title string, metadata string")
     got = [r["r"] for r in df.select(ch.build_rationale(F.col("category"), F.col("severity"), F.col("title"),
-                                                        F.col("metadata")).alias("r")).collect()]
+                                                        ch.meta_fields(F.col("metadata"))).alias("r")).collect()]
     assert got[0].startswith("I am analyzing a high severity finding related to network. The risk score is elevated "
                              "**because** port 22/unknown is exposed")
     assert "the binary 'Bin' has the SUID bit set" in got[1]
     assert "kernel parameter 'kernel.kptr'" in got[2] and "misconfiguration" in got[2]
     assert "scheduled maintenance window" in got[3] and got[3].endswith("**Therefore**, I have classified this as info.")
+
+
+def test_tag_section_takes_the_first_pair(spark):
+    cases = {"<think>a</think><think>b</think>": "a", "x<think></think>": "", "<think>\n<b>\n</think>": "\n<b>\n",
+             "</think><think>c": None, "<THINK>d</THINK>": None, "": None, "<think>" + "e<" * 200_000 + "</think>": "e<" * 200_000}
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    assert {r.t: r.s for r in df.select("t", ch.tag_section(F.col("t"), "think").alias("s")).collect()} == cases
+    assert df.where("t like '<THINK%'").select(ch.tag_section(F.col("t"), "think", True)).first()[0] == "d"

@@ -51,12 +51,30 @@ IM_START, IM_END = "<|im_start|>", "<|im_end|>"
 
 
 # --- metadata helpers ------------------------------------------------------------------------
-def meta_get(meta: Column, key: str) -> Column:
-    """JSON value of ``key`` as Python ``str()`` would print a scalar (booleans as True/False)."""
-    v = F.get_json_object(meta, f"$.{key}")
+RATIONALE_KEYS = ("port", "protocol", "file_path", "binary", "path", "process_name", "command", "user", "param",
+                  "container_id", "is_trusted_user")
+
+
+def meta_fields(meta: Column) -> Column:
+    """The metadata keys that rationales read, as text, from one parse. Stage it as a column: it is read many times."""
+    return F.from_json(meta, ", ".join(f"{k} string" for k in RATIONALE_KEYS))
+
+
+def meta_get(fields: Column, key: str) -> Column:
+    """Value of ``key`` as Python ``str()`` would print a scalar (booleans as True/False)."""
+    v = fields[key]
     return F.when(v == "true", "True").when(v == "false", "False").otherwise(v)
 
 
+def _fill(template: str, *values: Column) -> Column:
+    """``template`` with its ``%s`` replaced, in order, by values that are never null."""
+    pieces = template.split("%s")
+    out = [F.lit(pieces[0])]
+    for value, piece in zip(values, pieces[1:], strict=True):
+        out += [value, F.lit(piece)]
+    return F.concat(*out)
+
+
 def truthy(v: Column) -> Column:
     return v.isNotNull() & ~v.isin("", "0", "0.0", "False", "[]", "{}")
 
@@ -74,20 +92,21 @@ def _first_truthy(*vals: Column) -> Column:
 
 # --- P14 / P15 -----------------------------------------------------------------------------------
 def build_rationale(category: Column, severity: Column, title: Column, meta: Column) -> Column:
-    """Premise, category clause, severity clause, nuance clause, conclusion (T6: 'process')."""
+    """Premise, category clause, severity clause, nuance clause, conclusion (T6: 'process'); ``meta``: the
+    struct that ``meta_fields`` parses."""
     cat = F.coalesce(category, F.lit("generic"))
     sev = F.lower(F.coalesce(severity, F.lit("info")))
     t = F.coalesce(title, F.lit(fixed.DEFAULT_TITLE))
     because = (
-        F.when(cat == "network", F.format_string(BECAUSE_NETWORK, _fmt(meta_get(meta, "port")),
+        F.when(cat == "network", _fill(BECAUSE_NETWORK, _fmt(meta_get(meta, "port")),
                                                  _fmt(meta_get(meta, "protocol"))))
-        .when(cat == "suid", F.format_string(BECAUSE_SUID, _fmt(F.coalesce(
+        .when(cat == "suid", _fill(BECAUSE_SUID, _fmt(F.coalesce(
             _first_truthy(meta_get(meta, "file_path"), meta_get(meta, "binary"), meta_get(meta, "path")), t))))
-        .when(cat == "process", F.format_string(BECAUSE_PROCESS, _fmt(_first_truthy(
+        .when(cat == "process", _fill(BECAUSE_PROCESS, _fmt(_first_truthy(
             meta_get(meta, "process_name"), meta_get(meta, "command"))), _fmt(meta_get(meta, "user"))))
-        .when(cat == "kernel_params", F.format_string(BECAUSE_KERNEL, _fmt(F.coalesce(
+        .when(cat == "kernel_params", _fill(BECAUSE_KERNEL, _fmt(F.coalesce(
             _first_truthy(meta_get(meta, "param")), t))))
-        .otherwise(F.format_string(BECAUSE_OTHER, t))
+        .otherwise(_fill(BECAUSE_OTHER, t))
     )
     implies = (F.when(sev.isin("high", "critical"), F.lit(IMPLIES_HIGH))
                .when(sev == "medium", F.lit(IMPLIES_MEDIUM)).otherwise(F.lit(IMPACT_LOW)))
@@ -95,8 +114,8 @@ def build_rationale(category: Column, severity: Column, title: Column, meta: Col
               .when(truthy(meta_get(meta, "is_trusted_user")) | (meta_get(meta, "user") == "root"),
                     F.lit(HOWEVER_TRUSTED))
               .otherwise(F.lit(HOWEVER_DEFAULT)))
-    return F.concat_ws(" ", F.format_string(PREMISE, sev, cat), because, implies, nuance,
-                       F.format_string(THEREFORE, sev))
+    return F.concat_ws(" ", _fill(PREMISE, sev, cat), because, implies, nuance,
+                       _fill(THEREFORE, sev))
 
 
 def kb_refs(category: Column, meta: Column) -> Column:
@@ -117,7 +136,7 @@ def user_block_json(title: Column, description: Column, metadata: Column, catego
     ``raw``."""
     raw = F.concat(F.lit('{\n    "raw": '), json_str(metadata), F.lit("\n  }"))
     meta = (F.when(F.coalesce(metadata, F.lit("")) == "", F.lit("{}"))
-            .when(is_json_object(metadata), jt.indented(jt.tokens(metadata), 1)).otherwise(raw))
+            .when(is_json_object(metadata), jt.indented_object(metadata, 1)).otherwise(raw))
     return F.concat(F.lit('{\n  "title": '), json_str(F.coalesce(title, F.lit(fixed.DEFAULT_TITLE))),
                     F.lit(',\n  "description": '), json_str(F.coalesce(description, F.lit(""))),
                     F.lit(',\n  "metadata": '), meta,
@@ -182,17 +201,10 @@ def parse_block(text: Column, role: str) -> Column:
 
 
 def tag_section(text: Column, tag: str, case_insensitive: bool = False) -> Column:
-    """Body of the first ``<tag>...</tag>`` pair (the regex ``<tag>(.*?)</tag>`` with DOTALL), null when absent.
-
-    Found with two ``locate`` calls instead of a backtracking regex; with
-    ``case_insensitive`` the tags are located in the lower-cased text.
-    """
-    hay = F.lower(text) if case_insensitive else text
-    open_, close = f"<{tag}>", f"</{tag}>"
-    p = F.instr(hay, open_)
-    start = p + F.lit(len(open_))
-    q = F.instr(F.substring(hay, start, F.lit(2147483647)), close)
-    return F.when((p > 0) & (q > 0), F.substring(text, start, q - F.lit(1)))
+    """Body of the first ``<tag>...</tag>`` pair, null when absent. The lazy run is a loop over single characters, which
+    neither recurses nor goes back, so its time grows with the text."""
+    found = F.regexp_substr(text, F.lit(f"(?{'is' if case_insensitive else 's'})<{tag}>.*?</{tag}>"))
+    return F.substring(found, F.lit(len(tag) + 3), F.length(found) - F.lit(2 * len(tag) + 5))
 
 
 def think_section(assistant: Column) -> Column:
@@ -285,7 +297,7 @@ def _keyword_score(think: Column, words: list[str], lowered: bool = False) -> Co
     low = think if lowered else F.lower(think)
     s = None
     for w in words:
-        term = F.when(F.instr(low, w.lower()) > 0, F.lit(0.2)).otherwise(F.lit(0.0))
+        term = F.when(low.contains(w.lower()), F.lit(0.2)).otherwise(F.lit(0.0))
         s = term if s is None else s + term
     return F.when(think.isNull(), F.lit(0.0)).otherwise(F.least(F.lit(1.0), s))
 
@@ -314,14 +326,12 @@ def answer_risk(ans: Column) -> Column:
 
 
 def answer_risk_from_variant(v: Column) -> Column:
-    """Missing key -> 0; a number (or boolean) -> its value; null / string / nested -> null (the
+    """``v``: an object, or null. Missing key -> 0; a number (or boolean) -> its value; null / string / nested -> null (the
     arithmetic on it fails, so the reward is 0)."""
-    ok = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     rv = F.try_variant_get(v, "$.risk_score", "variant")
-    t = F.schema_of_variant(rv)
-    numeric = t.startswith("BIGINT") | t.startswith("INT") | t.startswith("DECIMAL") | t.startswith("DOUBLE") \
-        | t.startswith("FLOAT") | t.startswith("SMALLINT") | t.startswith("TINYINT") | (t == "BOOLEAN")
-    return F.when(ok, F.when(rv.isNull(), F.lit(0.0)).when(numeric, F.try_variant_get(v, "$.risk_score", "double")))
+    numeric = F.schema_of_variant(rv).rlike("^(BIGINT|DECIMAL|DOUBLE|BOOLEAN)")
+    return (F.when(v.isNotNull() & rv.isNull(), F.lit(0.0))
+            .when(numeric, F.try_variant_get(v, "$.risk_score", "double")))
 
 
 def banded(d: Column) -> Column:

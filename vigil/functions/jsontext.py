@@ -60,6 +60,17 @@ def indented(parts: Column, depth: int = 0) -> Column:
     return F.aggregate(pairs, state, step, lambda s: s["out"])
 
 
+def indented_object(text: Column, depth: int = 0) -> Column:
+    """A JSON object's text as ``indented`` prints it. One that holds no bracket, brace or backslash inside is printed by
+    one replacement over its members; any other by the fold over its tokens."""
+    plain = text.rlike(r"^\s*+\{[^\[\]{}\\]*+\}\s*+$")
+    members = F.regexp_replace(
+        F.regexp_replace(text, r"^\s*+\{\s*+|\s*+\}\s*+$", ""),
+        r'\s*+("[^"]*+")\s*+:\s*+("[^"]*+"|[^\s,:"]++)\s*+(,?)', "\n" + "  " * (depth + 1) + "$1: $2$3")
+    whole = F.concat(F.lit("{"), members, F.when(members == "", "").otherwise("\n" + "  " * depth), F.lit("}"))
+    return F.when(plain, whole).otherwise(indented(tokens(text), depth))
+
+
 def entries(parts: Column) -> Column:
     """The (key, value) pairs of an object's tokens, in order: the quoted key, and the value on one line."""
     kind = "array<struct<key:string,value:string>>"

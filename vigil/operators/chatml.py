@@ -46,9 +46,10 @@ def flatten_findings(df: DataFrame, passthrough: tuple[str, ...] = ()) -> DataFr
 def backfill_rationale(df: DataFrame) -> DataFrame:
     """kb_refs attached (P15) then rationale built (P14) where missing or empty."""
     rat = F.col("rationale") if "rationale" in df.columns else F.lit(None).cast("string")
-    built = ch.build_rationale(F.col("category"), F.col("severity"), F.col("title"), F.col("metadata"))
+    built = ch.build_rationale(F.col("category"), F.col("severity"), F.col("title"), F.col("_meta"))
     return (df.withColumn("kb_refs", ch.kb_refs(F.col("category"), F.col("metadata")))
-              .withColumn("rationale", F.when(F.coalesce(rat, F.lit("")) == "", built).otherwise(rat)))
+              .withColumn("_meta", ch.meta_fields(F.col("metadata")))
+              .withColumn("rationale", F.when(F.coalesce(rat, F.lit("")) == "", built).otherwise(rat)).drop("_meta"))
 
 
 # --- C1 ------------------------------------------------------------------------------------------------
@@ -62,8 +63,9 @@ def _sft_parts(df: DataFrame, passthrough: tuple[str, ...]) -> tuple[DataFrame,
     keep = [c for c in ("id", "ord", *passthrough) if c in df.columns]
     staged = (df.select(*keep, "title", "description", "metadata", "category", "severity", "risk_score",
                         rat.alias("_rat"))
+              .withColumn("_meta", ch.meta_fields(F.col("metadata")))
               .withColumn("_built", ch.build_rationale(F.col("category"), F.col("severity"), F.col("title"),
-                                                       F.col("metadata")))
+                                                       F.col("_meta")))
               .withColumn("_r0", F.when(tx.generic_rationale(F.col("_rat")),
                                         F.coalesce(F.when(F.col("_built") != "", F.col("_built")),
                                                    F.lit(fixed.GENERIC_RATIONALE_FALLBACK)))
