@@ -1,6 +1,7 @@
 """ChatML validation, repair and rationale on crafted rows with hand-written expectations."""
 
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -52,3 +53,17 @@ def test_tag_section_takes_the_first_pair(spark):
     df = spark.createDataFrame([(t,) for t in cases], "t string")
     assert {r.t: r.s for r in df.select("t", ch.tag_section(F.col("t"), "think").alias("s")).collect()} == cases
     assert df.where("t like '<THINK%'").select(ch.tag_section(F.col("t"), "think", True)).first()[0] == "d"
+    many = spark.createDataFrame([("<think>" * 200_000,)], "t string")
+    assert many.select(ch.tag_section(F.col("t"), "think"), ch.format_reward(F.col("t"), False)).first()[:] == (None, 0.0)
+
+
+def test_format_reward_is_the_pattern(spark):
+    texts = ["<think>a</think> \n<answer>b</answer>", "<think>a</think><answer>b</answer>\n", "x<think></think><answer></answer>y",
+             "<think>a</think><answer>b", "<think></answer></think><answer>", "<think>a</think>b</think><answer>c</answer>",
+             "<think>a</think><answer>b</answer><answer></answer>", "", "</think><answer></answer><think>",
+             "<think>a</think><answer>b</answer>\n\n"]
+    strict, loose = (re.compile(p, re.S) for p in (r"<think>.*?</think>\s*<answer>.*?</answer>$", r"<think>.*?</think>\s*<answer>.*?</answer>"))
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: (r.s, r.l) for r in df.select("t", ch.format_reward(F.col("t")).alias("s"),
+                                              ch.format_reward(F.col("t"), False).alias("l")).collect()}
+    assert got == {t: (float(bool(strict.match(t))), float(bool(loose.search(t)))) for t in texts}

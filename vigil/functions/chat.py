@@ -201,10 +201,18 @@ def parse_block(text: Column, role: str) -> Column:
 
 
 def tag_section(text: Column, tag: str, case_insensitive: bool = False) -> Column:
-    """Body of the first ``<tag>...</tag>`` pair, null when absent. The lazy run is a loop over single characters, which
-    neither recurses nor goes back, so its time grows with the text."""
-    found = F.regexp_substr(text, F.lit(f"(?{'is' if case_insensitive else 's'})<{tag}>.*?</{tag}>"))
-    return F.substring(found, F.lit(len(tag) + 3), F.length(found) - F.lit(2 * len(tag) + 5))
+    """Body of the first ``<tag>...</tag>`` pair, null when absent. Only the first opening tag is tried (a later one has
+    no end either), so the time grows with the text; each place is looked for once, inside a lambda that names it."""
+    if case_insensitive:
+        pair = rf"(?is)\A(?>.*?<{tag}>)(.*?)</{tag}>"
+        return F.get(F.regexp_extract_all(text, F.lit(pair), F.lit(1)), 0)
+    rest = _named(F.instr(text, f"<{tag}>"), lambda p: F.when(p > 0, F.substring(text, p + F.lit(len(tag) + 2), F.lit(2147483647))))
+    return _named(rest, lambda r: _named(F.instr(r, f"</{tag}>"), lambda q: F.when(q > 0, F.substring(r, F.lit(1), q - F.lit(1)))))
+
+
+def _named(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def think_section(assistant: Column) -> Column:
@@ -219,7 +227,7 @@ def answer_section(assistant: Column, case_insensitive: bool = True) -> Column:
 
 def _may_be_json(s: Column) -> Column:
     """Cheap pre-test: JSON text starts (after whitespace) with one of {["-0-9tfn."""
-    first = F.substring(tx.py_strip(s), 1, 1)
+    first = tx.first_char(s)
     return first.isin("{", "[", '"', "-", "t", "f", "n", "0", "1", "2", "3", "4", "5", "6", "7", "8", "9")
 
 
@@ -229,8 +237,7 @@ def is_json(s: Column) -> Column:
 
 
 def is_json_object(s: Column) -> Column:
-    first = F.substring(tx.py_strip(s), 1, 1)
-    v = F.when(first == "{", F.try_parse_json(s))
+    v = F.when(tx.first_char(s) == "{", F.try_parse_json(s))
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
@@ -239,11 +246,8 @@ def soft_extract(text: Column, key: str, as_int: bool) -> Column:
     """``"key": value`` by regex; ints keep digits only."""
     pat = '"' + key + r'"\s*:\s*"?([^",\}\n]+)"?'
     t = F.coalesce(text, F.lit(""))
-    raw = F.when(t.rlike(pat), F.regexp_extract(t, pat, 1))
-    if as_int:
-        digits = F.regexp_replace(raw, "[^0-9]", "")
-        return F.when(digits != "", digits.try_cast("long"))
-    return raw
+    raw = F.nullif(F.regexp_extract(t, pat, 1), F.lit(""))
+    return F.nullif(F.regexp_replace(raw, "[^0-9]", ""), F.lit("")).try_cast("long") if as_int else raw
 
 
 def json_validity_reward(completion: Column) -> Column:
@@ -269,28 +273,12 @@ def severity_accuracy(completion: Column, gt_sev: Column) -> Column:
 def format_reward(completion: Column, anchored: bool = True) -> Column:
     """``<think>.*?</think>\\s*<answer>.*?</answer>`` (anchored: the whole completion, DOTALL).
 
-    Written with locate / a short non-backtracking regex instead of lazy DOTALL
-    loops: the leftmost ``</think>\\s*<answer>`` after the opening tag is the only
-    candidate that matters, and the closing ``</answer>`` must follow it.
+    The leftmost ``</think>\\s*<answer>`` after the opening tag is the only candidate that matters, and the closing
+    ``</answer>`` must follow it: the groups never go back.
     """
-    c = F.coalesce(completion, F.lit(""))
-    bridge = r"</think>\s*<answer>"
-    if anchored:
-        trimmed = F.when(c.endswith("\n"), F.substring(c, F.lit(1), F.length(c) - 1)).otherwise(c)
-        tail = F.substring(trimmed, F.lit(8), F.lit(2147483647))  # after "<think>"
-        m = F.regexp_instr(tail, F.lit(bridge))
-        m_len = F.length(F.regexp_extract(tail, bridge, 0))
-        close_at = F.length(tail) - F.lit(8)  # start of a trailing "</answer>" in tail
-        ok = (c.startswith("<think>") & trimmed.endswith("</answer>") & (m > 0)
-              & (m + m_len <= close_at))
-    else:
-        p = F.instr(c, "<think>")
-        tail = F.substring(c, p + F.lit(7), F.lit(2147483647))
-        m = F.regexp_instr(tail, F.lit(bridge))
-        m_len = F.length(F.regexp_extract(tail, bridge, 0))
-        after = F.substring(tail, m + m_len, F.lit(2147483647))
-        ok = (p > 0) & (m > 0) & (F.instr(after, "</answer>") > 0)
-    return F.when(F.coalesce(ok, F.lit(False)), F.lit(1.0)).otherwise(F.lit(0.0))
+    bridge = r"(?>.*?</think>\s*+<answer>)"
+    whole = (rf"(?s)\A<think>{bridge}.*</answer>\n?\z" if anchored else rf"(?s)\A(?>.*?<think>){bridge}.*?</answer>")
+    return F.when(F.coalesce(completion, F.lit("")).rlike(whole), F.lit(1.0)).otherwise(F.lit(0.0))
 
 
 def _keyword_score(think: Column, words: list[str], lowered: bool = False) -> Column:
@@ -322,7 +310,7 @@ def _answer_risk(completion: Column) -> Column:
 
 def answer_risk(ans: Column) -> Column:
     """risk_score inside an <answer> body (0 when the key is absent); null when not a JSON object."""
-    return answer_risk_from_variant(F.when(F.substring(tx.py_strip(ans), 1, 1) == "{", F.try_parse_json(ans)))
+    return answer_risk_from_variant(F.when(tx.first_char(ans) == "{", F.try_parse_json(ans)))
 
 
 def answer_risk_from_variant(v: Column) -> Column:

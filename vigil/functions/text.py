@@ -28,6 +28,11 @@ def py_strip(c: Column) -> Column:
     return F.btrim(c, F.lit(PY_WS_CHARS))
 
 
+def first_char(c: Column) -> Column:
+    """First character that is no whitespace; only the front of the text is looked at."""
+    return F.substring(F.ltrim(c, F.lit(PY_WS_CHARS)), 1, 1)
+
+
 def collapse_whitespace(c: Column) -> Column:
     """P5: runs of any whitespace -> one space, trimmed."""
     return F.trim(F.regexp_replace(c, WHITESPACE_CLASS, " "))

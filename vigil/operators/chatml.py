@@ -175,7 +175,7 @@ def prompt_pairs(df: DataFrame, text_col: str = "text") -> DataFrame:
                 .withColumn("_a", ch.block_regex(text, "assistant"))
                 .where((F.col("_u") != "") & (F.col("_a") != ""))
                 .withColumn("_ans", ch.tag_section(F.col("_a"), "answer"))
-                .withColumn("_v", F.when(F.substring(tx.py_strip(F.col("_ans")), 1, 1) == "{",
+                .withColumn("_v", F.when(tx.first_char(F.col("_ans")) == "{",
                                          F.try_parse_json(F.col("_ans")))))
     v = F.col("_v")
     obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
@@ -299,9 +299,10 @@ def score_completions(df: DataFrame, completion: str = "completion", answer: str
                 .withColumn("_pred_risk", ch.soft_extract(F.col("_c"), "risk_score", True))
                 .withColumn("_pred_sev", ch.soft_extract(F.col("_c"), "severity", False))
                 .withColumn("_think_low", F.lower(ch.tag_section(F.col("_c"), "think")))
-                .withColumn("_think_ci_low", F.lower(ch.tag_section(F.col("_c"), "think", True)))
+                .withColumn("_c_low", F.lower("_c"))
+                .withColumn("_think_ci_low", ch.tag_section(F.col("_c_low"), "think"))
                 .withColumn("_ans", ch.tag_section(F.col("_c"), "answer"))
-                .withColumn("_ans_v", F.when(F.substring(tx.py_strip(F.col("_ans")), 1, 1) == "{",
+                .withColumn("_ans_v", F.when(tx.first_char(F.col("_ans")) == "{",
                                              F.try_parse_json(F.col("_ans"))))
                 .withColumn("_ans_risk", ch.answer_risk_from_variant(F.col("_ans_v")))
                 .withColumn("_d", F.abs(F.col("_ans_risk") - F.col("_gt_risk"))))

