@@ -1,4 +1,4 @@
-"""Aggregations (A1-A7) and lookup indexes.
+"""Aggregations (A1-A7), host context of correlations (P25) and lookup indexes.
 
 All are aggregates with partial (map-side) combine (sorted where the kept value holds strings). Where the model
 keeps an unbounded id list (cluster members, ids per severity, correlations
@@ -54,6 +54,65 @@ def cluster_findings(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return out, members
 
 
+def cluster_distributions(df: DataFrame) -> DataFrame:
+    """A1: per cluster the counts of its severities and of its patterns, as maps.
+
+    Counts per (cluster, severity, pattern) come first and combine map-side; the maps are built from those few rows. A
+    key names its severity and pattern, so a cluster has more than one only where joined names coincide.
+    """
+    sev = F.coalesce(F.col("severity"), F.lit("unknown"))
+    counts = (df.select(dedup.cluster_key(F.col("category"), F.col("severity"), F.col("metadata")).alias("cluster_key"),
+                        sev.alias("severity"), dedup.cluster_pattern(F.col("metadata")).alias("pattern"))
+              .groupBy("cluster_key", "severity", "pattern").agg(F.count(F.lit(1)).alias("n")))
+
+    def by(value: str) -> Column:
+        pairs = F.sort_array(F.collect_list(F.struct(value, "n")))
+        keys = F.array_distinct(pairs[value])
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.aggregate(
+            pairs, F.lit(0).cast("long"), lambda total, p: total + F.when(p[value] == k, p["n"]).otherwise(0))))
+
+    return counts.groupBy("cluster_key").agg(by("severity").alias("severity_distribution"), by("pattern").alias("pattern_summary"))
+
+
+def aggregate_findings(df: DataFrame) -> DataFrame:
+    """A1 as one table: clusters with their distributions. Rows that all carry ``aggregated_count`` in their metadata
+    (none at all included) are aggregates already and come back as they are."""
+    fresh = ~F.array_contains(F.coalesce(F.json_object_keys("metadata"), F.array().cast("array<string>")), "aggregated_count")
+    if df.where(fresh).isEmpty():
+        return df
+    return cluster_findings(df)[0].join(cluster_distributions(df), "cluster_key")
+
+
+# P25 / J1 -----------------------------------------------------------------------------------
+HOST_KEYS = ("distro", "distro_version", "package_manager", "kernel", "kernel_version")
+
+
+def host_fields(metadata: Column, prefer_version: bool = False) -> Column:
+    """P25: distro, version, package manager and kernel of a finding's metadata; null where none of the keys has a value.
+    ``prefer_version``: ``kernel_version`` goes before ``kernel`` (the process rules), else after it."""
+    parsed = F.from_json(metadata, ", ".join(f"{k} string" for k in HOST_KEYS))
+    one, two = ("kernel_version", "kernel") if prefer_version else ("kernel", "kernel_version")
+    bears = F.concat_ws("", *[parsed[k] for k in HOST_KEYS]) != ""
+    return F.when(bears, F.struct(parsed["distro"].alias("distro"), parsed["distro_version"].alias("distro_version"),
+                                  parsed["package_manager"].alias("package_manager"),
+                                  F.coalesce(F.nullif(parsed[one], F.lit("")), parsed[two]).alias("kernel")))
+
+
+def host_context(edges: DataFrame, findings: DataFrame, order: str = "ord", prefer_version: bool = False) -> DataFrame:
+    """P25 and J1's degree: per correlation the number of its references and the host fields of its first member, by
+    (``order``, id), that has any; nulls where no member has. Of findings that share an id the first by ``ord`` counts.
+
+    Edges (correlation_id, finding_id, ``order``) meet the findings once, by id; after that the ordered first is a partial
+    aggregate, so a correlation with a third of all edges is reduced before the shuffle.
+    """
+    hosts = (findings.select(F.col("id").alias("finding_id"), "ord", host_fields(F.col("metadata"), prefer_version).alias("host"))
+             .where("host is not null").groupBy("finding_id").agg(F.min_by("host", "ord").alias("host")))
+    place = F.when(F.col("host").isNotNull(), F.struct(F.col(order), F.col("finding_id")))
+    return (edges.select("correlation_id", "finding_id", order).join(hosts, "finding_id", "left").groupBy("correlation_id")
+            .agg(F.count(F.lit(1)).alias("graph_degree"), F.min_by("host", place).alias("host"))
+            .select("correlation_id", "graph_degree", "host.*"))
+
+
 # A3 ----------------------------------------------------------------------------------------
 def histograms(df: DataFrame) -> DataFrame:
     """A3: severity, category and scanner counts in one GROUPING SETS pass."""

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators import normalize as nz
+from vigil.operators import report as rp
 from vigil.plans import oracle as O
 from vigil.plans.registry import query
 from vigil.sources import tables as tb
@@ -143,3 +144,38 @@ FROM roll, ch"""), ops=("A8", "A6"))
 def q_dataset_metadata(spark, sf_dir):
     f, c = findings(spark, sf_dir), correlations(spark, sf_dir)
     return sc.dataset_metadata(f, c, sc.stage_table(sc.scorecard_metrics(f, c, edges(spark, sf_dir))))
+
+
+# The run report, its figures observed in the writes ----------------------------------------------------------------
+@query("run_report", _sc_sql("""
+, roll AS (SELECT CASE WHEN count(*) FILTER (WHERE status = 'failed') > 0 THEN 'failed'
+                       WHEN count(*) FILTER (WHERE status = 'warning') > count(*) / 2 THEN 'warning'
+                       ELSE 'passed' END AS overall_status, count(*) FILTER (WHERE passed) AS stages_passed FROM stages)
+SELECT 'data_summary' AS section, 'total_findings' AS metric, CAST(count(*) AS VARCHAR) AS value FROM findings
+UNION ALL SELECT 'data_summary', 'total_correlations', CAST(count(*) AS VARCHAR) FROM correlations
+UNION ALL SELECT 'data_summary', 'scanner_types', CAST(count(DISTINCT scanner) AS VARCHAR) FROM findings
+UNION ALL SELECT 'data_summary', 'correlation_types', CAST(count(DISTINCT correlation_type) AS VARCHAR) FROM correlations
+UNION ALL SELECT 'dataset_characteristics', 'version', '2.0'
+UNION ALL SELECT 'dataset_characteristics', 'format', 'optimized_json'
+UNION ALL SELECT 'dataset_characteristics', 'compressed', 'false'
+UNION ALL SELECT 'performance_metrics', 'data_bytes', CAST(sum(strlen(CAST(json_object('id', id, 'scanner', scanner,
+            'severity', severity, 'title', title) AS VARCHAR)) + 1) AS VARCHAR) FROM findings
+UNION ALL SELECT 'quality_metrics', 'verification_status', overall_status FROM roll
+UNION ALL SELECT 'quality_metrics', 'stages_passed', CAST(stages_passed AS VARCHAR) FROM roll
+UNION ALL SELECT 'quality_metrics', 'quality_score', CAST(CAST(score AS DECIMAL(18, 4)) AS VARCHAR) FROM stages
+          WHERE stage = 'quality_scoring'
+UNION ALL SELECT 'recommendations', stage, CASE stage
+    WHEN 'schema_validation' THEN printf('Fix schema validation issues in %d findings', CAST(score AS BIGINT))
+    WHEN 'consistency_check' THEN 'Address consistency issues'
+    WHEN 'realism_assessment' THEN printf('Improve realism: score %.2f', score)
+    WHEN 'correlation_validation' THEN printf('Improve correlation quality: score %.2f', score)
+    ELSE printf('Improve overall quality: score %.2f', score) END
+  FROM stages WHERE CASE stage WHEN 'realism_assessment' THEN score < 0.8 WHEN 'correlation_validation' THEN NOT passed AND score < 0.6
+                               WHEN 'quality_scoring' THEN NOT passed AND score < 0.7 ELSE NOT passed END
+UNION ALL SELECT 'recommendations', 'overall', 'Dataset quality is good - no major issues found'
+  WHERE NOT EXISTS (SELECT 1 FROM stages WHERE CASE stage WHEN 'realism_assessment' THEN score < 0.8
+      WHEN 'correlation_validation' THEN NOT passed AND score < 0.6
+      WHEN 'quality_scoring' THEN NOT passed AND score < 0.7 ELSE NOT passed END)"""), ops=("A9",))
+def q_run_report(spark, sf_dir):
+    f, c = findings(spark, sf_dir), correlations(spark, sf_dir)
+    return rp.run_report(f, c, sc.scorecard_metrics(f, c, edges(spark, sf_dir)))

@@ -9,7 +9,7 @@ from vigil.operators import dedup as dd
 from vigil.operators import normalize as nz
 from vigil.operators import sample as sp
 from vigil.plans import oracle as O
-from vigil.plans.catalog import correlations, findings
+from vigil.plans.catalog import correlations, edges, findings
 from vigil.plans.registry import query
 from vigil.session import ensure_checkpoint_dir
 from vigil.sources import tables as tb
@@ -72,6 +72,56 @@ def q_cluster_members(spark, sf_dir):
     return members.select("cluster_key", "id")
 
 
+# A1 with distributions: metadata with patterns, and joined names that coincide (ioc_low + info, ioc + low_info) --------
+@query("cluster_distributions", _F + """
+, t AS (SELECT id, ord, CASE ord % 7 WHEN 0 THEN 'ioc_low' WHEN 1 THEN 'ioc' ELSE category END AS category,
+               CASE ord % 7 WHEN 0 THEN 'info' WHEN 1 THEN 'low_info' ELSE severity END AS severity,
+               CASE ord % 3 WHEN 0 THEN 'exec|/bin/a' WHEN 1 THEN 'exec' ELSE 'generic' END AS pattern FROM findings),
+k AS (SELECT *, category || '_' || severity || '_' || pattern AS cluster_key FROM t),
+sd AS (SELECT cluster_key, string_agg(severity || '=' || n, ',' ORDER BY severity) AS severity_distribution
+       FROM (SELECT cluster_key, severity, count(*) AS n FROM k GROUP BY ALL) x GROUP BY 1),
+pd AS (SELECT cluster_key, string_agg(pattern || '=' || n, ',' ORDER BY pattern) AS pattern_summary
+       FROM (SELECT cluster_key, pattern, count(*) AS n FROM k GROUP BY ALL) x GROUP BY 1)
+SELECT cluster_key, arg_min(id, ord) AS id, count(*) AS aggregated_count, any_value(severity_distribution) AS severity_distribution,
+       any_value(pattern_summary) AS pattern_summary
+FROM k JOIN sd USING (cluster_key) JOIN pd USING (cluster_key) GROUP BY cluster_key""", ops=("A1", "A2", "P22"))
+def q_cluster_distributions(spark, sf_dir):
+    n = F.col("ord") % 7
+    rows = findings(spark, sf_dir).withColumns({
+        "category": F.when(n == 0, "ioc_low").when(n == 1, "ioc").otherwise(F.col("category")),
+        "severity": F.when(n == 0, "info").when(n == 1, "low_info").otherwise(F.col("severity")),
+        "metadata": F.when(F.col("ord") % 3 == 0, '{"type": "exec", "command": "/bin/a"}')
+        .when(F.col("ord") % 3 == 1, '{"type": "exec", "command": ""}').otherwise('{"port": 1}')})
+
+    def shown(name):
+        return F.array_join(F.transform(F.array_sort(F.map_entries(name)),
+                                        lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias(name)
+    return ag.aggregate_findings(rows).select("cluster_key", "id", "aggregated_count", shown("severity_distribution"),
+                                              shown("pattern_summary"))
+
+
+# Host fields on some findings (by number: both kernels, only one, empty text, none) -------------------------
+@query("correlation_host_context", """
+WITH m AS (SELECT 'corr_' || CAST(l_orderkey AS VARCHAR) AS correlation_id, l_linenumber AS pos,
+                  l_partkey * 5 + l_linenumber AS n, e.event_id IS NOT NULL AS known
+           FROM lineitem LEFT JOIN events e ON e.event_id = l_partkey * 5 + l_linenumber),
+     h AS (SELECT *, known AND n % 4 < 2 AS bears FROM m),
+     f AS (SELECT correlation_id, count(*) AS graph_degree,
+                  arg_min(n, (pos, 'evt_' || n)) FILTER (WHERE bears) AS host FROM h GROUP BY 1)
+SELECT correlation_id, graph_degree, CASE host % 4 WHEN 0 THEN 'Debian' WHEN 1 THEN 'Fedora' END AS distro,
+       CASE host % 4 WHEN 0 THEN '12' END AS distro_version, CASE host % 4 WHEN 0 THEN 'apt' WHEN 1 THEN '' END AS package_manager,
+       CASE host % 4 WHEN 0 THEN '6.1.' || (host % 10) WHEN 1 THEN '5.9' END AS kernel
+FROM f""", ops=("P25", "J1"))
+def q_correlation_host_context(spark, sf_dir):
+    n = F.col("ord") % 4
+    debian = F.concat(F.lit('{"distro": "Debian", "distro_version": "12", "package_manager": "apt", "kernel": "6.1.'),
+                      (F.col("ord") % 10).cast("string"), F.lit('", "kernel_version": "old"}'))
+    rows = findings(spark, sf_dir).select("id", "ord", F.when(n == 0, debian)
+                                          .when(n == 1, '{"distro": "Fedora", "package_manager": "", "kernel": "", "kernel_version": "5.9"}')
+                                          .when(n == 2, '{"distro": "", "port": 1}').alias("metadata"))
+    return ag.host_context(edges(spark, sf_dir), rows, "pos")
+
+
 # A3 histograms -----------------------------------------------------------------------------
 @query("histograms", _F + """
 SELECT 'severity' AS dimension, coalesce(severity, 'unknown') AS value, count(*) AS n FROM findings GROUP BY 2

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.session import ensure_checkpoint_dir
@@ -91,6 +91,13 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """K4 with figures: ``written``, and aggregates taken while the rows pass, so that no second scan is needed."""
+    seen = Observation(name)
+    out = written(df.observe(seen, *[m.alias(k) for k, m in metrics.items()]), name)
+    return out, seen.get
+
+
 def write_validated(df: DataFrame, good_path: str, error_path: str, codes_col: str = "error_codes") -> None:
     """K5: rows without a dropping error to ``good_path``; (row, code) pairs to ``error_path``."""
     dropping = F.arrays_overlap(F.col(codes_col), F.array(F.lit("json_parse"), F.lit("missing_text")))
