@@ -12,13 +12,16 @@ Inputs
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions import fixed
 from vigil.functions import severity as sev
+from vigil.sources.sinks import written
 
 
 # --------------------------------------------------------------------------------------
@@ -316,6 +319,49 @@ def _realism_from(counts: DataFrame) -> DataFrame:
                                         total=F.col("total")))
 
 
+def _stage_metrics(findings: DataFrame, correlations: DataFrame, edges: DataFrame | None) -> dict[str, Callable[[], DataFrame]]:
+    """The raw metrics by stage, each made only when called."""
+    total = F.nullif(F.col("total").cast("double"), F.lit(0.0))
+
+    def schema() -> DataFrame:
+        c_bad = F.size(missing_keys(correlations, fixed.SCHEMA_REQUIRED + fixed.SCHEMA_REQUIRED_CORRELATION_EXTRA)) > 0
+        cp = correlations.agg(F.count(F.lit(1)).alias("total"), F.count_if(c_bad).alias("invalid"))
+        both = finding_pass(findings).select("total", "invalid").unionByName(cp).agg(
+            F.sum("total").alias("total"), F.sum("invalid").alias("invalid"))
+        return _metrics_frame(both, _long("schema_validation", total_findings=F.col("total"),
+                                          valid_findings=F.col("total") - F.col("invalid"),
+                                          invalid_findings=F.col("invalid")))
+
+    def consistent() -> DataFrame:
+        dup = duplicate_id_count(findings, correlations)
+        broken = broken_refs(correlations, findings, edges).agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("broken_correlations"))
+        return reduce(DataFrame.unionByName, [
+            _metrics_frame(dup, _long("consistency_check", duplicate_ids=F.col("duplicate_ids"))),
+            _metrics_frame(finding_pass(findings), _long("consistency_check",
+                                                         severity_inconsistencies=F.col("severity_inconsistencies"))),
+            _metrics_frame(broken, _long("consistency_check", broken_correlations=F.col("broken_correlations")))])
+
+    def quality() -> DataFrame:
+        sd = F.coalesce(F.col("sd_risk"), F.lit(0.0))
+        consistency = F.when(F.col("n_valid") == 0, F.lit(0.0)).otherwise(
+            F.greatest(F.lit(0.0), F.lit(1.0) - (F.abs(F.col("mean_risk") - 50) / 50
+                                                 + F.least(F.abs(sd - 20) / 20, F.lit(1.0))) / 2))
+        return reduce(DataFrame.unionByName, [
+            _metrics_frame(diversity_score(findings), _long("quality_scoring", diversity_score=F.col("diversity_score"),
+                                                            scanner_coverage=F.col("scanners"))),
+            _metrics_frame(finding_pass(findings), _long(
+                "quality_scoring", completeness_score=F.when(F.col("total") == 0, F.lit(0.0)).otherwise(F.col("complete") / total),
+                consistency_score=consistency, total_findings=F.col("total"))),
+            _metrics_frame(coverage(findings, correlations, edges),
+                           _long("quality_scoring", distinct_refs=F.col("distinct_refs")))])
+
+    return {"schema_validation": schema, "consistency_check": consistent,
+            "realism_assessment": lambda: _realism_from(finding_pass(findings)),
+            "correlation_validation": lambda: correlation_metrics(correlations, findings, edges),
+            "quality_scoring": quality}
+
+
 def scorecard_metrics(findings: DataFrame, correlations: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """Long table (stage, metric, value) of every raw metric.
 
@@ -324,38 +370,24 @@ def scorecard_metrics(findings: DataFrame, correlations: DataFrame, edges: DataF
     runs as its own partial aggregates. ``edges`` (correlation_id, finding_id, n)
     replaces the reference lists when they are kept as an edge table.
     """
-    fp = finding_pass(findings)
-    c_bad = F.size(missing_keys(correlations, fixed.SCHEMA_REQUIRED + fixed.SCHEMA_REQUIRED_CORRELATION_EXTRA)) > 0
-    cp = correlations.agg(F.count(F.lit(1)).alias("total"), F.count_if(c_bad).alias("invalid"))
-    schema = fp.select("total", "invalid").unionByName(cp).agg(
-        F.sum("total").alias("total"), F.sum("invalid").alias("invalid"))
-    dup = duplicate_id_count(findings, correlations)
-    broken = broken_refs(correlations, findings, edges).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("broken_correlations"))
-    total = F.nullif(F.col("total").cast("double"), F.lit(0.0))
-    sd = F.coalesce(F.col("sd_risk"), F.lit(0.0))
-    consistency = F.when(F.col("n_valid") == 0, F.lit(0.0)).otherwise(
-        F.greatest(F.lit(0.0), F.lit(1.0) - (F.abs(F.col("mean_risk") - 50) / 50
-                                             + F.least(F.abs(sd - 20) / 20, F.lit(1.0))) / 2))
-    d = diversity_score(findings)
-    c = coverage(findings, correlations, edges)
-    return reduce(DataFrame.unionByName, [
-        _metrics_frame(schema, _long("schema_validation", total_findings=F.col("total"),
-                                     valid_findings=F.col("total") - F.col("invalid"),
-                                     invalid_findings=F.col("invalid"))),
-        _metrics_frame(dup, _long("consistency_check", duplicate_ids=F.col("duplicate_ids"))),
-        _metrics_frame(fp, _long("consistency_check", severity_inconsistencies=F.col("severity_inconsistencies"))),
-        _metrics_frame(broken, _long("consistency_check", broken_correlations=F.col("broken_correlations"))),
-        _realism_from(fp),
-        correlation_metrics(correlations, findings, edges),
-        _metrics_frame(d, _long("quality_scoring", diversity_score=F.col("diversity_score"),
-                                scanner_coverage=F.col("scanners"))),
-        _metrics_frame(fp, _long("quality_scoring",
-                                 completeness_score=F.when(F.col("total") == 0, F.lit(0.0))
-                                 .otherwise(F.col("complete") / total),
-                                 consistency_score=consistency, total_findings=F.col("total"))),
-        _metrics_frame(c, _long("quality_scoring", distinct_refs=F.col("distinct_refs"))),
-    ])
+    return reduce(DataFrame.unionByName, [make() for make in _stage_metrics(findings, correlations, edges).values()])
+
+
+def isolated_stages(findings: DataFrame, correlations: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """(stage, status, passed, score, error). Each stage is a written result of its own; one whose plan or job fails
+    becomes a row ``error``, not passed, without a score, with the error's class, and the others stand."""
+    spark, done, failed = findings.sparkSession, [], []
+    for stage, make in _stage_metrics(findings, correlations, edges).items():
+        try:
+            done.append(written(make(), f"stage-{stage}"))
+        except PySparkException as e:
+            failed.append((stage, "error", False, None, e.getCondition() or type(e).__name__))
+    errors = spark.createDataFrame(failed, "stage string, status string, passed boolean, score double, error string")
+    if not done:
+        return errors
+    gone = [stage for stage, *_ in failed]
+    kept = stage_table(reduce(DataFrame.unionByName, done)).where(~F.col("stage").isin(*gone) if gone else F.lit(True))
+    return kept.withColumn("error", F.lit(None).cast("string")).unionByName(errors)
 
 
 def _wide(metrics: DataFrame) -> DataFrame:

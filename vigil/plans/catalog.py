@@ -179,3 +179,13 @@ UNION ALL SELECT 'recommendations', 'overall', 'Dataset quality is good - no maj
 def q_run_report(spark, sf_dir):
     f, c = findings(spark, sf_dir), correlations(spark, sf_dir)
     return rp.run_report(f, c, sc.scorecard_metrics(f, c, edges(spark, sf_dir)))
+
+
+# A stage that fails is a row, the others stand (here correlation types come as lists) -----------------------------
+@query("scorecard_stage_errors", _sc_sql("""
+SELECT stage, CASE stage WHEN 'correlation_validation' THEN 'error' ELSE status END AS status,
+       passed AND stage <> 'correlation_validation' AS passed,
+       CASE WHEN stage <> 'correlation_validation' THEN round(score, 6) END AS score FROM stages"""), ops=("V25",))
+def q_scorecard_stage_errors(spark, sf_dir):
+    bad = correlations(spark, sf_dir).withColumn("correlation_type", F.array("correlation_type"))
+    return sc.isolated_stages(findings(spark, sf_dir), bad, edges(spark, sf_dir)).drop("error")
