@@ -312,8 +312,8 @@ def q_intelligent_sample(spark, sf_dir):
 
 
 # D11 quotas / D12 scenario --------------------------------------------------------------------
-# FIXED VALUES: the three recipes' per-category quotas, and the count of a category that a recipe does not list (the
-# recipes ask for the parallel path, whose count is 10; the sequential one takes 100).
+# FIXED VALUES: the three recipes' per-category quotas, and the count of a category that the sft or eval recipe does not
+# list (they list all that findings have). The grpo recipe leaves world_writable out: such categories keep all rows.
 DEFAULT_QUOTA = 10
 QUOTA_RECIPES = {
     "sft": {"processes": 50, "network": 50, "suid": 50, "kernel_params": 50, "modules": 40, "ioc": 40, "mac": 40,
@@ -324,14 +324,14 @@ QUOTA_RECIPES = {
 }
 
 
-def _quota_sql(cases: str) -> str:
+def _quota_sql(cases: str, chosen: str = "r <= q") -> str:
     """The expected numbers are written out here once more, apart from the recipes above."""
     return _F + f"""
 SELECT id, category FROM (
   SELECT *, row_number() OVER (PARTITION BY category ORDER BY md5('{SEED}|' || id), ord) AS r,
          {cases} AS q
   FROM findings) t
-WHERE r <= q"""
+WHERE {chosen}"""
 
 
 @query("category_quotas", _quota_sql("CASE WHEN category IN ('ioc', 'world_writable') THEN 40 ELSE 50 END"), ops=("D11",))
@@ -340,9 +340,9 @@ def q_category_quotas(spark, sf_dir):
 
 
 @query("category_quotas_grpo", _quota_sql("""CASE category WHEN 'processes' THEN 300 WHEN 'network' THEN 300
-         WHEN 'suid' THEN 200 WHEN 'ioc' THEN 200 ELSE 10 END"""), ops=("D11",))
+         WHEN 'suid' THEN 200 WHEN 'ioc' THEN 200 END""", "q IS NULL OR r <= q"), ops=("D11",))
 def q_category_quotas_grpo(spark, sf_dir):
-    return sp.apply_quotas(findings(spark, sf_dir), QUOTA_RECIPES["grpo"], DEFAULT_QUOTA, seed=SEED).select("id", "category")
+    return sp.apply_quotas(findings(spark, sf_dir), QUOTA_RECIPES["grpo"], seed=SEED).select("id", "category")
 
 
 @query("category_quotas_eval", _quota_sql("30"), ops=("D11",))
