@@ -107,3 +107,17 @@ def test_three_scans_whatever_the_rules(spark):
         plan = frame._jdf.queryExecution().optimizedPlan().toString()
         assert "events.parquet" not in plan and "props" not in plan
     assert {r[0] for r in h.select("correlation_type").distinct().collect()} == set(cr.RULES)
+
+
+def test_plans_after_the_first_pass_are_short_and_read_what_it_wrote(spark, monkeypatch):
+    """The driver keeps every plan: only the first one holds the findings' own columns."""
+    plans, keep = {}, cr.written
+
+    def noted(df, name, by=None):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(df, name, by)
+
+    monkeypatch.setattr(cr, "written", noted)
+    cr.run_rules(pool(spark, ROWS).withColumn("title", F.concat("title", F.lit("mark of the input"))))
+    assert "mark of the input" in plans["staged"]
+    assert "mark of the input" not in plans["rules"] and len(plans["rules"]) < 12_000

@@ -7,14 +7,15 @@ table (``scanner`` names the bucket, ``ord`` is input order) and give two frames
   headers  correlation_id, correlation_type, producer, title, description, severity, risk_score
   edges    correlation_id, finding_id, grp, ord, n   (n = multiplicity of the reference)
 
-:func:`run_rules` compiles any number of rules into three scans of the findings, whatever their number:
+The columns that rules read, and the numbers of the lists (:data:`FACTS`) that each row belongs to, are worked out once a
+row and written. :func:`run_rules` then compiles any number of rules into three scans of that table:
 
-1. bounds: one conditional aggregate. Of each list that a rule needs ("the first k rows with ...", also every test of
-   existence and of a number of rows) the minimal ``ord`` in each of 64 hash classes; the k-th of these minima is at
-   least the k-th smallest of all, so it bounds the list.
+1. bounds: of each list ("the first k rows with ...", also every test of existence and of a number of rows) the minimal
+   ``ord`` in each of 64 hash classes; the k-th of these minima is at least the k-th smallest of all, so it bounds the
+   list.
 2. facts: the few rows up to the bounds, folded to lists of at most k. They reach the driver: k rows a list.
-3. rows: one projection, the facts in it as literals, emits all headers, edges and the inputs of the one rule that joins
-   (J9); it is written once, by kind, and read from there.
+3. rows: one projection emits the numbers of all headers, edges and inputs of the one rule that joins (J9) of a row; a
+   small table says what each number stands for. It is written once, by kind, and read from there.
 
 Reference lists that can be unbounded (all C2 ids, all ids of three categories, ...) are never collected: they stay
 edges. Members shared by every correlation of one rule are listed once under ``<type>:*``.
@@ -298,29 +299,35 @@ def register(name: str, rule) -> None:
 _CLASSES = 64
 
 
+_HITS = "_hits"
+
+
+def with_hits(rows: DataFrame, facts: dict[str, First]) -> DataFrame:
+    """:func:`staged` findings and the numbers of the lists of ``facts`` that each row belongs to."""
+    hits = [F.when(first.when(), F.lit(i)) for i, first in enumerate(facts.values())]
+    return rows.withColumn(_HITS, F.array_compact(F.array(*hits)) if hits else F.array().cast("array<int>"))
+
+
 def gather_facts(rows: DataFrame, facts: dict[str, First]) -> Facts:
-    """The lists of ``facts``: (ord, id, text) of each row of :func:`staged` findings, in order. Two scans; k rows a
-    list reach the driver."""
+    """The lists of ``facts``: (ord, id, text) of each row of :func:`with_hits` (or :func:`staged`) findings, in order. Two
+    scans; k rows a list reach the driver."""
+    rows = rows if _HITS in rows.columns else with_hits(rows, facts)
     names = list(facts)
-    tests = [F.coalesce(facts[n].when(), F.lit(False)).alias(f"_t{i}") for i, n in enumerate(names)]
-    rows = rows.select("*", *tests)
-    minima = rows.groupBy(F.pmod(F.xxhash64("ord"), F.lit(_CLASSES)).alias("_c")).agg(
-        *[F.min(F.when(F.col(f"_t{i}"), F.col("ord"))).alias(f"_m{i}") for i in range(len(names))])
-    bounds = minima.agg(*[F.try_element_at(F.sort_array(F.collect_list(f"_m{i}")), F.lit(facts[n].k)).alias(f"_b{i}")
-                          for i, n in enumerate(names)],
-                        *[F.count(f"_m{i}").alias(f"_n{i}") for i in range(len(names))]).first()
-    # Fewer classes than k have a row: all rows of the list count. No class has: the list is empty.
-    limit = [bounds[f"_b{i}"] if bounds[f"_b{i}"] is not None else 2**63 - 1 for i in range(len(names))]
-    used = [i for i in range(len(names)) if bounds[f"_n{i}"]]
     out: Facts = {n: [] for n in names}
-    if not used:
+    hits = rows.select(F.explode(_HITS).alias("i"), "ord")
+    minima = hits.groupBy("i", F.pmod(F.xxhash64("ord"), F.lit(_CLASSES)).alias("c")).agg(F.min("ord").alias("m"))
+    limit = {}
+    for r in minima.groupBy("i").agg(F.sort_array(F.collect_list("m")).alias("m")).collect():
+        # Fewer classes than k have a row: all rows of the list count. No class has: the list is empty.
+        k = facts[names[r["i"]]].k
+        limit[r["i"]] = r["m"][k - 1] if len(r["m"]) >= k else 2**63 - 1
+    if not limit:
         return out
-    near = F.array_compact(F.array(*[F.when(F.col(f"_t{i}") & (F.col("ord") <= limit[i]), F.lit(i)) for i in used]))
-    lists = rows.withColumn("_near", near).where(F.size("_near") > 0).select(
-        "id", "ord", "title", NAME, F.explode("_near").alias("i"))
+    bound = F.create_map(*[F.lit(x).cast("long") for pair in limit.items() for x in pair])
+    near = rows.withColumn("i", F.explode(_HITS)).where(F.col("ord") <= bound[F.col("i").cast("long")])
     texts = {n: facts[n].text() for n in names if facts[n].text}
     text = F.coalesce(*[F.when(F.col("i") == names.index(n), c) for n, c in texts.items()]).alias("text")
-    for r in lists.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("ord", "id", text))).alias("rows")).collect():
+    for r in near.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("ord", "id", text))).alias("rows")).collect():
         out[names[r["i"]]] = [tuple(x) for x in r["rows"][:facts[names[r["i"]]].k]]
     return out
 
@@ -359,42 +366,42 @@ def _emissions(rules: list[Rule], facts: Facts) -> list[tuple[Column, list[_Emis
 
 
 def _emitted(rows: DataFrame, rules: list[Rule], facts: Facts) -> DataFrame:
-    """All that the rows of :func:`staged` findings give: one projection; a row names its emissions by number, which
-    stand for literals."""
+    """All that the rows of :func:`staged` findings give: a row names its emissions by number, and a table of as many rows
+    as there are emissions says what a number stands for."""
     groups = _emissions(rules, facts)
     every = [e for _, some in groups for e in some]
     number = {id(e): i for i, e in enumerate(every)}
     codes = F.flatten(F.array_compact(F.array(*[
         F.when(hit, F.array(*[F.lit(number[id(e)]) for e in some])) for hit, some in groups])))
-    rows = rows.select("id", F.col("ord").alias("_ord"), F.col("title").alias("_own"), NAME, TITLE, CLASS, F.explode(codes).alias("c"))
+    rows = rows.select("id", F.col("ord").alias("_ord"), F.col("title").alias("_own"), NAME, TITLE, CLASS,
+                       F.explode_outer(codes).alias("c")).where("c is not null")  # explode would work out the codes twice
+    meaning = rows.sparkSession.createDataFrame(
+        [(i, e.kind, e.rule.name, e.rule.producer, e.rule.title, e.rule.description, e.rule.severity, float(e.rule.risk),
+          e.rule.subject == NAME, e.ref, e.grp, e.ord) for i, e in enumerate(every)],
+        "c int, kind string, type string, producer string, t string, d string, level string, risk double, named boolean, "
+        "ref string, grp int, o long")
 
-    def of(pick: Callable, kind: str = "string") -> Column:
-        """What the emission of a row has there: one literal array, an element of it."""
-        values = ", ".join("null" if v is None else tx.sql_text(v) if isinstance(v, str) else str(v) for v in map(pick, every))
-        return F.expr(f"element_at(cast(array({values}) as array<{kind}>), c + 1)")
+    header = F.col("kind") == "h"
 
-    def worded(pattern: Callable) -> Column:
-        subject = F.coalesce(F.when(of(lambda e: e.rule.subject) == NAME, F.col(NAME)).otherwise(F.col(TITLE)), F.lit(""))
-        return F.when(F.col("kind") == "h", F.replace(of(pattern), F.lit("{}"), subject))
+    def worded(pattern: str) -> Column:
+        subject = F.coalesce(F.when(F.col("named"), F.col(NAME)).otherwise(F.col(TITLE)), F.lit(""))
+        return F.when(header, F.replace(F.col(pattern), F.lit("{}"), subject))
 
     named = [F.when(F.col("c") == number[id(e)], e.to) for e in every if e.to is not None]
-    cid = F.coalesce(*named, F.concat(of(lambda e: e.rule.name), F.lit(":"), F.col("id")))
-    header = F.col("kind") == "h"
-    return rows.withColumn("kind", of(lambda e: e.kind)).select(
-        "kind", cid.alias("correlation_id"), F.when(header, of(lambda e: e.rule.name)).alias("correlation_type"),
-        F.when(header, of(lambda e: e.rule.producer)).alias("producer"),
-        F.when(F.col("kind").isin("m", "p"), F.col("_own")).otherwise(worded(lambda e: e.rule.title)).alias("title"),
-        worded(lambda e: e.rule.description).alias("description"),
-        F.when(header, of(lambda e: e.rule.severity)).alias("severity"),
-        F.when(header, of(lambda e: float(e.rule.risk), "double")).alias("risk_score"),
-        F.coalesce(of(lambda e: e.ref), F.col("id")).alias("finding_id"), of(lambda e: e.grp, "int").alias("grp"),
-        F.coalesce(of(lambda e: e.ord, "long"), F.col("_ord")).alias("ord"), F.lit(1).cast("long").alias("n"))
+    cid = F.coalesce(*named, F.concat(F.col("type"), F.lit(":"), F.col("id")))
+    return rows.join(F.broadcast(meaning), "c").select(
+        "kind", cid.alias("correlation_id"), F.when(header, F.col("type")).alias("correlation_type"),
+        F.when(header, F.col("producer")).alias("producer"),
+        F.when(F.col("kind").isin("m", "p"), F.col("_own")).otherwise(worded("t")).alias("title"),
+        worded("d").alias("description"), F.when(header, F.col("level")).alias("severity"),
+        F.when(header, F.col("risk")).alias("risk_score"), F.coalesce("ref", "id").alias("finding_id"), "grp",
+        F.coalesce("o", "_ord").alias("ord"), F.lit(1).cast("long").alias("n"))
 
 
 def run_rules(findings: DataFrame, rules: dict | None = None, errors: list | None = None):
     """Run the rules and return all their (headers, edges).
 
-    Compiled rules share three scans of ``findings`` and one written table; other callables run apart. A rule whose
+    Compiled rules share one scan of ``findings`` and three of what it wrote; other callables run apart. A rule whose
     expressions fail is noted in ``errors`` as (name, message) and left out; without such a list the error is raised.
     """
     spark, headers, edges = findings.sparkSession, [], []
@@ -416,7 +423,7 @@ def run_rules(findings: DataFrame, rules: dict | None = None, errors: list | Non
             both = isolated(name, lambda rule=rule: [d for d in rule(findings) if d.schema is not None])
             if both:
                 headers.append(both[0]), edges.append(both[1])
-    rows = staged(findings)
+    rows = written(with_hits(staged(findings), FACTS), "staged") if compiled else staged(findings)
     facts = gather_facts(rows, FACTS) if compiled else {}
     firing = [r for n, r in compiled.items() if isolated(n, lambda r=r: r.fires(facts))]
     sound, emitted = firing, None
