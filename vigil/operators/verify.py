@@ -4,8 +4,8 @@ Every verifier returns an issues DataFrame
     (verifier, entity, row_id, rule, message)
 and "valid" means "no rows" (``issues.isEmpty()``). Row rules run on the JSON
 text of each row (``raw``) so type tests (number vs string, object vs not) and
-key presence (T3) see what the document said. Frames without ``raw`` get one
-built from their typed columns (``metadata`` JSON text embedded as an object).
+key presence (T3) see what the document said. Frames without ``raw`` answer from
+their columns' types as a document of them would (``metadata`` JSON text as an object).
 
 Group rules are partial aggregates (share of the top value, counts over 50,
 distinct ratios); nothing is collected. Messages name the row's id where the
@@ -19,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.functions import fixed
 from vigil.functions import severity as sev
@@ -38,60 +39,172 @@ NUMERIC_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT", "DEC
 ISSUE_COLS = ["verifier", "entity", "row_id", "rule", "message"]
 
 
-def ensure_raw(df: DataFrame) -> DataFrame:
-    """Add ``raw`` (JSON text of the row) when the frame came from typed columns, then stage the
-    parsed document (``_v``) and its top-level keys (``_k``) once per row."""
-    if "_v" in df.columns:
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` with what rules read, worked out once per row: the parsed document (``_v``) and its top-level keys (``_k``)
+    of frames with ``raw``; of typed frames the metadata as their document would hold it (``_m``). ``_mo``: the metadata
+    is an object."""
+    if "_mo" in df.columns:
         return df
-    if "raw" not in df.columns:
-        cols = []
-        for c in df.columns:
-            if c in ("ord",):
-                continue
-            if c in ("metadata", "metric_drift"):
-                cols.append(F.try_parse_json(F.col(c)).alias(c))
-            else:
-                cols.append(F.col(c))
-        df = df.withColumn("raw", F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}))
-    return (df.withColumn("_v", F.try_parse_json(F.col("raw")))
-              .withColumn("_k", F.coalesce(F.json_object_keys(F.col("raw")), F.array().cast("array<string>"))))
-
-
-def _v(df: DataFrame) -> Column:
-    return F.col("_v")
-
-
-def _type(v: Column, path: str) -> Column:
+    if "raw" in df.columns:
+        df = (df.withColumn("_v", F.try_parse_json(F.col("raw")))
+                .withColumn("_k", F.coalesce(F.json_object_keys(F.col("raw")), F.array().cast("array<string>"))))
+        return df.withColumn("_mo", F.coalesce(_type_of(F.col("_v"), "$.metadata").startswith("OBJECT"), F.lit(False)))
+    if "metadata" not in df.columns:
+        return df.withColumns({"_m": F.lit(None).cast("variant"), "_mo": F.lit(False)})
+    # printed and parsed again, as in a document: number types follow the printed form
+    again = F.try_parse_json(F.to_json(F.try_parse_json(F.col("metadata"))))
+    return (df.withColumn("_m", F.coalesce(again, F.parse_json(F.lit("null"))))
+              .withColumn("_mo", F.coalesce(F.schema_of_variant("_m").startswith("OBJECT"), F.lit(False))))
+
+
+def _type_of(v: Column, path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
 
 
-def _is_numeric(v: Column, path: str) -> Column:
-    t = _type(v, path)
-    return reduce(lambda a, b: a | b, [t.startswith(x) for x in NUMERIC_TYPES])
-
-
-def _num(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "double")
-
-
-def _text(v: Column, path: str) -> Column:
+def _text_of(v: Column, path: str) -> Column:
     """Python-ish ``str`` of a JSON value (JSON text for non-strings, True/False for booleans)."""
     s = F.try_variant_get(v, path, "string")
     j = F.to_json(F.try_variant_get(v, path, "variant"))
-    t = _type(v, path)
+    t = _type_of(v, path)
     return (F.when(t == "BOOLEAN", F.when(j == "true", "True").otherwise("False"))
             .when(t == "STRING", s).when(t == "NULL", F.lit("None")).otherwise(j))
 
 
-def _keys(df: DataFrame, path: str = "$") -> Column:
-    if path == "$":
-        return F.col("_k")
-    txt = F.get_json_object(F.col("raw"), path)
-    return F.coalesce(F.json_object_keys(txt), F.array().cast("array<string>"))
-
-
-def _has(df: DataFrame, key: str) -> Column:
-    return F.array_contains(_keys(df), key)
+def _keys_of(text: Column) -> Column:
+    return F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+
+
+class RawDoc:
+    """A staged frame's rows as documents, read from their JSON text."""
+
+    def __init__(self, df: DataFrame):
+        self.v = F.col("_v")
+
+    def has(self, key: str) -> Column | bool:
+        return F.array_contains(F.col("_k"), key)
+
+    def has_in(self, path: str, key: str) -> Column | bool:
+        return F.array_contains(_keys_of(F.get_json_object(F.col("raw"), path)), key)
+
+    def type(self, path: str) -> Column:
+        return _type_of(self.v, path)
+
+    def numeric(self, path: str) -> Column:
+        t = self.type(path)
+        return reduce(lambda a, b: a | b, [t.startswith(x) for x in NUMERIC_TYPES])
+
+    def num(self, path: str) -> Column:
+        return F.try_variant_get(self.v, path, "double")
+
+    def text(self, path: str) -> Column:
+        return _text_of(self.v, path)
+
+    def string(self, path: str) -> Column:
+        return F.try_variant_get(self.v, path, "string")
+
+    def size(self, path: str) -> Column:
+        return F.size(F.coalesce(F.try_variant_get(self.v, path, "array<variant>"), F.array().cast("array<variant>")))
+
+    def value(self, path: str) -> Column:
+        return F.try_variant_get(self.v, path, "variant")
+
+
+class TypedDoc(RawDoc):
+    """The same of a frame with typed columns: every column but ``ord`` is a key of the document. What a column's type
+    says needs no text; values of other kinds go through a document of their one column."""
+
+    NUMBERS = {"double", "float", "bigint", "int", "smallint", "tinyint"}
+
+    def __init__(self, df: DataFrame):
+        self.types = {f.name: f.dataType for f in df.schema if f.name not in ("ord", "_m", "_mo")}
+
+    def _at(self, path: str) -> tuple[Column | None, str, Column, str]:
+        """The value at a path as a column of a plain type, that type; or (no such column) a variant and a path in it."""
+        head, _, rest = path[2:].partition(".")
+        if head == "metadata":
+            return None, "", F.col("_m"), "$." + rest if rest else "$"
+        if head not in self.types:
+            return F.lit(None).cast("string"), "none", F.lit(None).cast("variant"), "$"
+        kind, col = self.types[head], F.col(head)
+        doc = F.try_parse_json(F.to_json(F.struct(col), {"ignoreNullFields": "false"}))
+        if rest and isinstance(kind, T.StructType) and "." not in rest:
+            if rest not in kind.names:
+                return F.lit(None).cast("string"), "none", doc, path
+            return col[rest], self._plain(kind[rest].dataType), doc, path
+        return (None, "", doc, path) if rest else (col, self._plain(kind), doc, path)
+
+    def _plain(self, kind: T.DataType) -> str:
+        name = kind.simpleString()
+        return "array" if isinstance(kind, T.ArrayType) else "struct" if isinstance(kind, T.StructType) else name
+
+    def has(self, key: str) -> Column | bool:
+        return key in self.types
+
+    def has_in(self, path: str, key: str) -> Column | bool:
+        name = path[2:]
+        if name == "metadata" and name in self.types:
+            text = F.to_json(F.struct(F.col("_m").alias(name)), {"ignoreNullFields": "false"})
+        elif isinstance(self.types.get(name), T.StructType):
+            return F.col(name).isNotNull() if key in self.types[name].names else False
+        elif name in self.types:
+            text = F.to_json(F.struct(F.col(name)), {"ignoreNullFields": "false"})
+        else:
+            return False
+        return F.array_contains(_keys_of(F.get_json_object(text, path)), key)
+
+    def type(self, path: str) -> Column:
+        col, kind, v, at = self._at(path)
+        if kind == "none":
+            return col
+        names = {"string": "STRING", "array": "ARRAY", "struct": "OBJECT", "boolean": "BOOLEAN"}
+        if kind in names:
+            parent = path[2:].split(".")
+            null = F.when(col.isNull(), "VOID").otherwise(names[kind])
+            return null if len(parent) == 1 else F.when(F.col(parent[0]).isNotNull(), null)
+        return _type_of(v, at)
+
+    def numeric(self, path: str) -> Column:
+        col, kind, v, at = self._at(path)
+        if kind not in self.NUMBERS:
+            t = self.type(path)
+            return reduce(lambda a, b: a | b, [t.startswith(x) for x in NUMERIC_TYPES])
+        if kind in ("double", "float"):  # JSON has them as texts if they are not finite
+            ok = col.isNotNull() & ~F.isnan(col) & (F.abs(col) < F.lit(float("inf")))
+        else:
+            ok = col.isNotNull()
+        parent = path[2:].split(".")
+        return ok if len(parent) == 1 else F.when(F.col(parent[0]).isNotNull(), ok)
+
+    def num(self, path: str) -> Column:
+        col, kind, v, at = self._at(path)
+        return col.cast("double") if kind in self.NUMBERS else F.try_variant_get(v, at, "double")
+
+    def text(self, path: str) -> Column:
+        col, kind, v, at = self._at(path)
+        if kind == "string" and path.count(".") == 1:
+            return F.coalesce(col, F.lit("null"))
+        if kind in self.NUMBERS and path.count(".") == 1:
+            printed = F.to_json(F.try_variant_get(v, at, "variant"))
+            return F.when(self.numeric(path), printed).otherwise(F.coalesce(col.cast("string"), F.lit("null")))
+        return _text_of(v, at)
+
+    def string(self, path: str) -> Column:
+        col, kind, v, at = self._at(path)
+        return col if kind in ("string", "none") else F.try_variant_get(v, at, "string")
+
+    def size(self, path: str) -> Column:
+        col, kind, v, at = self._at(path)
+        if kind == "array":
+            return F.coalesce(F.size(F.coalesce(col, F.array().cast(self.types[path[2:]]))), F.lit(0))
+        return F.size(F.coalesce(F.try_variant_get(v, at, "array<variant>"), F.array().cast("array<variant>")))
+
+    def value(self, path: str) -> Column:
+        col, kind, v, at = self._at(path)
+        return F.try_variant_get(v, at, "variant")
+
+
+def _doc(df: DataFrame) -> RawDoc:
+    return RawDoc(df) if "_v" in df.columns else TypedDoc(df)
 
 
 @dataclass(frozen=True)
@@ -99,7 +212,7 @@ class Check:
     """A rule on one row. ``{}`` in the text stands for ``arg``, a text that only failing rows need."""
 
     rule: str
-    fails: Column
+    fails: Column | bool
     text: str
     arg: Column | None = None
 
@@ -107,73 +220,89 @@ class Check:
 def _fused(df: DataFrame, entity: str, checks: list[tuple[tuple[str, ...], Check]]) -> DataFrame:
     """One issue row per row, failing check and verifier that has the check.
 
-    A row's issues are one array of (number, arg), exploded once; rule, message and verifier are looked up by number
-    after it, so what no reader asks for is never worked out.
+    A row's issues are one array of numbers, exploded once; rule, message and verifier are looked up by number after it,
+    so what no reader asks for is never worked out. Checks that no row can fail are left out before.
     """
+    checks = [(verifiers, c) for verifiers, c in checks if c.fails is not False]
     every = [(v, c) for verifiers, c in checks for v in verifiers]
     arrays, at = [], 0
     for verifiers, c in checks:
-        arg = (c.arg if c.arg is not None else F.lit(None)).cast("string")
-        entries = [F.struct(F.lit(at + k).alias("c"), arg.alias("arg")) for k in range(len(verifiers))]
-        arrays.append(F.when(c.fails, F.array(*entries)))
+        numbers = F.array(*[F.lit(at + k) for k in range(len(verifiers))])
+        # no lambda around a check: what stands in one is not compiled
+        arrays.append(numbers if c.fails is True else F.when(c.fails, numbers).otherwise(F.array().cast("array<int>")))
         at += len(verifiers)
     rid = F.coalesce(F.col("id").cast("string"), F.lit("unknown")) if "id" in df.columns else F.lit("unknown")
-    rows = df.select(rid.alias("row_id"), F.explode(F.flatten(F.array_compact(F.array(*arrays)))).alias("i"))
+    rows = df.withColumns({"_row_id": rid, "_i": F.explode(F.flatten(F.array(*arrays)))})
 
     def of(pick) -> Column:
         values = ", ".join(sql_text(pick(v, c)) for v, c in every)
-        return F.expr(f"element_at(array({values}), i.c + 1)")
+        return F.expr(f"element_at(array({values}), _i + 1)")
 
-    body = F.replace(of(lambda v, c: c.text), F.lit("{}"), F.coalesce("i.arg", F.lit("")))
+    arg = F.lit("")
+    for k, (_, c) in enumerate(every):
+        if c.arg is not None:
+            arg = F.when(F.col("_i") == k, F.coalesce(c.arg.cast("string"), F.lit(""))).otherwise(arg)
+    body = F.replace(of(lambda v, c: c.text), F.lit("{}"), arg)
     name = entity.capitalize()
-    return rows.select(of(lambda v, c: v).alias("verifier"), F.lit(entity).alias("entity"), "row_id",
+    return rows.select(of(lambda v, c: v).alias("verifier"), F.lit(entity).alias("entity"), F.col("_row_id").alias("row_id"),
                        of(lambda v, c: c.rule).alias("rule"),
-                       F.concat(of(lambda v, c: f"[{v}] {name} "), F.col("row_id"), F.lit(": "), body).alias("message"))
+                       F.concat(of(lambda v, c: f"[{v}] {name} "), F.col("_row_id"), F.lit(": "), body).alias("message"))
+
+
+def _not(x: Column | bool) -> Column | bool:
+    return not x if isinstance(x, bool) else ~x
+
+
+def _all(*xs: Column | bool) -> Column | bool:
+    """``and`` of columns and of what is known without a row."""
+    if any(x is False for x in xs):
+        return False
+    columns = [x for x in xs if x is not True]
+    return reduce(lambda a, b: a & b, columns) if columns else True
 
 
 # --- V1-V5 row rules ------------------------------------------------------------------------------
 def required_field_checks(df: DataFrame, fields: list[str]) -> list[Check]:
-    return [Check(f"missing:{f}", ~_has(df, f), f"Missing required field '{f}'") for f in fields]
+    return [Check(f"missing:{f}", _not(_doc(df).has(f)), f"Missing required field '{f}'") for f in fields]
 
 
 def severity_score_checks(df: DataFrame, score_fields=("risk_score", "base_severity_score")) -> list[Check]:
-    v = _v(df)
-    sev_txt = _text(v, "$.severity")
-    out = [Check("invalid_severity", _has(df, "severity") & ~F.coalesce(sev_txt.isin(*fixed.SEVERITIES), F.lit(False)),
+    d = _doc(df)
+    sev_txt = d.text("$.severity")
+    out = [Check("invalid_severity", _all(d.has("severity"), ~F.coalesce(sev_txt.isin(*fixed.SEVERITIES), F.lit(False))),
                  "Invalid severity '{}'", F.coalesce(sev_txt, F.lit("None")))]
     for f in score_fields:
-        num = _is_numeric(v, f"$.{f}")
-        x = _num(v, f"$.{f}")
-        out += [Check(f"{f}:not_numeric", _has(df, f) & ~num, f"{f} must be numeric"),
-                Check(f"{f}:range", _has(df, f) & num & ((x < 0) | (x > 100)) & ~F.isnan(x),
-                      f"{f} out of range 0-100 (got {{}})", _text(v, f"$.{f}"))]
+        num = d.numeric(f"$.{f}")
+        x = d.num(f"$.{f}")
+        out += [Check(f"{f}:not_numeric", _all(d.has(f), ~num), f"{f} must be numeric"),
+                Check(f"{f}:range", _all(d.has(f), num & ((x < 0) | (x > 100)) & ~F.isnan(x)),
+                      f"{f} out of range 0-100 (got {{}})", d.text(f"$.{f}"))]
     return out
 
 
 def probability_checks(df: DataFrame, field: str = "probability_actionable") -> list[Check]:
-    v = _v(df)
-    num = _is_numeric(v, f"$.{field}")
-    x = _num(v, f"$.{field}")
-    return [Check(f"{field}:not_numeric", _has(df, field) & ~num, f"{field} must be numeric"),
-            Check(f"{field}:range", _has(df, field) & num & ((x < 0) | (x > 1)) & ~F.isnan(x),
-                  f"{field} must be between 0 and 1 (got {{}})", _text(v, f"$.{field}"))]
+    d = _doc(df)
+    num = d.numeric(f"$.{field}")
+    x = d.num(f"$.{field}")
+    return [Check(f"{field}:not_numeric", _all(d.has(field), ~num), f"{field} must be numeric"),
+            Check(f"{field}:range", _all(d.has(field), num & ((x < 0) | (x > 1)) & ~F.isnan(x)),
+                  f"{field} must be between 0 and 1 (got {{}})", d.text(f"$.{field}"))]
 
 
 def subscore_checks(df: DataFrame) -> list[Check]:
-    v = _v(df)
-    present = _has(df, "risk_subscores")
-    is_obj = F.coalesce(_type(v, "$.risk_subscores").startswith("OBJECT"), F.lit(False))
-    sub_keys = _keys(df, "$.risk_subscores")
-    out = [Check("risk_subscores:not_dict", present & ~is_obj, "risk_subscores must be a dict")]
+    d = _doc(df)
+    present = d.has("risk_subscores")
+    is_obj = F.coalesce(d.type("$.risk_subscores").startswith("OBJECT"), F.lit(False))
+    out = [Check("risk_subscores:not_dict", _all(present, ~is_obj), "risk_subscores must be a dict")]
     for k in SUBSCORE_KEYS:
         path = f"$.risk_subscores.{k}"
-        has_k = F.array_contains(sub_keys, k)
-        num = _is_numeric(v, path)
-        x = _num(v, path)
-        out += [Check(f"risk_subscores.{k}:missing", present & is_obj & ~has_k, f"Missing risk_subscore '{k}'"),
-                Check(f"risk_subscores.{k}:not_numeric", present & is_obj & has_k & ~num, f"risk_subscore '{k}' must be numeric"),
-                Check(f"risk_subscores.{k}:range", present & is_obj & has_k & num & ((x < 0) | (x > 1)) & ~F.isnan(x),
-                      f"risk_subscore '{k}' out of range 0-1 (got {{}})", _text(v, path))]
+        has_k = d.has_in("$.risk_subscores", k)
+        num = d.numeric(path)
+        x = d.num(path)
+        out += [Check(f"risk_subscores.{k}:missing", _all(present, is_obj, _not(has_k)), f"Missing risk_subscore '{k}'"),
+                Check(f"risk_subscores.{k}:not_numeric", _all(present, is_obj, has_k, ~num), f"risk_subscore '{k}' must be numeric"),
+                Check(f"risk_subscores.{k}:range", _all(present, is_obj, has_k, num & ((x < 0) | (x > 1)) & ~F.isnan(x)),
+                      f"risk_subscore '{k}' out of range 0-1 (got {{}})", d.text(path))]
     return out
 
 
@@ -183,32 +312,28 @@ def host_metadata_checks(df: DataFrame) -> list[Check]:
     A missing ``metadata`` key reads as {} (so every host key is reported); a
     null or non-object value is "metadata must be a dict".
     """
-    v = _v(df)
-    t = _type(v, "$.metadata")
-    missing_key = ~_has(df, "metadata")
-    is_obj = missing_key | F.coalesce(t.startswith("OBJECT"), F.lit(False))
-    out = [Check("metadata:not_dict", ~is_obj, "metadata must be a dict")]
+    d = _doc(df)
+    known = d.has("metadata")
+    is_obj = F.col("_mo")
+    if known is not True:
+        is_obj = True if known is False else ~known | is_obj
+    out = [Check("metadata:not_dict", _not(is_obj), "metadata must be a dict")]
     for k in fixed.HOST_KEYS:
-        val = F.try_variant_get(v, f"$.metadata.{k}", "string")
-        vt = _type(v, f"$.metadata.{k}")
-        empty = val.isNull() | (vt == "NULL") | ((vt == "STRING") & (val == ""))
-        out.append(Check(f"metadata.{k}:missing", is_obj & empty, f"metadata missing '{k}'"))
-    kb_t = _type(v, "$.metadata.kb_refs")
-    kb_n = F.size(F.coalesce(F.try_variant_get(v, "$.metadata.kb_refs", "array<variant>"),
-                             F.array().cast("array<variant>")))
-    bad_kb = ~F.coalesce(kb_t.startswith("ARRAY"), F.lit(False)) | (kb_n == 0)
-    out.append(Check("metadata.kb_refs:empty", is_obj & bad_kb, "metadata.kb_refs must be a non-empty list"))
+        empty = F.coalesce(d.string(f"$.metadata.{k}"), F.lit("")) == ""
+        out.append(Check(f"metadata.{k}:missing", _all(is_obj, empty), f"metadata missing '{k}'"))
+    bad_kb = ~F.coalesce(d.type("$.metadata.kb_refs").startswith("ARRAY"), F.lit(False)) | (d.size("$.metadata.kb_refs") == 0)
+    out.append(Check("metadata.kb_refs:empty", _all(is_obj, bad_kb), "metadata.kb_refs must be a non-empty list"))
     return out
 
 
 def reference_checks(df: DataFrame) -> list[Check]:
-    v = _v(df)
-    t = _type(v, "$.correlation_refs")
-    n = F.size(F.coalesce(F.try_variant_get(v, "$.correlation_refs", "array<variant>"), F.array().cast("array<variant>")))
-    has, is_list = _has(df, "correlation_refs"), F.coalesce(t.startswith("ARRAY"), F.lit(False))
+    d = _doc(df)
+    t = d.type("$.correlation_refs")
+    n = d.size("$.correlation_refs")
+    has, is_list = d.has("correlation_refs"), F.coalesce(t.startswith("ARRAY"), F.lit(False))
     null = F.coalesce(t == "NULL", F.lit(False))
-    return [Check("correlation_refs:not_list", has & ~is_list & ~null, "correlation_refs must be a list"),
-            Check("correlation_refs:empty", has & (is_list | null) & (n == 0), "correlation_refs must not be empty")]
+    return [Check("correlation_refs:not_list", _all(has, ~is_list & ~null), "correlation_refs must be a list"),
+            Check("correlation_refs:empty", _all(has, (is_list | null) & (n == 0)), "correlation_refs must not be empty")]
 
 
 def band_checks() -> list[Check]:
@@ -224,27 +349,27 @@ def band_checks() -> list[Check]:
 
 def realism_checks(df: DataFrame) -> list[Check]:
     """Values that no real finding of the category has."""
-    v = _v(df)
-    desc = F.coalesce(F.try_variant_get(v, "$.description", "string"), F.lit(""))
-    title = F.coalesce(F.try_variant_get(v, "$.title", "string"), F.lit(""))
+    d = _doc(df)
+    desc = F.coalesce(d.string("$.description"), F.lit(""))
+    title = F.coalesce(d.string("$.title"), F.lit(""))
     cat = F.col("category")
-    pid_t, pid = _type(v, "$.metadata.pid"), _num(v, "$.metadata.pid")
-    pid_present = pid_t.isNotNull() & (pid_t != "NULL")
+    pid_t, pid = d.type("$.metadata.pid"), d.num("$.metadata.pid")
+    pid_present = pid_t != "NULL"
     pid_int = pid_t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "BOOLEAN") | pid_t.startswith("DECIMAL(") & \
         (pid == F.floor(pid))
-    cmd = F.coalesce(F.try_variant_get(v, "$.metadata.command", "string"), F.lit(""))
-    port_t, port = _type(v, "$.metadata.port"), _num(v, "$.metadata.port")
-    port_present = port_t.isNotNull() & (port_t != "NULL")
+    cmd = F.coalesce(d.string("$.metadata.command"), F.lit(""))
+    port_t, port = d.type("$.metadata.port"), d.num("$.metadata.port")
+    port_present = port_t != "NULL"
     port_int = port_t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "BOOLEAN")
-    state = F.coalesce(F.try_variant_get(v, "$.metadata.state", "string"), F.lit(""))
+    state = F.coalesce(d.string("$.metadata.state"), F.lit(""))
     return [
         Check("pid", (cat == "processes") & pid_present & (~pid_int | (pid < 1) | (pid > 99999)), "Unrealistic PID {}",
-              _text(v, "$.metadata.pid")),
-        *[Check(f"fake_command:{m}", (cat == "processes") & (cmd != "") & (F.instr(cmd, m) > 0),
+              d.text("$.metadata.pid")),
+        *[Check(f"fake_command:{m}", (cat == "processes") & (F.instr(cmd, m) > 0),
                 "Obviously fake command '{}'", cmd) for m in fixed.FAKE_COMMAND_MARKERS],
         Check("port", (cat == "network") & port_present & (~port_int | (port < 1) | (port > 65535)), "Invalid port {}",
-              _text(v, "$.metadata.port")),
-        Check("socket_state", (cat == "network") & (state != "") & ~state.isin(*fixed.VALID_SOCKET_STATES),
+              d.text("$.metadata.port")),
+        Check("socket_state", (cat == "network") & ~state.isin("", *fixed.VALID_SOCKET_STATES),
               "Invalid socket state '{}'", state),
         Check("description_short", F.length(desc) < 10, "Description too short"),
         Check("description_long", F.length(desc) > 500, "Description too long"),
@@ -262,7 +387,7 @@ SCHEMA, COHERENCE, REALISM, ABUNDANCE = "SchemaVerifier", "CoherenceVerifier", "
 
 
 def finding_row_issues(findings: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    f = ensure_raw(findings)
+    f = staged(findings)
     checks = []
     if SCHEMA in names:
         own = (required_field_checks(f, FINDING_REQUIRED) + severity_score_checks(f) + probability_checks(f) + subscore_checks(f))
@@ -278,7 +403,7 @@ def finding_row_issues(findings: DataFrame, names: tuple[str, ...]) -> DataFrame
 
 
 def correlation_row_issues(correlations: DataFrame, names: tuple[str, ...]) -> DataFrame | None:
-    c = ensure_raw(correlations)
+    c = staged(correlations)
     checks = []
     if SCHEMA in names:
         own = (required_field_checks(c, CORRELATION_REQUIRED) + severity_score_checks(c) + probability_checks(c)
@@ -374,29 +499,29 @@ REPETITION, DIVERSITY = "repetition:", "diversity:"
 def group_counts(findings: DataFrame) -> DataFrame:
     """(dim, value, n): how many findings have each value of each thing that a group rule looks at. One scan, combined
     before the shuffle; null values are left out."""
-    f = ensure_raw(findings)
-    v = _v(f)
-    distro = F.try_variant_get(v, "$.metadata.distro", "string")
+    f = staged(findings)
+    d = _doc(f)
+    distro = d.string("$.metadata.distro")
     host = F.coalesce(distro, F.lit("")) != ""
 
     def stated(path: str) -> Column:
-        return F.nullif(_text(v, path), F.lit("None"))
+        return F.nullif(d.text(path), F.lit("None"))
+
+    def held(has: Column | bool, path: str) -> Column:
+        return d.text(path) if has is True else F.lit("") if has is False else F.when(has, d.text(path)).otherwise(F.lit(""))
 
-    meta_keys = _keys(f, "$.metadata")
     dims = {
         "category": F.coalesce(F.col("category"), F.lit("unknown")),
         "severity": F.coalesce(F.col("severity"), F.lit("")),
         "title_pattern": tx.title_pattern(F.col("title")),
         # VARIANT objects sort their keys
-        "metadata": F.md5(F.coalesce(F.to_json(F.try_variant_get(v, "$.metadata", "variant")), F.lit("{}"))),
-        "host": F.when(host, F.to_json(F.struct(distro.alias("d"), F.try_variant_get(
-            v, "$.metadata.distro_version", "string").alias("v")))),
+        "metadata": F.md5(F.coalesce(F.to_json(d.value("$.metadata")), F.lit("{}"))),
+        "host": F.when(host, F.to_json(F.struct(distro.alias("d"), d.string("$.metadata.distro_version").alias("v")))),
         **{REPETITION + k: stated(f"$.metadata.{k}") for k in fixed.REPETITION_FIELDS},
         REPETITION + "distro": F.when(host, stated("$.metadata.distro")),
-        DIVERSITY + "title": F.coalesce(F.try_variant_get(v, "$.title", "string"), F.lit("")),
-        DIVERSITY + "rationale": F.when(_has(f, "rationale"), _text(v, "$.rationale")).otherwise(F.lit("")),
-        **{DIVERSITY + k: F.when(F.array_contains(meta_keys, k), _text(v, f"$.metadata.{k}")).otherwise(F.lit(""))
-           for k in ("port", "command")},
+        DIVERSITY + "title": F.coalesce(d.string("$.title"), F.lit("")),
+        DIVERSITY + "rationale": held(d.has("rationale"), "$.rationale"),
+        **{DIVERSITY + k: held(d.has_in("$.metadata", k), f"$.metadata.{k}") for k in ("port", "command")},
     }
     long = f.select(F.explode(F.array(*[F.struct(F.lit(k).alias("dim"), c.cast("string").alias("value"))
                                         for k, c in dims.items()])).alias("u")).select("u.*")
