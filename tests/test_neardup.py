@@ -123,3 +123,8 @@ def test_crowded_digests_make_few_candidates(spark, monkeypatch):
     rows = spark.range(2000).select(nd.F.concat(nd.F.lit("low:||||:"), nd.F.md5(nd.F.col("id").cast("string")).substr(1, 12)).alias("pattern"),
                                     nd.F.struct(nd.F.col("id")).alias("rk"), nd.F.col("id").alias("rid"))
     assert nd.similar_pairs(rows, 0.95).count() == 0
+
+
+def test_unmatched_characters_of_skeletons():
+    assert nd._unmatched("hgh", "low") == 6 and nd._unmatched("ino", "low") == 4
+    assert nd._unmatched("", "ab") == 2 and nd._unmatched("sui:low", "sui:low") == 0

@@ -96,6 +96,16 @@ def _shortened(text: Column, loss: int) -> Column:
     return out
 
 
+def _unmatched(a: str, b: str) -> int:
+    """How many characters of both are in no longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+    return len(a) + len(b) - 2 * row[-1]
+
+
 def _closed_classes(r: DataFrame, t: float) -> DataFrame:
     """(skeleton, L) of classes whose rows can be similar only to each other and to rows of classes that are not listed:
     crowded ones with digests of few shortened forms, and no other such class near enough."""
@@ -108,7 +118,7 @@ def _closed_classes(r: DataFrame, t: float) -> DataFrame:
     lost = F.col("L") + F.col("l2") - 2 * F.ceil(F.lit(t) * (F.col("L") + F.col("l2")) / 2 - F.lit(1e-9))
     near = (classes.withColumn("l2", F.explode(F.sequence("lo", "hi"))).join(other, "l2")
             .where(((F.col("skeleton") != F.col("s2")) | (F.col("L") != F.col("l2")))
-                   & (F.levenshtein("skeleton", "s2") <= lost)))
+                   & (F.levenshtein("skeleton", "s2") <= lost)).where(F.udf(_unmatched, "int")("skeleton", "s2") <= lost))
     return (classes.select("skeleton", "L").join(near.select("skeleton", "L").distinct(), ["skeleton", "L"], "left_anti")
             .withColumn("closed", F.lit(True)))
 
