@@ -196,15 +196,17 @@ def before_first(text: Column, marker: str) -> Column:
 
 
 def parse_block(text: Column, role: str) -> Column:
-    """C3 (the validator's naive split)."""
-    return tx.py_strip(before_first(after_first(text, IM_START + role), IM_END))
+    """C3 (the validator's naive split): what follows the first opening mark, up to the next end mark or the text's end;
+    null without an opening mark."""
+    body = rf"<\|im_start\|>{role}((?>[^<]*)(?:<(?!\|im_end\|>)(?>[^<]*))*+)"
+    return tx.py_strip(F.get(F.regexp_extract_all(text, F.lit(body), F.lit(1)), 0))
 
 
 def tag_section(text: Column, tag: str, case_insensitive: bool = False) -> Column:
     """Body of the first ``<tag>...</tag>`` pair, null when absent. Only the first opening tag is tried (a later one has
     no end either), so the time grows with the text; each place is looked for once, inside a lambda that names it."""
     if case_insensitive:
-        pair = rf"(?is)\A(?>.*?<{tag}>)(.*?)</{tag}>"
+        pair = rf"\A(?>[^<]*)(?:<(?!(?i:{tag})>)(?>[^<]*))*+<(?i:{tag})>((?>[^<]*)(?:<(?!/(?i:{tag})>)(?>[^<]*))*+)</(?i:{tag})>"
         return F.get(F.regexp_extract_all(text, F.lit(pair), F.lit(1)), 0)
     rest = _named(F.instr(text, f"<{tag}>"), lambda p: F.when(p > 0, F.substring(text, p + F.lit(len(tag) + 2), F.lit(2147483647))))
     return _named(rest, lambda r: _named(F.instr(r, f"</{tag}>"), lambda q: F.when(q > 0, F.substring(r, F.lit(1), q - F.lit(1)))))

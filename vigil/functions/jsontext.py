@@ -9,10 +9,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TOKEN = r'"(?:[^"\\]|\\.)*"|[{}\[\],:]|[^\s{}\[\],:"]+'
+#: A string. Possessive, since a repeated choice would take a stack frame for each character.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+TOKEN = _STRING + r'|[{}\[\],:]|[^\s{}\[\],:"]+'
 #: Values that mean "nothing known", as a whole string.
 PLACEHOLDER = r'(?i)^"\s*(?:unknown|none|null|n/?a)\s*"$'
 UNSPECIFIED = '"unspecified"'
+#: A string that ``_normal`` leaves as it is; a stretch without brackets outside of strings; an object's member.
+_EVEN = r'"[^"\\]*+(?:\\["\\bfnrt][^"\\]*+)*+"'
+_STRETCH = rf'[^\[\]{{}}"\\]*+(?:{_EVEN}[^\[\]{{}}"\\]*+)*+'
+_MEMBER = rf'\s*+({_EVEN})\s*+:\s*+({_EVEN}|[^\s,:"{{}}]++)\s*+(,?)'
+#: Objects in an object, no deeper, without lists.
+_NESTED = rf"^\s*+\{{{_STRETCH}(?:\{{{_STRETCH}\}}{_STRETCH})*+\}}\s*+$"
+_FLAT = rf"^\s*+\{{{_STRETCH}\}}\s*+$"
+#: A value that is a placeholder, and what stands before it from the last one on.
+_PLACE = r'(?:null|"\s*+(?i:unknown|none|null|n/?a)\s*+")(?!\s*+:)'
+_CLEANED = rf'\G((?:(?!{_PLACE})(?:{_STRING}|[^"n]++|n))*+){_PLACE}'
+#: Stands for an inner object; no JSON text has it unescaped.
+_MARK = "\x01"
 
 
 def tokens(text: Column) -> Column:
@@ -34,6 +48,11 @@ def cleaned(parts: Column) -> Column:
     return F.transform(parts, clean)
 
 
+def cleaned_text(text: Column) -> Column:
+    """``cleaned`` on the text of one JSON value."""
+    return F.regexp_replace(text, _CLEANED, f"$1{UNSPECIFIED}")
+
+
 def _normal(t: Column) -> Column:
     """A string with escapes, escaped afresh; any other token as it is."""
     plain = F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>")[0]
@@ -60,15 +79,56 @@ def indented(parts: Column, depth: int = 0) -> Column:
     return F.aggregate(pairs, state, step, lambda s: s["out"])
 
 
+def is_nested(text: Column) -> Column:
+    """Whether a JSON text is one object of scalars and objects of scalars, nothing follows it, and its strings hold short
+    escapes only: it is printed without a fold."""
+    return text.rlike(_NESTED)
+
+
+def _body(text: Column, depth: int) -> Column:
+    """An object's text without its braces, a member a line, those lines ``depth`` levels deep."""
+    return F.regexp_replace(text, _MEMBER, "\n" + "  " * depth + "$1: $2$3")
+
+
+def nested_parts(text: Column, depth: int = 0) -> Column:
+    """A text that ``is_nested``, apart: what stands ``around`` inner objects and what stands ``inside`` them, both kinds of
+    members set by one replacement each. Stage it as a column: a lambda's own arguments are worked out afresh."""
+    bare = F.regexp_replace(text, r"^\s*+\{\s*+|\s*+\}\s*+$", "")
+    inner = F.array_join(F.regexp_extract_all(bare, F.lit(rf"\G{_STRETCH}\{{({_STRETCH})\}}"), F.lit(1)), _MARK)
+    outer = F.regexp_replace(bare, rf"\G({_STRETCH})\{{{_STRETCH}\}}", f"$1{_MARK}")
+    return F.struct(F.split(_body(outer, depth + 1), _MARK).alias("around"), F.split(_body(inner, depth + 2), _MARK).alias("inside"))
+
+
+def nested_object(parts: Column, depth: int = 0) -> Column:
+    """``indented`` for the text of which ``parts`` are the ``nested_parts``: its lambda sees each inner object, not each
+    token."""
+    close = "\n" + "  " * (depth + 1) + "}"
+
+    def put(a: Column, i: Column) -> Column:
+        i = F.get(parts["inside"], i)
+        return F.concat(a, F.when(F.btrim(i) == "", F.lit("{}")).otherwise(F.concat(F.lit("{"), i, F.lit(close))))
+
+    around = parts["around"]
+    n = F.size(around)
+    joined = F.concat(F.array_join(F.transform(F.slice(around, F.lit(1), n - 1), put), ""), F.element_at(around, -1))
+    return F.when(joined == "", F.lit("{}")).otherwise(F.concat(F.lit("{"), joined, F.lit("\n" + "  " * depth + "}")))
+
+
 def indented_object(text: Column, depth: int = 0) -> Column:
-    """A JSON object's text as ``indented`` prints it. One that holds no bracket, brace or backslash inside is printed by
-    one replacement over its members; any other by the fold over its tokens."""
-    plain = text.rlike(r"^\s*+\{[^\[\]{}\\]*+\}\s*+$")
-    members = F.regexp_replace(
-        F.regexp_replace(text, r"^\s*+\{\s*+|\s*+\}\s*+$", ""),
-        r'\s*+("[^"]*+")\s*+:\s*+("[^"]*+"|[^\s,:"]++)\s*+(,?)', "\n" + "  " * (depth + 1) + "$1: $2$3")
-    whole = F.concat(F.lit("{"), members, F.when(members == "", "").otherwise("\n" + "  " * depth), F.lit("}"))
-    return F.when(plain, whole).otherwise(indented(tokens(text), depth))
+    """A JSON object's text as ``indented`` prints it: a flat one by one replacement over its members, one with objects
+    inside by ``nested_object``, any other by the fold over its tokens."""
+    bare = F.regexp_replace(text, r"^\s*+\{\s*+|\s*+\}\s*+$", "")
+    flat = F.concat(F.lit("{"), _body(bare, depth + 1), F.lit("\n" + "  " * depth + "}"))
+    return (F.when(text.rlike(r"^\s*+\{\s*+\}\s*+$"), F.lit("{}")).when(text.rlike(_FLAT), flat)
+            .when(is_nested(text), F.get(F.transform(F.array(nested_parts(text, depth)), lambda p: nested_object(p, depth)), 0))
+            .otherwise(indented(tokens(text), depth)))
+
+
+def object_entries(text: Column) -> Column:
+    """``entries`` of an object's text: those of a flat one by its members, of any other by the fold over its tokens."""
+    kind = "array<struct<key:string,value:string>>"
+    members = F.arrays_zip(*[F.regexp_extract_all(text, F.lit(_MEMBER), F.lit(g)) for g in (1, 2)]).cast(kind)
+    return F.when(text.rlike(_FLAT), members).otherwise(entries(tokens(text)))
 
 
 def entries(parts: Column) -> Column:

@@ -137,32 +137,39 @@ def repair_answers(df: DataFrame, answer: F.Column, fb_risk: F.Column, fb_sev: F
     unspecified. Other keys stay, in their places, and keys that were missing follow them. Steps are columns of
     their own, so that each is worked out once a row.
     """
-    staged = df.withColumns({"_answer": answer, "_fr": fb_risk.cast("string"), "_fs": fb_sev, "_fc": fb_cat})
-    staged = staged.withColumn("_object", F.when(ch.is_json_object(F.col("_answer")), F.col("_answer")))
-    staged = staged.withColumn("_variant", F.try_parse_json("_object"))
+    staged = df.withColumn("_answer", answer)
+    # A text that starts with a brace and parses is an object.
+    staged = staged.withColumn("_variant", F.when(tx.first_char(F.col("_answer")) == "{", F.try_parse_json("_answer")))
     v = F.col("_variant")
-    a_risk = coerce_double(F.try_variant_get(v, "$.risk_score", "string"), None)
-    a_risk = F.when(~F.isnan(a_risk) & (F.abs(a_risk) < F.lit(float("inf"))), a_risk)
+    staged = staged.withColumns({"_ar": coerce_double(F.try_variant_get(v, "$.risk_score", "string"), None),
+                                 "_as": F.try_variant_get(v, "$.severity", "string"),
+                                 "_ac": F.try_variant_get(v, "$.category", "string"),
+                                 "_object": F.when(v.isNotNull(), F.col("_answer"))})
+    a_sev, a_cat = F.col("_as"), F.col("_ac")
+    a_risk = F.when(~F.isnan("_ar") & (F.abs("_ar") < F.lit(float("inf"))), F.col("_ar"))
+    # Fallbacks are worked out only where the answer lacks a value.
+    staged = staged.withColumns({"_fr": F.when(a_risk.isNull(), fb_risk.cast("string")),
+                                 "_fs": F.when(F.coalesce(a_sev, F.lit("")) == "", fb_sev),
+                                 "_fc": F.when(F.coalesce(a_cat, F.lit("")) == "", fb_cat)})
+    fs, fc = F.col("_fs"), F.col("_fc")
     f_risk = coerce_double(F.col("_fr"), None)
     risk = F.coalesce(F.bround(a_risk, 0), F.bround(f_risk, 0), F.lit(0.0)).cast("long")
-    a_sev, fs = F.try_variant_get(v, "$.severity", "string"), F.col("_fs")
     sev = F.upper(F.coalesce(F.when(a_sev != "", a_sev), F.when(fs != "", fs), F.lit("INFO")))
     sev = F.when(sev.rlike(tx.PLACEHOLDER_RE), F.lit("INFO")).otherwise(sev)
-    a_cat, fc = F.try_variant_get(v, "$.category", "string"), F.col("_fc")
     cat = F.coalesce(F.when(a_cat != "", a_cat), F.when(fc != "", fc), F.lit("unspecified"))
     cat = F.when(cat.rlike(tx.PLACEHOLDER_RE), F.lit("unspecified")).otherwise(cat)
     staged = staged.withColumns({"_risk": risk.cast("string"), "_sev": ch.json_str(sev), "_cat": ch.json_str(cat),
-                                 "_old": jt.entries(jt.tokens(F.col("_object")))})
+                                 "_old": jt.object_entries(F.col("_object"))})
     new = [('"risk_score"', F.col("_risk")), ('"severity"', F.col("_sev")), ('"category"', F.col("_cat"))]
 
     def value(e: F.Column) -> F.Column:
         return F.coalesce(*[F.when(e["key"] == k, c) for k, c in new], e["value"])
 
     kept = F.transform("_old", lambda e: F.concat(e["key"], F.lit(": "), value(e)))
-    missing = F.array_compact(F.array(*[F.when(~F.array_contains(F.col("_old.key"), k), F.concat(F.lit(k + ": "), c))
-                                        for k, c in new]))
-    text = F.concat(F.lit("{"), F.array_join(F.concat(kept, missing), ", "), F.lit("}"))
-    return staged.withColumn(name, text).drop("_answer", "_fr", "_fs", "_fc", "_object", "_variant", "_risk", "_sev", "_cat", "_old")
+    missing = [F.when(~F.array_contains(F.col("_old.key"), k), F.concat(F.lit(k + ": "), c)) for k, c in new]
+    text = F.concat(F.lit("{"), F.concat_ws(", ", kept, *missing), F.lit("}"))
+    return staged.withColumn(name, text).drop(
+        "_answer", "_variant", "_ar", "_as", "_ac", "_fr", "_fs", "_fc", "_object", "_risk", "_sev", "_cat", "_old")
 
 
 # --- C8 / P29 -------------------------------------------------------------------------------------
@@ -355,9 +362,14 @@ def repair_chatml(df: DataFrame, text_col: str = "text") -> DataFrame:
                 .withColumn("_a", ch.parse_block(text, "assistant"))
                 .withColumn("_think", ch.think_section(F.col("_a")))
                 .withColumn("_ans", ch.answer_section(F.col("_a")))
-                .withColumn("_raw", jt.tokens(_user_object(F.col("_u"))))
+                .withColumn("_json", _user_object(F.col("_u")))
+                .withColumn("_clean", F.when(jt.is_nested(F.col("_json")), jt.cleaned_text(F.col("_json"))))
+                .withColumn("_parts", jt.nested_parts(F.col("_clean")))
+                # Other JSON, and what follows a JSON value, is repaired by tokens.
+                .withColumn("_raw", jt.tokens(F.when(F.col("_clean").isNull(), F.col("_json"))))
                 .withColumn("_new", jt.cleaned(F.col("_raw")))
-                .withColumn("_user", F.when(F.size("_new") > 0, jt.indented(F.col("_new"))).otherwise(F.lit("{}"))))
+                .withColumn("_user", F.when(F.col("_clean").isNotNull(), jt.nested_object(F.col("_parts")))
+                            .when(F.size("_new") > 0, jt.indented(F.col("_new"))).otherwise(F.lit("{}"))))
 
     def fallback(name: str) -> F.Column:
         return F.coalesce(_truthy(_column(df, name)), _truthy(F.get_json_object(F.col("_user"), f"$.{name}")))
@@ -369,4 +381,5 @@ def repair_chatml(df: DataFrame, text_col: str = "text") -> DataFrame:
                           F.coalesce(F.col("_think"), F.lit("")), F.lit("</think>"), F.lit("<answer>"), F.col("_fixed"),
                           F.lit("</answer>" + ch.IM_END))
     keep = [c for c in df.columns if c != text_col]
-    return staged.select(*keep, rebuilt.alias(text_col), (F.col("_raw") != F.col("_new")).alias("placeholder_fixed"))
+    fixed_any = F.when(F.col("_clean").isNull(), F.col("_raw") != F.col("_new")).otherwise(F.col("_json") != F.col("_clean"))
+    return staged.select(*keep, rebuilt.alias(text_col), fixed_any.alias("placeholder_fixed"))
