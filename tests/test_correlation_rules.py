@@ -121,3 +121,26 @@ def test_plans_after_the_first_pass_are_short_and_read_what_it_wrote(spark, monk
     cr.run_rules(pool(spark, ROWS).withColumn("title", F.concat("title", F.lit("mark of the input"))))
     assert "mark of the input" in plans["staged"]
     assert "mark of the input" not in plans["rules"] and len(plans["rules"]) < 12_000
+
+
+def test_returned_plans_hold_neither_the_joins_of_j9_nor_the_rules(spark, monkeypatch):
+    """The driver plans again at each stage; what comes back is a union of written rows. Only the first plan repeats itself
+    in the branches of the findings' union, and it holds no rule."""
+    plans, keep = {}, cr.written
+
+    def noted(df, name, by=None):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(df, name, by)
+
+    monkeypatch.setattr(cr, "written", noted)
+    h, e = cr.run_rules(tb.exposed_findings(spark, SF))
+    for frame in (h, e):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert not any(word in plan for word in ("Join", "Aggregate", "Generate"))
+    assert "backdoor" not in plans["staged"] and plans["marked"].count("backdoor") == 1
+
+
+def test_modules_without_a_parameter_give_nothing(spark):
+    rows = [r for r in ROWS if r[2] != "modules"] + [("d1", 1, "modules", "high", "Module zzz", None)]
+    h, e = cr.run_rules(pool(spark, rows))
+    assert e.where("correlation_id like 'module%'").count() == 0 and h.where("correlation_type like 'module%'").count() == 0

@@ -7,8 +7,10 @@ table (``scanner`` names the bucket, ``ord`` is input order) and give two frames
   headers  correlation_id, correlation_type, producer, title, description, severity, risk_score
   edges    correlation_id, finding_id, grp, ord, n   (n = multiplicity of the reference)
 
-The columns that rules read, and the numbers of the lists (:data:`FACTS`) that each row belongs to, are worked out once a
-row and written. :func:`run_rules` then compiles any number of rules into three scans of that table:
+The columns of the findings that rules read are written once; what rules look at in them, and the numbers of the lists
+(:data:`FACTS`) that each row belongs to, are worked out from that one table and written too. Spark repeats expressions
+above a union in each of its branches, and the driver holds every plan, so none of them stand above the findings' own.
+:func:`run_rules` then compiles any number of rules into three scans of the second table:
 
 1. bounds: of each list ("the first k rows with ...", also every test of existence and of a number of rows) the minimal
    ``ord`` in each of 64 hash classes; the k-th of these minima is at least the k-th smallest of all, so it bounds the
@@ -53,6 +55,9 @@ def _any_contains(col: Column, words: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.instr(col, w) > 0 for w in words])
 
 
+#: The findings' columns that rules read.
+READ = ("id", "ord", "scanner", "severity", "title", "metadata")
+
 #: What rules look at besides id, ord, scanner, severity and title; worked out once a row.
 NAME, TITLE, LOWER, CLASS = "_name", "_title", "_lower", "_class"
 PORT, ENABLED, RULE = "_port", "_enabled", "_rule"
@@ -401,7 +406,7 @@ def _emitted(rows: DataFrame, rules: list[Rule], facts: Facts) -> DataFrame:
 def run_rules(findings: DataFrame, rules: dict | None = None, errors: list | None = None):
     """Run the rules and return all their (headers, edges).
 
-    Compiled rules share one scan of ``findings`` and three of what it wrote; other callables run apart. A rule whose
+    Compiled rules share one scan of ``findings`` and four of what it wrote; other callables run apart. A rule whose
     expressions fail is noted in ``errors`` as (name, message) and left out; without such a list the error is raised.
     """
     spark, headers, edges = findings.sparkSession, [], []
@@ -423,7 +428,10 @@ def run_rules(findings: DataFrame, rules: dict | None = None, errors: list | Non
             both = isolated(name, lambda rule=rule: [d for d in rule(findings) if d.schema is not None])
             if both:
                 headers.append(both[0]), edges.append(both[1])
-    rows = written(with_hits(staged(findings), FACTS), "staged") if compiled else staged(findings)
+    rows = staged(findings)
+    if compiled:
+        read = written(findings.select(*READ), "staged")
+        rows = written(with_hits(staged(read), FACTS), "marked")
     facts = gather_facts(rows, FACTS) if compiled else {}
     firing = [r for n, r in compiled.items() if isolated(n, lambda r=r: r.fires(facts))]
     sound, emitted = firing, None
@@ -443,13 +451,13 @@ def run_rules(findings: DataFrame, rules: dict | None = None, errors: list | Non
         found = written(emitted, "rules", by="kind")
         headers.append(found.where("kind = 'h'").select(*[c.split()[0] for c in _HEADER.split(", ")]))
         own = [c.split()[0] for c in _EDGE.split(", ")]
-        most, conflict = found.where("kind = 'e'").select(*own), F.lit(f"{MODULE_RULE}:*")
+        most = found.where("kind = 'e'").select(*own)
         if any(r.name == MODULE_RULE for r in sound):
             h, e = _module_conflict(found, facts)
-            headers.append(h)
-            edges += [e.select(*own), most.where(F.col("correlation_id") == conflict).join(
-                h.select("correlation_id"), "correlation_id", "left_semi").select(*own)]
-            most = most.where(F.col("correlation_id") != conflict)
+            if h:
+                headers.append(spark.createDataFrame(h, _HEADER)), edges.append(e.select(*own))
+            else:
+                most = most.where(F.col("correlation_id") != f"{MODULE_RULE}:*")
         edges.append(most)
     if not headers:
         headers, edges = [spark.createDataFrame([], _HEADER)], [spark.createDataFrame([], _EDGE)]
@@ -486,7 +494,7 @@ def title_hits(titles: DataFrame, words: DataFrame) -> DataFrame:
     pieces = words.select("w", F.explode(F.when(F.length("w") >= _GRAM, _grams(F.col("w"), _GRAM))
                                          .otherwise(F.array("w"))).alias("g"))
     common = pieces.groupBy("g").agg(F.count(F.lit(1)).alias("c"))
-    filed = pieces.join(common, "g").groupBy("w").agg(F.min_by("g", F.struct("c", "g")).alias("g"))
+    filed = written(pieces.join(common, "g").groupBy("w").agg(F.min_by("g", F.struct("c", "g")).alias("g")), "filed")
     probes = titles.select("id", "ord", "pt", F.explode(F.concat(
         F.array(F.lit("")), *[_grams(F.col("pt"), n) for n in range(1, _GRAM + 1)])).alias("g"))
     return probes.join(filed, "g").where(F.contains("pt", F.col("w"))).select("id", "ord", "w")
@@ -495,22 +503,22 @@ def title_hits(titles: DataFrame, words: DataFrame) -> DataFrame:
 def _module_conflict(rows: DataFrame, facts: Facts):
     """medium/high modules whose name (or a word of it) occurs in a parameter title -> one medium/60.
 
-    References: every security module once (from the projection), then each parameter once per matching module.
+    References: every security module once (from the projection), then each parameter once per matching module. The
+    vocabulary and the parameters' references are written, so that no later plan holds these joins. Returns header rows
+    (none, if no parameter matches) and the parameters' edges.
     """
     modules = rows.where("kind = 'm'").select(F.col("finding_id").alias("id"), "ord", "title")
     titles = rows.where("kind = 'p'").select(F.col("finding_id").alias("id"), "ord", F.lower(F.coalesce("title", F.lit(""))).alias("pt"))
     counts = _module_signatures(modules).groupBy("sig").agg(F.count(F.lit(1)).alias("c"))  # modules of equal words
-    words = counts.select("sig", "c", F.explode("sig").alias("w"))
+    words = written(counts.select("sig", "c", F.explode("sig").alias("w")), "words")
     pairs = title_hits(titles, words.select("w").distinct()).join(words, "w").select("id", "ord", "sig", "c").distinct()
-    cid = F.lit(f"{MODULE_RULE}:*")
+    cid = f"{MODULE_RULE}:*"
     params = pairs.groupBy(F.col("id").alias("finding_id"), "ord").agg(F.sum("c").alias("n"))
-    e = params.select(cid.alias("correlation_id"), "finding_id", F.lit(1).alias("grp"), "ord", "n")
+    e = written(params.select(F.lit(cid).alias("correlation_id"), "finding_id", F.lit(1).alias("grp"), "ord", "n"), "conflict")
     text = ("Security-related kernel modules detected with potentially conflicting kernel parameters: "
             + _texts(facts["module_security"], 2))
-    h = e.limit(1).select("correlation_id", F.lit(MODULE_RULE).alias("correlation_type"), F.lit("kernel").alias("producer"),
-                          F.lit("Security modules with kernel parameter conflicts").alias("title"),
-                          F.lit(text).alias("description"), F.lit("medium").alias("severity"), F.lit(60.0).alias("risk_score"))
-    return h, e
+    h = [(cid, MODULE_RULE, "kernel", "Security modules with kernel parameter conflicts", text, "medium", 60.0)]
+    return ([] if e.isEmpty() else h), e
 
 
 def correlation_rows(headers: DataFrame, edges: DataFrame) -> DataFrame:
