@@ -144,3 +144,21 @@ def test_modules_without_a_parameter_give_nothing(spark):
     rows = [r for r in ROWS if r[2] != "modules"] + [("d1", 1, "modules", "high", "Module zzz", None)]
     h, e = cr.run_rules(pool(spark, rows))
     assert e.where("correlation_id like 'module%'").count() == 0 and h.where("correlation_type like 'module%'").count() == 0
+
+
+def test_rows_of_one_ord_do_not_all_reach_the_driver(spark, monkeypatch):
+    frame = spark.range(5000).select(
+        F.concat(F.lit("f"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("id"), F.lit(7).cast("long").alias("ord"),
+        F.lit("suid").alias("scanner"), F.lit("high").alias("severity"), F.lit("t").alias("title"),
+        F.lit(None).cast("string").alias("metadata")).repartition(4)
+    seen, collect = [], type(frame).collect
+
+    def noted(df):
+        seen.append(collect(df))
+        return seen[-1]
+
+    monkeypatch.setattr(type(frame), "collect", noted)
+    facts = cr.gather_facts(cr.staged(frame), {"some": cr.First(lambda: cr._in("suid"), 3, lambda: F.col("title")),
+                                               "one": cr.First(lambda: cr._in("suid"))})
+    assert facts == {"some": [(7, f"f0000{i}", "t") for i in range(3)], "one": [(7, "f00000", None)]}
+    assert max(len(str(rows)) for rows in seen) < 2000

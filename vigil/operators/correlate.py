@@ -15,7 +15,7 @@ above a union in each of its branches, and the driver holds every plan, so none
 1. bounds: of each list ("the first k rows with ...", also every test of existence and of a number of rows) the minimal
    ``ord`` in each of 64 hash classes; the k-th of these minima is at least the k-th smallest of all, so it bounds the
    list.
-2. facts: the few rows up to the bounds, folded to lists of at most k. They reach the driver: k rows a list.
+2. facts: the first k of the few rows up to the bounds. They reach the driver: k rows a list, also where many share an ord.
 3. rows: one projection emits the numbers of all headers, edges and inputs of the one rule that joins (J9) of a row; a
    small table says what each number stands for. It is written once, by kind, and read from there.
 
@@ -29,7 +29,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions import text as tx
@@ -332,8 +332,13 @@ def gather_facts(rows: DataFrame, facts: dict[str, First]) -> Facts:
     near = rows.withColumn("i", F.explode(_HITS)).where(F.col("ord") <= bound[F.col("i").cast("long")])
     texts = {n: facts[n].text() for n in names if facts[n].text}
     text = F.coalesce(*[F.when(F.col("i") == names.index(n), c) for n, c in texts.items()]).alias("text")
-    for r in near.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("ord", "id", text))).alias("rows")).collect():
-        out[names[r["i"]]] = [tuple(x) for x in r["rows"][:facts[names[r["i"]]].k]]
+    # Any number of rows may share the ord of a bound: each task keeps the first of a list, none collects them.
+    nth = F.row_number().over(Window.partitionBy("i").orderBy("ord", "id", "text"))
+    most = max(facts[names[i]].k for i in limit)
+    first = near.select("i", "ord", "id", text).withColumn("nth", nth).where(F.col("nth") <= most)
+    for r in sorted(first.collect(), key=lambda r: r["nth"]):
+        if r["nth"] <= facts[names[r["i"]]].k:
+            out[names[r["i"]]].append((r["ord"], r["id"], r["text"]))
     return out
 
 
